@@ -4,10 +4,10 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import mart_song, vault
+    from oracles import mart_artist, mart_song, mart_user, vault
     from oracles.base import with_ctes
 
     out: dict[str, str] = {}
-    for module in (vault, mart_song):
+    for module in (vault, mart_song, mart_artist, mart_user):
         out.update(module.oracles(with_ctes))
     return out

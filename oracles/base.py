@@ -226,9 +226,10 @@ VAULT = {
 }
 
 
-def current_sql(sat, key):
+def current_sql(sat, key, until=None):
+    known = f"WHERE actual_dtm <= TIMESTAMP '{until}'" if until else ""
     return f"""SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER
-        (PARTITION BY {key} ORDER BY actual_dtm DESC, row_hash) AS n FROM {sat}) WHERE n = 1"""
+        (PARTITION BY {key} ORDER BY actual_dtm DESC, row_hash) AS n FROM {sat} {known}) WHERE n = 1"""
 
 
 CURRENT = {

@@ -26,11 +26,19 @@ def day_before(execution_dt: str, days: int = 1) -> Column:
     return midnight(execution_dt) - F.expr(f"INTERVAL '{days}' DAY")
 
 
-def current(tables: Mapping[str, DataFrame]) -> LazyTables:
-    """The same tables with only the last version of each user, song, collection and artist."""
+def current(tables: Mapping[str, DataFrame], **as_of: str) -> LazyTables:
+    """The same tables with only the last version of each user, song, collection and artist.
+
+    `as_of` gives, per table, the date up to which versions count, e.g. `sat_user="1999-06-01"`.
+    """
 
     def pick(name: str) -> DataFrame:
         key = CATALOGUE_SATS.get(name)
-        return latest_version(tables[name], key) if key else tables[name]
+        if key is None:
+            return tables[name]
+        versions = tables[name]
+        if name in as_of:
+            versions = versions.where(F.col("actual_dtm") <= midnight(as_of[name]))
+        return latest_version(versions, key)
 
     return LazyTables({name: (lambda name=name: pick(name)) for name in tables})

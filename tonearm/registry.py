@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tonearm.operators.vault import load
-from tonearm.plans import mart_song
+from tonearm.plans import mart_artist, mart_song, mart_user
 from tonearm.plans.load_plan import derive_vault
 from tonearm.plans.specs import BY_TARGET, SPECS
 from tonearm.sources.fixtures import given_tables, library_tables, stage_tables
@@ -95,5 +95,55 @@ def song_queries() -> dict[str, Query]:
     }
 
 
+def artist_queries() -> dict[str, Query]:
+    m, x = mart_artist, EXECUTION_DT
+    countries = lambda c: m.artist_listen_country(c.vault, x)
+    genres = lambda c: m.artist_main_genre(c.vault, x)
+    songs = lambda c: m.artist_popular_songs(c.vault, x)
+    ranks = lambda c: m.artist_country_rank(countries(c)).select("artist_id", "country_code", "top_7d", "top_1d")
+    return {
+        "artist_latest_release": query(lambda c: m.artist_latest_release(c.vault, x)),
+        "artist_latest_release_corrected": query(lambda c: m.artist_latest_release(c.vault, x, corrected=True)),
+        "artist_main_genre": query(genres),
+        "artist_main_genre_rank": query(lambda c: m.artist_main_genre_rank(genres(c))),
+        "artist_listen_country": query(countries),
+        "artist_royalty": query(lambda c: m.artist_royalty(countries(c), c.vault)),
+        "artist_country_rank": query(ranks),
+        "artist_popular_songs": query(songs),
+        "artist_song_rank": query(lambda c: m.artist_song_rank(songs(c))),
+        "artist_top3_countries": query(lambda c: lists_as_json(m.artist_top3_countries(ranks(c)))),
+        "artist_top3_songs": query(lambda c: lists_as_json(m.artist_top3_songs(songs(c)))),
+        "artist_followed": query(lambda c: m.artist_followed(c.vault, x)),
+        "mart_artist": query(lambda c: lists_as_json(m.mart_artist(c.vault, x))),
+        "mart_artist_corrected": query(lambda c: lists_as_json(m.mart_artist(c.vault, x, corrected=True))),
+        "mart_artist_2000": query(lambda c: lists_as_json(m.mart_artist(c.vault, SECOND_DT))),
+    }
+
+
+def user_queries() -> dict[str, Query]:
+    m, x = mart_user, EXECUTION_DT
+    agg = lambda c: m.user_listenings_agg(c.vault, x)
+    subscriptions = lambda c: m.user_subscriptions(c.vault, x)
+    return {
+        "user_versions": query(lambda c: m.user_versions(c.vault, x)),
+        "user_subscriptions": query(subscriptions),
+        "user_subscriptions_corrected": query(lambda c: m.user_subscriptions(c.vault, x, corrected=True)),
+        "user_listenings": query(lambda c: m.user_listenings(c.vault, x)),
+        "user_listenings_corrected": query(lambda c: m.user_listenings(c.vault, x, corrected=True)),
+        "user_listenings_agg": query(agg),
+        "user_listenings_agg_corrected": query(lambda c: m.user_listenings_agg(c.vault, x, corrected=True)),
+        "user_top_artists": query(lambda c: m.favourites_rank(agg(c), "artist")),
+        "user_top_genres": query(lambda c: m.favourites_rank(agg(c), "genre")),
+        "user_top_songs": query(lambda c: m.favourites_rank(agg(c), "song")),
+        "user_top5_artists": query(lambda c: lists_as_json(m.favourites_list(agg(c), "artist"))),
+        "user_top5_songs": query(lambda c: lists_as_json(m.favourites_list(agg(c), "song"))),
+        "user_top3_genres": query(lambda c: lists_as_json(m.favourites_list(agg(c), "genre"))),
+        "user_payments": query(lambda c: m.user_payments(subscriptions(c), c.vault, x)),
+        "mart_user": query(lambda c: lists_as_json(m.mart_user(c.vault, x))),
+        "mart_user_corrected": query(lambda c: lists_as_json(m.mart_user(c.vault, x, corrected=True))),
+        "mart_user_2000": query(lambda c: lists_as_json(m.mart_user(c.vault, SECOND_DT))),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**vault_queries(), **song_queries()}
+    return {**vault_queries(), **song_queries(), **artist_queries(), **user_queries()}
