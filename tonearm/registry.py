@@ -146,4 +146,6 @@ def user_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return {**vault_queries(), **song_queries(), **artist_queries(), **user_queries()}
+    from tonearm.registry_stage import stage_queries
+
+    return {**stage_queries(), **vault_queries(), **song_queries(), **artist_queries(), **user_queries()}

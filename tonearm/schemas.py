@@ -30,8 +30,8 @@ EVENT_FIELDS = {
         "released_dt date"
     ),
     "SongCreated": (
-        "id string, name string, duration_sec int, collection_id string, artist_id string, "
-        "genre_id string"
+        "collection_id string, artist_id string, genre_id string, id string, name string, "
+        "duration_sec int"
     ),
     "GenreCreated": (
         "id string, name string, happiness_index int, mean_duration_sec int, country_code string"

@@ -250,8 +250,32 @@ def library_tables(given: Mapping[str, DataFrame], stage: Mapping[str, DataFrame
             col("ts").alias("event_time"),
         )
 
+    def like_requests() -> DataFrame:
+        return given["events"].select(
+            col("event_id").alias("request_id"),
+            _id("U", "user_id").alias("user_id"),
+            _id("S", col("event_id") % 40 * 100).alias("song_id"),
+            col("ts").alias("event_time"),
+        )
+
+    def follow_requests() -> DataFrame:
+        return given["events"].select(
+            col("event_id").alias("request_id"),
+            _id("U", "user_id").alias("user_id"),
+            _id("A", col("event_id") % 130).alias("artist_id"),
+            col("ts").alias("event_time"),
+        )
+
+    def subscribe_requests() -> DataFrame:
+        return given["events"].where(col("event_type") == "purchase").select(
+            col("event_id").alias("request_id"), _id("U", "user_id").alias("user_id"), col("ts").alias("event_time")
+        )
+
     return LazyTables(
         {
+            "like_requests": like_requests,
+            "follow_requests": follow_requests,
+            "subscribe_requests": subscribe_requests,
             "countries": countries,
             "genres": lambda: stage["kafka_genre"].drop("event_type", "event_time"),
             "artists": artists,
@@ -264,3 +288,47 @@ def library_tables(given: Mapping[str, DataFrame], stage: Mapping[str, DataFrame
             "signup_requests": signup_requests,
         }
     )
+
+
+def edge_messages(given: Mapping[str, DataFrame]) -> DataFrame:
+    """Messages a stage has to cope with, one kind per remainder of the event number:
+    unknown type, unrouted type, unknown key, missing optional key, missing required key,
+    malformed text, required key with null, and the same message twice."""
+    col = F.col
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    user, session, song = _id("U", "user_id"), _id("X", "event_id"), _id("S", col("event_id") % 3000)
+
+    def message(event_type: str, fields: str, *values: Column) -> Column:
+        text = '{"type":"' + event_type + '","data":{"event_time":"%s",' + fields + "}}"
+        return F.format_string(text, time, *values)
+
+    play = (user, session, song, col("event_id") % 60)
+    kinds = [
+        F.format_string('{"type":"%s","data":{"event_time":"%s","user_id":"%s"}}', col("event_type"), time, user),
+        message("SignInFailureEvent", '"reason":"bad %s"', col("event_type")),
+        message(
+            "SongPlayEvent",
+            '"user_id":"%s","session_id":"%s","song_id":"%s","at_time_sec":%d,"device":"phone"', *play,
+        ),
+        message(
+            "SignUpEvent",
+            '"user_id":"N%d","country_code":"01","first_name":"A","last_name":"B","birth_date":"2001-02-03"',
+            col("event_id"),
+        ),
+        message("SongPlayEvent", '"session_id":"%s","song_id":"%s","at_time_sec":%d', *play[1:]),
+        F.format_string('{"type":"SongPlayEvent","data":{%d', col("event_id")),
+        message(
+            "SignUpEvent",
+            '"user_id":"N%d","email":"n%d@example.com","country_code":"01","first_name":"A","last_name":"B",'
+            '"birth_date":null',
+            col("event_id"), col("event_id"),
+        ),
+        message(
+            "SongStopEvent",
+            '"user_id":"%s","session_id":"%s","song_id":"%s","at_time_sec":%d,"finished":false', *play,
+        ),
+    ]
+    kind = col("event_id") % 8
+    value = F.coalesce(*[F.when(kind == i, text) for i, text in enumerate(kinds)])
+    copies = F.when(kind == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return given["events"].select(value.alias("value"), F.explode(copies).alias("copy")).select("value")
