@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tonearm.functions.keys import SOURCE, hash_key, hash_uniform, row_hash, text_form
 from tonearm.functions.ranking import ranked
 from tonearm.plans.specs import LoadSpec
+from tonearm.sources.store import month_of
 
 # fixed values: price rules of the subscription table
 BASIC_COST = (8.0, 15.0)
@@ -46,8 +47,8 @@ def within_batch_dates(
     first = stage.agg(F.min(moment)).scalar()
     last = stage.agg(F.max(moment)).scalar()
     kept = target.where(F.col("actual_dtm").between(first, last))
-    if "actual_date" in target.columns:
-        kept = kept.where(F.col("actual_date").between(first.cast("date"), last.cast("date")))
+    if "actual_month" in target.columns:
+        kept = kept.where(F.col("actual_month").between(month_of(first), month_of(last)))
     return kept
 
 

@@ -146,6 +146,10 @@ def user_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
+    from tonearm.registry_library import library_queries
     from tonearm.registry_stage import stage_queries
 
-    return {**stage_queries(), **vault_queries(), **song_queries(), **artist_queries(), **user_queries()}
+    groups = (
+        stage_queries, vault_queries, song_queries, artist_queries, user_queries, library_queries,
+    )
+    return {name: run for group in groups for name, run in group().items()}
