@@ -14,20 +14,27 @@ def event_id(event_type: Column, data: Column) -> Column:
     return F.sha2(F.concat(event_type, data), 256)
 
 
+def parsed(df: DataFrame, json_column: str, schema: T.StructType | str, *keep: Column | str) -> DataFrame:
+    """`keep` columns and the fields of a JSON column. Going through a generator, the text is
+    parsed once per row; as plain expressions the optimizer would copy the parse into every
+    field and filter that uses it."""
+    return df.select(*keep, F.inline(F.array(F.from_json(json_column, schema))))
+
+
 def decode_envelope(messages: DataFrame) -> DataFrame:
     """UTF-8 JSON in `value` -> type and data (the payload as JSON text).
 
     A message that is no envelope has a NULL type and keeps its text in `data`.
     """
-    text = F.col("value").cast("string")
-    decoded = messages.withColumn("_text", text).withColumn("_event", F.from_json("_text", ENVELOPE))
-    is_event = F.col("_event.type").isNotNull() & F.col("_event.data").isNotNull()
-    return (
-        decoded.withColumn("type", F.when(is_event, F.col("_event.type")))
-        .withColumn("data", F.when(is_event, F.col("_event.data")).otherwise(F.col("_text")))
-        .withColumn("event_id", event_id(F.coalesce("type", F.lit("")), F.col("data")))
-        .drop("value", "_text", "_event")
+    kept = [c for c in messages.columns if c != "value"]
+    text = messages.withColumn("_text", F.col("value").cast("string"))
+    is_event = F.col("type").isNotNull() & F.col("data").isNotNull()
+    decoded = parsed(text, "_text", ENVELOPE, "_text", *kept).select(
+        *kept,
+        F.when(is_event, F.col("type")).alias("type"),
+        F.when(is_event, F.col("data")).otherwise(F.col("_text")).alias("data"),
     )
+    return decoded.withColumn("event_id", event_id(F.coalesce("type", F.lit("")), F.col("data")))
 
 
 def route_events(decoded: DataFrame) -> DataFrame:
@@ -41,9 +48,8 @@ def route_events(decoded: DataFrame) -> DataFrame:
 def project_payload(decoded: DataFrame, table: StageTable) -> DataFrame:
     """Events of one table with typed columns: unknown keys are dropped, missing ones NULL."""
     mine = decoded.where(F.col("type").isin(*table.event_types))
-    parsed = mine.withColumn("_row", F.from_json("data", table.payload))
-    columns = [F.col("type").alias(c) if c == "event_type" else F.col("_row")[c].alias(c) for c in table.columns]
-    return parsed.select("event_id", *columns, "data")
+    rows = parsed(mine, "data", table.payload, "event_id", F.col("type").alias("event_type"), "data")
+    return rows.select("event_id", *table.columns, "data")
 
 
 def missing_required(table: StageTable) -> Column:
@@ -67,19 +73,29 @@ def stage_rows(decoded: DataFrame, name: str) -> DataFrame:
     return enforce_required(project_payload(decoded, STAGE_TABLES[name]), STAGE_TABLES[name])[0]
 
 
-def quarantined_events(decoded: DataFrame) -> DataFrame:
-    """Malformed messages and events that lack a required column, in one pass over the batch."""
-    missing = F.lit(None).cast("array<string>")
+def judge_events(decoded: DataFrame) -> DataFrame:
+    """Adds the stage table and the missing required columns of each event, parsing it once.
+
+    A message that is no event misses its `type`; an event without a table misses nothing.
+    """
+    required = {f.name: f for t in STAGE_TABLES.values() for f in t.payload if f.name in t.required}
+    schema = T.StructType([T.StructField("_" + n, f.dataType) for n, f in required.items()])
+    renamed = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in required.items())
+    checked = decoded.withColumn("_row", F.from_json("data", renamed))
+    out = decoded.columns
+    checked = checked.select(*out, F.inline(F.array(F.col("_row").cast(schema))))
+    missing = F.array().cast("array<string>")
     for table in STAGE_TABLES.values():
-        payload = F.from_json("data", table.payload)
-        names = F.array_compact(F.array(*[F.when(payload[c].isNull(), F.lit(c)) for c in table.required]))
+        names = F.array_compact(F.array(*[F.when(F.col("_" + c).isNull(), F.lit(c)) for c in table.required]))
         missing = F.when(F.col("type").isin(*table.event_types), names).otherwise(missing)
     missing = F.when(F.col("type").isNull(), F.array(F.lit("type"))).otherwise(missing)
-    return (
-        route_events(decoded).withColumn("missing", missing)
-        .where(F.size("missing") > 0)
-        .select("event_id", "type", "stage_table", "missing", "data")
-    )
+    return route_events(checked.withColumn("missing", missing)).select(*out, "stage_table", "missing")
+
+
+def quarantined_events(decoded: DataFrame) -> DataFrame:
+    """Malformed messages and events that lack a required column."""
+    judged = decoded if "missing" in decoded.columns else judge_events(decoded)
+    return judged.where(F.size("missing") > 0).select("event_id", "type", "stage_table", "missing", "data")
 
 
 def unrouted_events(decoded: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def load_one(spec: LoadSpec, stage: TableStore, vault: TableStore, batch_id: int
 
 
 def run_load_plan(
-    stage: TableStore, vault: TableStore, batch_id: int, at_once: int = 4, **options
+    stage: TableStore, vault: TableStore, batch_id: int, at_once: int = 8, **options
 ) -> StoredTables:
     """All processes for one stage batch: hubs, satellites, links, link satellites, references.
 

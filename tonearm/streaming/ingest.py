@@ -6,42 +6,50 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tonearm.operators.stage import (
     decode_envelope,
     dedupe_events,
+    judge_events,
     quarantined_events,
     stage_rows,
     unrouted_events,
 )
 from tonearm.plans.load_plan import run_load_plan
-from tonearm.schemas import STAGE_TABLES
 from tonearm.sources.store import TableStore
 
 QUARANTINE, UNROUTED = "quarantine", "unrouted"
 
 
-def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: int = 4) -> None:
+def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: int = 8) -> None:
     """Decoded events of one batch -> one append per stage table, quarantine and unrouted.
 
-    The batch is read by thirteen writes, hence kept; blocks lost with an executor are
-    computed again from the source. Each write replaces only its own batch folder, so a
-    repeated batch leaves no second copy.
+    The batch is judged once and kept for the writes; blocks lost with an executor are
+    computed again from the source. Which targets have rows at all is found first (at most
+    one line per target reaches the driver), so an empty or narrow batch starts few jobs.
+    Each write replaces only its own batch folder: a repeated batch leaves no second copy.
     """
-    events = events.persist(StorageLevel.MEMORY_AND_DISK)
+    judged = judge_events(events).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        jobs = [
-            (name, stage_rows(events, name), "event_time") for name in STAGE_TABLES
-        ] + [
-            (QUARANTINE, quarantined_events(events), None),
-            (UNROUTED, unrouted_events(events), None),
-        ]
+        refused = F.size("missing") > 0
+        target = F.when(refused, QUARANTINE).otherwise(F.coalesce("stage_table", F.lit(UNROUTED)))
+        present = [row.target for row in judged.select(target.alias("target")).distinct().collect()]
+        accepted = judged.where(~refused)
+
+        def write(name: str) -> None:
+            if name == QUARANTINE:
+                store.append(name, quarantined_events(judged), batch_id)
+            elif name == UNROUTED:
+                store.append(name, unrouted_events(accepted), batch_id)
+            else:
+                store.append(name, stage_rows(accepted, name), batch_id, "event_time")
+
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(lambda job: store.append(job[0], job[1], batch_id, job[2]), jobs))
+            list(pool.map(write, present))
     finally:
-        events.unpersist()
+        judged.unpersist()
 
 
 def start_ingest(
