@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 DATED_BY = {"event_time": "event_month", "actual_dtm": "actual_month"}
@@ -29,21 +30,25 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+    def _exists(self, folder: str) -> bool:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, name: str, before_batch: int | None = None, batch: int | None = None) -> DataFrame | None:
-        """All batches, those before `before_batch`, or just `batch`; None if nothing was written."""
-        if not self.exists(name):
+        """All batches, those before `before_batch`, or just `batch`; None if nothing was written.
+
+        A single batch is read from its own folder, without listing the others.
+        """
+        folder = self.path(name) if batch is None else f"{self.path(name)}/batch_id={batch}"
+        if not self._exists(folder):
             return None
-        df = self.spark.read.parquet(self.path(name))
-        if before_batch is not None:
-            df = df.where(F.col("batch_id") < before_batch)
-        if batch is not None:
-            df = df.where(F.col("batch_id") == batch)
-        return df
+        try:
+            df = self.spark.read.option("basePath", self.path(name)).parquet(folder)
+        except AnalysisException as e:
+            if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # only batches without rows so far
+                return None
+            raise
+        return df if before_batch is None else df.where(F.col("batch_id") < before_batch)
 
     def append(self, name: str, df: DataFrame, batch_id: int, dated_by: str | None = None) -> None:
         """Writes the rows of one batch, with `insert_dtm`. Files are sized by rebalancing,
