@@ -10,7 +10,7 @@ from tonearm.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"})
+    session = local_session(8, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000"})
     yield session
     session.stop()
 
