@@ -139,9 +139,9 @@ QUERIES = {
         SELECT country_code, genre_id, grouping(country_code) = 0 AS by_country, grouping(genre_id) = 0 AS by_genre,
                arg_min(id, {draw('id')}) AS artist_id
         FROM artists GROUP BY GROUPING SETS ((country_code, genre_id), (country_code), (genre_id), ())""",
-    "sample_users": sample("users", "id", 5),
-    "sample_artists": sample("artists", "id", 1),
-    "sample_disabled_country": sample("countries", "code", 1, "enabled_at IS NULL"),
+    "sample_rows": sample("users", "id", 5),
+    "sample_rows_artists": sample("artists", "id", 1),
+    "sample_rows_disabled_country": sample("countries", "code", 1, "enabled_at IS NULL"),
     "liked_songs": """
         SELECT r.user_id, r.artist_id, l.song_id FROM l_like_list r JOIN song_likes l ON l.user_id = r.user_id
         LEFT JOIN songs s ON s.id = l.song_id WHERE r.artist_id IS NULL OR s.artist_id = r.artist_id""",

@@ -113,9 +113,9 @@ def summary(tables: dict[str, tuple[str, str]]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _messages() -> str:
+def _messages(*types: str) -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{{"type":"{t}","data":' || data || '}}' AS value FROM ({encoded(t)}) m_{t}""" for t in EVENTS
+        f"""SELECT '{{"type":"{t}","data":' || data || '}}' AS value FROM ({encoded(t)}) m_{t}""" for t in types or EVENTS
     )
 
 
@@ -164,6 +164,9 @@ def oracles(with_ctes) -> dict[str, str]:
             FROM events""",
         "missing_fields": edge("""SELECT event_id, data, CASE WHEN kind IN (2, 7) THEN '[]' WHEN kind IN (0, 3, 6) THEN '["song_id"]'
             WHEN kind = 4 THEN '["user_id"]' ELSE '["user_id","song_id"]' END AS missing FROM e_all"""),
+        "publish_events": with_ctes(_messages("SongLikedEvent")),
+        "read_events": with_ctes(_messages("SongLikedEvent")),
+        "append_stage": edge(stage_sql("kafka_song_like")),
         "append_table": with_ctes("SELECT * FROM kafka_playback"),
         "stream_stage_playback": edge(stage_sql("kafka_playback")),
         "run_load_plan": with_ctes(summary({t: (f"SELECT * FROM {t}", VAULT_KEYS[t]) for t in VAULT})),

@@ -1,7 +1,7 @@
 """Oracle SQL of the 21 loads: first load, and second load against rows before the cut date."""
 
 from oracles.base import (
-    CUT, GENRE_SQL, HUBS, LINKS, LSATS, SATS, cost_sql, hub_sql, link_sql, lsat_sql, sat_sql,
+    _b64, _uniform, CUT, GENRE_SQL, HUBS, LINKS, LSATS, SATS, cost_sql, hub_sql, link_sql, lsat_sql, sat_sql,
 )
 
 BEFORE = f"event_time < TIMESTAMP '{CUT}'"
@@ -19,7 +19,12 @@ def filled(target: str, key: str, fields) -> str:
 
 
 def oracles(with_ctes) -> dict[str, str]:
-    out = {}
+    out = {
+        "hash_key": with_ctes(f"""
+            SELECT user_id, {_b64('user_id')} AS user_key, {_b64('user_id', 'NULL', 'session_id')} AS pair_key,
+                   {_uniform('user_id', "'seed'")} AS draw FROM kafka_user_subscription"""),
+        "latest_version": with_ctes("SELECT * FROM now_user"),
+    }
     for t, (_, key, _) in HUBS.items():
         out[t] = with_ctes(hub_sql(t))
         out[t + "_second_load"] = with_ctes(second(hub_sql(t), hub_sql(t, BEFORE), ("original_id",)))

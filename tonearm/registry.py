@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tonearm.operators.vault import load
+from tonearm.functions.keys import hash_key, hash_uniform
+from tonearm.operators.vault import latest_version, load
 from tonearm.plans import mart_artist, mart_song, mart_user
 from tonearm.plans.load_plan import derive_vault
 from tonearm.plans.specs import BY_TARGET, SPECS
@@ -64,8 +65,21 @@ def _second_load(target: str, **options) -> Query:
     return query(build)
 
 
+def _keys_of_users(c: Context) -> DataFrame:
+    user, session = F.col("user_id"), F.col("session_id")
+    return c.stage["kafka_user_subscription"].select(
+        user,
+        hash_key([user]).alias("user_key"),
+        hash_key([user, F.lit(None).cast("string"), session]).alias("pair_key"),
+        hash_uniform(user, "seed").alias("draw"),
+    )
+
+
 def vault_queries() -> dict[str, Query]:
-    out = {}
+    out = {
+        "hash_key": query(_keys_of_users),
+        "latest_version": query(lambda c: latest_version(c.vault["sat_user"], "user_id")),
+    }
     for spec in SPECS:
         out[spec.target] = _first_load(spec.target)
         out[spec.target + "_second_load"] = _second_load(spec.target)

@@ -101,9 +101,9 @@ def library_queries() -> dict[str, Query]:
             lambda c: k.random_song_per_country(c.library["songs"], c.library["artists"])
         ),
         "random_artist": query(lambda c: k.random_artist(c.library["artists"])),
-        "sample_users": query(lambda c: k.sample_rows(c.library["users"], "id", 5)),
-        "sample_artists": query(lambda c: k.sample_rows(c.library["artists"], "id", 1)),
-        "sample_disabled_country": query(
+        "sample_rows": query(lambda c: k.sample_rows(c.library["users"], "id", 5)),
+        "sample_rows_artists": query(lambda c: k.sample_rows(c.library["artists"], "id", 1)),
+        "sample_rows_disabled_country": query(
             lambda c: k.sample_rows(c.library["countries"].where(F.col("enabled_at").isNull()), "code", 1)
         ),
         "liked_songs": query(lambda c: a.liked_songs(_like_lists(c), c.library["song_likes"], c.library["songs"])),

@@ -13,7 +13,7 @@ from tonearm.session import shared_folder
 from tonearm.sources.events import messages_of, publish_events, read_events
 from tonearm.sources.fixtures import edge_messages
 from tonearm.sources.store import StoredTables, TableStore
-from tonearm.streaming.ingest import QUARANTINE, UNROUTED, start_ingest
+from tonearm.streaming.ingest import QUARANTINE, UNROUTED, append_stage, start_ingest
 from tonearm.streaming.popularity import read_popularity, start_popularity
 
 
@@ -54,6 +54,27 @@ def _stored(c: Context) -> DataFrame:
     return StoredTables(store, ("kafka_playback",))["kafka_playback"]
 
 
+def _published(c: Context) -> tuple[str, DataFrame]:
+    root = shared_folder(c.spark, "publish")
+    publish_events(messages_of(c.stage, ["kafka_song_like"]), root + "/messages")
+    return root, c.spark.read.text(root + "/messages")
+
+
+def _read_back(c: Context) -> DataFrame:
+    """Published messages, read as a stream to its end."""
+    root, _ = _published(c)
+    messages = read_events(c.spark, root + "/messages").select("value")
+    sink = messages.writeStream.format("parquet").option("checkpointLocation", root + "/checkpoint")
+    sink.trigger(availableNow=True).start(root + "/read").awaitTermination()
+    return c.spark.read.parquet(root + "/read")
+
+
+def _appended(c: Context) -> DataFrame:
+    store = TableStore(c.spark, shared_folder(c.spark, "batch"))
+    append_stage(_messages(c, "kafka_song_like"), store, 0)
+    return StoredTables(store, ("kafka_song_like",))["kafka_song_like"]
+
+
 def _summary(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
     """Rows and a checksum over the keys of each table."""
     out = None
@@ -148,6 +169,9 @@ def stage_queries() -> dict[str, Query]:
             lambda c: lists_as_json(ops.missing_fields(_edges(c).select("event_id", "data"), "data", required))
         ),
         **{"stage_" + name.removeprefix("kafka_"): _stage_query(name) for name in STAGE_TABLES},
+        "publish_events": query(lambda c: _published(c)[1]),
+        "read_events": query(_read_back),
+        "append_stage": query(_appended),
         "append_table": query(_stored),
         "run_load_plan": query(_loaded_in_two),
         "stream_stage": query(_streamed_stage),

@@ -15,6 +15,9 @@ log = logging.getLogger(__name__)
 # fixed value: topic the producers write to
 TOPIC = "dwh_events"
 
+OFFSETS_PER_BATCH = 20_000_000
+FILES_PER_BATCH = 1000
+
 
 def read_events(
     spark: SparkSession,
@@ -25,8 +28,9 @@ def read_events(
 ) -> DataFrame:
     """Streaming frame with `value` and `arrived`, from the start of the topic or folder.
 
-    `per_batch` bounds a micro-batch: offsets of a topic, files of a folder. The streaming
-    checkpoint remembers the position, so a restart goes on where it stopped.
+    `per_batch` bounds a micro-batch: offsets of a topic, files of a folder. A long backlog
+    is thus read in steps, each of which is stored before the next. The streaming checkpoint
+    remembers the position, so a restart goes on where it stopped.
     """
     if servers is not None:
         reader = (
@@ -35,11 +39,11 @@ def read_events(
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
         )
-        reader = reader.option("maxOffsetsPerTrigger", per_batch) if per_batch else reader
+        reader = reader.option("maxOffsetsPerTrigger", per_batch or OFFSETS_PER_BATCH)
         messages = reader.load().select("value")
     else:
         reader = spark.readStream.format("text")
-        reader = reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader
+        reader = reader.option("maxFilesPerTrigger", per_batch or FILES_PER_BATCH)
         messages = reader.load(folder).select("value")
     return messages.withColumn("arrived", F.current_timestamp())
 
