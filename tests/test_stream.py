@@ -1,9 +1,10 @@
 import json
 
+from tonearm.operators.stage import decode_envelope, dedupe_events
 from tonearm.plans.load_plan import VAULT_TABLES, run_load_plan
 from tonearm.sources.events import publish_events, read_events
 from tonearm.sources.store import StoredTables, TableStore
-from tonearm.streaming.ingest import start_ingest
+from tonearm.streaming.ingest import append_stage, start_ingest
 
 PLAY = ("kafka_playback",)
 
@@ -45,8 +46,8 @@ def test_repeated_batch_replaces_itself(spark, folder):
     store.append("t", df, 1, "event_time")
     assert store.read("t").count() == 10
     assert store.read("t", before_batch=1).count() == 5
-    assert store.read("t", batch=1).count() == 5
-    assert store.read("none") is None and store.read("t", batch=7) is None
+    assert store.read("t", batches=[1]).count() == 5
+    assert store.read("none") is None and store.read("t", batches=[7]) is None
 
 
 def test_batch_without_rows(spark, folder):
@@ -67,3 +68,30 @@ def test_stream_to_warehouse_twice(spark, folder):
     batches = [r.batch_id for r in stage.read("kafka_playback").select("batch_id").distinct().collect()]
     run_load_plan(stage, vault, max(batches))
     assert StoredTables(vault, VAULT_TABLES)["lsat_session_song_user_listen"].count() == 10
+
+
+def test_stateful_dedupe(spark, folder):
+    """The operator on its own, in a stream without a stage."""
+    publish(spark, folder, [*range(12), *[3] * 6])
+    events = dedupe_events(decode_envelope(read_events(spark, folder + "/messages", per_batch=2)), arrival="arrived")
+    query = events.writeStream.format("memory").queryName("deduped").option("checkpointLocation", folder + "/c")
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("deduped").count() == 12
+
+
+def test_copies_are_remembered_for_some_batches(spark, folder):
+    store = TableStore(spark, folder)
+    row = ops_events(spark, "u1")
+    for batch_id in (0, 1):
+        append_stage(row, store, batch_id, remember=2)
+    assert StoredTables(store, PLAY)["kafka_playback"].count() == 1
+    append_stage(ops_events(spark, "u2"), store, 2, remember=2)
+    append_stage(ops_events(spark, "u2"), store, 2, remember=2)  # batch 2 is run again
+    assert StoredTables(store, PLAY)["kafka_playback"].count() == 2
+    append_stage(row, store, 4, remember=2)  # too long ago
+    assert StoredTables(store, PLAY)["kafka_playback"].count() == 3
+
+
+def ops_events(spark, user):
+    data = {"event_time": "1995-05-01T00:00:00", "user_id": user, "session_id": "x", "song_id": "s", "at_time_sec": 0}
+    return decode_envelope(spark.createDataFrame([(json.dumps({"type": "SongPlayEvent", "data": data}),)], "value string"))

@@ -37,3 +37,14 @@ def draw_order(*parts: Column | str) -> Column:
     """Hex digest that puts rows in a repeatable random order; include the seed as a part."""
     columns = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
     return F.sha2(F.concat_ws("#", *columns), 256)
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """Microseconds from `start` to `end`, both without zone: every day has 24 hours."""
+
+    def of_day(moment: Column) -> Column:
+        seconds = F.extract(F.lit("SECOND"), moment)
+        return (F.hour(moment) * 60 + F.minute(moment)).cast("bigint") * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+
+    days = F.date_diff(end.cast("date"), start.cast("date")).cast("bigint")
+    return days * 86_400_000_000 + of_day(end) - of_day(start)

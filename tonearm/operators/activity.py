@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonearm.functions.keys import hash_uniform
+from tonearm.functions.keys import hash_uniform, micros_between
 from tonearm.functions.ranking import running_total
 
 # fixed values: liked songs that make a follower, decay of country weights
@@ -61,7 +61,7 @@ def follow_candidates(likes: DataFrame, songs: DataFrame, follows: DataFrame) ->
 
 def country_decay_weight(countries: DataFrame, now: Column, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
     """Weight of each enabled country, halved every `half_life_days`, the hourly form, and the total."""
-    micros = F.timestamp_diff("MICROSECOND", F.col("enabled_at"), now)
+    micros = micros_between(F.col("enabled_at"), now)
     days, hours = micros / F.lit(86400e6), micros / F.lit(3600e6)
     weight = F.exp(-F.log(F.lit(2.0)) / F.lit(float(half_life_days)) * days)
     rows = countries.where(F.col("enabled_at").isNotNull()).select(

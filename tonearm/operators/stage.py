@@ -125,10 +125,11 @@ def dedupe_events(decoded: DataFrame, arrival: str | None = None, delay: str = "
 
 
 def iso_text(column: Column, data_type: T.DataType) -> Column:
-    """ISO-8601 text; microseconds only where there are any."""
+    """ISO-8601 text; six digits of microseconds where there are any. No time zone enters."""
+    text = F.translate(column.cast("string"), " ", "T")
     if isinstance(data_type, T.DateType):
-        return F.date_format(column, "yyyy-MM-dd")
-    return F.regexp_replace(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.0{6}$", "")
+        return text
+    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
 
 
 def encode_event(rows: DataFrame, event_type: str) -> DataFrame:

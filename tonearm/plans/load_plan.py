@@ -23,7 +23,7 @@ def derive_vault(stage: Mapping[str, DataFrame]) -> LazyTables:
 
 def load_one(spec: LoadSpec, stage: TableStore, vault: TableStore, batch_id: int, **options) -> bool:
     """Loads what batch `batch_id` of the stage adds to one target; False if it has no rows for it."""
-    rows = stage.read(spec.stage, batch=batch_id)
+    rows = stage.read(spec.stage, batches=[batch_id])
     if rows is None:
         return False
     target = vault.read(spec.target, before_batch=batch_id)

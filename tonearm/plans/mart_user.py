@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tonearm.functions.keys import micros_between
 from tonearm.functions.ranking import ranked, top_list
 from tonearm.plans.asof import current, day_before, midnight
 from tonearm.plans.mart_song import LISTEN
@@ -214,7 +215,7 @@ def user_payments(subscriptions: DataFrame, tables: Tables, execution_dt: str) -
     registered = F.col("registration_dtm")
 
     def days(end: Column) -> Column:
-        return F.timestamp_diff("MICROSECOND", registered, end) / F.lit(86400e6)
+        return micros_between(registered, end) / F.lit(86400e6)
 
     premium_until = F.coalesce("subscription_update_dtm", registered)
     return (

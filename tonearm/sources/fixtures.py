@@ -295,7 +295,8 @@ def edge_messages(given: Mapping[str, DataFrame]) -> DataFrame:
     unknown type, unrouted type, unknown key, missing optional key, missing required key,
     malformed text, required key with null, and the same message twice."""
     col = F.col
-    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = F.translate(col("ts").cast("string"), " ", "T")
+    time = F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"))
     user, session, song = _id("U", "user_id"), _id("X", "event_id"), _id("S", col("event_id") % 3000)
 
     def message(event_type: str, fields: str, *values: Column) -> Column:

@@ -9,7 +9,7 @@ between two appends is simply repeated.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -34,16 +34,21 @@ class TableStore:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
-    def read(self, name: str, before_batch: int | None = None, batch: int | None = None) -> DataFrame | None:
-        """All batches, those before `before_batch`, or just `batch`; None if nothing was written.
+    def read(
+        self, name: str, before_batch: int | None = None, batches: Iterable[int] | None = None
+    ) -> DataFrame | None:
+        """All batches, those before `before_batch`, or just `batches`; None if there are none.
 
-        A single batch is read from its own folder, without listing the others.
+        Given batches are read from their own folders, without listing the others.
         """
-        folder = self.path(name) if batch is None else f"{self.path(name)}/batch_id={batch}"
-        if not self._exists(folder):
+        folders = [self.path(name)]
+        if batches is not None:
+            folders = [f"{self.path(name)}/batch_id={b}" for b in batches]
+        folders = [f for f in folders if self._exists(f)]
+        if not folders:
             return None
         try:
-            df = self.spark.read.option("basePath", self.path(name)).parquet(folder)
+            df = self.spark.read.option("basePath", self.path(name)).parquet(*folders)
         except AnalysisException as e:
             if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # only batches without rows so far
                 return None

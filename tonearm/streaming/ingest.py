@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -17,13 +16,31 @@ from tonearm.operators.stage import (
     stage_rows,
     unrouted_events,
 )
+from tonearm.operators.vault import not_in
 from tonearm.plans.load_plan import run_load_plan
 from tonearm.sources.store import TableStore
 
-QUARANTINE, UNROUTED = "quarantine", "unrouted"
+QUARANTINE, UNROUTED, EVENT_IDS = "quarantine", "unrouted", "event_ids"
 
+REMEMBERED_BATCHES = 60
 
-def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: int = 8) -> None:
+
+def drop_copies(events: DataFrame, store: TableStore, batch_id: int, remember: int) -> DataFrame:
+    """One copy per message, and none that one of the last `remember` batches has stored.
+
+    Copies within the batch are combined on the map side, so a message that makes up a third
+    of it is no larger task than others; earlier ones are found through the ids those
+    batches have written. There is no state beside these tables, and a batch that is run
+    again sees the same earlier batches.
+    """
+    fresh = dedupe_events(events).withColumn("id", F.unhex("event_id"))
+    earlier = store.read(EVENT_IDS, batches=range(max(0, batch_id - remember), batch_id))
+    return not_in(fresh, earlier, ["id"])
+
+
+def append_stage(
+    events: DataFrame, store: TableStore, batch_id: int, remember: int = REMEMBERED_BATCHES, at_once: int = 8
+) -> None:
     """Decoded events of one batch -> one append per stage table, quarantine and unrouted.
 
     The batch is judged once and kept for the writes; blocks lost with an executor are
@@ -31,7 +48,7 @@ def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: i
     one line per target reaches the driver), so an empty or narrow batch starts few jobs.
     Each write replaces only its own batch folder: a repeated batch leaves no second copy.
     """
-    judged = judge_events(events).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = judge_events(drop_copies(events, store, batch_id, remember)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         refused = F.size("missing") > 0
         target = F.when(refused, QUARANTINE).otherwise(F.coalesce("stage_table", F.lit(UNROUTED)))
@@ -39,7 +56,9 @@ def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: i
         accepted = judged.where(~refused)
 
         def write(name: str) -> None:
-            if name == QUARANTINE:
+            if name == EVENT_IDS:
+                store.append(name, judged.select("id"), batch_id)
+            elif name == QUARANTINE:
                 store.append(name, quarantined_events(judged), batch_id)
             elif name == UNROUTED:
                 store.append(name, unrouted_events(accepted), batch_id)
@@ -47,7 +66,7 @@ def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: i
                 store.append(name, stage_rows(accepted, name), batch_id, "event_time")
 
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(write, present))
+            list(pool.map(write, present + [EVENT_IDS] if present else []))
     finally:
         judged.unpersist()
 
@@ -58,22 +77,18 @@ def start_ingest(
     checkpoint: str,
     vault: TableStore | None = None,
     interval: str | None = None,
-    remember: str = "1 hour",
-    then: Callable[[int], None] | None = None,
+    remember: int = REMEMBERED_BATCHES,
 ) -> StreamingQuery:
     """Starts the ingest; with `vault`, each batch is loaded to the warehouse as well.
 
     Without `interval` everything available is read, in bounded batches, and the query ends.
     """
-    events = dedupe_events(decode_envelope(messages), arrival="arrived", delay=remember)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_stage(batch.select("event_id", "type", "data"), stage, batch_id)
+        append_stage(batch, stage, batch_id, remember)
         if vault is not None:
             run_load_plan(stage, vault, batch_id)
-        if then is not None:
-            then(batch_id)
 
-    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = decode_envelope(messages).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
