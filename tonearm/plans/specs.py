@@ -49,6 +49,7 @@ ACTION_TYPE = """
     END
 """
 
+# fixed values: table names, business keys in hashing order, columns of each process
 SPECS = (
     _hub("user", "kafka_user_history", "user_id"),
     _hub("artist", "kafka_artist", "id"),
