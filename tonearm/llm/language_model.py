@@ -36,7 +36,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -92,23 +91,30 @@ class ChunkPairs:
             at += len(token)
         token, before = (np.concatenate(s) for s in zip(*streams)) if streams else (np.zeros(0, U64), np.zeros(0, np.uint16))
         self.bounds = np.concatenate(bounds)
-        code, keys = pd.factorize(mix(token + before.astype(U64) * ODD))
-        seen = np.zeros(len(keys), np.int64)
-        seen[code[::-1]] = np.arange(len(code))[::-1]
+        by_token = np.argsort(token)
+        ordered = token[by_token]
+        new = np.ones(len(ordered), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        pair = (np.cumsum(new) - 1) * CONTEXTS + before[by_token]
+        by_pair = np.argsort(pair)
+        pair, order = pair[by_pair], by_token[by_pair]
+        new[1:] = pair[1:] != pair[:-1]
+        number = np.cumsum(new) - 1
+        self.pair_of_token = np.empty(len(order), np.int64)
+        self.pair_of_token[order] = number
+        self.token, self.context = token[order[new]], before[order[new]]
         weight = np.repeat(trained, np.diff(self.bounds))
-        count = np.bincount(code, weights=weight, minlength=len(keys)).astype(np.uint32)
-        order = np.lexsort((before[seen], token[seen]))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.pair_of_token = rank[code]
-        self.token, self.context, self.count = token[seen][order], before[seen][order], count[order]
-
-    def slices(self, buckets: int) -> Iterator[tuple[int, bytes]]:
+        self.count = np.bincount(number, weights=weight[order], minlength=len(self.token)).astype(np.uint32)
+
+    def slices(self, buckets: int, counted: bool) -> Iterator[tuple[int, bytes]]:
+        """The pairs of each bucket, with training counts for counting or without them for asking."""
         edges = bucket_edges(self.token, buckets)
+        none = np.zeros(0, np.uint32)
         for bucket in np.flatnonzero(np.diff(edges)).tolist():
             part = slice(edges[bucket], edges[bucket + 1])
             token, size = _group(self.token[part])
-            yield bucket, pack(token, size.astype(np.uint32), self.context[part], self.count[part])
+            count = self.count[part] if counted else none
+            yield bucket, pack(token, size.astype(np.uint32), self.context[part], count)
 
 
 def _group(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -322,13 +328,14 @@ def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, ordered[at] == wanted
 
 
-def _ask(text: str, doc_id: str, buckets: int, fold: int):
+def _ask(text: str, doc_id: str, buckets: int, fold: int, counted: bool):
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for chunk, members in runs(batches, "chunk"):
                 for row in members:
                     own = from_bytes(row["body"])
-                    for bucket, body in ChunkPairs(own, text, ~in_fold(own.column(doc_id), fold)).slices(buckets):
+                    pairs = ChunkPairs(own, text, ~in_fold(own.column(doc_id), fold))
+                    for bucket, body in pairs.slices(buckets, counted):
                         yield bucket, chunk, body
 
         yield from parts(rows())
@@ -414,6 +421,8 @@ def _answer(history: list[Totals]):
                     predict = predict or Predictor(None, history)
                     token, context, _ = _pairs_of(row["body"])
                     used, p = predict(token, context)
+                    _, size = _group(token)
+                    used = used[np.cumsum(size) - size].astype(np.uint32)
                     yield bucket, row["chunk"], pack(used, np.log10(p).astype(np.float32))
 
         yield from parts(rows())
@@ -427,13 +436,14 @@ def _score(text: str, doc_id: str, fold: int, tokens: float, vocabulary: float):
             answers = []
             for row in members:
                 if row["bucket"] != IS_CHUNK:
-                    answers.append(unpack(row["body"], np.int64, np.float32))
+                    answers.append(unpack(row["body"], np.uint32, np.float32))
                     continue
                 own = from_bytes(row["body"])
                 held_out = in_fold(own.column(doc_id), fold)
                 pairs = ChunkPairs(own, text, ~held_out)
                 used, p = (np.concatenate(c) for c in zip(*answers))
-                used, p = used[pairs.pair_of_token], p[pairs.pair_of_token].astype(np.float64)
+                used = np.repeat(used, _group(pairs.token)[1])[pairs.pair_of_token]
+                p = p[pairs.pair_of_token].astype(np.float64)
                 base = np.log10((used + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
                 n = len(own)
                 yield batch(
@@ -460,11 +470,13 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", fold:
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chunks = chunked(rows, "text", "lm-chunks")
     buckets = bucket_count(chunks)
-    asked = chunks.select("chunk", "body").mapInArrow(_ask("text", "doc_id", buckets, fold), PART)
-    counts = written(to_buckets(asked).mapInArrow(_count, PART), "lm-counts")
+    own = chunks.select("chunk", "body")
+    counted = own.mapInArrow(_ask("text", "doc_id", buckets, fold, counted=True), PART)
+    counts = written(to_buckets(counted).mapInArrow(_count, PART), "lm-counts")
     history = [_totals(counts, [])]
     for _ in range(BURN_IN + SAMPLES):
         history.append(_totals(counts, history))
+    asked = own.mapInArrow(_ask("text", "doc_id", buckets, fold, counted=False), PART)
     both = counts.select("bucket", F.lit(-1).cast("long").alias("chunk"), "body").unionByName(asked)
     answers = both.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(_answer(history), PART)
     score = _score("text", "doc_id", fold, history[0].tokens, history[0].vocabulary)
