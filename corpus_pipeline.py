@@ -1,16 +1,68 @@
 """From raw documents to training sequences: five stages over the whole corpus.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as
-the docs of the next one. All but the last return the columns of `documents`.
+the docs of the next one. All but the last return the columns of `documents`. Rows with a null id
+stay where a stage decides by id. SQL can't express the stages, so there is no oracle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tonearm.llm.blocks import written
-from tonearm.llm.registry import table
-STAGES = []
+from tonearm.llm.decontaminate import decontaminate
+from tonearm.llm.near_duplicates import near_duplicates
+from tonearm.llm.packing import pack
+from tonearm.llm.registry import table, tokenizer_file
+from tonearm.llm.repeats import remove_repeats
+from tonearm.llm.toxicity import score_toxicity, train
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _columns(docs: DataFrame) -> list[str]:
+    return [c for c in COLUMNS if c in docs.columns]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the classifier calls toxic go."""
+    learned = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = score_toxicity(docs.select(_columns(docs)), learned.classifier)
+    return scored.where("predicted = 0").select(_columns(docs))
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component the document with the smallest id stays; of repeated ids the first text stays."""
+    judged = near_duplicates(docs)
+    lost = judged.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(lost, "doc_id", "left_anti").select(_columns(docs))
+
+
+def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose all bytes of repeated spans; a document that loses everything stays with an empty text."""
+    rest = remove_repeats(docs.select(_columns(docs)))
+    return rest.withColumn("n_chars", F.length("text").cast("long")).select(_columns(docs))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    lost = judged.where("contaminated").select("doc_id").distinct()
+    return docs.join(lost, "doc_id", "left_anti").select(_columns(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 2048 tokens."""
+    return pack(docs, tokenizer_file())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("suffix_repeats", remove_repeated_spans),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
 ORACLE_SQL = None
 
 
