@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonearm.llm.blocks import runs, written
+from tonearm.llm.blocks import mapped, runs, written
 from tonearm.llm.texts import batch
 
 LEAST_PAGES = 8
@@ -253,18 +253,19 @@ def _node_values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _importance(counts: DataFrame, key: list[str]) -> DataFrame:
-    """Own importance of each node: (key, node, parent, depth, pages, own)."""
-    node = [*key, "node", "parent", "depth"]
-    of_leaf = counts.groupBy(*node, "leaf").agg(
-        F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.avg(F.log("n")).alias("logn"),
-        F.max("pages").alias("pages"),
+    """Importance of each node's text and shape, and the pages that have the node, from rows (key, node, value, n)."""
+    leaf, n = F.col("leaf"), F.col("n")
+    sums = counts.groupBy(*key, "node", "parent", "depth").agg(
+        F.sum(F.when(leaf, n)).alias("texts"), F.avg(F.when(leaf, F.log(n))).alias("log_text"),
+        F.sum(F.when(~leaf, n)).alias("shapes"), F.sum(F.when(~leaf, n * F.log(n))).alias("n_log_shape"),
     )
-    m = F.greatest(F.col("pages"), F.lit(2)).cast("double")
-    entropy = (F.log(F.greatest("total", F.lit(1))) - F.col("nlogn") / F.col("total")) / F.log(m)
-    own = F.when(F.col("leaf"), 1 - F.col("logn") / F.log(m)).otherwise(F.least(entropy, F.lit(1.0)))
-    return of_leaf.groupBy(*node).agg(
-        F.max("pages").alias("pages"), F.max(F.when(F.col("leaf"), own)).alias("text"),
-        F.max(F.when(~F.col("leaf"), own)).alias("shape"),
+    # A node without children has no shape; its texts are as many as its pages, or more.
+    sums = sums.withColumn("pages", F.coalesce("shapes", "texts"))
+    m = F.log(F.greatest("pages", F.lit(2)).cast("double"))
+    entropy = (F.log(F.greatest("shapes", F.lit(1)).cast("double")) - F.col("n_log_shape") / F.col("shapes")) / m
+    return sums.select(
+        *key, "node", "parent", "depth", "pages", (1 - F.col("log_text") / m).alias("text"),
+        F.least(entropy, F.lit(1.0)).alias("shape"),
     )
 
 
@@ -298,27 +299,21 @@ def low_branches(pages: DataFrame) -> DataFrame:
     schema = (
         "host string, copy long, nodes array<struct<node: bigint, parent: bigint, depth: int, leaf: boolean, value: bigint>>"
     )
-    values = pages.select("host", "html").mapInArrow(_node_values, schema)
+    values = pages.select("host", "html").transform(mapped, _node_values, schema)
     once = values.groupBy("host", "copy").agg(F.first("nodes").alias("nodes"))
     counted = once.select("host", F.explode("nodes").alias("v")).groupBy(
         "host", "v.node", "v.parent", "v.depth", "v.leaf", "v.value"
     ).agg(F.count("*").alias("n"))
     counted = written(counted, "style-counts")
-    # Pages that have a node: those of its presentation, or for one without children its texts, at least the most frequent.
-    pages_of = counted.groupBy("host", "node").agg(
-        F.sum(F.when(~F.col("leaf"), F.col("n"))).alias("a"), F.max("n").alias("b"), F.sum("n").alias("c")
-    ).select("host", "node", F.coalesce("a", F.least("c", F.greatest("b", "c"))).alias("pages"))
-    sites = written(_importance(counted.join(pages_of, ["host", "node"]), ["host"]), "style-nodes")
+    sites = written(_importance(counted, ["host"]), "style-nodes")
 
     pooled = counted.groupBy("node", "parent", "depth", "leaf", "value").agg(F.sum("n").alias("n"))
-    pooled_pages = pages_of.groupBy("node").agg(F.sum("pages").alias("pages"), F.count("*").alias("hosts"))
-    everywhere = _importance(pooled.join(pooled_pages.select("node", "pages"), "node"), []).join(
-        pooled_pages.select("node", "hosts"), "node"
-    )
+    hosts = sites.groupBy("node").agg(F.count("*").alias("hosts"))
+    everywhere = _importance(pooled, []).join(hosts, "node")
     judged = (F.col("pages") >= LEAST_PAGES).alias("judged")
     each = sites.select("host", "node", "parent", "depth", "pages", "text", "shape", judged)
     ordered = each.repartition("host").sortWithinPartitions("host", F.desc("depth"))
-    own = ordered.mapInArrow(_low_branches, "host string, node bigint")
+    own = ordered.transform(mapped, _low_branches, "host string, node bigint")
 
     # Texts that are the same all over the sites are low on hosts with few pages, too.
     shared = (F.col("pages") >= LEAST_PAGES) & (F.col("hosts") >= LEAST_HOSTS)
@@ -358,4 +353,4 @@ def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str
             )
 
     joined = pages.join(side, "host", "left").select("page_id", "url", "host", "html", "low")
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return joined.transform(mapped, run, "page_id long, url string, text string, n_chars long")
