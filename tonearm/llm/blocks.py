@@ -11,6 +11,7 @@ most one entry per chunk to its bucket.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,9 +24,32 @@ from tonearm.llm.texts import batch
 from tonearm.session import shared_folder
 
 CHUNK_BYTES = 16 << 20
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):
+    _trim = None
 PART = "bucket int, chunk long, body binary"
 
 
+def _hand_back() -> None:
+    """Returns freed memory to the system: workers are kept for later tasks, and an executor's limit holds for all."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """`df.mapInArrow`, with the task's memory handed back at its end."""
+
+    def tidy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _hand_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def written(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """The table, written to the shared folder and read from there: its lineage ends here."""
     path = shared_folder(df.sparkSession, purpose)
@@ -91,7 +115,7 @@ def chunked(df: DataFrame, text: str, purpose: str, limit: int = CHUNK_BYTES) ->
         if held:
             yield closed()
 
-    return written(df.mapInArrow(cut, "chunk long, size long, body binary"), purpose, "uncompressed")
+    return written(mapped(df, cut, "chunk long, size long, body binary"), purpose, "uncompressed")
 
 
 def bucket_count(chunks: DataFrame) -> int:

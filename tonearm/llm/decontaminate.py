@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tonearm.llm.blocks import task_number, written
+from tonearm.llm.blocks import mapped, task_number, written
 from tonearm.llm.texts import LETTERS, LOWER, ODD, U64, Spans, batch, grams, mix, text_of_word, text_slices, words
 
 N = 10
@@ -78,7 +78,7 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
                     )
 
     rows = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(find, "item_id string, n int, marks array<bigint>, windows array<string>")
+    return rows.transform(mapped, find, "item_id string, n int, marks array<bigint>, windows array<string>")
 
 
 def _bitmap(marks: DataFrame) -> np.ndarray:
@@ -139,7 +139,7 @@ def decontaminate(
     sizes = sorted(r.n for r in items.select("n").distinct().collect())
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     base = written(
-        texts.mapInArrow(
+        texts.transform(mapped, 
             _candidates(_bitmap(marks), sizes),
             "row long, doc_id long, n_words long, "
             "hits array<struct<mark: bigint, n: int, first: bigint, words: array<string>>>",

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tonearm.llm.blocks import (
-    IS_CHUNK, PART, bucket_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_chunks, unpack,
+    mapped, IS_CHUNK, PART, bucket_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_chunks, unpack,
     written,
 )
 from tonearm.llm.texts import LOWER, NOT_SPACE, ODD, U64, Spans, batch, mix, sum_by_text, text_of_word, text_slices, words
@@ -383,7 +383,7 @@ def _sum_vectors(df: DataFrame, size: int) -> np.ndarray:
 
         yield from parts(rows())
 
-    found = to_buckets(df).mapInArrow(add, PART).collect()
+    found = to_buckets(df).transform(mapped, add, PART).collect()
     out = np.zeros(size)
     for row in found:
         out[row.bucket * 8192 : (row.bucket + 1) * 8192] = np.frombuffer(row.body)
@@ -404,7 +404,7 @@ def _totals(counts: DataFrame, history: list[Totals]) -> Totals:
         if any_row:
             yield from parts((k, 0, total[at : at + 8192].tobytes()) for k, at in enumerate(range(0, len(total), 8192)))
 
-    return Totals.of(_sum_vectors(counts.mapInArrow(draw, PART), len(empty)))
+    return Totals.of(_sum_vectors(counts.transform(mapped, draw, PART), len(empty)))
 
 
 def _answer(history: list[Totals]):
@@ -471,13 +471,13 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", fold:
     chunks = chunked(rows, "text", "lm-chunks")
     buckets = bucket_count(chunks)
     own = chunks.select("chunk", "body")
-    counted = own.mapInArrow(_ask("text", "doc_id", buckets, fold, counted=True), PART)
-    counts = written(to_buckets(counted).mapInArrow(_count, PART), "lm-counts")
+    counted = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=True), PART)
+    counts = written(to_buckets(counted).transform(mapped, _count, PART), "lm-counts")
     history = [_totals(counts, [])]
     for _ in range(BURN_IN + SAMPLES):
         history.append(_totals(counts, history))
-    asked = own.mapInArrow(_ask("text", "doc_id", buckets, fold, counted=False), PART)
+    asked = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=False), PART)
     both = counts.select("bucket", F.lit(-1).cast("long").alias("chunk"), "body").unionByName(asked)
-    answers = both.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(_answer(history), PART)
+    answers = both.repartition("bucket").sortWithinPartitions("bucket", "chunk").transform(mapped, _answer(history), PART)
     score = _score("text", "doc_id", fold, history[0].tokens, history[0].vocabulary)
-    return to_chunks(chunks, answers).mapInArrow(score, SCHEMA)
+    return to_chunks(chunks, answers).transform(mapped, score, SCHEMA)

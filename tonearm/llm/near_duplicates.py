@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tonearm.llm.blocks import runs, written
+from tonearm.llm.blocks import mapped, runs, written
 from tonearm.llm.components import connected_components
 from tonearm.llm.texts import LOWER, NOT_SPACE, ODD, U64, Spans, batch, grams, mix, text_slices, whole_grams, words
 
@@ -191,14 +191,14 @@ def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> D
     )
     side = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
     with_text = texts.join(side, texts.doc_id.eqNullSafe(side.member_id)).select("text", "node", "root", "blocks")
-    sets = with_text.mapInArrow(_sets_of, "root binary, node binary, blocks int, body binary")
+    sets = with_text.transform(mapped, _sets_of, "root binary, node binary, blocks int, body binary")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = sets.select(
         "root", "node", "body", block.alias("b"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
     )
     task = F.concat_ws("/", F.hex("root"), F.least("b", "other"), F.greatest("b", "other"))
     dealt = spread.select(task.alias("task"), "node", "body").repartition("task").sortWithinPartitions("task")
-    return dealt.mapInArrow(_compare, "u binary, v binary")
+    return dealt.transform(mapped, _compare, "u binary, v binary")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,7 +211,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     An empty table gives no rows.
     """
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = written(texts.mapInArrow(_sign, "doc_id long, n_shingles long, node binary, parts array<bigint>"), "near-signed")
+    signed = written(texts.transform(mapped, _sign, "doc_id long, n_shingles long, node binary, parts array<bigint>"), "near-signed")
     classes = signed.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts")
     )

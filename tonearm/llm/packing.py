@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tonearm.llm.blocks import task_number
+from tonearm.llm.blocks import mapped, task_number
 from tonearm.llm.texts import batch
 from tonearm.llm.tokens import encoded
 
@@ -144,7 +144,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 1, doc_id: str = "doc_id",
         if held:
             yield _pieces(held)
 
-    return texts.mapInArrow(run, SCHEMA + (", ids binary" if with_ids else ""))
+    return texts.transform(mapped, run, SCHEMA + (", ids binary" if with_ids else ""))
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:

@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tonearm.llm.blocks import mapped
 from tonearm.llm.texts import (
     NOT_SPACE, ODD, U64, Spans, batch, grams, mix, sum_by_text, text_of_word, text_slices, whole_grams, words,
 )
@@ -173,7 +174,7 @@ def measure(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, fl
                 )
 
     sample = df.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
-    sums = sample.mapInArrow(run, "rule string, seconds double, rejected long").groupBy("rule")
+    sums = sample.transform(mapped, run, "rule string, seconds double, rejected long").groupBy("rule")
     return [tuple(r) for r in sums.agg(F.sum("seconds"), F.sum("rejected")).collect()]
 
 
@@ -218,4 +219,4 @@ def quality(df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: tu
                     base_failed=(failed, pa.bool_()), kept=(kept, pa.bool_()), rejected_by=(by, pa.string()),
                 )
 
-    return rows.mapInArrow(judge, SCHEMA)
+    return rows.transform(mapped, judge, SCHEMA)

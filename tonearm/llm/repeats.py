@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonearm.llm.blocks import (
-    IS_CHUNK, PART, bucket_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_bytes,
+    mapped, IS_CHUNK, PART, bucket_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_bytes,
     to_chunks, unpack, written,
 )
 from tonearm.llm.texts import ODD, U64, Spans, mix, text_bytes, text_slices
@@ -51,6 +51,7 @@ WINDOW = 120
 GRAM = 16
 AHEAD = SPAN - WINDOW + 1
 SEGMENT = 1 << 21
+CHUNK_BYTES = 8 << 20
 
 NONE, COVERED, OPEN, PARTNER = range(4)
 RESULT = {
@@ -397,12 +398,12 @@ def remove_repeats(df: DataFrame, text: str = "text", with_text: bool = True) ->
     Null is the empty text. Repeated rows are copies of each other: all of their bytes that lie
     in a string of 200 bytes go. Texts under 200 bytes stay whole. An empty table gives no rows.
     """
-    chunks = chunked(df, text, "repeat-chunks")
+    chunks = chunked(df, text, "repeat-chunks", CHUNK_BYTES)
     buckets = bucket_count(chunks)
-    questions = chunks.select("chunk", "body").mapInArrow(_questions(text, buckets), PART)
-    merged = to_buckets(questions).mapInArrow(_merge_bucket, PART)
+    questions = chunks.select("chunk", "body").transform(mapped, _questions(text, buckets), PART)
+    merged = to_buckets(questions).transform(mapped, _merge_bucket, PART)
     path = shared_folder(df.sparkSession, "repeat-parts")
-    split = to_chunks(chunks, merged).mapInArrow(_split(text, buckets, with_text), PART + ", kind string")
+    split = to_chunks(chunks, merged).transform(mapped, _split(text, buckets, with_text), PART + ", kind string")
     split.write.partitionBy("kind").option("compression", "zstd").parquet(path)
     stored = df.sparkSession.read.schema(split.schema).parquet(path)
 
@@ -412,8 +413,8 @@ def remove_repeats(df: DataFrame, text: str = "text", with_text: bool = True) ->
     schema = T.StructType([*of.values(), *last, *(T.StructField(n, k) for n, k in zip(RESULT, kinds))])
 
     asked = stored.where(F.col("kind") == "asked").select("bucket", "chunk", "body")
-    answers = to_buckets(asked).mapInArrow(_compare_places, PART)
+    answers = to_buckets(asked).transform(mapped, _compare_places, PART)
     waiting = stored.where(F.col("kind") == "waiting").select("chunk", "body")
-    finished_late = to_chunks(waiting, answers).mapInArrow(_finish(text, with_text), schema)
-    done = stored.where(F.col("kind") == "done").select("body").mapInArrow(_open_done, schema)
+    finished_late = to_chunks(waiting, answers).transform(mapped, _finish(text, with_text), schema)
+    done = stored.where(F.col("kind") == "done").select("body").transform(mapped, _open_done, schema)
     return done.unionByName(finished_late)

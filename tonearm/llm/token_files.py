@@ -21,7 +21,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tonearm.llm.blocks import task_number, written
+from tonearm.llm.blocks import mapped, task_number, written
 from tonearm.llm.files import new_file, opened
 from tonearm.llm.texts import batch
 from tonearm.llm.tokens import encoded
@@ -148,7 +148,7 @@ def write_token_files(texts: DataFrame, folder: str, tokenizer: str, end_id: int
         )
 
     ordered = texts.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return written(ordered.mapInArrow(write, "number long, path string, documents long, ids long"), "token-files")
+    return written(ordered.transform(mapped, write, "number long, path string, documents long, ids long"), "token-files")
 
 
 def read_token_files(files: DataFrame, documents_per_task: int = 4096, with_ids: bool = False) -> DataFrame:
@@ -172,7 +172,7 @@ def read_token_files(files: DataFrame, documents_per_task: int = 4096, with_ids:
                         yield _documents(file, a, b, row["before"], with_ids)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
-    return ranges.repartition("path", "first").mapInArrow(read, schema)
+    return ranges.repartition("path", "first").transform(mapped, read, schema)
 
 
 def _documents(file: TokenFile, a: int, b: int, before: int, with_ids: bool) -> pa.RecordBatch:

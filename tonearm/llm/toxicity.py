@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonearm.llm.blocks import PART, bucket_edges, pack, parts, runs, to_buckets, unpack, written
+from tonearm.llm.blocks import mapped, PART, bucket_edges, pack, parts, runs, to_buckets, unpack, written
 from tonearm.llm.texts import LETTERS, LOWER, ODD, U64, Spans, batch, mix, sum_by_text, text_of_word, text_slices, words
 
 SAMPLE_ROWS = 20_000
@@ -112,7 +112,7 @@ def with_copy_weight(sample: DataFrame) -> DataFrame:
                 own = rows.slice(first, last - first)
                 yield batch(text=own.column("text"), target=own.column("target"), kin=(out.view(np.int64), pa.int64()))
 
-    marked = written(sample.select("text", "target").mapInArrow(least, "text string, target double, kin long"), "toxic-sample")
+    marked = written(sample.select("text", "target").transform(mapped, least, "text string, target double, kin long"), "toxic-sample")
     kin = marked.groupBy("kin").agg((1 / F.count("*")).alias("weight"))
     return marked.join(F.broadcast(kin), "kin").select("text", "target", "weight")
 
@@ -167,8 +167,8 @@ def associated(sample: DataFrame, limit: int, purity: float) -> tuple[np.ndarray
                 kind=([bucket % 4] * len(good) + [TESTED], pa.int32()), score=(np.append(evidence[good], tested), pa.float64()),
             )
 
-    counted = to_buckets(sample.mapInArrow(count, PART))
-    chosen = written(counted.mapInArrow(choose, "feature long, kind int, score double"), "toxic-features")
+    counted = to_buckets(sample.transform(mapped, count, PART))
+    chosen = written(counted.transform(mapped, choose, "feature long, kind int, score double"), "toxic-features")
     tested = chosen.where(F.col("kind") == TESTED).agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
     clear = chosen.where((F.col("kind") != TESTED) & (F.col("score") >= float(np.log(tested + 1))))
     rows = clear.orderBy(F.desc("score"), "feature").limit(limit).collect()
@@ -284,7 +284,7 @@ def vote_table(texts: DataFrame, voters: Voters) -> DataFrame:
                 bits = _bits(voters.votes(data, offsets, lookup))
                 yield batch(doc_id=rows.column("doc_id").slice(first, last - first), votes=(bits, pa.int64()))
 
-    return texts.mapInArrow(vote, "doc_id long, votes long")
+    return texts.transform(mapped, vote, "doc_id long, votes long")
 
 
 def fit_label_model(votes: DataFrame, prior: float) -> LabelModel:
@@ -299,7 +299,7 @@ def fit_label_model(votes: DataFrame, prior: float) -> LabelModel:
         j, k = np.divmod(np.arange(N_VOTERS**2), N_VOTERS)
         yield batch(j=(j, pa.int32()), k=(k, pa.int32()), both=(total.ravel(), pa.float64()), n=(np.full(len(j), n), pa.int64()))
 
-    rows = votes.mapInArrow(count, "j int, k int, both double, n long").groupBy("j", "k")
+    rows = votes.transform(mapped, count, "j int, k int, both double, n long").groupBy("j", "k")
     products, n = np.zeros((N_VOTERS, N_VOTERS)), 0
     for row in rows.agg(F.sum("both").alias("both"), F.sum("n").alias("n")).collect():
         products[row.j, row.k], n = row.both, row.n
@@ -359,7 +359,7 @@ def _sparse(sample: DataFrame, entries: np.ndarray) -> tuple[np.ndarray, ...]:
                 yield batch(entries=lists, strengths=strengths, target=own.column("target"), weight=own.column("weight"))
 
     schema = "entries array<int>, strengths array<double>, target double, weight double"
-    found = sample.mapInArrow(find, schema).toArrow().combine_chunks()
+    found = sample.transform(mapped, find, schema).toArrow().combine_chunks()
     lists, strengths = (found.column(c).combine_chunks() for c in ("entries", "strengths"))
     row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
     values = lists.flatten().to_numpy(), strengths.flatten().to_numpy()
@@ -399,7 +399,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Training:
             p = model.posterior(_of_bits(rows.column("votes").to_numpy()))
             yield batch(doc_id=rows.column("doc_id"), target=(p, pa.float64()))
 
-    judged = votes.mapInArrow(judge, "doc_id long, target double").where("doc_id is not null")
+    judged = votes.transform(mapped, judge, "doc_id long, target double").where("doc_id is not null")
     judged = judged.groupBy("doc_id").agg(F.max("target").alias("target"))
     high, low = judged.where("target >= 0.5"), judged.where("target < 0.5")
     sizes = judged.agg(
@@ -431,7 +431,7 @@ def score_toxicity(df: DataFrame, classifier: Classifier, text: str = "text") ->
                 yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "predicted"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(kept).schema)
-    return df.select(kept).mapInArrow(score, f"{schema}, score double, predicted int")
+    return df.select(kept).transform(mapped, score, f"{schema}, score double, predicted int")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ from urllib.parse import quote, unquote
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tonearm.llm.blocks import task_number, written
+from tonearm.llm.blocks import mapped, task_number, written
 from tonearm.llm.files import new_file, opened
 from tonearm.llm.texts import batch
 from tonearm.session import shared_folder
@@ -174,7 +174,7 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
         yield batch(path=([path], pa.string()), bytes=([size], pa.int64()), records=([count], pa.int64()))
 
     rows = pages.select("page_id", "url", "payload", "payload_digest", "refers_to")
-    return written(rows.mapInArrow(write, "path string, bytes long, records long"), "warc-files")
+    return written(rows.transform(mapped, write, "path string, bytes long, records long"), "warc-files")
 
 
 def _page(field: str | None) -> int | None:
@@ -217,7 +217,7 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, with_payload
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
         "payload binary"
     )
-    return ranges.repartition("path", "start").mapInArrow(read, schema)
+    return ranges.repartition("path", "start").transform(mapped, read, schema)
 
 
 def _found(rows: list[tuple]) -> pa.RecordBatch:
