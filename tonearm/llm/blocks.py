@@ -118,11 +118,10 @@ def chunked(df: DataFrame, text: str, purpose: str, limit: int = CHUNK_BYTES) ->
     return written(mapped(df, cut, "chunk long, size long, body binary"), purpose, "uncompressed")
 
 
-def bucket_count(chunks: DataFrame) -> int:
-    """Enough buckets to hold a few MB of questions each, and several for each task."""
+def task_count(chunks: DataFrame) -> int:
+    """Tasks for about 32 MB of texts each, or the session's number if that is larger."""
     size = chunks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return int(max(4 * tasks, size // (8 << 20) + 1))
+    return int(max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // (32 << 20) + 1))
 
 
 def bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -184,11 +183,11 @@ def to_buckets(questions: DataFrame) -> DataFrame:
     return questions.repartition("bucket").sortWithinPartitions("bucket")
 
 
-def to_chunks(chunks: DataFrame, answers: DataFrame) -> DataFrame:
+def to_chunks(chunks: DataFrame, answers: DataFrame, tasks: int) -> DataFrame:
     """Each chunk behind the answers to its questions: rows (chunk, bucket, body), the chunk's own with the last bucket."""
     own = chunks.select("chunk", F.lit(2**31 - 1).alias("bucket"), "body")
     both = answers.select("chunk", "bucket", "body").unionByName(own)
-    return both.repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    return both.repartition(tasks, "chunk").sortWithinPartitions("chunk", "bucket")
 
 
 IS_CHUNK = 2**31 - 1

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tonearm.llm.blocks import (
-    mapped, IS_CHUNK, PART, bucket_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_chunks, unpack,
+    mapped, IS_CHUNK, PART, task_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_chunks, unpack,
     written,
 )
 from tonearm.llm.texts import LOWER, NOT_SPACE, ODD, U64, Spans, batch, mix, sum_by_text, text_of_word, text_slices, words
@@ -469,7 +469,8 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", fold:
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chunks = chunked(rows, "text", "lm-chunks")
-    buckets = bucket_count(chunks)
+    tasks = task_count(chunks)
+    buckets = 4 * tasks
     own = chunks.select("chunk", "body")
     counted = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=True), PART)
     counts = written(to_buckets(counted).transform(mapped, _count, PART), "lm-counts")
@@ -480,4 +481,4 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", fold:
     both = counts.select("bucket", F.lit(-1).cast("long").alias("chunk"), "body").unionByName(asked)
     answers = both.repartition("bucket").sortWithinPartitions("bucket", "chunk").transform(mapped, _answer(history), PART)
     score = _score("text", "doc_id", fold, history[0].tokens, history[0].vocabulary)
-    return to_chunks(chunks, answers).transform(mapped, score, SCHEMA)
+    return to_chunks(chunks, answers, tasks).transform(mapped, score, SCHEMA)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonearm.llm.blocks import (
-    mapped, IS_CHUNK, PART, bucket_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_bytes,
+    mapped, IS_CHUNK, PART, task_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_bytes,
     to_chunks, unpack, written,
 )
 from tonearm.llm.texts import ODD, U64, Spans, mix, text_bytes, text_slices
@@ -50,8 +50,9 @@ SPAN = 200
 WINDOW = 120
 GRAM = 16
 AHEAD = SPAN - WINDOW + 1
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 CHUNK_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 
 NONE, COVERED, OPEN, PARTNER = range(4)
 RESULT = {
@@ -97,7 +98,7 @@ class Shard:
     def __init__(self, texts: pa.Array):
         pieces = []
         base = 0
-        for _, _, data, offsets in text_slices(texts):
+        for _, _, data, offsets in text_slices(texts, SLICE_BYTES):
             spans = Spans(data)
             low, high, at = anchors(data, offsets, spans)
             first = spans.hash(at, at + AHEAD)
@@ -166,7 +167,7 @@ def chunk_keys(texts: pa.Array, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     """`window_keys` for ranges given by places in all texts of a chunk."""
     order = np.argsort(low, kind="stable")
     low, high, base, out = low[order], high[order], 0, []
-    for _, _, data, _ in text_slices(texts):
+    for _, _, data, _ in text_slices(texts, SLICE_BYTES):
         here = slice(*np.searchsorted(low, [base, base + len(data)]))
         if here.stop > here.start:
             place, key, check = window_keys(Spans(data), low[here] - base, high[here] - base)
@@ -399,11 +400,12 @@ def remove_repeats(df: DataFrame, text: str = "text", with_text: bool = True) ->
     in a string of 200 bytes go. Texts under 200 bytes stay whole. An empty table gives no rows.
     """
     chunks = chunked(df, text, "repeat-chunks", CHUNK_BYTES)
-    buckets = bucket_count(chunks)
+    tasks = task_count(chunks)
+    buckets = 4 * tasks
     questions = chunks.select("chunk", "body").transform(mapped, _questions(text, buckets), PART)
     merged = to_buckets(questions).transform(mapped, _merge_bucket, PART)
     path = shared_folder(df.sparkSession, "repeat-parts")
-    split = to_chunks(chunks, merged).transform(mapped, _split(text, buckets, with_text), PART + ", kind string")
+    split = to_chunks(chunks, merged, tasks).transform(mapped, _split(text, buckets, with_text), PART + ", kind string")
     split.write.partitionBy("kind").option("compression", "zstd").parquet(path)
     stored = df.sparkSession.read.schema(split.schema).parquet(path)
 
@@ -415,6 +417,6 @@ def remove_repeats(df: DataFrame, text: str = "text", with_text: bool = True) ->
     asked = stored.where(F.col("kind") == "asked").select("bucket", "chunk", "body")
     answers = to_buckets(asked).transform(mapped, _compare_places, PART)
     waiting = stored.where(F.col("kind") == "waiting").select("chunk", "body")
-    finished_late = to_chunks(waiting, answers).transform(mapped, _finish(text, with_text), schema)
+    finished_late = to_chunks(waiting, answers, tasks).transform(mapped, _finish(text, with_text), schema)
     done = stored.where(F.col("kind") == "done").select("body").transform(mapped, _open_done, schema)
     return done.unionByName(finished_late)
