@@ -104,11 +104,16 @@ def stage_sql(table: str, refused: bool = False) -> str:
 
 
 def summary(tables: dict[str, tuple[str, str]]) -> str:
-    """{table: (sql, key)} -> rows and checksum per table."""
+    """{table: (sql, columns)} -> rows and a checksum over whole records per table."""
+
+    def record(columns):
+        return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in sorted(columns)) + ")"
+
     parts = [
         f"""SELECT '{name}' AS table_name, count(*) AS n,
-            CAST(coalesce(sum(concat('0x', substr(sha256({key}), 1, 8))::BIGINT), 0) AS BIGINT) AS checksum FROM ({sql}) q_{name}"""
-        for name, (sql, key) in tables.items()
+            CAST(coalesce(sum(concat('0x', substr(sha256({record(columns)}), 1, 15))::BIGINT), 0) AS VARCHAR) AS checksum
+            FROM ({sql}) q_{name}"""
+        for name, (sql, columns) in tables.items()
     ]
     return " UNION ALL ".join(parts)
 
@@ -119,16 +124,23 @@ def _messages(*types: str) -> str:
     )
 
 
+def stage_columns(table: str) -> list[str]:
+    return [*COLUMNS[table].split(", "), "event_type", "event_time"]
+
+
 QUARANTINE = "SELECT event_id, type, stage_table, missing, data FROM e_table WHERE missing IS NOT NULL"
 UNROUTED = """SELECT event_id, type, CASE WHEN kind = 1 THEN 'bad ' || event_type END AS reason, data
     FROM e_all WHERE kind IN (0, 1)"""
 
-VAULT_KEYS = {
-    **{t: v[1] for t, v in {**HUBS, **SATS}.items()},
-    **{t: t.removeprefix("link_") + "_id" for t in LINKS},
-    **{t: t.removeprefix("lsat_") + "_id" for t in LSATS},
-    "ref_country_subscription_cost": "country_code",
-    "ref_genre": "original_genre_id",
+VAULT_COLUMNS = {
+    **{t: (v[1], "original_id", "source") for t, v in HUBS.items()},
+    **{t: (v[1], *[f[0] for f in v[3]], "row_hash", "source") for t, v in SATS.items()},
+    **{t: (t.removeprefix("link_") + "_id", *[name for _, name in v[1]]) for t, v in LINKS.items()},
+    **{t: (t.removeprefix("lsat_") + "_id", *[f[0] for f in v[2]], "source") for t, v in LSATS.items()},
+    "ref_country_subscription_cost": (
+        "country_code", "enabled_dt", "subscription_type", "subscription_cost", "royalty", "source"),
+    "ref_genre": (
+        "original_genre_id", "genre_name", "happiness_index", "average_duration_sec", "country_code", "creation_dtm", "source"),
 }
 
 
@@ -142,7 +154,7 @@ def streamed_vault() -> tuple[dict[str, str], dict[str, tuple[str, str]]]:
     for target, sql in VAULT.items():
         for table in EDGE_ROWS:
             sql = sql.replace(f"FROM {table} ", f"FROM all_{table} ")
-        out[target] = (sql, VAULT_KEYS[target])
+        out[target] = (sql, VAULT_COLUMNS[target])
     return widened, out
 
 
@@ -164,23 +176,22 @@ def oracles(with_ctes) -> dict[str, str]:
             FROM events""",
         "missing_fields": edge("""SELECT event_id, data, CASE WHEN kind IN (2, 7) THEN '[]' WHEN kind IN (0, 3, 6) THEN '["song_id"]'
             WHEN kind = 4 THEN '["user_id"]' ELSE '["user_id","song_id"]' END AS missing FROM e_all"""),
-        "publish_events": with_ctes(_messages("SongLikedEvent")),
-        "read_events": with_ctes(_messages("SongLikedEvent")),
-        "append_stage": edge(stage_sql("kafka_song_like")),
-        "append_table": with_ctes("SELECT * FROM kafka_playback"),
+        "publish_events": with_ctes(_messages()),
+        "read_events": with_ctes(_messages()),
+        "append_table": with_ctes(summary({t: (f"SELECT * FROM {t}", stage_columns(t)) for t in COLUMNS})),
         "stream_stage_playback": edge(stage_sql("kafka_playback")),
-        "run_load_plan": with_ctes(summary({t: (f"SELECT * FROM {t}", VAULT_KEYS[t]) for t in VAULT})),
-        "stream_song_popularity": with_ctes("""
+        "run_load_plan": with_ctes(summary({t: (f"SELECT * FROM {t}", VAULT_COLUMNS[t]) for t in VAULT})),
+        "stream_song_popularity": edge(f"""
             SELECT song_id, count(*) - 1 AS listen_count
-            FROM kafka_playback JOIN kafka_song ON id = song_id
-            WHERE kafka_playback.event_type = 'SongStopEvent' AND at_time_sec > 0.5 * duration_sec GROUP BY song_id"""),
+            FROM ({stage_sql("kafka_playback")}) p JOIN kafka_song s ON s.id = p.song_id
+            WHERE p.event_type = 'SongStopEvent' AND p.at_time_sec > 0.5 * s.duration_sec GROUP BY song_id"""),
     }
     for table in COLUMNS:
         out["stage_" + table.removeprefix("kafka_")] = edge(stage_sql(table))
-    tables = {t: (stage_sql(t), "event_id") for t in COLUMNS}
-    tables["quarantine"] = (QUARANTINE, "event_id")
-    tables["unrouted"] = (UNROUTED, "event_id")
-    out["stream_stage"] = edge(summary(tables))
+    tables = {t: (stage_sql(t), (*stage_columns(t), "event_id")) for t in COLUMNS}
+    tables["quarantine"] = (QUARANTINE, ("event_id", "type", "stage_table", "missing", "data"))
+    tables["unrouted"] = (UNROUTED, ("event_id", "type", "reason", "data"))
+    out["stream_stage"] = out["append_stage"] = edge(summary(tables))
     widened, loaded = streamed_vault()
     out["stream_vault"] = with_ctes(summary(loaded), {**EDGE, **widened})
     return out

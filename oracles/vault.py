@@ -40,6 +40,15 @@ def oracles(with_ctes) -> dict[str, str]:
         key = t.removeprefix("lsat_") + "_id"
         out[t] = with_ctes(lsat_sql(t))
         out[t + "_second_load"] = with_ctes(second(lsat_sql(t), lsat_sql(t, BEFORE), (key, "actual_dtm")))
+    # loaded in two parts that share moments: the same as one load
+    for t in ("sat_session", "sat_user_subscription"):
+        out[t + "_split_load"] = with_ctes(sat_sql(t))
+    twins = "SELECT * FROM kafka_playback UNION ALL SELECT * REPLACE (at_time_sec + 1 AS at_time_sec) FROM kafka_playback"
+    listen = lsat_sql("lsat_session_song_user_listen")
+    assert "FROM kafka_playback" in listen
+    out["lsat_session_song_user_listen_split_load"] = with_ctes(
+        listen.replace("FROM kafka_playback", "FROM twin_playback"), {"twin_playback": twins}
+    )
     out["ref_country_subscription_cost"] = with_ctes(cost_sql())
     out["ref_genre"] = with_ctes(GENRE_SQL)
     # all countries and genres are older than the cut date: nothing is new

@@ -57,7 +57,7 @@ def test_more_choices_than_cells(spark):
     assert {r.id: r.choice for r in got} == {i: expected_choice(weights, i, False) for i in range(300)}
 
 
-def test_large_collection_is_spread_over_documents(spark):
+def test_documents_have_one_layout_for_any_size(spark):
     collections = spark.createDataFrame(
         [("c", "n", "LP", "a", "g", "1990-01-01"), ("d", "n", "LP", "a", "g", "1990-01-01")],
         "id string, name string, collection_type string, artist_id string, genre_id string, released_dt string",
@@ -66,14 +66,11 @@ def test_large_collection_is_spread_over_documents(spark):
         F.concat(F.lit("s"), "id").alias("id"), F.lit("n").alias("name"), F.lit(1).alias("duration_sec"),
         F.lit("a").alias("artist_id"), F.lit("g").alias("genre_id"), F.lit("c").alias("collection_id"),
     )
-    documents = catalogue.collection_documents(collections, songs).collect()
-    parts = [d for d in documents if d.id == "c"]
-    assert sorted(d.part for d in parts) == [0, 1, 2]
-    assert {s.id for d in parts for s in d.songs} == {f"s{i}" for i in range(2500)}
-    assert sum(len(d.songs) for d in parts) == 2500
-    assert [d.songs for d in documents if d.id == "d"] == [[]]
-    texts = catalogue.collection_document(catalogue.collection_documents(collections, songs))
-    events = catalogue.explode_collection(texts, F.lit("1999-06-01").cast("timestamp_ntz"))
+    documents = catalogue.collection_documents(collections, songs)
+    rows = documents.collect()
+    assert {r.song.id for r in rows if r.id == "c"} == {f"s{i}" for i in range(2500)} and len(rows) == 2501
+    assert [r.song for r in rows if r.id == "d"] == [None]
+    events = catalogue.explode_collection(catalogue.collection_document(documents), F.lit("1999-06-01").cast("timestamp_ntz"))
     kinds = Counter(events.select(F.get_json_object("value", "$.type").alias("t")).toPandas()["t"])
     assert kinds == {"CollectionCreated": 2, "SongCreated": 2500}
 

@@ -3,11 +3,12 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from oracles import all_oracles
+from tonearm.registry import all_queries
 from tools.compare import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = all_queries(), all_oracles()
 LONG = {"run_load_plan", "stream_stage", "stream_vault"}  # covered by test_stream on small input
 
 

@@ -1,10 +1,13 @@
 import json
 
-from tonearm.operators.stage import decode_envelope, dedupe_events
+import pytest
+
+from tonearm.operators.stage import decode_envelope
 from tonearm.plans.load_plan import VAULT_TABLES, run_load_plan
 from tonearm.sources.events import publish_events, read_events
 from tonearm.sources.store import StoredTables, TableStore
 from tonearm.streaming.ingest import append_stage, start_ingest
+from tonearm.streaming.popularity import append_popularity, read_popularity
 
 PLAY = ("kafka_playback",)
 
@@ -70,28 +73,35 @@ def test_stream_to_warehouse_twice(spark, folder):
     assert StoredTables(vault, VAULT_TABLES)["lsat_session_song_user_listen"].count() == 10
 
 
-def test_stateful_dedupe(spark, folder):
-    """The operator on its own, in a stream without a stage."""
-    publish(spark, folder, [*range(12), *[3] * 6])
-    events = dedupe_events(decode_envelope(read_events(spark, folder + "/messages", per_batch=2)), arrival="arrived")
-    query = events.writeStream.format("memory").queryName("deduped").option("checkpointLocation", folder + "/c")
-    query.trigger(availableNow=True).start().awaitTermination()
-    assert spark.table("deduped").count() == 12
-
-
-def test_copies_are_remembered_for_some_batches(spark, folder):
+def test_copies_are_found_however_late(spark, folder):
     store = TableStore(spark, folder)
     row = ops_events(spark, "u1")
     for batch_id in (0, 1):
-        append_stage(row, store, batch_id, remember=2)
+        append_stage(row, store, batch_id)
     assert StoredTables(store, PLAY)["kafka_playback"].count() == 1
-    append_stage(ops_events(spark, "u2"), store, 2, remember=2)
-    append_stage(ops_events(spark, "u2"), store, 2, remember=2)  # batch 2 is run again
+    for _ in range(2):  # batch 2 is run again
+        append_stage(ops_events(spark, "u2"), store, 2)
+    assert StoredTables(store, PLAY)["kafka_playback"].count() == 2
+    append_stage(row, store, 500)
     assert StoredTables(store, PLAY)["kafka_playback"].count() == 2
-    append_stage(row, store, 4, remember=2)  # too long ago
-    assert StoredTables(store, PLAY)["kafka_playback"].count() == 3
 
 
-def ops_events(spark, user):
-    data = {"event_time": "1995-05-01T00:00:00", "user_id": user, "session_id": "x", "song_id": "s", "at_time_sec": 0}
-    return decode_envelope(spark.createDataFrame([(json.dumps({"type": "SongPlayEvent", "data": data}),)], "value string"))
+def test_popularity_counts_a_copy_once_and_waits_for_songs(spark, folder):
+    stage, store = TableStore(spark, folder + "/stage"), TableStore(spark, folder + "/counts")
+    for batch_id, user in enumerate(("u1", "u1", "u2")):
+        append_stage(ops_events(spark, user, "SongStopEvent", 60), stage, batch_id)
+        append_popularity(stage, store, batch_id)
+    songs = spark.createDataFrame([("s", 100)], "id string, duration_sec int")
+    assert [(r.song_id, r.listen_count) for r in read_popularity(store, songs).collect()] == [("s", 1)]
+
+
+def test_failed_publish_raises_if_required(spark, folder):
+    rows = spark.sql("SELECT raise_error('no') AS value")
+    assert publish_events(rows, folder + "/m") is False
+    with pytest.raises(Exception):
+        publish_events(rows, folder + "/m", required=True)
+
+
+def ops_events(spark, user, kind="SongPlayEvent", at=0):
+    data = {"event_time": "1995-05-01T00:00:00", "user_id": user, "session_id": "x", "song_id": "s", "at_time_sec": at}
+    return decode_envelope(spark.createDataFrame([(json.dumps({"type": kind, "data": data}),)], "value string"))

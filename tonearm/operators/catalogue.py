@@ -10,8 +10,6 @@ from tonearm.functions.keys import draw_order, hash_uniform
 from tonearm.functions.ranking import positions
 from tonearm.operators.stage import encode_event
 
-SONGS_PER_DOCUMENT = 1000
-
 
 def countries_list(countries: DataFrame, enabled_only: bool = False) -> DataFrame:
     enabled = F.col("enabled_at").isNotNull()
@@ -35,55 +33,31 @@ def lookup_entities(requests: DataFrame, table: DataFrame, key: str) -> DataFram
 
 
 def collection_documents(collections: DataFrame, songs: DataFrame) -> DataFrame:
-    """Collections with their songs nested, in id order.
-
-    A document holds about SONGS_PER_DOCUMENT songs; a collection with more is spread by
-    hash over several documents (`part` 0, 1, ...), so that no row has to hold all of it.
-    """
-    sizes = songs.groupBy("collection_id").agg(F.count(F.lit(1)).alias("_size"))
-    number = F.conv(F.substring(F.sha2("id", 256), 1, 8), 16, 10).cast("bigint")
-    parts = F.ceil(F.col("_size") / F.lit(SONGS_PER_DOCUMENT)).cast("bigint")
+    """One line per song with the fields of its collection, and one line without a song for an empty
+    collection. The layout is the same for collections of any size; no row holds a whole one."""
     entry = F.struct("id", "name", "duration_sec", "collection_id", "artist_id", "genre_id")
-    nested = (
-        songs.join(sizes, "collection_id")
-        .withColumn("part", (number % parts).cast("int"))
-        .groupBy("collection_id", "part")
-        .agg(F.array_sort(F.collect_list(entry)).alias("songs"))
-    )
-    nothing = F.array().cast(nested.schema["songs"].dataType)
-    return (
-        collections.join(nested, collections["id"] == nested["collection_id"], "left")
-        .select(
-            "artist_id",
-            "id",
-            F.coalesce("part", F.lit(0)).alias("part"),
-            "name",
-            "collection_type",
-            "genre_id",
-            "released_dt",
-            F.coalesce("songs", nothing).alias("songs"),
-        )
-    )
+    lines = songs.select(F.col("collection_id").alias("_collection"), entry.alias("song"))
+    return collections.join(lines, F.col("id") == F.col("_collection"), "left").select(*DOCUMENT)
 
 
-DOCUMENT = ("id", "name", "collection_type", "genre_id", "released_dt", "artist_id", "songs")
+DOCUMENT = ("id", "name", "collection_type", "genre_id", "released_dt", "artist_id", "song")
 
 
 def collection_document(documents: DataFrame) -> DataFrame:
-    """One JSON text per collection document."""
+    """One JSON text per line of a collection's document."""
     text = F.to_json(F.struct(*DOCUMENT), {"ignoreNullFields": "false"})
-    return documents.select("id", "part", text.alias("document"))
+    return documents.select("id", text.alias("document"))
 
 
 def collections_of_artist(requests: DataFrame, artists: DataFrame, documents: DataFrame) -> DataFrame:
-    """Documents of the requested artists (`artist_id`); an unknown artist gets one row with found = false."""
+    """Document lines of the requested artists (`artist_id`); an unknown artist gets one row with found = false."""
     known = artists.select(F.col("id").alias("artist_id"), F.lit(True).alias("_found"))
     text = F.to_json(F.struct(*DOCUMENT), {"ignoreNullFields": "false"})
-    owned = documents.select("artist_id", F.col("id").alias("collection_id"), "part", text.alias("document"))
+    owned = documents.select("artist_id", F.col("id").alias("collection_id"), text.alias("document"))
     return (
         requests.select("artist_id").join(known, "artist_id", "left")
         .join(owned, "artist_id", "left")
-        .select("artist_id", F.col("_found").isNotNull().alias("found"), "collection_id", "part", "document")
+        .select("artist_id", F.col("_found").isNotNull().alias("found"), "collection_id", "document")
     )
 
 
@@ -181,17 +155,17 @@ def catalogue_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 DOCUMENT_SCHEMA = (
     "id string, name string, collection_type string, genre_id string, released_dt string, artist_id string, "
-    "songs array<struct<id: string, name: string, duration_sec: int>>"
+    "song struct<id: string, name: string, duration_sec: int>"
 )
 
 
 def explode_collection(documents: DataFrame, event_time: Column) -> DataFrame:
-    """Collection documents -> messages: one for the collection, one per song. Songs take
-    collection, artist and genre from the document."""
-    doc = documents.select("part", F.from_json("document", DOCUMENT_SCHEMA).alias("d"))
-    doc = doc.select("part", "d.*").withColumn("event_time", event_time)
-    collections = doc.where(F.col("part") == 0).withColumn("released_dt", F.col("released_dt").cast("date"))
-    songs = doc.select(
-        F.col("id").alias("collection_id"), "artist_id", "genre_id", "event_time", F.explode("songs").alias("s")
-    ).select("collection_id", "artist_id", "genre_id", "event_time", "s.id", "s.name", "s.duration_sec")
+    """Document lines -> messages: one for each collection, one per song. Songs take collection,
+    artist and genre from the line."""
+    doc = documents.select(F.from_json("document", DOCUMENT_SCHEMA).alias("d")).select("d.*")
+    collections = doc.drop("song").distinct().withColumn("released_dt", F.col("released_dt").cast("date"))
+    songs = doc.where(F.col("song").isNotNull()).select(
+        F.col("id").alias("collection_id"), "artist_id", "genre_id", "song.id", "song.name", "song.duration_sec"
+    )
+    collections, songs = (rows.withColumn("event_time", event_time) for rows in (collections, songs))
     return encode_event(collections, "CollectionCreated").unionByName(encode_event(songs, "SongCreated"))

@@ -104,24 +104,15 @@ def unrouted_events(decoded: DataFrame) -> DataFrame:
     return other.select("event_id", "type", F.get_json_object("data", "$.reason").alias("reason"), "data")
 
 
-COPY_SALTS = 8
+def dedupe_events(decoded: DataFrame) -> DataFrame:
+    """One copy per event id; copies are combined on the map side."""
+    return decoded.select("event_id", "type", "data").distinct()
 
 
-def dedupe_events(decoded: DataFrame, arrival: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """One copy per event id.
-
-    On a stream, `arrival` names the arrival time column (a TIMESTAMP): an id is remembered
-    for `delay` after its first arrival. Arrival time moves forward whatever the event
-    times are, so no event is ever dropped as late. Copies are removed in two steps, first
-    per salt: a message that makes up a third of the stream is spread over several state
-    partitions, and the second step sees at most COPY_SALTS copies of it per batch. In
-    batch, `distinct` combines copies on the map side by itself.
-    """
-    if arrival is None:
-        return decoded.select("event_id", "type", "data").distinct()
-    salted = decoded.withColumn("_salt", F.spark_partition_id() % COPY_SALTS)
-    few = salted.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(["event_id", "_salt"])
-    return few.dropDuplicatesWithinWatermark(["event_id"]).drop("_salt")
+def event_month(data: Column) -> Column:
+    """Year * 100 + month of the event time in a payload; 0 where it has none. Copies have the same month."""
+    moment = F.get_json_object(data, "$.event_time").try_cast("timestamp_ntz")
+    return F.coalesce(F.year(moment) * 100 + F.month(moment), F.lit(0)).cast("int")
 
 
 def iso_text(column: Column, data_type: T.DataType) -> Column:

@@ -8,6 +8,8 @@ fills a third of the batch is combined on the map side.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +26,7 @@ PREMIUM_ROYALTY_FACTOR = 1.2
 
 
 def not_in(new: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Rows of `new` whose key is not in `target`.
+    """Rows of `new` whose key is not in `target`; missing key fields are equal to each other.
 
     The target is first cut to the keys of the batch. For a small batch that semi join
     broadcasts the batch and reads the target once without shuffling it, where a plain
@@ -32,24 +34,22 @@ def not_in(new: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> Dat
     """
     if target is None:
         return new
-    keys = list(keys)
-    known = target.select(*keys).join(new.select(*keys), keys, "left_semi")
-    return new.join(known, keys, "left_anti")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col("_known_" + k)) for k in keys])
+    known = target.select(*[F.col(k).alias("_known_" + k) for k in keys])
+    known = known.join(new.select(*keys), same, "left_semi")
+    return new.join(known, same, "left_anti")
 
 
-def within_batch_dates(
-    stage: DataFrame, target: DataFrame | None, spec: LoadSpec
-) -> DataFrame | None:
-    """Target rows in the time range of the batch; lets a dated target skip old files."""
-    if target is None:
-        return None
-    moment = F.expr(spec.fields["actual_dtm"])
-    first = stage.agg(F.min(moment)).scalar()
-    last = stage.agg(F.max(moment)).scalar()
-    kept = target.where(F.col("actual_dtm").between(first, last))
-    if "actual_month" in target.columns:
-        kept = kept.where(F.col("actual_month").between(month_of(first), month_of(last)))
-    return kept
+def within_batch_months(stage: DataFrame, target: DataFrame | None, spec: LoadSpec) -> DataFrame | None:
+    """Target rows of the months that the batch has; a stored target skips the files of all others.
+
+    The months are named one by one (a few numbers reach the driver), so that one event that is
+    years late adds its own month and not those between.
+    """
+    if target is None or "actual_month" not in target.columns:
+        return target
+    month = month_of(F.expr(spec.fields["actual_dtm"])).alias("month")
+    return target.where(F.col("actual_month").isin([row.month for row in stage.select(month).distinct().collect()]))
 
 
 def _key(spec: LoadSpec, source: str) -> Column:
@@ -89,11 +89,16 @@ def load_link(stage: DataFrame, target: DataFrame | None, spec: LoadSpec, source
     return not_in(rows.select(_key(spec, source).alias(spec.key), *hashed), target, [spec.key])
 
 
-def load_lsat(stage: DataFrame, target: DataFrame | None, spec: LoadSpec, source: str = SOURCE) -> DataFrame:
+def load_lsat(
+    stage: DataFrame, target: DataFrame | None, spec: LoadSpec, source: str = SOURCE, published: bool = False
+) -> DataFrame:
+    """New facts. A fact is known if all its fields are, so that the result doesn't depend on how the
+    stream was cut into batches; `published` knows a fact by its key and moment alone."""
     rows = _batch(stage, spec).select(
         _batch_key(spec, source).alias(spec.key), *spec.fields, F.lit(source).alias("source")
     )
-    return not_in(rows, within_batch_dates(stage, target, spec), [spec.key, "actual_dtm"])
+    keys = [spec.key, "actual_dtm"] if published else [spec.key, *spec.fields]
+    return not_in(rows, within_batch_months(stage, target, spec), keys)
 
 
 def latest_version(sat: DataFrame, key: str) -> DataFrame:
@@ -108,13 +113,14 @@ def load_sat(
     spec: LoadSpec,
     source: str = SOURCE,
     corrected: bool = False,
+    published: bool = False,
 ) -> DataFrame:
-    """New versions of the attributes of a hub.
+    """New versions of the attributes of a hub; versions are compared per key.
 
-    As published, the previous version is looked up by the raw id among hashed ids, which
-    finds nothing, and a version counts as known if any key has an equal row hash.
-    `corrected` fills missing fields from the last version of the same key and compares
-    versions per key.
+    With `published` a version counts as known if any key has an equal row hash, which loses
+    versions between batches. `corrected` fills missing fields from the last version of the
+    same key; as published, that version is looked up by the raw id among hashed ids, which
+    finds nothing.
     """
     fields = list(spec.fields)
     rows = _batch(stage, spec).select(_batch_key(spec, source).alias(spec.key), *fields)
@@ -127,7 +133,7 @@ def load_sat(
             spec.key, *[F.coalesce(f, "_prev_" + f).alias(f) for f in fields]
         )
     rows = rows.withColumn("row_hash", row_hash(rows, fields, source)).withColumn("source", F.lit(source))
-    return not_in(rows, target, [spec.key, "row_hash"] if corrected else ["row_hash"])
+    return not_in(rows, target, ["row_hash"] if published else [spec.key, "row_hash"])
 
 
 def subscription_cost(

@@ -14,6 +14,7 @@ from tonearm.sources.store import StoredTables, TableStore
 
 VAULT_TABLES = tuple(spec.target for spec in SPECS)
 DATED_KINDS = ("lsat",)
+OPTIONS = {"sat": ("corrected", "published"), "lsat": ("published",)}
 
 
 def derive_vault(stage: Mapping[str, DataFrame]) -> LazyTables:
@@ -27,7 +28,8 @@ def load_one(spec: LoadSpec, stage: TableStore, vault: TableStore, batch_id: int
     if rows is None:
         return False
     target = vault.read(spec.target, before_batch=batch_id)
-    fresh = load(spec, rows, target, **(options if spec.kind == "sat" else {}))
+    own = {k: v for k, v in options.items() if k in OPTIONS.get(spec.kind, ())}
+    fresh = load(spec, rows, target, **own)
     vault.append(spec.target, fresh, batch_id, "actual_dtm" if spec.kind in DATED_KINDS else None)
     return True
 

@@ -162,21 +162,22 @@ def _listened_artists(listen_country: DataFrame, tables: Tables) -> DataFrame:
 def artist_popular_songs(tables: Tables, execution_dt: str) -> DataFrame:
     """Listens before the date per (artist, song name): all, complete, paused after 10 %.
 
-    Facts are counted per (song, pause position) before they meet the catalogue. The facts
-    are the outer side of the link join, the side Spark can split when one key is hot. Every
-    owned song keeps a row, also without listens (its name is then unknown, as published).
+    Facts are cut at the date in the scan and counted per (song, pause position) before they
+    meet the catalogue. They are the outer side of the link join, the side Spark can split when
+    one key is hot. Every owned song keeps a row; the name of one that nobody ever listened to
+    is unknown, as published, and so the link tells which songs have a name.
     """
-    before = F.col("actual_dtm") < midnight(execution_dt)
-    paused = F.col("action_type") == "Pause"
     listens = (
         tables["lsat_session_song_user_listen"]
-        .withColumn("pause_at", F.when(paused & before, F.col("at_time_sec")))
-        .withColumn("listen", F.when(before, 1).otherwise(0))
-        .withColumn("full", F.when(before & (F.col("action_type") == "Complete"), 1).otherwise(0))
+        .where(F.col("actual_dtm") < midnight(execution_dt))
+        .withColumn("pause_at", F.when(F.col("action_type") == "Pause", F.col("at_time_sec")))
+        .withColumn("listen", F.lit(1))
+        .withColumn("full", F.when(F.col("action_type") == "Complete", 1).otherwise(0))
         .select(LISTEN, "pause_at", "listen", "full")
     )
+    link = tables["link_session_song_user_listen"].select(LISTEN, "song_id")
     per_song = (
-        listens.join(tables["link_session_song_user_listen"].select(LISTEN, "song_id"), LISTEN, "left")
+        listens.join(link, LISTEN, "left")
         .groupBy("song_id", "pause_at")
         .agg(
             F.sum("listen").alias("listen"),
@@ -185,7 +186,7 @@ def artist_popular_songs(tables: Tables, execution_dt: str) -> DataFrame:
         )
     )
     named = tables["sat_song"].select("song_id", F.col("name").alias("song_name"), "duration_sec")
-    heard = per_song.join(named, "song_id", "left")
+    heard = link.select("song_id").distinct().join(named, "song_id", "left").join(per_song, "song_id", "left")
     # at / duration * 100 > 10, without a division
     over10 = (F.col("duration_sec") > 0) & (F.col("pause_at") * 10 > F.col("duration_sec"))
     return (

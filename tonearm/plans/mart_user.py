@@ -111,26 +111,37 @@ def user_listenings(tables: Tables, execution_dt: str, corrected: bool = False)
     )
 
 
-def _listen_measures(execution_dt: str, corrected: bool) -> dict[str, Column]:
-    """Sums per group. As published, the one-day range is empty (its bounds are swapped) and
+def _listen_counts(tables: Tables, execution_dt: str, corrected: bool) -> DataFrame:
+    """Listens until the date, counted per user, song, position, action and whether they are of the
+    last day: facts meet the songs only when they are counted, so that a hot song is a few rows."""
+    facts = tables["lsat_session_song_user_listen"].where(F.col("actual_dtm") <= midnight(execution_dt))
+    link = tables["link_session_song_user_listen"].select(LISTEN, "song_id", "user_id")
+    last_day = F.col("actual_dtm").between(day_before(execution_dt), midnight(execution_dt)) if corrected else F.lit(False)
+    counted = facts.join(link, LISTEN).groupBy(
+        "user_id", "song_id", "at_time_sec", "action_type", last_day.alias("last_day")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(_song_facts(tables), "song_id", "left")
+
+
+def _listen_measures(corrected: bool) -> dict[str, Column]:
+    """Sums over counted listens. As published, the one-day range is empty (its bounds are swapped) and
     the listened share is an integer quotient; `corrected` uses the range and the real share."""
     at, duration = F.col("at_time_sec"), F.col("duration_sec")
     action = F.col("action_type")
     complete, pause = action == "Complete", action == "Pause"
     whole_seconds = F.when(duration != 0, duration)
     if corrected:
-        last_day = F.col("actual_dtm").between(day_before(execution_dt), midnight(execution_dt))
         over10, under10 = at * 10 > whole_seconds, at * 10 < whole_seconds
         percent = (at * 100).cast("double") / whole_seconds
     else:
-        last_day = F.lit(False)
         share = 1 - _quotient(1 - at, whole_seconds)
         over10, under10 = share > 0.1, share < 0.1
         percent = _quotient(at, whole_seconds) * 100
     finished_part = F.when(pause | complete, percent)
+    last_day, n = F.col("last_day"), F.col("n")
 
     def times(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0))
+        return F.sum(F.when(condition, n).otherwise(0))
 
     return {
         "complete": times(complete),
@@ -139,10 +150,10 @@ def _listen_measures(execution_dt: str, corrected: bool) -> dict[str, Column]:
         "turn_world_listenings_1d_cnt": times(pause & under10 & last_day),
         "p10_world_listenings_whole_cnt": times(pause & over10),
         "turn_world_listenings_whole_cnt": times((action == "Start") & (at == 0)),
-        "percent_sum": F.sum(finished_part),
-        "percent_cnt": F.count(finished_part),
-        "happiness_sum": F.sum("happiness_index"),
-        "happiness_cnt": F.count("happiness_index"),
+        "percent_sum": F.sum(finished_part * n),
+        "percent_cnt": times(finished_part.isNotNull()),
+        "happiness_sum": F.sum(F.col("happiness_index") * n),
+        "happiness_cnt": times(F.col("happiness_index").isNotNull()),
     }
 
 
@@ -162,10 +173,10 @@ def _mean(total: str, count: str, exact: bool) -> Column:
 def user_listenings_agg(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
     """Measures per user, (user, genre), (user, artist) and (user, song); `level` names the set."""
     tables = current(tables, sat_user=execution_dt) if corrected else tables
-    measures = _listen_measures(execution_dt, corrected)
+    measures = _listen_measures(corrected)
     names = ["genre_name", "artist_name", "song_name"]
     per_song = (
-        _listens(tables, execution_dt)
+        _listen_counts(tables, execution_dt, corrected)
         .groupBy("user_id", "song_country", *names)
         .agg(*[c.alias(n) for n, c in measures.items()])
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tonearm.functions.keys import hash_key, hash_uniform
 from tonearm.operators.vault import latest_version, load
@@ -65,6 +65,22 @@ def _second_load(target: str, **options) -> Query:
     return query(build)
 
 
+def _split_load(target: str, first: Callable[[], Column], twin: str | None = None) -> Query:
+    """Two loads of a stage that is cut by a condition on its fields, so that equal moments lie on both
+    sides; together they give what one load gives. With `twin`, each row has a second one with
+    another value in that field and the same key and moment."""
+    spec = BY_TARGET[target]
+
+    def build(c: Context) -> DataFrame:
+        stage = c.stage[spec.stage]
+        if twin:
+            stage = stage.unionByName(stage.withColumn(twin, F.col(twin) + 1))
+        loaded = load(spec, stage.where(first()))
+        return loaded.unionByName(load(spec, stage.where(~first()), loaded))
+
+    return query(build)
+
+
 def _keys_of_users(c: Context) -> DataFrame:
     user, session = F.col("user_id"), F.col("session_id")
     return c.stage["kafka_user_subscription"].select(
@@ -82,9 +98,16 @@ def vault_queries() -> dict[str, Query]:
     }
     for spec in SPECS:
         out[spec.target] = _first_load(spec.target)
-        out[spec.target + "_second_load"] = _second_load(spec.target)
+        literal = {"published": True} if spec.kind in ("sat", "lsat") else {}
+        out[spec.target + "_second_load"] = _second_load(spec.target, **literal)
         if spec.kind == "sat":
             out[spec.target + "_second_load_corrected"] = _second_load(spec.target, corrected=True)
+    even = lambda column: lambda: F.crc32(F.col(column)) % 2 == 0
+    out["sat_session_split_load"] = _split_load("sat_session", even("session_id"))
+    out["sat_user_subscription_split_load"] = _split_load("sat_user_subscription", even("user_id"))
+    out["lsat_session_song_user_listen_split_load"] = _split_load(
+        "lsat_session_song_user_listen", lambda: F.col("at_time_sec") % 2 == 0, twin="at_time_sec"
+    )
     return out
 
 

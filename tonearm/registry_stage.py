@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tonearm.operators import stage as ops
 from tonearm.plans.load_plan import VAULT_TABLES, run_load_plan
-from tonearm.plans.specs import BY_TARGET
 from tonearm.registry import CUT_DT, Context, Query, lists_as_json, query
 from tonearm.schemas import STAGE_TABLES
 from tonearm.session import shared_folder
@@ -14,7 +13,7 @@ from tonearm.sources.events import messages_of, publish_events, read_events
 from tonearm.sources.fixtures import edge_messages
 from tonearm.sources.store import StoredTables, TableStore
 from tonearm.streaming.ingest import QUARANTINE, UNROUTED, append_stage, start_ingest
-from tonearm.streaming.popularity import read_popularity, start_popularity
+from tonearm.streaming.popularity import append_popularity, read_popularity
 
 
 def _edges(c: Context) -> DataFrame:
@@ -44,19 +43,19 @@ def _event_times(c: Context) -> DataFrame:
 
 
 def _stored(c: Context) -> DataFrame:
-    """Playback written in two batches (one of them twice) and read back."""
+    """All stage tables written in two batches (one of them twice) and read back."""
     store = TableStore(c.spark, shared_folder(c.spark, "append"))
-    rows = c.stage["kafka_playback"]
     early = F.col("event_time") < F.lit(CUT_DT).cast("timestamp_ntz")
-    store.append("kafka_playback", rows.where(early), 0, "event_time")
-    for _ in range(2):
-        store.append("kafka_playback", rows.where(~early), 1, "event_time")
-    return StoredTables(store, ("kafka_playback",))["kafka_playback"]
+    for name, rows in c.stage.items():
+        store.append(name, rows.where(early), 0, "event_time")
+        for _ in range(2):
+            store.append(name, rows.where(~early), 1, "event_time")
+    return _summary(dict(StoredTables(store, tuple(c.stage))))
 
 
 def _published(c: Context) -> tuple[str, DataFrame]:
     root = shared_folder(c.spark, "publish")
-    publish_events(messages_of(c.stage, ["kafka_song_like"]), root + "/messages")
+    publish_events(messages_of(c.stage), root + "/messages", required=True)
     return root, c.spark.read.text(root + "/messages")
 
 
@@ -69,29 +68,31 @@ def _read_back(c: Context) -> DataFrame:
     return c.spark.read.parquet(root + "/read")
 
 
+STAGED = (*STAGE_TABLES, QUARANTINE, UNROUTED)
+
+
 def _appended(c: Context) -> DataFrame:
     store = TableStore(c.spark, shared_folder(c.spark, "batch"))
-    append_stage(_messages(c, "kafka_song_like"), store, 0)
-    return StoredTables(store, ("kafka_song_like",))["kafka_song_like"]
+    append_stage(_messages(c), store, 0)
+    return _summary(dict(StoredTables(store, STAGED)))
 
 
-def _summary(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
-    """Rows and a checksum over the keys of each table."""
+def _summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table, and the sum of 60-bit digests of whole records: all columns, by name."""
     out = None
     for name, df in tables.items():
-        digest = F.conv(F.substring(F.sha2(F.col(keys[name]), 256), 1, 8), 16, 10).cast("bigint")
+        df = lists_as_json(df)
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
+        digest = F.conv(F.substring(F.sha2(F.concat_ws("|", *values), 256), 1, 15), 16, 10).cast("decimal(38,0)")
         row = df.agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(digest), F.lit(0)).alias("checksum"),
+            F.coalesce(F.sum(digest).cast("string"), F.lit("0")).alias("checksum"),
         )
         out = row if out is None else out.unionByName(row)
     return out
 
 
-VAULT_KEYS = {name: BY_TARGET[name].key for name in VAULT_TABLES}
-
-
 def _loaded_in_two(c: Context) -> DataFrame:
     """The load plan over two stored stage batches, split at the cut date."""
     stage = TableStore(c.spark, shared_folder(c.spark, "stage"))
@@ -101,20 +102,24 @@ def _loaded_in_two(c: Context) -> DataFrame:
         for name, rows in c.stage.items():
             stage.append(name, rows.where(part), batch_id, "event_time")
         tables = run_load_plan(stage, vault, batch_id)
-    return _summary(dict(tables), VAULT_KEYS)
+    return _summary(dict(tables))
 
 
-def _ingested(c: Context, tables: tuple[str, ...] = (), vault: bool = False) -> tuple[TableStore, TableStore]:
+def _ingested(
+    c: Context, tables: tuple[str, ...] = (), vault: bool = False, popularity: TableStore | None = None
+) -> tuple[TableStore, TableStore]:
     """Streams all messages in two runs with a restart; the edge cases are sent in both."""
     root = shared_folder(c.spark, "stream")
     stage, store = TableStore(c.spark, root + "/stage"), TableStore(c.spark, root + "/vault")
     early = F.col("event_time") < F.lit(CUT_DT).cast("timestamp_ntz")
+    counted = (lambda batch_id: append_popularity(stage, popularity, batch_id)) if popularity else None
     for part in (early, ~early):
         rows = {name: df.where(part) for name, df in c.stage.items() if not tables or name in tables}
-        publish_events(messages_of(rows, list(rows)), root + "/messages")
-        publish_events(edge_messages(c.given), root + "/messages")
+        publish_events(messages_of(rows, list(rows)), root + "/messages", required=True)
+        publish_events(edge_messages(c.given), root + "/messages", required=True)
         ingest = start_ingest(
-            read_events(c.spark, root + "/messages"), stage, root + "/checkpoint", store if vault else None
+            read_events(c.spark, root + "/messages"), stage, root + "/checkpoint", store if vault else None,
+            after_batch=counted,
         )
         ingest.awaitTermination()
     return stage, store
@@ -122,9 +127,7 @@ def _ingested(c: Context, tables: tuple[str, ...] = (), vault: bool = False) ->
 
 def _streamed_stage(c: Context) -> DataFrame:
     stage, _ = _ingested(c)
-    names = (*STAGE_TABLES, QUARANTINE, UNROUTED)
-    tables = StoredTables(stage, names)
-    return _summary(dict(tables), {name: "event_id" for name in names})
+    return _summary(dict(StoredTables(stage, STAGED)))
 
 
 def _streamed_playback(c: Context) -> DataFrame:
@@ -134,21 +137,13 @@ def _streamed_playback(c: Context) -> DataFrame:
 
 def _streamed_vault(c: Context) -> DataFrame:
     _, vault = _ingested(c, vault=True)
-    return _summary(dict(StoredTables(vault, VAULT_TABLES)), VAULT_KEYS)
+    return _summary(dict(StoredTables(vault, VAULT_TABLES)))
 
 
 def _streamed_popularity(c: Context) -> DataFrame:
-    root = shared_folder(c.spark, "popularity")
-    store = TableStore(c.spark, root + "/counts")
-    early = F.col("event_time") < F.lit(CUT_DT).cast("timestamp_ntz")
-    for part in (early, ~early):
-        rows = {"kafka_playback": c.stage["kafka_playback"].where(part)}
-        publish_events(messages_of(rows, ["kafka_playback"]), root + "/messages")
-        running = start_popularity(
-            read_events(c.spark, root + "/messages"), c.library["songs"], store, root + "/checkpoint"
-        )
-        running.awaitTermination()
-    return read_popularity(store)
+    store = TableStore(c.spark, shared_folder(c.spark, "popularity"))
+    _ingested(c, ("kafka_playback",), popularity=store)
+    return read_popularity(store, c.library["songs"])
 
 
 def stage_queries() -> dict[str, Query]:

@@ -49,9 +49,10 @@ def read_events(
 
 
 def publish_events(
-    messages: DataFrame, folder: str | None = None, servers: str | None = None, topic: str = TOPIC
+    messages: DataFrame, folder: str | None = None, servers: str | None = None, topic: str = TOPIC,
+    required: bool = False,
 ) -> bool:
-    """Sends messages; as with the producers, a failure is logged and not raised."""
+    """Sends messages; as with the producers, a failure is logged and not raised unless `required`."""
     try:
         if servers is not None:
             writer = messages.select("value").write.format("kafka")
@@ -60,6 +61,8 @@ def publish_events(
             messages.select("value").write.mode("append").text(folder)
         return True
     except Exception:
+        if required:
+            raise
         log.exception("publishing events failed")
         return False
 

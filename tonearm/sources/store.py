@@ -55,11 +55,17 @@ class TableStore:
             raise
         return df if before_batch is None else df.where(F.col("batch_id") < before_batch)
 
-    def append(self, name: str, df: DataFrame, batch_id: int, dated_by: str | None = None) -> None:
+    def append(
+        self, name: str, df: DataFrame, batch_id: int, dated_by: str | None = None, month: str | None = None
+    ) -> None:
         """Writes the rows of one batch, with `insert_dtm`. Files are sized by rebalancing,
-        which also splits a month that holds most of the rows."""
+        which also splits a month that holds most of the rows. `month` names a month column
+        that the rows have already."""
         target = f"{self.path(name)}/batch_id={batch_id}"
         rows = df.withColumn("insert_dtm", F.current_timestamp().cast("timestamp_ntz"))
+        if month is not None:
+            rows.hint("rebalance", F.col(month)).write.mode("overwrite").partitionBy(month).parquet(target)
+            return
         if dated_by is None:
             rows.hint("rebalance").write.mode("overwrite").parquet(target)
             return

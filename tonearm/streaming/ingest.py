@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tonearm.operators.stage import (
     decode_envelope,
     dedupe_events,
+    event_month,
     judge_events,
     quarantined_events,
     stage_rows,
@@ -22,33 +24,32 @@ from tonearm.sources.store import TableStore
 
 QUARANTINE, UNROUTED, EVENT_IDS = "quarantine", "unrouted", "event_ids"
 
-REMEMBERED_BATCHES = 60
+def drop_known(events: DataFrame, store: TableStore, batch_id: int) -> DataFrame:
+    """Events (one copy each, with `id` and `event_month`) that no earlier batch has stored.
 
-
-def drop_copies(events: DataFrame, store: TableStore, batch_id: int, remember: int) -> DataFrame:
-    """One copy per message, and none that one of the last `remember` batches has stored.
-
-    Copies within the batch are combined on the map side, so a message that makes up a third
-    of it is no larger task than others; earlier ones are found through the ids those
-    batches have written. There is no state beside these tables, and a batch that is run
-    again sees the same earlier batches.
+    The ids of all batches are kept by event month, and a copy has the month of its original; so
+    only the months that this batch has are read, however old they are (their numbers reach the
+    driver). A batch that is run again sees the same earlier batches.
     """
-    fresh = dedupe_events(events).withColumn("id", F.unhex("event_id"))
-    earlier = store.read(EVENT_IDS, batches=range(max(0, batch_id - remember), batch_id))
-    return not_in(fresh, earlier, ["id"])
+    earlier = store.read(EVENT_IDS, before_batch=batch_id)
+    if earlier is None:
+        return events
+    months = [row.event_month for row in events.select("event_month").distinct().collect()]
+    return not_in(events, earlier.where(F.col("event_month").isin(months)), ["id"])
 
 
-def append_stage(
-    events: DataFrame, store: TableStore, batch_id: int, remember: int = REMEMBERED_BATCHES, at_once: int = 8
-) -> None:
+def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: int = 8) -> None:
     """Decoded events of one batch -> one append per stage table, quarantine and unrouted.
 
-    The batch is judged once and kept for the writes; blocks lost with an executor are
-    computed again from the source. Which targets have rows at all is found first (at most
-    one line per target reaches the driver), so an empty or narrow batch starts few jobs.
+    The batch is read and freed of copies once, and judged once, and kept for the writes; blocks
+    lost with an executor are computed again from the source. Which targets have rows at all is
+    found first (at most one line per target reaches the driver), so an empty or narrow batch
+    starts few jobs.
     Each write replaces only its own batch folder: a repeated batch leaves no second copy.
     """
-    judged = judge_events(drop_copies(events, store, batch_id, remember)).persist(StorageLevel.MEMORY_AND_DISK)
+    once = dedupe_events(events).withColumns({"id": F.unhex("event_id"), "event_month": event_month(F.col("data"))})
+    once = once.persist(StorageLevel.MEMORY_AND_DISK)
+    judged = judge_events(drop_known(once, store, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         refused = F.size("missing") > 0
         target = F.when(refused, QUARANTINE).otherwise(F.coalesce("stage_table", F.lit(UNROUTED)))
@@ -57,7 +58,7 @@ def append_stage(
 
         def write(name: str) -> None:
             if name == EVENT_IDS:
-                store.append(name, judged.select("id"), batch_id)
+                store.append(name, judged.select("id", "event_month"), batch_id, month="event_month")
             elif name == QUARANTINE:
                 store.append(name, quarantined_events(judged), batch_id)
             elif name == UNROUTED:
@@ -69,6 +70,7 @@ def append_stage(
             list(pool.map(write, present + [EVENT_IDS] if present else []))
     finally:
         judged.unpersist()
+        once.unpersist()
 
 
 def start_ingest(
@@ -77,17 +79,21 @@ def start_ingest(
     checkpoint: str,
     vault: TableStore | None = None,
     interval: str | None = None,
-    remember: int = REMEMBERED_BATCHES,
+    after_batch: Callable[[int], None] | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Starts the ingest; with `vault`, each batch is loaded to the warehouse as well.
+    """Starts the ingest; with `vault`, each batch is loaded to the warehouse as well, with the
+    `options` of the load plan. `after_batch` is called with the number of each stored batch.
 
     Without `interval` everything available is read, in bounded batches, and the query ends.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_stage(batch, stage, batch_id, remember)
+        append_stage(batch, stage, batch_id)
         if vault is not None:
-            run_load_plan(stage, vault, batch_id)
+            run_load_plan(stage, vault, batch_id, **options)
+        if after_batch is not None:
+            after_batch(batch_id)
 
     writer = decode_envelope(messages).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

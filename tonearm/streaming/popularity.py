@@ -1,37 +1,31 @@
-"""Song popularity as a running streaming aggregate."""
+"""Song popularity, kept up to date from the stage batches of the ingest."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tonearm.operators.activity import long_listens
-from tonearm.operators.stage import decode_envelope, project_payload
-from tonearm.schemas import STAGE_TABLES
 from tonearm.sources.store import TableStore
 
 POPULARITY = "song_popularity"
 
 
-def popularity_stream(messages: DataFrame, songs: DataFrame) -> DataFrame:
-    """Streaming listens per song. The state is one counter per song; batches are combined
-    on the map side before they reach it."""
-    playback = project_payload(decode_envelope(messages), STAGE_TABLES["kafka_playback"])
-    return long_listens(playback, songs).groupBy("song_id").agg(F.count(F.lit(1)).alias("listens"))
+def append_popularity(stage: TableStore, store: TableStore, batch_id: int) -> None:
+    """Adds what one stage batch has: stops per song and position.
 
+    The stage holds each message once, so a copy that is sent again counts nothing. Positions are
+    judged when the counts are read, so that songs that become known later lose no listens. A batch
+    that is run again replaces its counts.
+    """
+    rows = stage.read("kafka_playback", batches=[batch_id])
+    if rows is not None:
+        stops = rows.where(F.col("event_type") == "SongStopEvent")
+        counts = stops.groupBy("song_id", "event_type", "at_time_sec").agg(F.count(F.lit(1)).alias("stops"))
+        store.append(POPULARITY, counts, batch_id)
 
-def start_popularity(
-    messages: DataFrame, songs: DataFrame, store: TableStore, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Appends, per batch, the new totals of the songs that were played in it."""
-    counts = popularity_stream(messages, songs)
-    writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(lambda batch, batch_id: store.append(POPULARITY, batch, batch_id))
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
 
-
-def read_popularity(store: TableStore) -> DataFrame:
-    """Latest total per song, as `listen_count` (the first listen counts as 0)."""
-    totals = store.read(POPULARITY).groupBy("song_id").agg(F.max_by("listens", "batch_id").alias("listens"))
-    return totals.select("song_id", (F.col("listens") - 1).alias("listen_count"))
+def read_popularity(store: TableStore, songs: DataFrame) -> DataFrame:
+    """Listens per song over all batches, as `listen_count` (the first listen counts as 0)."""
+    sums = store.read(POPULARITY).groupBy("song_id", "event_type", "at_time_sec").agg(F.sum("stops").alias("stops"))
+    heard = long_listens(sums, songs).groupBy("song_id").agg(F.sum("stops").alias("stops"))
+    return heard.select("song_id", (F.col("stops") - 1).alias("listen_count"))
