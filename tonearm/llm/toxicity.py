@@ -30,7 +30,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonearm.llm.blocks import mapped, PART, bucket_edges, pack, parts, runs, to_buckets, unpack, written
+from tonearm.llm.blocks import (
+    PART, bucket_edges, mapped, pack, parts, runs, task_number, to_buckets, unpack, written,
+)
+from tonearm.llm.near_duplicates import minhashes, shingles
 from tonearm.llm.texts import LETTERS, LOWER, ODD, U64, Spans, batch, mix, sum_by_text, text_of_word, text_slices, words
 
 SAMPLE_ROWS = 20_000
@@ -68,12 +71,19 @@ class Features:
             self.kinds.append((value, text[longer]))
 
     def found(self, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, entry, strength) of the entries that stand in each text; strength is log2(1 + occurrences)."""
-        hits = [(text, *lookup(value)) for value, text in self.kinds]
-        text, entry = (np.concatenate(c) for c in zip(*((text[place], entry) for text, place, entry in hits)))
-        pair, count = np.unique(text * max(len(lookup.entries), 1) + entry, return_counts=True)
-        text, entry = np.divmod(pair, max(len(lookup.entries), 1))
-        return text, entry, np.log2(1 + count)
+        """(text, entry, strength) of the entries that stand in each text, in the order of texts.
+
+        Strength is log2(1 + occurrences), half of that for beginnings, so that a whole word that is
+        known takes most of the weight from its beginning, which other words may share.
+        """
+        size, out = max(len(lookup.entries), 1), []
+        for kind, (value, text) in enumerate(self.kinds):
+            place, entry = lookup(value)
+            pair, count = np.unique(text[place] * size + entry, return_counts=True)
+            out.append((*np.divmod(pair, size), np.log2(1 + count) * (0.5 if kind else 1.0)))
+        text, entry, strength = (np.concatenate(c) for c in zip(*out))
+        order = np.argsort(text, kind="stable")
+        return text[order], entry[order], strength[order]
 
 
 class Lookup:
@@ -98,23 +108,31 @@ class Lookup:
 
 
 def with_copy_weight(sample: DataFrame) -> DataFrame:
-    """Adds `weight`: 1 divided by the number of sample rows with the same smallest word hash, which copies share."""
+    """Adds `weight`: 1 divided by the size of the largest group of sample rows that share a minhash with the row."""
 
-    def least(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = task_number() << 33
         for rows in batches:
             for first, last, data, offsets in text_slices(rows.column("text")):
-                f = Features(data, offsets)
-                value, _ = f.kinds[0]
-                filled = np.flatnonzero(np.diff(f.first))
-                out = np.zeros(last - first, U64)
-                if len(filled):
-                    out[filled] = np.minimum.reduceat(mix(value), f.first[:-1][filled])
-                own = rows.slice(first, last - first)
-                yield batch(text=own.column("text"), target=own.column("target"), kin=(out.view(np.int64), pa.int64()))
-
-    marked = written(sample.select("text", "target").transform(mapped, least, "text string, target double, kin long"), "toxic-sample")
-    kin = marked.groupBy("kin").agg((1 / F.count("*")).alias("weight"))
-    return marked.join(F.broadcast(kin), "kin").select("text", "target", "weight")
+                values, bounds = shingles(data, offsets)
+                table = minhashes(values, bounds).view(np.int64)
+                ends = np.concatenate([[0], np.cumsum((np.diff(bounds) > 0) * table.shape[1])])
+                own, n = rows.slice(first, last - first), last - first
+                yield batch(
+                    row=(np.arange(row, row + n), pa.int64()), text=own.column("text"), target=own.column("target"),
+                    kin=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(table.ravel(), pa.int64())),
+                )
+                row += n
+
+    signed = sample.select("text", "target").transform(
+        mapped, sign, "row long, text string, target double, kin array<bigint>"
+    )
+    signed = written(signed, "toxic-sample")
+    each = signed.select("row", F.posexplode("kin").alias("i", "kin"))
+    groups = each.groupBy("i", "kin").agg(F.count("*").alias("n")).where("n > 1")
+    largest = each.join(groups, ["i", "kin"]).groupBy("row").agg(F.max("n").alias("n"))
+    weight = (1 / F.coalesce("n", F.lit(1))).alias("weight")
+    return signed.join(F.broadcast(largest), "row", "left").select("text", "target", weight)
 
 
 def associated(sample: DataFrame, limit: int, purity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -384,7 +402,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Training:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("double")).alias("target"))
     n, toxic = known.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0.0))).first()
-    prior = min(max((toxic + 1) / (n + 2), 0.001), 0.5)
+    prior = min(max((toxic + 0.5) / (n + 10), 0.001), 0.5)
 
     chosen = _lowest(known.where("target > 0"), SAMPLE_ROWS).unionByName(_lowest(known.where("target = 0"), SAMPLE_ROWS))
     sample = with_copy_weight(texts.join(F.broadcast(chosen), "doc_id"))
