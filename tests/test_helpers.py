@@ -108,3 +108,16 @@ def test_first_listen_counts_as_zero(spark):
         "song_id string, at_time_sec int, event_type string",
     )
     assert [tuple(r) for r in activity.song_popularity(plays, songs).collect()] == [("s", 0)]
+
+
+def test_ranks_of_a_large_group_equal_one_window(spark):
+    """One group with two thirds of the rows, ties, missing names and all sizes of counts."""
+    from tonearm.functions.ranking import count_and_name, ranked, ranked_in_buckets
+
+    rows = spark.range(3000).selectExpr(
+        "if(id % 3 < 2, 'hot', concat('g', id % 40)) AS g", "CAST(pow(2, (id * 37) % 23) AS bigint) * (id % 4) AS n",
+        "if(id % 50 = 0, NULL, concat(char(65 + id % 7), char(97 + (id * 11) % 26), 'é', id)) AS name", "id",
+    )
+    order = [F.desc("n"), F.asc_nulls_last("name"), F.asc("id")]
+    got = ranked_in_buckets(rows, ["g"], count_and_name("n", "name"), order)
+    assert got.exceptAll(ranked(rows, ["g"], order)).isEmpty() and got.count() == 3000

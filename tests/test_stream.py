@@ -105,3 +105,14 @@ def test_failed_publish_raises_if_required(spark, folder):
 def ops_events(spark, user, kind="SongPlayEvent", at=0):
     data = {"event_time": "1995-05-01T00:00:00", "user_id": user, "session_id": "x", "song_id": "s", "at_time_sec": at}
     return decode_envelope(spark.createDataFrame([(json.dumps({"type": kind, "data": data}),)], "value string"))
+
+
+def test_readers_see_complete_batches_only(spark, folder):
+    store = TableStore(spark, folder)
+    df = spark.range(5).selectExpr("id", "timestamp_ntz '1996-01-01' AS event_time")
+    store.append("t", df, 0, "event_time")
+    store.commit(0)
+    store.append("t", df, 1, "event_time")  # its load isn't complete
+    assert StoredTables(store, ("t",))["t"].count() == 5
+    store.commit(1)
+    assert StoredTables(store, ("t",))["t"].count() == 10 and store.last_complete() == 1

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -14,6 +16,41 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: s
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
 
+def ranked_in_buckets(
+    df: DataFrame, group: Sequence[str], buckets: Sequence[tuple[Column, bool]], order: Sequence[Column], name: str = "rnum"
+) -> DataFrame:
+    """`row_number` of all rows of groups of any size.
+
+    `buckets` (column, descending; missing values come last) cut each group into parts that follow
+    each other in `order` and have few values per group. Parts are ranked apart, and a window over
+    the sizes of a group's parts tells where each begins, so that a group spreads over as many tasks
+    as it has parts.
+    """
+    marks = [f"_part{i}" for i in range(len(buckets))]
+    keys = [*group, *marks]
+    rows = df.withColumns({mark: column for mark, (column, _) in zip(marks, buckets)})
+    steps = [
+        F.desc_nulls_last(mark) if descending else F.asc_nulls_last(mark)
+        for mark, (_, descending) in zip(marks, buckets)
+    ]
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*group).orderBy(*steps).rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    begins = begins.select("_before", *[F.col(k).alias("_of_" + k) for k in keys])
+    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col("_of_" + k)) for k in keys])
+    number = (F.col("_before") + F.col("_local")).cast("int")
+    return local.join(begins, same).withColumn(name, number).select(*df.columns, name)
+
+
+def count_and_name(count: str, name: str) -> list[tuple[Column, bool]]:
+    """Parts for the order (count descending, name): counts from 16 on in steps of an eighth of a
+    doubling, which grow rare; smaller ones each by itself and by the first two letters of the name."""
+    few = F.col(count) < 16
+    step = F.when(few, F.col(count)).otherwise(F.floor(F.log2(F.col(count).cast("double")) * 8) - 16)
+    return [(step, True), (few & F.col(name).isNull(), False), (F.when(few, F.substring(name, 1, 2)), False)]
+
+
 def top_list(rank: Column | str, value: Column | str, k: int) -> Column:
     """Aggregate: values of rank 1..k in rank order. A NULL value uses up its rank and is left out."""
     rank = F.col(rank) if isinstance(rank, str) else rank

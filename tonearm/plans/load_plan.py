@@ -46,4 +46,5 @@ def run_load_plan(
         for kind in LOAD_ORDER:
             group = [s for s in SPECS if s.kind == kind]
             list(pool.map(lambda s: load_one(s, stage, vault, batch_id, **options), group))
+    vault.commit(batch_id)
     return StoredTables(vault, VAULT_TABLES)

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonearm.functions.ranking import bucket_of, ranked, top_list
+from tonearm.functions.ranking import bucket_of, count_and_name, ranked, ranked_in_buckets, top_list
 from tonearm.plans.asof import current, day_before, midnight
 from tonearm.plans.mart_song import LISTEN
 
@@ -38,14 +38,20 @@ def _released(tables: Tables, execution_dt: str) -> DataFrame:
     return tables["sat_collection"].where(F.col("actual_dtm") <= midnight(execution_dt))
 
 
-def artist_latest_release(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
+def artist_latest_release(
+    tables: Tables, execution_dt: str, corrected: bool = False, first_only: bool = False
+) -> DataFrame:
     """Releases of an artist in order. As published the order is ascending, so that rank 1
-    is the earliest release; `corrected` puts the latest first."""
+    is the earliest release; `corrected` puts the latest first. All releases are ranked date by
+    date; `first_only` cuts each artist before the shuffle."""
     release = F.desc_nulls_last("release_dt") if corrected else F.asc_nulls_last("release_dt")
     releases = _released(tables, execution_dt).join(_owners(tables), "collection_id", "left")
-    return ranked(releases, ["artist_id"], [release, F.desc("actual_dtm")]).select(
-        "artist_id", "release_dt", "rnum"
-    )
+    order = [release, F.desc("actual_dtm")]
+    if first_only:
+        rows = ranked(releases, ["artist_id"], order).where(F.col("rnum") <= 1)
+    else:
+        rows = ranked_in_buckets(releases, ["artist_id"], [(F.col("release_dt"), corrected)], order)
+    return rows.select("artist_id", "release_dt", "rnum")
 
 
 def artist_main_genre(tables: Tables, execution_dt: str) -> DataFrame:
@@ -62,16 +68,20 @@ def artist_main_genre(tables: Tables, execution_dt: str) -> DataFrame:
     )
 
 
-def artist_main_genre_rank(genres: DataFrame) -> DataFrame:
+def artist_main_genre_rank(genres: DataFrame, first_only: bool = False) -> DataFrame:
     order = [
         F.desc("genre_cnt"),
         F.length("genre_name").asc_nulls_last(),
         F.asc_nulls_last("genre_name"),
         F.asc_nulls_last("release_dt"),
     ]
-    return ranked(genres, ["artist_id"], order).select(
-        "artist_id", "genre_name", "rnum", "genre_cnt", "release_dt"
-    )
+    if first_only:
+        rows = ranked(genres, ["artist_id"], order).where(F.col("rnum") <= 1)
+    else:
+        count, _, letters = count_and_name("genre_cnt", "genre_name")
+        length = F.when(F.col("genre_cnt") < 16, F.length("genre_name"))
+        rows = ranked_in_buckets(genres, ["artist_id"], [count, (length, False), letters], order)
+    return rows.select("artist_id", "genre_name", "rnum", "genre_cnt", "release_dt")
 
 
 def _subscribed_users(tables: Tables, execution_dt: str) -> DataFrame:
@@ -204,7 +214,8 @@ def artist_popular_songs(tables: Tables, execution_dt: str) -> DataFrame:
 
 def artist_song_rank(songs: DataFrame) -> DataFrame:
     order = [F.desc("song_listen"), F.asc_nulls_last("song_name")]
-    return ranked(songs, ["artist_id"], order, "top").select(
+    parts = count_and_name("song_listen", "song_name")
+    return ranked_in_buckets(songs, ["artist_id"], parts, order, "top").select(
         "artist_id", "song_name", "top", "song_listen_full", "song_listen_10"
     )
 
@@ -262,8 +273,8 @@ def artist_followed(tables: Tables, execution_dt: str) -> DataFrame:
 
 def mart_artist(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
     tables = current(tables, sat_collection=execution_dt) if corrected else tables
-    release = artist_latest_release(tables, execution_dt, corrected).where(F.col("rnum") <= 1)
-    genre = artist_main_genre_rank(artist_main_genre(tables, execution_dt)).where(F.col("rnum") <= 1)
+    release = artist_latest_release(tables, execution_dt, corrected, first_only=True)
+    genre = artist_main_genre_rank(artist_main_genre(tables, execution_dt), first_only=True)
     countries = _listened_artists(artist_listen_country(tables, execution_dt), tables)
     songs = artist_top3_songs(artist_popular_songs(tables, execution_dt))
     followers = artist_followed(tables, execution_dt)

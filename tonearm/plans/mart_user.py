@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tonearm.functions.keys import micros_between
-from tonearm.functions.ranking import ranked, top_list
+from tonearm.functions.ranking import count_and_name, ranked, ranked_in_buckets, top_list
 from tonearm.plans.asof import current, day_before, midnight
 from tonearm.plans.mart_song import LISTEN
 
@@ -202,17 +202,21 @@ def user_listenings_agg(tables: Tables, execution_dt: str, corrected: bool = Fal
     return grouped.select(level.alias("level"), "user_id", *names, *MEASURES)
 
 
-def favourites_rank(agg: DataFrame, level: str) -> DataFrame:
-    """Rank of the known names of one level per user, by started listens."""
+def favourites_rank(agg: DataFrame, level: str, first: int | None = None) -> DataFrame:
+    """Rank of the known names of one level per user, by started listens; with `first`, the first ones only."""
     name = FAVOURITES[level][0]
     order = [F.desc("turn_world_listenings_whole_cnt"), F.asc(name)]
     known = agg.where((F.col("level") == level) & F.col(name).isNotNull())
-    return ranked(known, ["user_id"], order, "top").select("user_id", name, "top")
+    if first is None:
+        rows = ranked_in_buckets(known, ["user_id"], count_and_name("turn_world_listenings_whole_cnt", name), order, "top")
+    else:
+        rows = ranked(known, ["user_id"], order, "top").where(F.col("top") <= first)
+    return rows.select("user_id", name, "top")
 
 
 def favourites_list(agg: DataFrame, level: str) -> DataFrame:
     name, alias, k = FAVOURITES[level]
-    top = favourites_rank(agg, level).where(F.col("top") <= k)
+    top = favourites_rank(agg, level, first=k)
     return top.groupBy("user_id").agg(top_list("top", name, k).alias(alias))
 
 

@@ -55,6 +55,19 @@ class TableStore:
             raise
         return df if before_batch is None else df.where(F.col("batch_id") < before_batch)
 
+    def commit(self, batch_id: int) -> None:
+        """Marks a batch as complete: all its tables are written."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_complete/{batch_id}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(path, True).close()
+
+    def last_complete(self) -> int | None:
+        """The last batch that is complete; None where no batch is marked."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_complete")
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not system.exists(path):
+            return None
+        return max((int(s.getPath().getName()) for s in system.listStatus(path)), default=None)
+
     def append(
         self, name: str, df: DataFrame, batch_id: int, dated_by: str | None = None, month: str | None = None
     ) -> None:
@@ -75,7 +88,11 @@ class TableStore:
 
 
 class StoredTables(Mapping):
-    """Name -> DataFrame over the tables of a store, without the storage columns."""
+    """Name -> DataFrame over the tables of a store, without the storage columns.
+
+    Where batches are marked as complete, those behind the last mark are not seen: a reader never
+    finds links without their facts while a batch is being loaded, or after it failed.
+    """
 
     STORAGE_COLUMNS = ("batch_id", "insert_dtm", *DATED_BY.values())
 
@@ -89,6 +106,9 @@ class StoredTables(Mapping):
         df = self._store.read(name)
         if df is None:
             raise KeyError(f"{name} has not been loaded")
+        last = self._store.last_complete()
+        if last is not None:
+            df = df.where(F.col("batch_id") <= last)
         return df.drop(*self.STORAGE_COLUMNS)
 
     def __iter__(self) -> Iterator[str]:

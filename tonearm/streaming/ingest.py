@@ -68,6 +68,7 @@ def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: i
 
         with ThreadPoolExecutor(at_once) as pool:
             list(pool.map(write, present + [EVENT_IDS] if present else []))
+        store.commit(batch_id)
     finally:
         judged.unpersist()
         once.unpersist()
