@@ -1,8 +1,9 @@
 """From raw documents to training sequences: five stages over the whole corpus.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as
-the docs of the next one. All but the last return the columns of `documents`. Rows with a null id
-stay where a stage decides by id. SQL can't express the stages, so there is no oracle.
+the docs of the next one. All but the last return the columns of `documents`. Decisions hold for
+rows by id and text, also for rows without an id and for texts that share an id. SQL can't express
+the stages, so there is no oracle.
 """
 
 from __future__ import annotations
@@ -24,6 +25,13 @@ def _columns(docs: DataFrame) -> list[str]:
     return [c for c in COLUMNS if c in docs.columns]
 
 
+def _without(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """The rows whose (id, text) is not among the lost (doc_id, text_hash); adds `_hash`."""
+    lost = lost.select(F.col("doc_id").alias("_lost"), F.col("text_hash").alias("_lost_hash"))
+    rows = docs.select(_columns(docs)).withColumn("_hash", F.xxhash64("text"))
+    return rows.join(lost, F.col("doc_id").eqNullSafe(F.col("_lost")) & (F.col("_hash") == F.col("_lost_hash")), "left_anti")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the classifier calls toxic go."""
     learned = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -32,10 +40,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id stays; of repeated ids the first text stays."""
-    judged = near_duplicates(docs)
-    lost = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(_columns(docs))
+    """Of each component the document with the smallest id stays, and of repeated rows one."""
+    judged = near_duplicates(docs, with_hash=True)
+    rest = _without(docs, judged.where(~F.col("kept")))
+    return rest.dropDuplicates(["doc_id", "_hash"]).select(_columns(docs))
 
 
 def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +54,8 @@ def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    lost = judged.where("contaminated").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(_columns(docs))
+    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"), with_hash=True)
+    return _without(docs, judged.where("contaminated")).select(_columns(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,6 +107,21 @@ def test_stages(number, spark, documents, labels, benchmark, tmp_path):
     out = stage(spark, documents, folder)
     if name != "packing":
         assert out.columns == list(corpus_pipeline.COLUMNS)
-    counts = {"toxicity": 10, "near_duplicates": 9, "suffix_repeats": 10, "decontamination": 7}
+    counts = {"toxicity": 10, "near_duplicates": 8, "suffix_repeats": 10, "decontamination": 7}
     if name in counts:
         assert out.count() == counts[name]
+
+
+def test_stages_decide_by_row(spark, make, benchmark, tmp_path):
+    """Two texts with one id, and near copies without an id."""
+    folder = f"file://{tmp_path}"
+    benchmark.write.parquet(folder + "/benchmark.parquet")
+    copy = "p q r s t u v w x y z"
+    docs = make([(0, copy), (1, copy), (1, "another text that is clean"), (2, "two three"), (2, "nothing here"), (None, copy)])
+    stages = dict(corpus_pipeline.STAGES)
+    rows = stages["near_duplicates"](spark, docs, folder).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [
+        (0, copy), (1, "another text that is clean"), (2, "nothing here"), (2, "two three")
+    ]
+    rows = stages["decontamination"](spark, docs, folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in rows if r.doc_id == 2) == [(2, "nothing here")] and len(rows) == 5

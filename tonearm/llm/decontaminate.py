@@ -114,9 +114,10 @@ def _candidates(bitmap: np.ndarray, sizes: list[int]):
                 hits = pa.array(found, pa.list_(pa.struct([
                     ("mark", pa.int64()), ("n", pa.int32()), ("first", pa.int64()), ("words", pa.list_(pa.string())),
                 ])))
+                own = rows.slice(begin, last - begin)
                 yield batch(
                     row=(np.arange(row, row + last - begin), pa.int64()),
-                    doc_id=rows.column("doc_id").slice(begin, last - begin), n_words=(np.diff(first), pa.int64()), hits=hits,
+                    doc_id=own.column("doc_id"), text_hash=own.column("text_hash"), n_words=(np.diff(first), pa.int64()), hits=hits,
                 )
                 row += last - begin
 
@@ -125,9 +126,10 @@ def _candidates(bitmap: np.ndarray, sizes: list[int]):
 
 def decontaminate(
     df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text",
+    item_text: str = "text", with_hash: bool = False,
 ) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated.
+    """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated; `with_hash`
+    adds xxhash64 of the text.
 
     Null and empty texts have no words. Repeated rows are judged alike; repeated items count once by
     their id; an item without id marks words as hit but is not listed. Without items, or without
@@ -137,11 +139,13 @@ def decontaminate(
     marks = items.select(F.explode("marks").alias("mark")).distinct()
     windows = items.select("item_id", "n", F.explode("windows").alias("window"))
     sizes = sorted(r.n for r in items.select("n").distinct().collect())
-    texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = df.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash")
+    )
     base = written(
         texts.transform(mapped, 
             _candidates(_bitmap(marks), sizes),
-            "row long, doc_id long, n_words long, "
+            "row long, doc_id long, text_hash long, n_words long, "
             "hits array<struct<mark: bigint, n: int, first: bigint, words: array<string>>>",
         ),
         "item-candidates",
@@ -170,8 +174,8 @@ def decontaminate(
         "set", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     )
     found = n_hit.join(sets.select("row", "set").join(listed, "set"), "row")
-    return base.select("row", "doc_id", "n_words").join(found, "row", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return base.select("row", "doc_id", "text_hash", "n_words").join(found, "row", "left").select(
+        "doc_id", *(["text_hash"] if with_hash else []), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.lit(NO_ITEMS)).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),

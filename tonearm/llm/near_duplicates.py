@@ -92,8 +92,9 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(table.ravel(), pa.int64())
             )
+            own = rows.slice(first, last - first)
             yield batch(
-                doc_id=rows.column("doc_id").slice(first, last - first), n_shingles=(counts, pa.int64()),
+                doc_id=own.column("doc_id"), text_hash=own.column("text_hash"), n_shingles=(counts, pa.int64()),
                 node=(names, pa.binary()), parts=parts,
             )
 
@@ -201,8 +202,8 @@ def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> D
     return dealt.transform(mapped, _compare, "u binary, v binary")
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id and kept.
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", with_hash: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id and kept; `with_hash` adds xxhash64 of the text.
 
     component_id is the smallest id of the component; kept is true for the rows with that id. A
     null or empty text, or one without words, has no shingles and stays alone. Repeated rows
@@ -211,7 +212,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     An empty table gives no rows.
     """
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = written(texts.transform(mapped, _sign, "doc_id long, n_shingles long, node binary, parts array<bigint>"), "near-signed")
+    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+    schema = "doc_id long, text_hash long, n_shingles long, node binary, parts array<bigint>"
+    signed = written(hashed.transform(mapped, _sign, schema), "near-signed")
     classes = signed.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts")
     )
@@ -223,6 +226,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = named.select("node", "root").join(least, "root").select("node", "component_id")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return signed.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    rows = signed.select("doc_id", "text_hash", "n_shingles", "node").join(of_node, "node", "left")
+    return rows.select(
+        "doc_id", *(["text_hash"] if with_hash else []), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
