@@ -123,6 +123,32 @@ LIBRARY = {
         FROM events""",
 }
 
+def _later(table: str, *versions: tuple[str, str]) -> str:
+    """A stage table with further versions of some rows: (replaced columns, condition on the number)."""
+    number = "CAST(substr(id, 2) AS BIGINT)"
+    more = [f"SELECT * REPLACE ({columns}) FROM ({STAGE[table]}) v WHERE {number} % {where}" for columns, where in versions]
+    return " UNION ALL ".join([f"SELECT * FROM ({STAGE[table]}) v", *more])
+
+
+# the catalogue with history: changes before and after the date of the marts
+HISTORY = {
+    "kafka_song": _later(
+        "kafka_song",
+        ("name || ' live' AS name, CAST(duration_sec + 30 AS INT) AS duration_sec, TIMESTAMP '1998-01-01' AS event_time", "7 = 3"),
+        ("name || ' lost' AS name, TIMESTAMP '2002-01-01' AS event_time", "7 IN (3, 4)"),
+    ),
+    "kafka_artist": _later(
+        "kafka_artist",
+        ("lpad(CAST((CAST(country_code AS INT) + 1) % 25 AS VARCHAR), 2, '0') AS country_code, TIMESTAMP '1998-06-01' AS event_time", "3 = 1"),
+        ("name || ' II' AS name, TIMESTAMP '2003-01-01' AS event_time", "3 IN (1, 2)"),
+    ),
+    "kafka_collection": _later(
+        "kafka_collection",
+        ("name || ' again' AS name, event_time + INTERVAL 300 DAY AS event_time", "4 = 2"),
+        ("name || ' late' AS name, TIMESTAMP '2005-01-01' AS event_time", "4 IN (2, 3)"),
+    ),
+}
+
 # target: (stage table, key column, business key parts, {part: link column}, {column: expression})
 HUBS = {
     "hub_user": ("kafka_user_history", "user_id", "user_id"),
@@ -239,6 +265,13 @@ CURRENT = {
     "now_artist": current_sql("sat_artist", "artist_id"),
 }
 
+
+def then(x: str) -> dict[str, str]:
+    """The last versions up to a date, as then_user, then_song, then_collection, then_artist."""
+    keys = {"user": "user_id", "song": "song_id", "collection": "collection_id", "artist": "artist_id"}
+    return {f"then_{name}": current_sql(f"sat_{name}", key, x) for name, key in keys.items()}
+
+
 KNOWN = {**STAGE, **LIBRARY, **VAULT, **CURRENT}
 
 

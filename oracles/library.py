@@ -57,6 +57,28 @@ def similar(same_country: bool) -> str:
           ON {same} AND a.position = floor({_uniform('t.user_id', 't.genre_id', "'0'")} * a.n_artists) + 1"""
 
 
+def suggested(same_country: bool) -> str:
+    def numbered(group: tuple[str, ...]) -> str:
+        parts = "PARTITION BY " + ", ".join(group) if group else ""
+        return f"""SELECT *, count(*) OVER ({parts}) AS n,
+            row_number() OVER ({parts} ORDER BY substr(sha256(id), 1, 2), id) AS position FROM artists"""
+
+    def picked(name: str) -> str:
+        return f"position = floor({_uniform('t.user_id', repr(name), "'0'")} * n) + 1"
+
+    home = " AND {0}.country_code = t.country_code" if same_country else ""
+    place = ("country_code",) if same_country else ()
+    return f"""
+        SELECT t.user_id, t.genre_id, s.id IS NOT NULL AS by_genre, coalesce(s.id, y.id) AS artist_id
+        FROM (SELECT u.id AS user_id, u.country_code, g.genre_id FROM users u LEFT JOIN (
+                  SELECT l.user_id, arg_min(genre_id, {draw('l.user_id, l.song_id')}) AS genre_id
+                  FROM song_likes l JOIN songs ON songs.id = l.song_id GROUP BY l.user_id) g ON g.user_id = u.id) t
+        LEFT JOIN ({numbered(('genre_id', *place))}) s
+          ON s.genre_id = t.genre_id{home.format('s')} AND s.{picked('similar').replace('* n)', '* s.n)')}
+        LEFT JOIN ({numbered(place)}) y
+          ON {'true' + home.format('y')} AND y.{picked('any').replace('* n)', '* y.n)')}"""
+
+
 def weighted(share: float, with_none: bool) -> str:
     scale = "greatest(total, 1.0)" if with_none else "total"
     return f"""
@@ -110,6 +132,9 @@ LOOKUPS = (
     ("song", "'S' || event_id", "songs", "id"), ("genre", "'Brand#' || (event_id % 40)", "genres", "id"),
 )
 
+DRAWS = """SELECT event_id AS request_id, CASE WHEN event_id % 5 <> 0 THEN lpad(CAST(event_id % 28 AS VARCHAR), 2, '0') END AS country_code,
+    CASE WHEN event_id % 3 <> 0 THEN 'Brand#' || (event_id % 40) END AS genre_id FROM events"""
+
 REQUESTED = "SELECT id AS collection_id FROM collections"
 
 QUERIES = {
@@ -135,6 +160,19 @@ QUERIES = {
         SELECT country_code, genre_id, grouping(country_code) = 0 AS by_country, grouping(genre_id) = 0 AS by_genre,
                arg_min(id, {draw('id')}) AS artist_id
         FROM artists GROUP BY GROUPING SETS ((country_code, genre_id), (country_code), (genre_id), ())""",
+    "random_song_for": f"""
+        SELECT r.request_id, r.country_code, CASE WHEN {{known_country}} THEN d.song_id END AS song_id,
+               CASE WHEN NOT ({{known_country}}) THEN 'CountryNotFound' WHEN d.song_id IS NULL THEN 'NoSong' ELSE 'ok' END AS status
+        FROM ({DRAWS}) r LEFT JOIN ({{random_song_per_country}}) d ON d.country_code IS NOT DISTINCT FROM r.country_code""",
+    "random_artist_for": f"""
+        SELECT r.*, CASE WHEN ({{known_country}}) AND ({{known_genre}}) THEN d.artist_id END AS artist_id,
+               CASE WHEN NOT ({{known_country}}) THEN 'CountryNotFound' WHEN NOT ({{known_genre}}) THEN 'GenreNotFound'
+                    WHEN d.artist_id IS NULL THEN 'NoArtist' ELSE 'ok' END AS status
+        FROM ({DRAWS}) r LEFT JOIN ({{random_artist}}) d
+          ON d.country_code IS NOT DISTINCT FROM r.country_code AND d.genre_id IS NOT DISTINCT FROM r.genre_id
+             AND d.by_country = (r.country_code IS NOT NULL) AND d.by_genre = (r.genre_id IS NOT NULL)""",
+    "suggested_artists": suggested(False),
+    "suggested_artists_at_home": suggested(True),
     "sample_rows": sample("users", "id", 5),
     "sample_rows_artists": sample("artists", "id", 1),
     "sample_rows_disabled_country": sample("countries", "code", 1, "enabled_at IS NULL"),
@@ -180,5 +218,14 @@ QUERIES = {
 }
 
 
+for _name in ("random_song_for", "random_artist_for"):
+    QUERIES[_name] = QUERIES[_name].format(
+        known_country="r.country_code IS NULL OR r.country_code IN (SELECT code FROM countries)",
+        known_genre="r.genre_id IS NULL OR r.genre_id IN (SELECT id FROM genres)",
+        random_song_per_country=QUERIES["random_song_per_country"],
+        random_artist=QUERIES["random_artist"],
+    )
+
+
 def oracles(with_ctes) -> dict[str, str]:
     return {name: with_ctes(sql, {**LIBRARY, **CTES}) for name, sql in QUERIES.items()}

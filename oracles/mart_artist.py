@@ -1,6 +1,6 @@
 """Oracle SQL of the artist mart, row by row."""
 
-from oracles.base import X, X2, current_sql
+from oracles.base import HISTORY, X, X2, then
 
 
 def ctes(x: str, corrected: bool = False) -> dict[str, str]:
@@ -8,11 +8,11 @@ def ctes(x: str, corrected: bool = False) -> dict[str, str]:
     day = f"BETWEEN {t} - INTERVAL 1 DAY AND {t}"
     week = f"BETWEEN {t} - INTERVAL 7 DAY AND {t}"
     users, songs, collections = (
-        ("now_user", "now_song", "then_collection") if corrected else ("sat_user", "sat_song", "sat_collection")
+        ("then_user", "then_song", "then_collection") if corrected else ("sat_user", "sat_song", "sat_collection")
     )
     direction = "DESC" if corrected else "ASC"
     return {
-        "then_collection": current_sql("sat_collection", "collection_id", x),
+        **then(x),
         "a_release": f"""
             SELECT o.artist_id, c.release_dt,
                    CAST(row_number() OVER (PARTITION BY o.artist_id
@@ -96,7 +96,7 @@ def ctes(x: str, corrected: bool = False) -> dict[str, str]:
 
 
 def mart(x: str, corrected: bool = False) -> str:
-    artists = "now_artist" if corrected else "sat_artist"
+    artists = "then_artist" if corrected else "sat_artist"
     return f"""
         SELECT DATE '{x}' AS actual_dtm, a.artist_id, a.name, a.country_code, a.founded_year,
                r.release_dt AS latest_release_dt, g.genre_name AS main_genre,
@@ -141,5 +141,7 @@ def oracles(with_ctes) -> dict[str, str]:
     )
     out["mart_artist"] = with_ctes(mart(X), ctes(X))
     out["mart_artist_corrected"] = with_ctes(mart(X, True), ctes(X, True))
+    for name, corrected in (("mart_artist_history", False), ("mart_artist_history_corrected", True)):
+        out[name] = with_ctes(mart(X, corrected), {**ctes(X, corrected), **HISTORY})
     out["mart_artist_2000"] = with_ctes(mart(X2), ctes(X2))
     return out

@@ -1,17 +1,18 @@
 """Oracle SQL of the song mart, written row by row (no pre-aggregation)."""
 
-from oracles.base import X, X2
+from oracles.base import HISTORY, X, X2, then
 
 
-def ctes(x: str, corrected: bool = False) -> dict[str, str]:
-    users = "now_user" if corrected else "sat_user"
-    artists = "now_artist" if corrected else "sat_artist"
+def ctes(x: str, corrected: bool = False, form: str = "then") -> dict[str, str]:
+    users = f"{form}_user" if corrected else "sat_user"
+    artists = f"{form}_artist" if corrected else "sat_artist"
     day = f"BETWEEN TIMESTAMP '{x}' - INTERVAL 1 DAY AND TIMESTAMP '{x}'"
     home = f"""
         SELECT song_id, country_code AS home_country
         FROM link_collection_song LEFT JOIN link_artist_collection USING (collection_id)
              LEFT JOIN {artists} USING (artist_id)"""
     return {
+        **then(x),
         "o_home": home,
         "o_listens": f"""
             SELECT k.song_id, f.actual_dtm, h.home_country, u.country_code AS listener_country, f.action_type
@@ -55,7 +56,7 @@ def ctes(x: str, corrected: bool = False) -> dict[str, str]:
 
 def mart(x: str, corrected: bool = False) -> str:
     songs, collections, artists = (
-        ("now_song", "now_collection", "now_artist") if corrected else ("sat_song", "sat_collection", "sat_artist")
+        ("then_song", "then_collection", "then_artist") if corrected else ("sat_song", "sat_collection", "sat_artist")
     )
     return f"""
         SELECT s.song_id, DATE '{x}' AS actual_dtm, s.name AS song_name, c.name AS collection_name, c.release_dt,
@@ -87,11 +88,13 @@ STEPS = {
 
 def oracles(with_ctes) -> dict[str, str]:
     out = {name: with_ctes(sql, ctes(X)) for name, sql in STEPS.items()}
-    out["song_listening_corrected"] = with_ctes(STEPS["song_listening"], ctes(X, True))
+    out["song_listening_corrected"] = with_ctes(STEPS["song_listening"], ctes(X, True, "now"))
     out["song_top3_countries_long"] = with_ctes(
         "SELECT song_id, rnum, listener_country FROM o_rank WHERE rnum < 4 AND listener_country IS NOT NULL", ctes(X)
     )
     out["mart_song"] = with_ctes(mart(X), ctes(X))
     out["mart_song_corrected"] = with_ctes(mart(X, True), ctes(X, True))
+    for name, corrected in (("mart_song_history", False), ("mart_song_history_corrected", True)):
+        out[name] = with_ctes(mart(X, corrected), {**ctes(X, corrected), **HISTORY})
     out["mart_song_2000"] = with_ctes(mart(X2), ctes(X2))
     return out

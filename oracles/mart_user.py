@@ -1,6 +1,6 @@
 """Oracle SQL of the user mart, row by row."""
 
-from oracles.base import X, X2, current_sql
+from oracles.base import HISTORY, X, X2, then
 
 COUNTS = (
     "home_listenings_whole_cnt, world_listenings_whole_cnt, world_listenings_1d_cnt, p10_world_listenings_1d_cnt, "
@@ -17,7 +17,7 @@ def _mean2(value: str) -> str:
 
 def ctes(x: str, corrected: bool = False) -> dict[str, str]:
     t = f"TIMESTAMP '{x}'"
-    songs, artists = ("now_song", "now_artist") if corrected else ("sat_song", "sat_artist")
+    songs, artists = ("then_song", "then_artist") if corrected else ("sat_song", "sat_artist")
     day = f"actual_dtm BETWEEN {t} - INTERVAL 1 DAY AND {t}" if corrected else f"actual_dtm BETWEEN {t} AND {t} - INTERVAL 1 DAY"
     if corrected:
         over, under = "at_time_sec::DOUBLE / duration_sec > 0.1", "at_time_sec::DOUBLE / duration_sec < 0.1"
@@ -26,7 +26,7 @@ def ctes(x: str, corrected: bool = False) -> dict[str, str]:
         over, under = "1 - ((1 - at_time_sec) // duration_sec) > 0.1", "1 - ((1 - at_time_sec) // duration_sec) < 0.1"
         percent = _mean2("CASE WHEN action_type IN ('Pause', 'Complete') THEN (at_time_sec // duration_sec) * 100 END")
     return {
-        "then_user": current_sql("sat_user", "user_id", x),
+        **then(x),
         "u_version": f"""
             SELECT user_id, registration_dtm, email, country_code, first_name, last_name, birth_dt,
                    CAST(row_number() OVER (PARTITION BY user_id ORDER BY actual_dtm DESC, row_hash) AS INT) AS rnum
@@ -126,5 +126,7 @@ def oracles(with_ctes) -> dict[str, str]:
         out[name + "_corrected"] = with_ctes(STEPS[name], ctes(X, True))
     out["mart_user"] = with_ctes(mart(), ctes(X))
     out["mart_user_corrected"] = with_ctes(mart(True), ctes(X, True))
+    for name, corrected in (("mart_user_history", False), ("mart_user_history_corrected", True)):
+        out[name] = with_ctes(mart(corrected), {**ctes(X, corrected), **HISTORY})
     out["mart_user_2000"] = with_ctes(mart(), ctes(X2))
     return out

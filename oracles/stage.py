@@ -118,6 +118,16 @@ def summary(tables: dict[str, tuple[str, str]]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _given_messages() -> str:
+    """Messages of all stage tables; `absent` are the keys of (user_id, song_id) that a payload lacks."""
+    parts = []
+    for t, (table, _, payload) in EVENTS.items():
+        absent = ",".join(f'"{k}"' for k in ("user_id", "song_id") if f"'{k}':" not in payload)
+        parts.append(f"""SELECT '{t}' AS type, data, event_id, '{table}' AS stage_table, '[{absent}]' AS absent
+            FROM ({encoded(t)}) g_{t}""")
+    return " UNION ALL ".join(parts)
+
+
 def _messages(*types: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{{"type":"{t}","data":' || data || '}}' AS value FROM ({encoded(t)}) m_{t}""" for t in types or EVENTS
@@ -160,22 +170,24 @@ def streamed_vault() -> tuple[dict[str, str], dict[str, tuple[str, str]]]:
 
 def oracles(with_ctes) -> dict[str, str]:
     def edge(sql):
-        return with_ctes(sql, EDGE)
+        return with_ctes(sql, {**EDGE, "m_given": _given_messages()})
 
     out = {
-        "decode_envelope": edge("SELECT type, data, event_id FROM e_all"),
-        "route_events": edge("SELECT event_id, type, stage_table FROM e_table"),
+        "decode_envelope": edge("SELECT type, data, event_id FROM e_all UNION ALL SELECT type, data, event_id FROM m_given"),
+        "route_events": edge("""SELECT event_id, type, stage_table FROM e_table
+            UNION ALL SELECT event_id, type, stage_table FROM m_given"""),
         "project_payload": edge(stage_sql("kafka_playback", refused=True)),
-        "surrogate_event_id": edge("SELECT data, event_id FROM e_all"),
+        "surrogate_event_id": edge("SELECT data, event_id FROM e_all UNION ALL SELECT data, event_id FROM m_given"),
         "enforce_required": edge(QUARANTINE + " AND stage_table = 'kafka_playback'"),
         "quarantined_events": edge(QUARANTINE),
         "unrouted_events": edge(UNROUTED),
-        "dedupe_events": edge("SELECT event_id, type, data FROM e_once"),
+        "dedupe_events": edge("SELECT event_id, type, data FROM e_once UNION ALL SELECT DISTINCT event_id, type, data FROM m_given"),
         "encode_event": with_ctes(_messages()),
         "resolve_event_time": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN ts ELSE TIMESTAMP '1998-01-01' END AS event_time
             FROM events""",
         "missing_fields": edge("""SELECT event_id, data, CASE WHEN kind IN (2, 7) THEN '[]' WHEN kind IN (0, 3, 6) THEN '["song_id"]'
-            WHEN kind = 4 THEN '["user_id"]' ELSE '["user_id","song_id"]' END AS missing FROM e_all"""),
+            WHEN kind = 4 THEN '["user_id"]' ELSE '["user_id","song_id"]' END AS missing FROM e_all
+            UNION ALL SELECT event_id, data, absent FROM m_given"""),
         "publish_events": with_ctes(_messages()),
         "read_events": with_ctes(_messages()),
         "append_table": with_ctes(summary({t: (f"SELECT * FROM {t}", stage_columns(t)) for t in COLUMNS})),

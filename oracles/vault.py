@@ -1,7 +1,7 @@
 """Oracle SQL of the 21 loads: first load, and second load against rows before the cut date."""
 
 from oracles.base import (
-    _b64, _uniform, CUT, GENRE_SQL, HUBS, LINKS, LSATS, SATS, cost_sql, hub_sql, link_sql, lsat_sql, sat_sql,
+    _b64, _uniform, CUT, GENRE_SQL, HUBS, LINKS, LSATS, SATS, STAGE, cost_sql, hub_sql, link_sql, lsat_sql, sat_sql,
 )
 
 BEFORE = f"event_time < TIMESTAMP '{CUT}'"
@@ -40,6 +40,21 @@ def oracles(with_ctes) -> dict[str, str]:
         key = t.removeprefix("lsat_") + "_id"
         out[t] = with_ctes(lsat_sql(t))
         out[t + "_second_load"] = with_ctes(second(lsat_sql(t), lsat_sql(t, BEFORE), (key, "actual_dtm")))
+    # updates that lack fields, as the last version of their key fills them in
+    updates = {
+        "sat_song": ("kafka_song", "CAST(duration_sec + 30 AS INT) AS duration_sec, TIMESTAMP '1998-01-01' AS event_time",
+                     "CAST(substr(id, 2) AS BIGINT) % 7 = 3"),
+        "sat_artist": ("kafka_artist", "TIMESTAMP '1998-06-01' AS event_time", "CAST(substr(id, 2) AS BIGINT) % 3 = 1"),
+        "sat_user": ("kafka_user_history", "last_name || ' Jr' AS last_name, TIMESTAMP '2004-01-01' AS event_time, "
+                     "coalesce(newer, email) AS email",
+                     "email NOT LIKE '%.new@example.com' AND CAST(substr(user_id, 2) AS BIGINT) % 5 = 0"),
+    }
+    for t, (stage, columns, where) in updates.items():
+        rows = f"SELECT * FROM ({STAGE[stage]}) b"
+        if t == "sat_user":
+            rows = f"""SELECT b.*, n.newer FROM ({STAGE[stage]}) b LEFT JOIN (SELECT user_id, email AS newer
+                FROM ({STAGE[stage]}) m WHERE email LIKE '%.new@example.com') n USING (user_id)"""
+        out[t + "_filled_load"] = with_ctes(sat_sql(t), {stage: f"SELECT * REPLACE ({columns}) FROM ({rows}) u WHERE {where}"})
     # loaded in two parts that share moments: the same as one load
     for t in ("sat_session", "sat_user_subscription"):
         out[t + "_split_load"] = with_ctes(sat_sql(t))

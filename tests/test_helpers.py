@@ -57,6 +57,44 @@ def test_more_choices_than_cells(spark):
     assert {r.id: r.choice for r in got} == {i: expected_choice(weights, i, False) for i in range(300)}
 
 
+def test_one_choice_with_nearly_all_the_weight(spark):
+    """It covers whole blocks of cells, and shares cells with the small ones."""
+    weights = {f"c{i}": 1 / 1024 for i in range(40)} | {"big": 200.0}
+    choices = spark.createDataFrame(list(weights.items()), "choice string, weight double")
+    got = activity.weighted_choice(spark.range(2000), choices, "id").collect()
+    assert len(got) == 2000
+    assert {r.id: r.choice for r in got} == {i: expected_choice(weights, i, False) for i in range(2000)}
+
+
+def test_draws_for_requests(spark):
+    artists = spark.createDataFrame([("a", "01", "g"), ("b", None, None)], "id string, country_code string, genre_id string")
+    songs = spark.createDataFrame([("s", "a")], "id string, artist_id string")
+    countries = spark.createDataFrame([("01",), ("02",)], "code string")
+    genres = spark.createDataFrame([("g",), ("h",)], "id string")
+    wanted = [(1, "01", None), (2, "02", "g"), (3, "xx", "zz"), (4, "01", "zz"), (5, None, "h"), (6, None, "g")]
+    requests = spark.createDataFrame(wanted, "request_id int, country_code string, genre_id string")
+    songs_drawn = catalogue.random_song_for(requests.drop("genre_id"), songs, artists, countries).collect()
+    assert {r.request_id: (r.song_id, r.status) for r in songs_drawn} == {
+        1: ("s", "ok"), 2: (None, "NoSong"), 3: (None, "CountryNotFound"), 4: ("s", "ok"), 5: ("s", "ok"), 6: ("s", "ok")
+    }
+    drawn = catalogue.random_artist_for(requests, artists, countries, genres).collect()
+    assert {r.request_id: (r.artist_id, r.status) for r in drawn} == {
+        1: ("a", "ok"), 2: (None, "NoArtist"), 3: (None, "CountryNotFound"), 4: (None, "GenreNotFound"),
+        5: (None, "NoArtist"), 6: ("a", "ok"),
+    }
+
+
+def test_any_artist_where_none_has_the_genre(spark):
+    users = spark.createDataFrame([("u", "01"), ("v", "01"), ("w", "02")], "id string, country_code string")
+    likes = spark.createDataFrame([("u", "s"), ("v", "t")], "user_id string, song_id string")
+    songs = spark.createDataFrame([("s", "g"), ("t", "h")], "id string, genre_id string")
+    artists = spark.createDataFrame([("a", "01", "g")], "id string, country_code string, genre_id string")
+    rows = catalogue.suggested_artists(users, likes, songs, artists).collect()
+    assert {r.user_id: (r.by_genre, r.artist_id) for r in rows} == {"u": (True, "a"), "v": (False, "a"), "w": (False, "a")}
+    home = catalogue.suggested_artists(users, likes, songs, artists, same_country=True).collect()
+    assert {r.user_id: r.artist_id for r in home} == {"u": "a", "v": "a", "w": None}
+
+
 def test_documents_have_one_layout_for_any_size(spark):
     collections = spark.createDataFrame(
         [("c", "n", "LP", "a", "g", "1990-01-01"), ("d", "n", "LP", "a", "g", "1990-01-01")],

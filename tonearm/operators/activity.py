@@ -81,7 +81,9 @@ def weighted_choice(
 
     Choices get adjoining ranges of a running total; a request draws a point. Point and
     ranges meet in the cells of a grid as fine as there are choices: an equi join, in which
-    a request sees about two ranges, however many choices there are. With `with_none`, a
+    a request sees about two ranges, however many choices there are. Cells lie in blocks of
+    their square root; a range names the cells of its first and last block and the blocks between,
+    so that a choice with nearly all the weight is no long list either. With `with_none`, a
     total below 1 leaves the rest of the unit range to "no choice".
     """
     ranges = running_total(choices, [], "choice", F.col("weight").cast("double"), prefix="upto")
@@ -93,13 +95,29 @@ def weighted_choice(
         ((F.col("upto") - F.col("weight")) / scale).alias("low"),
         (F.col("upto") / scale).alias("high"),
     )
-    tiled = ranges.where(F.col("high") > F.col("low")).withColumn(
-        "cell", F.explode(F.sequence(F.floor(F.col("low") * cells), F.floor(F.col("high") * cells)))
+    block = F.ceil(F.sqrt(cells.cast("double")))
+
+    def steps(start: Column, end: Column) -> Column:
+        return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<bigint>"))
+
+    first, last = F.floor(F.col("low") * cells), F.floor(F.col("high") * cells)
+    spans = ranges.where(F.col("high") > F.col("low")).withColumns(
+        {"first": first, "last": last, "head": F.floor(first / block), "tail": F.floor(last / block)}
     )
+    head_end = F.least(F.col("last"), (F.col("head") + 1) * block - 1)
+    tail_start = F.greatest(F.col("tail") * block, head_end + 1)
+    near = F.concat(steps(F.col("first"), head_end), steps(tail_start, F.col("last")))
+    tiles = {"cell": near, "block": steps(F.col("head") + 1, F.col("tail") - 1)}
+
     point = hash_uniform(F.col(request_key), seed)
     drawn = requests.select(request_key).withColumn("point", point).withColumn("cell", F.floor(point * cells))
-    hit = (drawn["cell"] == tiled["cell"]) & (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
-    return drawn.join(tiled, hit, "left").select(request_key, "choice")
+    drawn = drawn.withColumn("block", F.floor(F.col("cell") / block))
+    for level, places in tiles.items():
+        names = {f"{level}_{n}": F.col(n) for n in ("choice", "low", "high")}
+        tiled = spans.select(*[c.alias(n) for n, c in names.items()], F.explode(places).alias("_place"))
+        within = (F.col("point") >= F.col(level + "_low")) & (F.col("point") < F.col(level + "_high"))
+        drawn = drawn.join(tiled, (F.col(level) == F.col("_place")) & within, "left").drop("_place")
+    return drawn.select(request_key, F.coalesce("cell_choice", "block_choice").alias("choice"))
 
 
 def artist_last_release(collections: DataFrame) -> DataFrame:

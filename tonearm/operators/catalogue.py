@@ -95,6 +95,54 @@ def random_artist(artists: DataFrame, seed: str = "0") -> DataFrame:
     )
 
 
+def _known(table: DataFrame, key: str, name: str) -> DataFrame:
+    return table.select(F.col(key).alias(name)).distinct().withColumn("_known_" + name, F.lit(True))
+
+
+def _unknown(name: str, status: str) -> Column:
+    return F.when(F.col(name).isNotNull() & F.col("_known_" + name).isNull(), status)
+
+
+def random_song_for(
+    requests: DataFrame, songs: DataFrame, artists: DataFrame, countries: DataFrame, seed: str = "0"
+) -> DataFrame:
+    """Requests with a `country_code` (NULL: any) -> `song_id` and `status`: 'ok', 'NoSong' or 'CountryNotFound'."""
+    drawn = random_song_per_country(songs, artists, seed).select(F.col("country_code").alias("_country"), "song_id")
+    answered = requests.join(_known(countries, "code", "country_code"), "country_code", "left").join(
+        drawn, F.col("country_code").eqNullSafe(F.col("_country")), "left"
+    )
+    refused = _unknown("country_code", "CountryNotFound")
+    status = F.coalesce(refused, F.when(F.col("song_id").isNull(), "NoSong"), F.lit("ok"))
+    return answered.select(*requests.columns, F.when(refused.isNull(), F.col("song_id")).alias("song_id"), status.alias("status"))
+
+
+def random_artist_for(
+    requests: DataFrame, artists: DataFrame, countries: DataFrame, genres: DataFrame, seed: str = "0"
+) -> DataFrame:
+    """Requests with a `country_code` and a `genre_id` (NULL: any) -> `artist_id` and `status`: 'ok',
+    'NoArtist', 'CountryNotFound' or, for a known country, 'GenreNotFound'."""
+    filters = ("country_code", "genre_id")
+    drawn = random_artist(artists, seed).select(
+        *[F.col(f).alias("_" + f) for f in filters], "by_country", "by_genre", "artist_id"
+    )
+    same = (
+        F.col("country_code").eqNullSafe(F.col("_country_code"))
+        & F.col("genre_id").eqNullSafe(F.col("_genre_id"))
+        & (F.col("country_code").isNotNull() == F.col("by_country"))
+        & (F.col("genre_id").isNotNull() == F.col("by_genre"))
+    )
+    answered = (
+        requests.join(_known(countries, "code", "country_code"), "country_code", "left")
+        .join(_known(genres, "id", "genre_id"), "genre_id", "left")
+        .join(drawn, same, "left")
+    )
+    refused = F.coalesce(_unknown("country_code", "CountryNotFound"), _unknown("genre_id", "GenreNotFound"))
+    status = F.coalesce(refused, F.when(F.col("artist_id").isNull(), "NoArtist"), F.lit("ok"))
+    return answered.select(
+        *requests.columns, F.when(refused.isNull(), F.col("artist_id")).alias("artist_id"), status.alias("status")
+    )
+
+
 def sample_rows(rows: DataFrame, key: str, n: int, seed: str = "0") -> DataFrame:
     """`n` random rows: per-partition top n by hash, merged. Nothing else is sorted or moved."""
     return rows.withColumn("_draw", draw_order(F.col(key), seed)).orderBy("_draw").limit(n).drop("_draw")
@@ -130,6 +178,45 @@ def same_genre_artists(
     )
 
 
+def suggested_artists(
+    users: DataFrame,
+    likes: DataFrame,
+    songs: DataFrame,
+    artists: DataFrame,
+    seed: str = "0",
+    same_country: bool = False,
+) -> DataFrame:
+    """An artist to listen to next for every user: one of the genre of a drawn liked song, or any artist
+    where there is none (`by_genre` is false), with `same_country` of the user's country.
+
+    The genre is a running minimum over the likes; artists are looked up by their number in the
+    genre or country, as in `same_genre_artists`.
+    """
+    place = ["country_code"] if same_country else []
+    people = users.select(F.col("id").alias("user_id"), "country_code")
+    genre_of = songs.select(F.col("id").alias("song_id"), "genre_id")
+    first = F.min(F.struct(draw_order(F.col("user_id"), F.col("song_id"), seed).alias("draw"), F.col("genre_id").alias("genre_id")))
+    taste = likes.join(genre_of, "song_id").groupBy("user_id").agg(first["genre_id"].alias("genre_id"))
+
+    def pick(rows: DataFrame, group: list[str], name: str) -> DataFrame:
+        numbered = positions(artists.select(*group, F.col("id").alias(name)), group, name)
+        sizes = artists.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+        if group:
+            rows = rows.join(sizes, group, "left")
+        else:
+            rows = rows.withColumn("_n", sizes.select("_n").scalar())
+        draw = F.floor(hash_uniform(F.col("user_id"), F.lit(name), seed) * F.col("_n")) + 1
+        return rows.withColumn("position", draw).join(
+            numbered.drop("position_all"), [*group, "position"], "left"
+        ).drop("position", "_n")
+
+    chosen = pick(people.join(taste, "user_id", "left"), ["genre_id", *place], "similar")
+    chosen = pick(chosen, place, "any")
+    return chosen.select(
+        "user_id", "genre_id", F.col("similar").isNotNull().alias("by_genre"), F.coalesce("similar", "any").alias("artist_id")
+    )
+
+
 def catalogue_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
     """References to a country, genre, artist or collection that does not exist."""
     references = (

@@ -26,10 +26,10 @@ def day_before(execution_dt: str, days: int = 1) -> Column:
     return midnight(execution_dt) - F.expr(f"INTERVAL '{days}' DAY")
 
 
-def current(tables: Mapping[str, DataFrame], **as_of: str) -> LazyTables:
+def current(tables: Mapping[str, DataFrame], execution_dt: str | None = None) -> LazyTables:
     """The same tables with only the last version of each user, song, collection and artist.
 
-    `as_of` gives, per table, the date up to which versions count, e.g. `sat_user="1999-06-01"`.
+    With a date, versions up to it count, so that a mart for an old date can be repeated later.
     """
 
     def pick(name: str) -> DataFrame:
@@ -37,8 +37,8 @@ def current(tables: Mapping[str, DataFrame], **as_of: str) -> LazyTables:
         if key is None:
             return tables[name]
         versions = tables[name]
-        if name in as_of:
-            versions = versions.where(F.col("actual_dtm") <= midnight(as_of[name]))
+        if execution_dt is not None:
+            versions = versions.where(F.col("actual_dtm") <= midnight(execution_dt))
         return latest_version(versions, key)
 
     return LazyTables({name: (lambda name=name: pick(name)) for name in tables})

@@ -272,7 +272,7 @@ def artist_followed(tables: Tables, execution_dt: str) -> DataFrame:
 
 
 def mart_artist(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
-    tables = current(tables, sat_collection=execution_dt) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     release = artist_latest_release(tables, execution_dt, corrected, first_only=True)
     genre = artist_main_genre_rank(artist_main_genre(tables, execution_dt), first_only=True)
     countries = _listened_artists(artist_listen_country(tables, execution_dt), tables)

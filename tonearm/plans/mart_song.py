@@ -118,13 +118,13 @@ def _listens_per_song_country(tables: Tables, execution_dt: str) -> DataFrame:
 
 
 def song_listening_agg(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
-    tables = current(tables) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     return _listens_per_song_country(tables, execution_dt).groupBy("song_id").agg(*_song_counts())
 
 
 def song_listening_countries(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
     """Starts per (song, listener country)."""
-    tables = current(tables) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     started = _listens_per_song_country(tables, execution_dt).where(F.col("starts") > 0)
     starts = F.when(F.col("song_id").isNull(), 0).otherwise(F.col("starts"))
     return started.select("song_id", "listener_country", starts.alias("listenings_by_country"))
@@ -166,7 +166,7 @@ def song_likes_countries(tables: Tables, corrected: bool = False) -> DataFrame:
 
 
 def song_likes_agg(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
-    tables = current(tables) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     last_day = F.col("actual_dtm").between(day_before(execution_dt), midnight(execution_dt))
     per_key = tables["lsat_session_song_user_like"].groupBy(LIKE).agg(
         F.count(F.lit(1)).alias("likes"), _count(last_day).alias("likes_1d")
@@ -196,7 +196,7 @@ def song_likes_agg(tables: Tables, execution_dt: str, corrected: bool = False) -
 
 
 def mart_song(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
-    tables = current(tables) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     listened = _listened_songs(tables, execution_dt).where(F.col("world_listenings") > 0)
     likes = song_likes_agg(tables, execution_dt)
 

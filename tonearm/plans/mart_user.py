@@ -100,7 +100,7 @@ def _current_users(tables: Tables, execution_dt: str) -> DataFrame:
 
 
 def user_listenings(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
-    tables = current(tables, sat_user=execution_dt) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     return (
         _listens(tables, execution_dt)
         .join(_current_users(tables, execution_dt), "user_id")
@@ -172,7 +172,7 @@ def _mean(total: str, count: str, exact: bool) -> Column:
 
 def user_listenings_agg(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
     """Measures per user, (user, genre), (user, artist) and (user, song); `level` names the set."""
-    tables = current(tables, sat_user=execution_dt) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     measures = _listen_measures(corrected)
     names = ["genre_name", "artist_name", "song_name"]
     per_song = (
@@ -271,7 +271,7 @@ def _listener_profiles(agg: DataFrame, corrected: bool) -> DataFrame:
 
 
 def mart_user(tables: Tables, execution_dt: str, corrected: bool = False) -> DataFrame:
-    tables = current(tables, sat_user=execution_dt) if corrected else tables
+    tables = current(tables, execution_dt) if corrected else tables
     subscriptions = user_subscriptions(tables, execution_dt, corrected)
     agg = user_listenings_agg(tables, execution_dt, corrected)
     profiles = _listener_profiles(agg, corrected)

@@ -12,7 +12,7 @@ from tonearm.operators.vault import latest_version, load
 from tonearm.plans import mart_artist, mart_song, mart_user
 from tonearm.plans.load_plan import derive_vault
 from tonearm.plans.specs import BY_TARGET, SPECS
-from tonearm.sources.fixtures import given_tables, library_tables, stage_tables
+from tonearm.sources.fixtures import given_tables, incomplete_updates, library_tables, stage_tables, with_history
 
 EXECUTION_DT = "1999-06-01"
 SECOND_DT = "2000-03-15"
@@ -81,6 +81,19 @@ def _split_load(target: str, first: Callable[[], Column], twin: str | None = Non
     return query(build)
 
 
+def _filled_load(target: str) -> Query:
+    """Updates that lack fields, on top of the whole stage; the last version of the key fills them in."""
+    spec = BY_TARGET[target]
+    return query(
+        lambda c: load(spec, incomplete_updates(c.stage)[spec.stage], load(spec, c.stage[spec.stage]), corrected=True)
+    )
+
+
+def _history(c: Context) -> Mapping[str, DataFrame]:
+    """The warehouse of a catalogue whose songs, artists and collections have changed."""
+    return derive_vault(with_history(c.stage))
+
+
 def _keys_of_users(c: Context) -> DataFrame:
     user, session = F.col("user_id"), F.col("session_id")
     return c.stage["kafka_user_subscription"].select(
@@ -102,6 +115,8 @@ def vault_queries() -> dict[str, Query]:
         out[spec.target + "_second_load"] = _second_load(spec.target, **literal)
         if spec.kind == "sat":
             out[spec.target + "_second_load_corrected"] = _second_load(spec.target, corrected=True)
+    for target in ("sat_song", "sat_artist", "sat_user"):
+        out[target + "_filled_load"] = _filled_load(target)
     even = lambda column: lambda: F.crc32(F.col(column)) % 2 == 0
     out["sat_session_split_load"] = _split_load("sat_session", even("session_id"))
     out["sat_user_subscription_split_load"] = _split_load("sat_user_subscription", even("user_id"))
@@ -128,6 +143,8 @@ def song_queries() -> dict[str, Query]:
         "song_likes_agg": query(lambda c: m.song_likes_agg(c.vault, x)),
         "mart_song": query(lambda c: lists_as_json(m.mart_song(c.vault, x))),
         "mart_song_corrected": query(lambda c: lists_as_json(m.mart_song(c.vault, x, corrected=True))),
+        "mart_song_history": query(lambda c: lists_as_json(m.mart_song(_history(c), x))),
+        "mart_song_history_corrected": query(lambda c: lists_as_json(m.mart_song(_history(c), x, corrected=True))),
         "mart_song_2000": query(lambda c: lists_as_json(m.mart_song(c.vault, SECOND_DT))),
     }
 
@@ -153,6 +170,8 @@ def artist_queries() -> dict[str, Query]:
         "artist_followed": query(lambda c: m.artist_followed(c.vault, x)),
         "mart_artist": query(lambda c: lists_as_json(m.mart_artist(c.vault, x))),
         "mart_artist_corrected": query(lambda c: lists_as_json(m.mart_artist(c.vault, x, corrected=True))),
+        "mart_artist_history": query(lambda c: lists_as_json(m.mart_artist(_history(c), x))),
+        "mart_artist_history_corrected": query(lambda c: lists_as_json(m.mart_artist(_history(c), x, corrected=True))),
         "mart_artist_2000": query(lambda c: lists_as_json(m.mart_artist(c.vault, SECOND_DT))),
     }
 
@@ -178,6 +197,8 @@ def user_queries() -> dict[str, Query]:
         "user_payments": query(lambda c: m.user_payments(subscriptions(c), c.vault, x)),
         "mart_user": query(lambda c: lists_as_json(m.mart_user(c.vault, x))),
         "mart_user_corrected": query(lambda c: lists_as_json(m.mart_user(c.vault, x, corrected=True))),
+        "mart_user_history": query(lambda c: lists_as_json(m.mart_user(_history(c), x))),
+        "mart_user_history_corrected": query(lambda c: lists_as_json(m.mart_user(_history(c), x, corrected=True))),
         "mart_user_2000": query(lambda c: lists_as_json(m.mart_user(c.vault, SECOND_DT))),
     }
 

@@ -57,6 +57,16 @@ def _like_lists(c: Context) -> DataFrame:
     return c.library["users"].select(F.col("id").alias("user_id"), one.alias("artist_id"))
 
 
+def _draw_requests(c: Context) -> DataFrame:
+    """A request per event: for a country, a genre, both or neither; some of them unknown."""
+    number = F.col("event_id")
+    return c.given["events"].select(
+        number.alias("request_id"),
+        F.when(number % 5 != 0, F.lpad((number % 28).cast("string"), 2, "0")).alias("country_code"),
+        F.when(number % 3 != 0, F.concat(F.lit("Brand#"), (number % 40).cast("string"))).alias("genre_id"),
+    )
+
+
 def _staggered_countries(c: Context) -> DataFrame:
     """Countries enabled on different days."""
     later = F.make_dt_interval(F.col("code").cast("int"))
@@ -82,6 +92,9 @@ def library_queries() -> dict[str, Query]:
     similar = lambda c, **options: k.same_genre_artists(
         c.library["users"], c.library["song_likes"], c.library["songs"], c.library["artists"], **options
     )
+    suggested = lambda c, **options: k.suggested_artists(
+        c.library["users"], c.library["song_likes"], c.library["songs"], c.library["artists"], **options
+    )
     draw = lambda c, share, **options: a.weighted_choice(
         c.given["events"], _choices(c, share), "event_id", **options
     )
@@ -100,6 +113,16 @@ def library_queries() -> dict[str, Query]:
             lambda c: k.random_song_per_country(c.library["songs"], c.library["artists"])
         ),
         "random_artist": query(lambda c: k.random_artist(c.library["artists"])),
+        "random_song_for": query(
+            lambda c: k.random_song_for(
+                _draw_requests(c).drop("genre_id"), c.library["songs"], c.library["artists"], c.library["countries"]
+            )
+        ),
+        "random_artist_for": query(
+            lambda c: k.random_artist_for(
+                _draw_requests(c), c.library["artists"], c.library["countries"], c.library["genres"]
+            )
+        ),
         "sample_rows": query(lambda c: k.sample_rows(c.library["users"], "id", 5)),
         "sample_rows_artists": query(lambda c: k.sample_rows(c.library["artists"], "id", 1)),
         "sample_rows_disabled_country": query(
@@ -118,6 +141,8 @@ def library_queries() -> dict[str, Query]:
         ),
         "same_genre_artists": query(similar),
         "same_genre_artists_at_home": query(lambda c: similar(c, same_country=True)),
+        "suggested_artists": query(lambda c: suggested(c)),
+        "suggested_artists_at_home": query(lambda c: suggested(c, same_country=True)),
         "country_decay_weight": query(
             lambda c: _rounded(a.country_decay_weight(_staggered_countries(c), _midnight(WEIGHTS_AT)))
         ),

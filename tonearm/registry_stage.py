@@ -17,7 +17,8 @@ from tonearm.streaming.popularity import append_popularity, read_popularity
 
 
 def _edges(c: Context) -> DataFrame:
-    return ops.decode_envelope(edge_messages(c.given))
+    """All messages of the stage tables, and the edge cases."""
+    return ops.decode_envelope(messages_of(c.stage).unionByName(edge_messages(c.given)))
 
 
 def _messages(c: Context, *tables: str) -> DataFrame:

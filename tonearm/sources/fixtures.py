@@ -203,6 +203,67 @@ def stage_tables(given: Mapping[str, DataFrame]) -> LazyTables:
     )
 
 
+def with_history(stage: Mapping[str, DataFrame]) -> LazyTables:
+    """The stage tables with further versions of some songs, artists and collections, before and after
+    the dates of the marts."""
+    col = F.col
+    number = F.substring("id", 2, 20).cast("bigint")
+
+    def versions(name: str, *changes: tuple[Column, dict[str, Column]]) -> DataFrame:
+        rows = stage[name]
+        out = rows
+        for which, columns in changes:
+            out = out.unionByName(rows.where(which).withColumns(columns))
+        return out
+
+    def renamed(suffix: str) -> Column:
+        return F.concat("name", F.lit(suffix))
+
+    songs = lambda: versions(
+        "kafka_song",
+        (
+            number % 7 == 3,
+            {"name": renamed(" live"), "duration_sec": col("duration_sec") + 30, "event_time": _ntz("1998-01-01")},
+        ),
+        ((number % 7).isin(3, 4), {"name": renamed(" lost"), "event_time": _ntz("2002-01-01")}),
+    )
+    artists = lambda: versions(
+        "kafka_artist",
+        (
+            number % 3 == 1,
+            {"country_code": _two_digits((col("country_code").cast("int") + 1) % 25), "event_time": _ntz("1998-06-01")},
+        ),
+        ((number % 3).isin(1, 2), {"name": renamed(" II"), "event_time": _ntz("2003-01-01")}),
+    )
+    collections = lambda: versions(
+        "kafka_collection",
+        (number % 4 == 2, {"name": renamed(" again"), "event_time": col("event_time") + F.expr("INTERVAL 300 DAYS")}),
+        ((number % 4).isin(2, 3), {"name": renamed(" late"), "event_time": _ntz("2005-01-01")}),
+    )
+    changed = {"kafka_song": songs, "kafka_artist": artists, "kafka_collection": collections}
+    return LazyTables({name: changed.get(name, lambda name=name: stage[name]) for name in stage})
+
+
+def incomplete_updates(stage: Mapping[str, DataFrame]) -> LazyTables:
+    """Updates of some songs, artists and users that lack fields their first version has."""
+    col, text = F.col, F.lit(None).cast("string")
+    number = lambda key: F.substring(key, 2, 20).cast("bigint")
+    first_users = lambda: stage["kafka_user_history"].where(~col("email").endswith(".new@example.com"))
+    return LazyTables(
+        {
+            "kafka_song": lambda: stage["kafka_song"].where(number("id") % 7 == 3).withColumns(
+                {"name": text, "duration_sec": col("duration_sec") + 30, "event_time": _ntz("1998-01-01")}
+            ),
+            "kafka_artist": lambda: stage["kafka_artist"].where(number("id") % 3 == 1).withColumns(
+                {"country_code": text, "founded_year": F.lit(None).cast("int"), "event_time": _ntz("1998-06-01")}
+            ),
+            "kafka_user_history": lambda: first_users().where(number("user_id") % 5 == 0).withColumns(
+                {"email": text, "last_name": F.concat("last_name", F.lit(" Jr")), "event_time": _ntz("2004-01-01")}
+            ),
+        }
+    )
+
+
 def library_tables(given: Mapping[str, DataFrame], stage: Mapping[str, DataFrame]) -> LazyTables:
     """Catalogue tables (countries, genres, artists, ...) and batches of requests against them."""
     col = F.col
