@@ -148,6 +148,13 @@ def test_near_duplicates_against_brute_force(spark, make, monkeypatch):
             for _ in range(rng.integers(0, 5)):
                 copy[rng.integers(len(copy))] = str(rng.choice(vocabulary))
             texts.append(" ".join(copy))
+    # one large group of many components, and a chain: each text is like the next, but not like the last
+    for _ in range(60):
+        copy = list(vocabulary[:40])
+        for _ in range(rng.integers(0, 4)):
+            copy[rng.integers(len(copy))] = str(rng.choice(vocabulary))
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"z{k}" for k in range(2 * i, 2 * i + 60)) for i in range(40)]
     sizes, roots = brute_components(texts)
     for block in (near_duplicates.BLOCK_SHINGLES, 400):  # whole clusters, and clusters in blocks
         monkeypatch.setattr(near_duplicates, "BLOCK_SHINGLES", block)

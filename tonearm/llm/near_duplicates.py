@@ -15,8 +15,11 @@ its table, and the components of these edges are the clusters in which links can
 a cluster, the members are compared on their whole sets: a member is compared with all others
 at once by counting, over an index of the cluster's shingles. Pairs within a component that
 is already linked need no comparison, so that most members of a group of copies are never
-taken up; all other pairs are compared. Clusters with many shingles are cut into blocks, and
-each two blocks meet in one task. No pair is capped or sampled.
+taken up; all other pairs are compared. Clusters with many shingles are cut into blocks. Each
+block is linked by itself, then the central members of the blocks among themselves, which
+makes one component of a large group of copies in work linear in its size. What remains of such
+a cluster, the members outside its largest component, meets all of the cluster block by block.
+No pair is capped or sampled.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tonearm.llm.blocks import mapped, runs, written
 from tonearm.llm.components import connected_components
@@ -37,7 +40,7 @@ SHINGLE = 3
 COLLECTIONS, HASHES = 12, 2
 PERCENT = 85
 BLOCK_SHINGLES = 200_000
-#: Cluster members that may be broadcast to the texts: 48 bytes each, under 10 MB. More are joined by a shuffle.
+#: Tasks of cluster members that may be broadcast to the texts: about 150 bytes each, 30 MB. More are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 _SEEDS = mix(np.arange(1, 2 * COLLECTIONS * HASHES + 1, dtype=U64) * ODD)
@@ -114,8 +117,11 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
     return keyed.join(leads, "key").where("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
 
 
-def linked(names: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
-    """Links that connect what is similar: a spanning forest of the similarity graph of these sets."""
+def linked(
+    names: list[bytes], sets: list[np.ndarray], labels: list[bytes] | None = None
+) -> tuple[list[tuple[bytes, bytes]], bytes]:
+    """Links that connect what is similar: a spanning forest of the similarity graph of these sets, of
+    which those with equal labels are connected already. Also gives the most central one."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(n), sizes)
@@ -127,6 +133,9 @@ def linked(names: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, byte
     common = np.diff(edges)
     central = np.add.reduceat(common[code].astype(np.float64), bounds[:-1]) / sizes
     label, taken, links = np.arange(n), np.zeros(n, bool), []
+    if labels is not None:
+        label = pd.factorize(np.array(labels, dtype=object))[0].astype(np.int64)
+    fresh = bool((np.bincount(label) == 1).all())
     while True:
         left = np.flatnonzero(~taken)
         if not len(left):
@@ -135,8 +144,9 @@ def linked(names: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, byte
         main = np.bincount(of).argmax()
         if (of == main).all():
             break
-        # The most central one first; then those outside the largest component, until it holds all that are left.
-        choice = left[of != main] if taken.any() else left
+        # The most central one first, where none are connected yet; then those outside the largest
+        # component, until it holds all that are left.
+        choice = left if fresh and not taken.any() else left[of != main]
         one = choice[central[choice].argmax()]
         taken[one] = True
         own = code[bounds[one] : bounds[one + 1]]
@@ -148,7 +158,7 @@ def linked(names: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, byte
             if label[other] != label[one]:
                 links.append((names[one], names[other]))
                 label[label == label[other]] = label[one]
-    return links
+    return links, names[int(central.argmax())]
 
 
 def _sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,17 +174,19 @@ def _sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bodies.append(members.tobytes())
             chosen = rows.take(pa.array(kept, pa.int64()))
             yield batch(
-                root=chosen.column("root"), node=chosen.column("node"), blocks=chosen.column("blocks"),
+                node=chosen.column("node"), label=chosen.column("label"), tasks=chosen.column("tasks"),
                 body=(bodies, pa.binary()),
             )
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the members of each task, and its most central member as a link to itself."""
     found = []
     for _, members in runs(batches, "task"):
-        sets = {row["node"].to_pybytes(): np.frombuffer(row["body"].to_pybytes(), U64) for row in members}
-        if len(sets) > 1:
-            found += linked(list(sets), list(sets.values()))
+        own = {row["node"].to_pybytes(): row for row in members}
+        sets = [np.frombuffer(row["body"].to_pybytes(), U64) for row in own.values()]
+        links, centre = linked(list(own), sets, [row["label"].to_pybytes() for row in own.values()])
+        found += [*links, (centre, centre)]
         if len(found) > 10_000:
             yield batch(u=([a for a, _ in found], pa.binary()), v=([b for _, b in found], pa.binary()))
             found = []
@@ -182,24 +194,77 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(u=([a for a, _ in found], pa.binary()), v=([b for _, b in found], pa.binary()))
 
 
-def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Verified links (u, v) between classes of the same cluster."""
-    spark = texts.sparkSession
-    members = classes.join(clusters, "node")
+def _compared(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Links found in tasks; `members` has member_id, node, the label of what is connected already, and tasks."""
+    members = written(members.select("member_id", "node", "label", "tasks"), "near-tasks")
+    side = F.broadcast(members) if members.agg(F.coalesce(F.sum(F.size("tasks")), F.lit(0))).first()[0] <= BROADCAST_ROWS else members
+    with_text = texts.join(side, texts.doc_id.eqNullSafe(side.member_id)).select("text", "node", "label", "tasks")
+    sets = with_text.transform(mapped, _sets_of, "node binary, label binary, tasks array<string>, body binary")
+    dealt = sets.select(F.explode("tasks").alias("task"), "node", "label", "body")
+    dealt = dealt.repartition("task").sortWithinPartitions("task")
+    return written(dealt.transform(mapped, _compare, "u binary, v binary"), "near-links")
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Adds into how many blocks the cluster (`root`) of a member is cut."""
     blocks = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    members = written(
-        members.join(blocks, "root").select(F.col("doc_id").alias("member_id"), "node", "root", "blocks"), "near-members"
+    return members.join(blocks, "root")
+
+
+def _block_of(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+
+
+def _rest_and_all(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Tasks in which the members outside the largest component of a cluster meet all of its members."""
+    roots = connected_components(links, "near-blocks").withColumnRenamed("root", "connected")
+    labelled = members.join(roots, "node", "left").withColumn("label", F.coalesce("connected", "node"))
+    sizes = labelled.groupBy("root", "label").agg(F.sum("n_shingles").alias("size"))
+    largest = sizes.groupBy("root").agg(
+        F.max(F.struct("size", "label")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("n")
     )
-    side = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
-    with_text = texts.join(side, texts.doc_id.eqNullSafe(side.member_id)).select("text", "node", "root", "blocks")
-    sets = with_text.transform(mapped, _sets_of, "root binary, node binary, blocks int, body binary")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    spread = sets.select(
-        "root", "node", "body", block.alias("b"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    cut = largest.where("n > 1").select(
+        "root", F.col("main.label").alias("main"),
+        F.ceil(F.col("main.size") / BLOCK_SHINGLES).cast("int").alias("main_blocks"),
+        F.ceil((F.col("all") - F.col("main.size")) / BLOCK_SHINGLES).cast("int").alias("rest_blocks"),
     )
-    task = F.concat_ws("/", F.hex("root"), F.least("b", "other"), F.greatest("b", "other"))
-    dealt = spread.select(task.alias("task"), "node", "body").repartition("task").sortWithinPartitions("task")
-    return dealt.transform(mapped, _compare, "u binary, v binary")
+    placed = labelled.join(cut, "root").withColumn("name", F.hex("root"))
+    main = placed.where("label = main").withColumn("b", _block_of("main_blocks")).withColumn(
+        "tasks", F.expr("transform(sequence(0, rest_blocks - 1), i -> concat_ws('/', name, i, 'main', b))")
+    )
+    rest = placed.where("label <> main").withColumn("b", _block_of("rest_blocks")).withColumn(
+        "tasks",
+        F.expr(
+            "concat(transform(sequence(0, main_blocks - 1), i -> concat_ws('/', name, b, 'main', i)), "
+            "transform(sequence(0, rest_blocks - 1), i -> concat_ws('/', name, least(b, i), 'rest', greatest(b, i))))"
+        ),
+    )
+    return main.unionByName(rest)
+
+
+def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Verified links (u, v) between classes of the same cluster."""
+    members = classes.join(clusters, "node").select(F.col("doc_id").alias("member_id"), "node", "root", "n_shingles")
+    members = written(_in_blocks(members), "near-members")
+    split = members.where("blocks > 1")
+    task = F.concat_ws("/", F.hex("root"), _block_of("blocks"))
+    level, links, before = members, None, None
+    while True:
+        found = _compared(texts, level.select("*", F.col("node").alias("label"), F.array(task).alias("tasks")))
+        links = found if links is None else links.unionByName(found)
+        cut = level.where("blocks > 1")
+        left = cut.count()
+        # Centres of blocks are few; blocks of one long text each don't get fewer and are left to the last step.
+        if not left or (before is not None and 2 * left > before):
+            break
+        before = left
+        centres = found.where("u = v").select(F.col("u").alias("node"))
+        level = written(_in_blocks(cut.drop("blocks").join(centres, "node", "left_semi")), "near-centres")
+    if before is not None:
+        known = links.where("u <> v").join(split.select(F.col("node").alias("u")), "u", "left_semi")
+        rest = _rest_and_all(split, known)
+        links = links.unionByName(_compared(texts, rest))
+    return links.where("u <> v")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", with_hash: bool = False) -> DataFrame:
