@@ -18,6 +18,8 @@ from tonearm.llm.registry import table, tokenizer_file
 from tonearm.llm.repeats import remove_repeats
 from tonearm.llm.toxicity import score_toxicity, train
 
+#: Words of a shingle, and the similarity in percent, from which on texts are near duplicates in the pipeline.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -41,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest id stays, and of repeated rows one."""
-    judged = near_duplicates(docs, with_hash=True)
+    judged = near_duplicates(docs, with_hash=True, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
     rest = _without(docs, judged.where(~F.col("kept")))
     return rest.dropDuplicates(["doc_id", "_hash"]).select(_columns(docs))
 

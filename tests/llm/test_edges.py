@@ -125,3 +125,15 @@ def test_stages_decide_by_row(spark, make, benchmark, tmp_path):
     ]
     rows = stages["decontamination"](spark, docs, folder).collect()
     assert sorted((r.doc_id or 0, r.text) for r in rows if r.doc_id == 2) == [(2, "nothing here")] and len(rows) == 5
+
+
+def test_near_duplicates_of_the_pipeline(spark, make, tmp_path):
+    """Five words and 80 %: a text with 20 % appended is a near duplicate, one with scattered changes is not."""
+    base = [f"w{k}" for k in range(400)]
+    longer = base + [f"more{k}" for k in range(80)]
+    changed = [f"v{k}" for k in range(1000)]
+    scattered = [f"x{k}" if k % 39 == 5 else w for k, w in enumerate(changed)]
+    docs = make([(k, " ".join(t)) for k, t in enumerate((base, longer, changed, scattered))])
+    rows = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, f"file://{tmp_path}").collect()
+    assert sorted(r.doc_id for r in rows) == [0, 2, 3]
+    assert [r.kept for r in sorted(near_duplicates(docs).collect())] == [True, True, True, False]

@@ -433,3 +433,8 @@ def test_pipeline_runs(spark):
     rows = out.collect()
     assert rows and sum(r.length for r in rows) == sum(r.doc_tokens for r in rows if r.start == 0)
     assert json.dumps(out.columns[:7]) == json.dumps(["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+
+
+def test_collections_for_a_similarity():
+    assert near_duplicates.collections_for(near_duplicates.PERCENT) == near_duplicates.COLLECTIONS
+    assert near_duplicates.collections_for(80) == 15

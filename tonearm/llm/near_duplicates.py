@@ -1,12 +1,14 @@
 """Near duplicates: MinHash with tensored banding, verified on whole shingle sets.
 
-A text is the set of its distinct 3-word shingles; texts whose sets overlap by at least 85 %
-of their union are linked, and each component of linked texts keeps one.
+A text is the set of its distinct shingles of some words (three, unless told otherwise); texts
+whose sets overlap by at least a given part of their union (85 %) are linked, and each component
+of linked texts keeps one.
 
 Plain banding with keys of four hashes in 66 tables needs 264 minhashes. Tensored banding
 makes 12 small collections of two minhashes each and forms the table keys from all 66 pairs
 of collections: 24 minhashes. Texts of similarity s meet in a table unless fewer than two
-collections agree; with s = 0.85 that has a probability of 7 in a million. A text is dropped
+collections agree; with s = 0.85 that has a probability of 7 in a million. At other similarities
+there are as many collections as keep it under 10 in a million (15 at 0.80). A text is dropped
 from the tables early if fewer than two of its collections agree with any other text.
 
 Equal sets are one class from the start, so that copies cost one row each. Classes that meet
@@ -39,39 +41,48 @@ from tonearm.llm.texts import LOWER, NOT_SPACE, ODD, U64, Spans, batch, grams, m
 SHINGLE = 3
 COLLECTIONS, HASHES = 12, 2
 PERCENT = 85
+#: Pairs of exactly the given similarity that may be missed by the tables.
+MISSED = 1e-5
 BLOCK_SHINGLES = 200_000
 #: Tasks of cluster members that may be broadcast to the texts: about 150 bytes each, 30 MB. More are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
-_SEEDS = mix(np.arange(1, 2 * COLLECTIONS * HASHES + 1, dtype=U64) * ODD)
-_FLIP, _SCALE = _SEEDS[: COLLECTIONS * HASHES], _SEEDS[COLLECTIONS * HASHES :] | U64(1)
 
+def collections_for(percent: int) -> int:
+    """The least number of collections of which fewer than two agree for at most `MISSED` of the pairs at that similarity."""
+    agree, n = (percent / 100) ** HASHES, 2
+    while (1 - agree) ** n + n * agree * (1 - agree) ** (n - 1) > MISSED:
+        n += 1
+    return n
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of all texts, and the bounds of each text's; a text of one or two words is one shingle."""
+
+def shingles(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of all texts, and the bounds of each text's; a text of fewer words than a shingle is one shingle."""
     low = LOWER[data]
     start, stop, first = words(low, offsets, NOT_SPACE)
     h = Spans(low).hash(start, stop)
     n = np.diff(first)
-    count = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
+    count = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
     bounds = np.concatenate([[0], np.cumsum(count)])
     out = np.empty(bounds[-1], U64)
     short = np.zeros(bounds[-1], bool)
-    for k in range(1, SHINGLE):
+    for k in range(1, shingle):
         texts = np.flatnonzero(n == k)
         out[bounds[texts]] = grams(h, k)[first[texts]]
         short[bounds[texts]] = True
-    out[~short] = grams(h, SHINGLE)[whole_grams(first, SHINGLE)]
+    out[~short] = grams(h, shingle)[whole_grams(first, shingle)]
     return out, bounds
 
 
-def minhashes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def minhashes(values: np.ndarray, bounds: np.ndarray, collections: int = COLLECTIONS) -> np.ndarray:
     """One row per text with shingles: a hash for each collection, made of its minhashes."""
     begin = bounds[:-1][np.diff(bounds) > 0]
-    out = np.zeros((len(begin), COLLECTIONS), U64)
+    out = np.zeros((len(begin), collections), U64)
+    seeds = mix(np.arange(1, 2 * collections * HASHES + 1, dtype=U64) * ODD)
+    flip, scale = seeds[: collections * HASHES], seeds[collections * HASHES :] | U64(1)
     if len(begin):
-        for k in range(COLLECTIONS * HASHES):
-            least = np.minimum.reduceat((values ^ _FLIP[k]) * _SCALE[k], begin)
+        for k in range(collections * HASHES):
+            least = np.minimum.reduceat((values ^ flip[k]) * scale[k], begin)
             out[:, k // HASHES] = mix(out[:, k // HASHES] * ODD + least)
     return out
 
@@ -81,25 +92,28 @@ def set_name(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
-def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        for first, last, data, offsets in text_slices(rows.column("text")):
-            values, bounds = shingles(data, offsets)
-            counts, names = [], []
-            for i in range(last - first):
-                members = np.unique(values[bounds[i] : bounds[i + 1]])
-                counts.append(len(members))
-                names.append(set_name(members) if len(members) else None)
-            table = minhashes(values, bounds).view(np.int64)
-            sizes = np.where(np.diff(bounds) > 0, COLLECTIONS, 0)
-            parts = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(table.ravel(), pa.int64())
-            )
-            own = rows.slice(first, last - first)
-            yield batch(
-                doc_id=own.column("doc_id"), text_hash=own.column("text_hash"), n_shingles=(counts, pa.int64()),
-                node=(names, pa.binary()), parts=parts,
-            )
+def _sign(shingle: int, collections: int):
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for first, last, data, offsets in text_slices(rows.column("text")):
+                values, bounds = shingles(data, offsets, shingle)
+                counts, names = [], []
+                for i in range(last - first):
+                    members = np.unique(values[bounds[i] : bounds[i + 1]])
+                    counts.append(len(members))
+                    names.append(set_name(members) if len(members) else None)
+                table = minhashes(values, bounds, collections).view(np.int64)
+                sizes = np.where(np.diff(bounds) > 0, collections, 0)
+                parts = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(table.ravel(), pa.int64())
+                )
+                own = rows.slice(first, last - first)
+                yield batch(
+                    doc_id=own.column("doc_id"), text_hash=own.column("text_hash"), n_shingles=(counts, pa.int64()),
+                    node=(names, pa.binary()), parts=parts,
+                )
+
+    return sign
 
 
 def candidate_edges(classes: DataFrame) -> DataFrame:
@@ -118,7 +132,7 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
 
 
 def linked(
-    names: list[bytes], sets: list[np.ndarray], labels: list[bytes] | None = None
+    names: list[bytes], sets: list[np.ndarray], labels: list[bytes] | None = None, percent: int = PERCENT
 ) -> tuple[list[tuple[bytes, bytes]], bytes]:
     """Links that connect what is similar: a spanning forest of the similarity graph of these sets, of
     which those with equal labels are connected already. Also gives the most central one."""
@@ -153,7 +167,7 @@ def linked(
         begin, size = edges[own], common[own]
         at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
         shared = np.bincount(postings[at], minlength=n)
-        near = np.flatnonzero(100 * shared >= PERCENT * (sizes + sizes[one] - shared))
+        near = np.flatnonzero(100 * shared >= percent * (sizes + sizes[one] - shared))
         for other in near[label[near] != label[one]].tolist():
             if label[other] != label[one]:
                 links.append((names[one], names[other]))
@@ -161,48 +175,56 @@ def linked(
     return links, names[int(central.argmax())]
 
 
-def _sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets_of(shingle: int):
     """The shingle sets of cluster members; rows of other texts with the same id are left out."""
-    for rows in batches:
-        for first, last, data, offsets in text_slices(rows.column("text")):
-            values, bounds = shingles(data, offsets)
-            kept, bodies = [], []
-            for i in range(last - first):
-                members = np.unique(values[bounds[i] : bounds[i + 1]])
-                if set_name(members) == rows.column("node")[first + i].as_py():
-                    kept.append(first + i)
-                    bodies.append(members.tobytes())
-            chosen = rows.take(pa.array(kept, pa.int64()))
-            yield batch(
-                node=chosen.column("node"), label=chosen.column("label"), tasks=chosen.column("tasks"),
-                body=(bodies, pa.binary()),
-            )
-
-
-def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for first, last, data, offsets in text_slices(rows.column("text")):
+                values, bounds = shingles(data, offsets, shingle)
+                kept, bodies = [], []
+                for i in range(last - first):
+                    members = np.unique(values[bounds[i] : bounds[i + 1]])
+                    if set_name(members) == rows.column("node")[first + i].as_py():
+                        kept.append(first + i)
+                        bodies.append(members.tobytes())
+                chosen = rows.take(pa.array(kept, pa.int64()))
+                yield batch(
+                    node=chosen.column("node"), label=chosen.column("label"), tasks=chosen.column("tasks"),
+                    body=(bodies, pa.binary()),
+                )
+
+    return sets_of
+
+
+def _compare(percent: int):
     """Links between the members of each task, and its most central member as a link to itself."""
-    found = []
-    for _, members in runs(batches, "task"):
-        own = {row["node"].to_pybytes(): row for row in members}
-        sets = [np.frombuffer(row["body"].to_pybytes(), U64) for row in own.values()]
-        links, centre = linked(list(own), sets, [row["label"].to_pybytes() for row in own.values()])
-        found += [*links, (centre, centre)]
-        if len(found) > 10_000:
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for _, members in runs(batches, "task"):
+            own = {row["node"].to_pybytes(): row for row in members}
+            sets = [np.frombuffer(row["body"].to_pybytes(), U64) for row in own.values()]
+            links, centre = linked(list(own), sets, [row["label"].to_pybytes() for row in own.values()], percent)
+            found += [*links, (centre, centre)]
+            if len(found) > 10_000:
+                yield batch(u=([a for a, _ in found], pa.binary()), v=([b for _, b in found], pa.binary()))
+                found = []
+        if found:
             yield batch(u=([a for a, _ in found], pa.binary()), v=([b for _, b in found], pa.binary()))
-            found = []
-    if found:
-        yield batch(u=([a for a, _ in found], pa.binary()), v=([b for _, b in found], pa.binary()))
+
+    return compare
 
 
-def _compared(texts: DataFrame, members: DataFrame) -> DataFrame:
+def _compared(texts: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links found in tasks; `members` has member_id, node, the label of what is connected already, and tasks."""
     members = written(members.select("member_id", "node", "label", "tasks"), "near-tasks")
     side = F.broadcast(members) if members.agg(F.coalesce(F.sum(F.size("tasks")), F.lit(0))).first()[0] <= BROADCAST_ROWS else members
     with_text = texts.join(side, texts.doc_id.eqNullSafe(side.member_id)).select("text", "node", "label", "tasks")
-    sets = with_text.transform(mapped, _sets_of, "node binary, label binary, tasks array<string>, body binary")
+    sets = with_text.transform(mapped, _sets_of(shingle), "node binary, label binary, tasks array<string>, body binary")
     dealt = sets.select(F.explode("tasks").alias("task"), "node", "label", "body")
     dealt = dealt.repartition("task").sortWithinPartitions("task")
-    return written(dealt.transform(mapped, _compare, "u binary, v binary"), "near-links")
+    return written(dealt.transform(mapped, _compare(percent), "u binary, v binary"), "near-links")
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
@@ -242,7 +264,7 @@ def _rest_and_all(members: DataFrame, links: DataFrame) -> DataFrame:
     return main.unionByName(rest)
 
 
-def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Verified links (u, v) between classes of the same cluster."""
     members = classes.join(clusters, "node").select(F.col("doc_id").alias("member_id"), "node", "root", "n_shingles")
     members = written(_in_blocks(members), "near-members")
@@ -250,7 +272,8 @@ def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> D
     task = F.concat_ws("/", F.hex("root"), _block_of("blocks"))
     level, links, before = members, None, None
     while True:
-        found = _compared(texts, level.select("*", F.col("node").alias("label"), F.array(task).alias("tasks")))
+        dealt = level.select("*", F.col("node").alias("label"), F.array(task).alias("tasks"))
+        found = _compared(texts, dealt, shingle, percent)
         links = found if links is None else links.unionByName(found)
         cut = level.where("blocks > 1")
         left = cut.count()
@@ -263,13 +286,17 @@ def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame) -> D
     if before is not None:
         known = links.where("u <> v").join(split.select(F.col("node").alias("u")), "u", "left_semi")
         rest = _rest_and_all(split, known)
-        links = links.unionByName(_compared(texts, rest))
+        links = links.unionByName(_compared(texts, rest, shingle, percent))
     return links.where("u <> v")
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", with_hash: bool = False) -> DataFrame:
+def near_duplicates(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", with_hash: bool = False, shingle: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id and kept; `with_hash` adds xxhash64 of the text.
 
+    Texts are linked if their sets of shingles of `shingle` words overlap by at least `percent` of their union.
     component_id is the smallest id of the component; kept is true for the rows with that id. A
     null or empty text, or one without words, has no shingles and stays alone. Repeated rows
     belong to one component, and all rows with its smallest id are kept. A row without id takes
@@ -279,13 +306,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hashed = texts.withColumn("text_hash", F.xxhash64("text"))
     schema = "doc_id long, text_hash long, n_shingles long, node binary, parts array<bigint>"
-    signed = written(hashed.transform(mapped, _sign, schema), "near-signed")
+    signed = written(hashed.transform(mapped, _sign(shingle, collections_for(percent)), schema), "near-signed")
     classes = signed.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts")
     )
     classes = written(classes, "near-classes")
     clusters = connected_components(candidate_edges(classes), "near-clusters")
-    components = connected_components(links_within(texts, classes, clusters), "near-components")
+    components = connected_components(links_within(texts, classes, clusters, shingle, percent), "near-components")
     named = classes.select("node", "doc_id").join(components, "node", "left")
     named = named.select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
