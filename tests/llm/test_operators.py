@@ -414,6 +414,21 @@ def test_templates_are_found_by_site(spark):
     assert "copy" in got[100] and "alone" in got[200]
 
 
+def test_names_only_lower_the_importance(spark):
+    article = '<article class="post category-legal tag-advertising"><div class="entry-header"><h1>A title</h1></div><p>Some long text</p></article>'
+    assert html_text.main_text(f'<div class="layout has-sidebar">{article}</div>') == "A title\n\nSome long text"
+    assert html_text.main_text('<div id="legal"><p>The whole of this page</p></div><div class="ad">Buy</div>') == "The whole of this page"
+    teaser = '<div class="body"><p>A body that is much longer than the card</p></div><article>Card</article>'
+    assert html_text.main_text(teaser) == "A body that is much longer than the card\n\nCard"
+    page = '<body><div class="t"><p>A text of its own {0} that holds most</p></div><div class="{1}"><p>{2}</p></div></body>'
+    rows = [(i, f"https://a.example/{i}", page.format(i, "discussion", f"said {i}")) for i in range(20)]
+    rows += [(100 + i, f"https://b.example/{i}", page.format(i, "discussion", f"said {i % 2}")) for i in range(20)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert got[i] == f"A text of its own {i} that holds most\n\nsaid {i}"
+        assert got[100 + i] == f"A text of its own {i} that holds most"
+
+
 def test_queries_are_registered_and_guarded():
     queries = entry.queries()
     for n in range(1, 11):

@@ -10,9 +10,12 @@ page of the site. Pages of one host with the same texts count once, so that copi
 don't make it look like a template. Nodes that too few pages of a host have are judged in the tree
 of all hosts, if enough pages of several hosts have them.
 
-What HTML itself names as navigation, header, footer, side matter, form, script, style or frame, and
-elements whose class, id or role says so, is of no importance in any tree. Where a page marks its
-article or main part, what lies outside is left out.
+What HTML's elements name as navigation, header, footer, side matter, form, script, style or frame
+is of no importance in any tree. Elements other than article and main with a class, id or role that
+is such a word are of less importance: theirs is multiplied by `NAMED`, and the entropy decides.
+Where it can't, or finds them low only so, they go unless they hold most of the text of their page
+that is left. Where a page marks its article or main part, and that holds most of what is left, what
+lies outside is left out.
 
 The tree is never built as a whole: Spark counts (host, node, value) rows, and entropies are sums
 over groups.
@@ -35,6 +38,7 @@ LEAST_PAGES = 8
 LEAST_HOSTS = 3
 LOW = 0.2
 DECAY = 0.9
+NAMED = 0.5
 #: Hosts whose low branches may be broadcast to the pages; with more, pages are shuffled by host.
 BROADCAST_HOSTS = 20_000
 
@@ -46,6 +50,7 @@ NOISE_TAGS = frozenset(
     "option datalist dialog menu head title noembed noframes audio video map".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
+UNNAMED = MAIN_TAGS | {"html", "body"}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
@@ -78,23 +83,22 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-PART = re.compile(r"[A-Za-z][a-z]+|[A-Z]+|[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 
 def _style(tag: str, rest: str) -> tuple[str, bool]:
-    """The name of an element's node, and whether HTML or its names say that it isn't main text."""
-    noise = tag in NOISE_TAGS
+    """The name of an element's node, and whether its class, id or role says that it isn't main text."""
+    named = False
     name = tag
     if len(rest) > 1:
         for key, *values in ATTRIBUTE.findall(rest):
             key, value = key.lower(), "".join(values)
             if key == "hidden":
                 continue
-            words = {w.lower() for w in PART.findall(value)}
-            noise = noise or bool(words & (NOISE_ROLES if key == "role" else NOISE_WORDS))
+            words = NOISE_ROLES if key == "role" else NOISE_WORDS
+            named = named or not words.isdisjoint(value.lower().split())
             name += f" {key}={DIGITS.sub('0', ' '.join(sorted(value.split())))}"
-    return name, noise and tag not in ("html", "body")
+    return name, named and tag not in UNNAMED
 
 
 class Block:
@@ -107,16 +111,20 @@ class Block:
 
 
 class Node:
-    """An element of one page, by its path of styles. Noise and main hold for all below."""
+    """An element of one page, by its path of styles. Noise and main hold for all below; `names` are the
+    elements from the root to this one whose names say that they aren't main text."""
 
-    __slots__ = ("tag", "path", "up", "depth", "noise", "main", "children")
+    __slots__ = ("tag", "path", "up", "depth", "noise", "named", "names", "main", "children")
 
-    def __init__(self, tag: str, style: str, up, noise: bool):
+    def __init__(self, tag: str, style: str, up, named: bool):
         self.tag, self.up = tag, up
         self.path = f"{up.path}>{style}" if up else style
         self.depth = up.depth + 1 if up else 0
         inner_title = tag == "header" and up is not None and up.main
-        self.noise = bool(up and up.noise) or (noise and not inner_title)
+        self.noise = bool(up and up.noise) or (tag in NOISE_TAGS and not inner_title)
+        self.named = named
+        above = up.names if up else ()
+        self.names = (*above, self) if named else above
         self.main = bool(up and up.main) or tag in MAIN_TAGS
         self.children = []
         if up:
@@ -132,11 +140,11 @@ def page_blocks(source: str) -> tuple[list[Block], list[Node]]:
         text = " ".join(html_entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            top = next(n for n in reversed(stack) if n.tag not in INLINE)
+            top = next(n for n in reversed(stack) if n.tag not in INLINE or n.named)
             blocks.append(Block(top, stack[-1].noise, stack[-1].main, text))
 
     def close(upto: int):
-        if any(n.tag not in INLINE or n.noise for n in stack[upto:]):
+        if any(n.tag not in INLINE or n.noise or n.named for n in stack[upto:]):
             flush()
         del stack[upto:]
 
@@ -181,12 +189,12 @@ def page_blocks(source: str) -> tuple[list[Block], list[Node]]:
         if tag == "br" or tag == "wbr":
             held.append(" " if tag == "br" else "")
             continue
-        style, noise = _style(tag, rest)
-        if tag not in INLINE or noise:
+        style, named = _style(tag, rest)
+        if tag not in INLINE or tag in NOISE_TAGS or named:
             flush()
         if tag in VOID or rest.endswith("/>") and tag in ("svg", "path"):
             continue
-        node = Node(tag, style, stack[-1], noise)
+        node = Node(tag, style, stack[-1], named)
         nodes.append(node)
         if tag in RAW:
             end = re.compile(f"</{tag}\\b[^>]*>?", re.IGNORECASE).search(source, at)
@@ -197,8 +205,9 @@ def page_blocks(source: str) -> tuple[list[Block], list[Node]]:
     return blocks, nodes
 
 
-def main_text(source: str, low: frozenset[int] = frozenset()) -> str:
-    """The text of a page's important blocks, one blank line between them; `low` names removed branches."""
+def main_text(source: str, low: frozenset[int] = frozenset(), strong: frozenset[int] = frozenset()) -> str:
+    """The text of a page's important blocks, one blank line between them. `low` names branches that are removed,
+    `strong` those that are important in spite of their names."""
     blocks, _ = page_blocks(source)
 
     def removed(node) -> bool:
@@ -209,8 +218,15 @@ def main_text(source: str, low: frozenset[int] = frozenset()) -> str:
         return False
 
     kept = [b for b in blocks if not b.noise and not (low and removed(b.node))]
-    if any(b.main for b in kept):
-        kept = [b for b in kept if b.main]
+    held, size = {}, sum(len(b.text) for b in kept)
+    for b in kept:
+        for n in b.node.names:
+            held[n] = held.get(n, 0) + len(b.text)
+    gone = {n for n, part in held.items() if 2 * part <= size and node_name(n.path) not in strong}
+    kept = [b for b in kept if gone.isdisjoint(b.node.names)]
+    marked = [b for b in kept if b.main]
+    if 2 * sum(len(b.text) for b in marked) > sum(len(b.text) for b in kept):
+        kept = marked
     return "\n\n".join(b.text for b in kept)
 
 
@@ -224,9 +240,10 @@ def host_of(url: Column) -> Column:
 
 
 def _node_values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page a hash of its texts, and (node, parent, depth, is text, value) of its nodes outside named noise."""
+    """For each page a hash of its texts, and (node, parent, depth, named, is text, value) of its nodes outside noise."""
     kind = pa.list_(pa.struct([
-        ("node", pa.int64()), ("parent", pa.int64()), ("depth", pa.int32()), ("leaf", pa.bool_()), ("value", pa.int64()),
+        ("node", pa.int64()), ("parent", pa.int64()), ("depth", pa.int32()), ("named", pa.bool_()), ("leaf", pa.bool_()),
+        ("value", pa.int64()),
     ]))
     for rows in batches:
         hosts, copies, lists = [], [], []
@@ -236,26 +253,25 @@ def _node_values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for n in nodes:
                 if not n.noise and n.up is not None:
                     parts.setdefault(n.path, set()).update(n.children)
-                    info[n.path] = (node_name(n.path), node_name(n.up.path), n.depth)
+                    info[n.path] = (node_name(n.path), node_name(n.up.path), n.depth, n.named)
             clean = [b for b in blocks if not b.noise and b.node.up is not None]
             for b in clean:
                 texts.setdefault(b.node.path, set()).add(b.text)
             out = []
             for path, styles in parts.items():
-                node, parent, depth = info[path]
                 if styles:
-                    out.append((node, parent, depth, False, node_name("|".join(sorted(styles)))))
-                out += [(node, parent, depth, True, node_name(t)) for t in texts.get(path, ())]
+                    out.append((*info[path], False, node_name("|".join(sorted(styles)))))
+                out += [(*info[path], True, node_name(t)) for t in texts.get(path, ())]
             hosts.append(host)
             copies.append(node_name("\n".join(b.text for b in clean)))
-            lists.append([dict(zip(("node", "parent", "depth", "leaf", "value"), o)) for o in out])
+            lists.append([dict(zip(("node", "parent", "depth", "named", "leaf", "value"), o)) for o in out])
         yield batch(host=(hosts, pa.string()), copy=(copies, pa.int64()), nodes=(lists, kind))
 
 
 def _importance(counts: DataFrame, key: list[str]) -> DataFrame:
     """Importance of each node's text and shape, and the pages that have the node, from rows (key, node, value, n)."""
     leaf, n = F.col("leaf"), F.col("n")
-    sums = counts.groupBy(*key, "node", "parent", "depth").agg(
+    sums = counts.groupBy(*key, "node", "parent", "depth", "named").agg(
         F.sum(F.when(leaf, n)).alias("texts"), F.avg(F.when(leaf, F.log(n))).alias("log_text"),
         F.sum(F.when(~leaf, n)).alias("shapes"), F.sum(F.when(~leaf, n * F.log(n))).alias("n_log_shape"),
     )
@@ -264,16 +280,21 @@ def _importance(counts: DataFrame, key: list[str]) -> DataFrame:
     m = F.log(F.greatest("pages", F.lit(2)).cast("double"))
     entropy = (F.log(F.greatest("shapes", F.lit(1)).cast("double")) - F.col("n_log_shape") / F.col("shapes")) / m
     return sums.select(
-        *key, "node", "parent", "depth", "pages", (1 - F.col("log_text") / m).alias("text"),
+        *key, "node", "parent", "depth", "named", "pages", (1 - F.col("log_text") / m).alias("text"),
         F.least(entropy, F.lit(1.0)).alias("shape"),
     )
 
 
 def _low_branches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From the nodes of each host, deepest first, the names of the branches of low importance."""
-    hosts, nodes = [], []
+    """From the nodes of each host, deepest first, the names of the branches of low importance, and of those that
+    are important (`strong`) in spite of their names."""
+    hosts, nodes, strong = [], [], []
+
+    def found() -> pa.RecordBatch:
+        return batch(host=(hosts, pa.string()), node=(nodes, pa.int64()), strong=(strong, pa.bool_()))
+
     for host, members in runs(batches, "host"):
-        low, below = [], {}
+        below = {}
         for row in members:
             children, texts = below.pop(row["node"], None), row["text"]
             parts = [(texts, row["pages"])] if texts is not None else []
@@ -281,45 +302,48 @@ def _low_branches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             inner = sum(i * w for i, w in parts) / sum(w for _, w in parts) if parts else 0.0
             shape = row["shape"]
             total = inner if shape is None or not children else (1 - DECAY) * shape + DECAY * inner
+            lowered = NAMED * total if row["named"] else total
             if parts:
-                below.setdefault(row["parent"], []).append((total, row["pages"]))
-            if total < LOW and row["judged"] and parts:
-                low.append(row["node"])
-        hosts += [host] * len(low)
-        nodes += low
+                below.setdefault(row["parent"], []).append((lowered, row["pages"]))
+            if row["judged"] and parts and (total < LOW or (row["named"] and lowered >= LOW)):
+                hosts.append(host)
+                nodes.append(row["node"])
+                strong.append(total >= LOW)
         if len(nodes) > 10_000:
-            yield batch(host=(hosts, pa.string()), node=(nodes, pa.int64()))
-            hosts, nodes = [], []
+            yield found()
+            hosts, nodes, strong = [], [], []
     if nodes:
-        yield batch(host=(hosts, pa.string()), node=(nodes, pa.int64()))
+        yield found()
 
 
 def low_branches(pages: DataFrame) -> DataFrame:
-    """(host, low) of hosts with branches of low importance."""
+    """(host, low, strong) of hosts with branches of low importance, or important ones with names that say otherwise."""
     schema = (
-        "host string, copy long, nodes array<struct<node: bigint, parent: bigint, depth: int, leaf: boolean, value: bigint>>"
+        "host string, copy long, nodes array<struct<node: bigint, parent: bigint, depth: int, named: boolean, "
+        "leaf: boolean, value: bigint>>"
     )
     values = pages.select("host", "html").transform(mapped, _node_values, schema)
     once = values.groupBy("host", "copy").agg(F.first("nodes").alias("nodes"))
     counted = once.select("host", F.explode("nodes").alias("v")).groupBy(
-        "host", "v.node", "v.parent", "v.depth", "v.leaf", "v.value"
+        "host", "v.node", "v.parent", "v.depth", "v.named", "v.leaf", "v.value"
     ).agg(F.count("*").alias("n"))
     counted = written(counted, "style-counts")
     sites = written(_importance(counted, ["host"]), "style-nodes")
 
-    pooled = counted.groupBy("node", "parent", "depth", "leaf", "value").agg(F.sum("n").alias("n"))
+    pooled = counted.groupBy("node", "parent", "depth", "named", "leaf", "value").agg(F.sum("n").alias("n"))
     hosts = sites.groupBy("node").agg(F.count("*").alias("hosts"))
     everywhere = _importance(pooled, []).join(hosts, "node")
     judged = (F.col("pages") >= LEAST_PAGES).alias("judged")
-    each = sites.select("host", "node", "parent", "depth", "pages", "text", "shape", judged)
+    each = sites.select("host", "node", "parent", "depth", "named", "pages", "text", "shape", judged)
     ordered = each.repartition("host").sortWithinPartitions("host", F.desc("depth"))
-    own = ordered.transform(mapped, _low_branches, "host string, node bigint")
+    own = ordered.transform(mapped, _low_branches, "host string, node bigint, strong boolean")
 
     # Texts that are the same all over the sites are low on hosts with few pages, too.
     shared = (F.col("pages") >= LEAST_PAGES) & (F.col("hosts") >= LEAST_HOSTS)
     common = everywhere.where(shared & F.col("text").isNotNull() & F.col("shape").isNull() & (F.col("text") < LOW))
-    both = own.unionByName(sites.join(common.select("node"), "node").select("host", "node"))
-    return written(both.groupBy("host").agg(F.collect_set("node").alias("low")), "style-low")
+    both = own.unionByName(sites.join(common.select("node"), "node").select("host", "node", F.lit(False).alias("strong")))
+    lists = (F.collect_set(F.when(F.col("strong") == v, F.col("node"))).alias(c) for c, v in (("low", False), ("strong", True)))
+    return written(both.groupBy("host").agg(*lists), "style-low")
 
 
 def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -337,20 +361,20 @@ def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str
     side = F.broadcast(by_host) if by_host.count() <= BROADCAST_HOSTS else by_host
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, frozenset[int]] = {}
+        sets: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
         for rows in batches:
             texts = []
-            columns = (rows.column(c).to_pylist() for c in ("host", "html", "low"))
-            for host, source, low in zip(*columns):
+            columns = (rows.column(c).to_pylist() for c in ("host", "html", "low", "strong"))
+            for host, source, low, strong in zip(*columns):
                 if host not in sets:
                     if len(sets) > 10_000:
                         sets.clear()
-                    sets[host] = frozenset(low or ())
-                texts.append(main_text(source, sets[host]))
+                    sets[host] = frozenset(low or ()), frozenset(strong or ())
+                texts.append(main_text(source, *sets[host]))
             yield batch(
                 page_id=rows.column("page_id"), url=rows.column("url"), text=(texts, pa.string()),
                 n_chars=([len(t) for t in texts], pa.int64()),
             )
 
-    joined = pages.join(side, "host", "left").select("page_id", "url", "host", "html", "low")
+    joined = pages.join(side, "host", "left").select("page_id", "url", "host", "html", "low", "strong")
     return joined.transform(mapped, run, "page_id long, url string, text string, n_chars long")
