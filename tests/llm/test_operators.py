@@ -429,6 +429,22 @@ def test_names_only_lower_the_importance(spark):
         assert got[100 + i] == f"A text of its own {i} that holds most"
 
 
+def test_texts_of_all_hosts(spark):
+    """An article copied to many hosts stays, branches that hosts with few pages share go, and hosts with enough pages judge alone."""
+    story = '<body><div class="story"><h2>A title</h2><p>One paragraph</p></div></body>'
+    rows = [(i, f"https://copy{i}.example/", story) for i in range(30)]
+    side = '<body><div class="side">Follow us<p>Here</p></div><div class="t"><p>Own {0}</p></div></body>'
+    rows += [(100 + i, f"https://few{i // 2}.example/{i}", side.format(i)) for i in range(24)]
+    mood = '<body><div class="u"><p>Own {0}</p><p class="m">Mood {1}</p></div></body>'
+    rows += [(200 + i, f"https://many.example/{i}", mood.format(i, i % 2)) for i in range(10)]
+    rows += [(300 + i, f"https://one{i}.example/", mood.format(300 + i, i % 2)) for i in range(60)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(30)} == {"A title\n\nOne paragraph"}
+    assert [got[100 + i] for i in range(24)] == [f"Own {i}" for i in range(24)]
+    assert [got[200 + i] for i in range(10)] == [f"Own {i}\n\nMood {i % 2}" for i in range(10)]
+    assert [got[300 + i] for i in range(60)] == [f"Own {300 + i}" for i in range(60)]
+
+
 def test_queries_are_registered_and_guarded():
     queries = entry.queries()
     for n in range(1, 11):

@@ -7,8 +7,9 @@ a node with text as far as its text does, both measured by entropy to the base o
 pages that have the node. A branch's importance mixes its own with that of its children, weighted by
 how many pages have them. Branches whose importance is low are boilerplate and are removed from each
 page of the site. Pages of one host with the same texts count once, so that copies of an article
-don't make it look like a template. Nodes that too few pages of a host have are judged in the tree
-of all hosts, if enough pages of several hosts have them.
+don't make it look like a template. Nodes that too few pages of a host have are judged by the tree
+of all hosts, if enough pages of several hosts have them; there, pages with the same texts count
+once over all hosts, so that a syndicated article doesn't look like a template either.
 
 What HTML's elements name as navigation, header, footer, side matter, form, script, style or frame
 is of no importance in any tree. Elements other than article and main with a class, id or role that
@@ -316,6 +317,13 @@ def _low_branches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield found()
 
 
+def _counted(pages: DataFrame, key: list[str]) -> DataFrame:
+    """Rows (key, node, value, n) of the nodes of pages."""
+    return pages.select(*key, F.explode("nodes").alias("v")).groupBy(
+        *key, "v.node", "v.parent", "v.depth", "v.named", "v.leaf", "v.value"
+    ).agg(F.count("*").alias("n"))
+
+
 def low_branches(pages: DataFrame) -> DataFrame:
     """(host, low, strong) of hosts with branches of low importance, or important ones with names that say otherwise."""
     schema = (
@@ -323,25 +331,26 @@ def low_branches(pages: DataFrame) -> DataFrame:
         "leaf: boolean, value: bigint>>"
     )
     values = pages.select("host", "html").transform(mapped, _node_values, schema)
-    once = values.groupBy("host", "copy").agg(F.first("nodes").alias("nodes"))
-    counted = once.select("host", F.explode("nodes").alias("v")).groupBy(
-        "host", "v.node", "v.parent", "v.depth", "v.named", "v.leaf", "v.value"
-    ).agg(F.count("*").alias("n"))
-    counted = written(counted, "style-counts")
-    sites = written(_importance(counted, ["host"]), "style-nodes")
-
-    pooled = counted.groupBy("node", "parent", "depth", "named", "leaf", "value").agg(F.sum("n").alias("n"))
+    once = written(values.groupBy("host", "copy").agg(F.first("nodes").alias("nodes")), "style-pages")
+    sites = written(_importance(_counted(once, ["host"]), ["host"]), "style-nodes")
+    # Over all hosts, a text and its page count once; of hosts with the same page the first one stands for it.
+    pooled = once.groupBy("copy").agg(F.min_by("nodes", "host").alias("nodes"))
     hosts = sites.groupBy("node").agg(F.count("*").alias("hosts"))
-    everywhere = _importance(pooled, []).join(hosts, "node")
-    judged = (F.col("pages") >= LEAST_PAGES).alias("judged")
-    each = sites.select("host", "node", "parent", "depth", "named", "pages", "text", "shape", judged)
-    ordered = each.repartition("host").sortWithinPartitions("host", F.desc("depth"))
-    own = ordered.transform(mapped, _low_branches, "host string, node bigint, strong boolean")
+    everywhere = _importance(_counted(pooled, []), []).join(hosts, "node")
+    everywhere = everywhere.where((F.col("pages") >= LEAST_PAGES) & (F.col("hosts") >= LEAST_HOSTS)).select(
+        "node", F.col("text").alias("pool_text"), F.col("shape").alias("pool_shape"), F.lit(True).alias("pooled")
+    )
 
-    # Texts that are the same all over the sites are low on hosts with few pages, too.
-    shared = (F.col("pages") >= LEAST_PAGES) & (F.col("hosts") >= LEAST_HOSTS)
-    common = everywhere.where(shared & F.col("text").isNotNull() & F.col("shape").isNull() & (F.col("text") < LOW))
-    both = own.unionByName(sites.join(common.select("node"), "node").select("host", "node", F.lit(False).alias("strong")))
+    # Where a host has few pages with a node, its text and shape are judged by those of all hosts.
+    few = F.col("pages") < LEAST_PAGES
+    by_pool = sites.where(few).join(everywhere, "node", "left").withColumn("judged", F.coalesce("pooled", F.lit(False)))
+    known = ["host", "node", "parent", "depth", "named", "pages"]
+    by_pool = by_pool.select(
+        *known, *(F.when(F.col("judged"), F.col(f"pool_{c}")).otherwise(F.col(c)).alias(c) for c in ("text", "shape")), "judged"
+    )
+    each = sites.where(~few).select(*known, "text", "shape", F.lit(True).alias("judged")).unionByName(by_pool)
+    ordered = each.repartition("host").sortWithinPartitions("host", F.desc("depth"))
+    both = ordered.transform(mapped, _low_branches, "host string, node bigint, strong boolean")
     lists = (F.collect_set(F.when(F.col("strong") == v, F.col("node"))).alias(c) for c, v in (("low", False), ("strong", True)))
     return written(both.groupBy("host").agg(*lists), "style-low")
 
