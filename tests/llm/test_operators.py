@@ -106,6 +106,22 @@ def test_language_model_counts_and_normalisation(spark, make):
         assert abs(known + predict(np.array([1], np.uint64), np.array([context]))[1][0] - 1) < 1e-9
 
 
+def test_contexts_are_exact_words():
+    """Each word is a context of its own, also where many words end alike."""
+    text = " ".join(f"w{k}ing" for k in range(20_000)).encode()
+    _, before, _ = language_model.token_stream(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert len(np.unique(before)) == 20_001 and len(np.unique(before[1:] % np.uint64(language_model.CLASSES))) == 1
+
+
+def test_context_totals_cover_all_buckets(spark, make):
+    """After a word that was always followed by the same word, that word is likely in every bucket, others aren't."""
+    rng = np.random.default_rng(37)
+    pairs = [(f"a{k}ing", f"b{k}") for k in range(3000)]
+    texts = [" ".join(" ".join(pairs[j]) for j in rng.integers(0, 3000, 400)) for _ in range(200)]
+    out = language_model.score_texts(make(enumerate(texts)).repartition(3)).where("held_out").selectExpr("sum(score) / sum(n_tokens)").first()
+    assert out[0] > -2.2  # half of the tokens are known from the word before, the others are one of 3,000
+
+
 def test_stirling_numbers():
     logs = language_model.stirling_logs(0.5)
     assert np.allclose(np.exp(logs[3, 1:4]), [0.75, 1.5, 1.0])  # (1-d)(2-d), 3(1-d), 1

@@ -2,7 +2,7 @@
 
 Tokens are the words of a text, A-Z in lower case, and one end token. A token is predicted
 in the restaurant of its context, the token before it. Three levels share dishes: the
-restaurant of the context (the token before, hashed to one of 1024 rooms of its class), its
+restaurant of the context (the token before, by its 64-bit name: 58 bits of hash and its class), its
 parent, the restaurant of the context's class (63 classes of the last two bytes, and the
 start of the text), and their common parent, the restaurant without context, whose base is
 uniform over the V known tokens and one unknown. A customer is a token in its context; a new
@@ -22,20 +22,22 @@ once. Discounts follow from the pairs with one and two customers of each level.
 predictive probabilities of the sweeps behind the burn-in are averaged.
 
 How it runs: chunks of texts send their distinct (token, context) pairs with counts to hash
-buckets of tokens; a bucket holds all contexts of its tokens and so all levels of them. What
-all buckets share are the totals of the 65,536 rooms, a vector of fixed size, summed after
-each sweep. A sweep is drawn anew from numbered seeds whenever a later one needs it, instead
-of being stored. Then each chunk gets the probabilities of its own pairs back and adds them
-up per text. Training counts, vocabulary and totals cover all training texts.
+buckets of tokens; a bucket holds all contexts of its tokens and so all levels of them. The
+totals of a context (customers, tables) are joined after each sweep: the buckets of tokens send
+theirs to hash buckets of contexts, which send the sums back to each bucket of tokens that has
+the context. What all buckets share besides is a vector of the totals of classes and root. Then
+each chunk gets the probabilities of its own pairs back and adds them up per text. Training
+counts, vocabulary and totals cover all training texts.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -45,13 +47,15 @@ from tonearm.llm.blocks import (
 )
 from tonearm.llm.texts import LOWER, NOT_SPACE, ODD, U64, Spans, batch, mix, sum_by_text, text_of_word, text_slices, words
 
-ROOMS, CLASSES = 1024, 64
-CONTEXTS = ROOMS * CLASSES
+CLASSES = 64
 END = mix(np.array([0xE4D], U64))[0]
 EXACT = 64
 BURN_IN, SAMPLES = 2, 2
 STRENGTH = 1.0
 SEED = 20240711
+#: What a bucket of tokens gets before the questions of chunks: its counts, seatings by sample, totals by sample and context bucket.
+COUNTS, SEATINGS, SUMS = -(1 << 62), -(1 << 61), -(1 << 60)
+SHARED = -1
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -69,12 +73,12 @@ def token_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     h = Spans(low).hash(start, stop)
     texts = len(offsets) - 1
     ending = low[stop - 1].astype(U64) * U64(256) + low[np.maximum(stop - 2, start)].astype(U64)
-    context = (U64(1) + mix(ending + U64(1)) % U64(CLASSES - 1)) * U64(ROOMS) + h % U64(ROOMS)
+    context = (h & ~U64(CLASSES - 1)) | (U64(1) + mix(ending + U64(1)) % U64(CLASSES - 1))
     at = np.arange(len(h)) + text_of_word(first)
     token = np.full(len(h) + texts, END, U64)
     token[at] = h
-    before = np.zeros(len(h) + texts, np.uint16)
-    before[at + 1] = context.astype(np.uint16)
+    before = np.zeros(len(h) + texts, U64)
+    before[at + 1] = context
     return token, before, first + np.arange(texts + 1)
 
 
@@ -89,13 +93,14 @@ class ChunkPairs:
             streams.append((token, before))
             bounds.append(places[1:] + at)
             at += len(token)
-        token, before = (np.concatenate(s) for s in zip(*streams)) if streams else (np.zeros(0, U64), np.zeros(0, np.uint16))
+        token, before = (np.concatenate(s) for s in zip(*streams)) if streams else (np.zeros(0, U64), np.zeros(0, U64))
         self.bounds = np.concatenate(bounds)
         by_token = np.argsort(token)
         ordered = token[by_token]
         new = np.ones(len(ordered), bool)
         new[1:] = ordered[1:] != ordered[:-1]
-        pair = (np.cumsum(new) - 1) * CONTEXTS + before[by_token]
+        code, contexts = pd.factorize(before)
+        pair = (np.cumsum(new) - 1) * len(contexts) + code[by_token]
         by_pair = np.argsort(pair)
         pair, order = pair[by_pair], by_token[by_pair]
         new[1:] = pair[1:] != pair[:-1]
@@ -126,16 +131,17 @@ def _group(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pairs_of(body) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    token, size, context, count = unpack(body, U64, np.uint32, np.uint16, np.uint32)
+    token, size, context, count = unpack(body, U64, np.uint32, U64, np.uint32)
     return np.repeat(token, size), context, count
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What all buckets share: sums over the whole corpus, of fixed size."""
+    """Sums over the whole corpus: of the contexts of one bucket, and what all buckets share, of fixed size."""
 
-    customers: np.ndarray  # per room
-    tables: np.ndarray  # per room
+    customers: np.ndarray  # per context
+    tables: np.ndarray  # per context
+    class_customers: np.ndarray
     class_tables: np.ndarray
     root_tables: float
     tokens: float
@@ -145,17 +151,12 @@ class Totals:
 
     def vector(self) -> np.ndarray:
         rest = [self.root_tables, self.tokens, self.vocabulary]
-        return np.concatenate([self.customers, self.tables, self.class_tables, rest, self.ones, self.twos])
+        return np.concatenate([self.class_customers, self.class_tables, rest, self.ones, self.twos])
 
     @staticmethod
-    def of(v: np.ndarray) -> Totals:
-        a = 2 * CONTEXTS
-        b = a + CLASSES
-        return Totals(v[:CONTEXTS], v[CONTEXTS:a], v[a:b], v[b], v[b + 1], v[b + 2], v[b + 3 : b + 6], v[b + 6 : b + 9])
-
-    @property
-    def class_customers(self) -> np.ndarray:
-        return self.tables.reshape(CLASSES, ROOMS).sum(axis=1)
+    def of(customers: np.ndarray, tables: np.ndarray, v: np.ndarray) -> Totals:
+        b = 2 * CLASSES
+        return Totals(customers, tables, v[:CLASSES], v[CLASSES:b], v[b], v[b + 1], v[b + 2], v[b + 3 : b + 6], v[b + 6 : b + 9])
 
     @property
     def root_customers(self) -> float:
@@ -210,17 +211,17 @@ def seat(
 
 
 class Tables:
-    """All levels of the tokens of one bucket: pairs with rooms, with classes, and alone."""
+    """All levels of the tokens of one bucket: pairs with contexts (by their place in `names`), with classes, and alone."""
 
     def __init__(self, body, bucket: int):
-        token, context, count = _pairs_of(body)
+        self.token, size, room, count, self.names = unpack(body, U64, np.uint32, np.uint32, np.uint32, U64)
         self.bucket = bucket
-        self.token, size = _group(token)
         self.word = np.repeat(np.arange(len(self.token)), size)
-        self.key = self.word * CONTEXTS + context
-        self.context, self.count = context.astype(np.int64), count.astype(np.int64)
-        self.class_key, size = _group(self.word * CLASSES + self.context // ROOMS)
-        self.in_class = np.repeat(np.arange(len(self.class_key)), size)
+        self.context, self.count = room.astype(np.int64), count.astype(np.int64)
+        self.key = self.word * len(self.names) + self.context
+        self.class_of_name = (self.names % U64(CLASSES)).astype(np.int64)
+        key = self.word * CLASSES + self.class_of_name[self.context]
+        self.class_key, self.in_class = np.unique(key, return_inverse=True)
         self.class_word, self.klass = self.class_key // CLASSES, self.class_key % CLASSES
         self.used = np.bincount(self.word, weights=self.count, minlength=len(self.token)).astype(np.int64)
 
@@ -255,7 +256,7 @@ class Tables:
         return rooms, classes, seat(top, t.root_tables - tables[2], base, d[2], rng)
 
     def replay(self, history: list[Totals]) -> list[tuple]:
-        """The seatings after each sweep that the given totals lead to."""
+        """The seatings after each sweep that the given totals lead to, for a bucket whose totals they are."""
         out = [self.start()]
         for number, t in enumerate(history, 1):
             out.append(self.sweep(out[-1], t, number))
@@ -263,9 +264,10 @@ class Tables:
 
     def totals(self, tables: tuple) -> Totals:
         levels = self.levels(tables)
+        served = np.bincount(self.context, weights=tables[0], minlength=len(self.names))
         return Totals(
-            np.bincount(self.context, weights=self.count, minlength=CONTEXTS),
-            np.bincount(self.context, weights=tables[0], minlength=CONTEXTS),
+            np.bincount(self.context, weights=self.count, minlength=len(self.names)), served,
+            np.bincount(self.class_of_name, weights=served, minlength=CLASSES),
             np.bincount(self.klass, weights=tables[1], minlength=CLASSES),
             float(tables[2].sum()), float(self.count.sum()), float(len(self.token)),
             np.array([(c == 1).sum() for c in levels], float), np.array([(c == 2).sum() for c in levels], float),
@@ -288,42 +290,41 @@ def room_backoff(t: Totals, d: np.ndarray) -> np.ndarray:
 class Predictor:
     """Averaged probabilities of any (token, context) pairs of one bucket."""
 
-    def __init__(self, tables: Tables | None, history: list[Totals]):
-        """`history` holds the totals before the first sweep and after each one."""
+    def __init__(self, tables: Tables, history: list[Totals], seatings: list[tuple] | None = None):
+        """`history` holds the totals before the first sweep and after each one, or, with `seatings`, those of the samples."""
         self.tables, self.kept = tables, history[-SAMPLES:]
-        if tables is not None:
-            seatings = tables.replay(history[:-1])[-SAMPLES:]
-            self.samples = [tables.predictive(s, t) for s, t in zip(seatings, self.kept)]
+        seatings = seatings or tables.replay(history[:-1])[-SAMPLES:]
+        self.samples = [tables.predictive(s, t) for s, t in zip(seatings, self.kept)]
 
     def __call__(self, token: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the tokens, and probabilities of the pairs."""
-        context = context.astype(np.int64)
+        context = context.astype(U64)
+        of = (context % U64(CLASSES)).astype(np.int64)
         used = np.zeros(len(token), np.int64)
         mean = np.zeros(len(token))
-        if self.tables is not None:
-            word, known = _find(self.tables.token, token)
-            used[known] = self.tables.used[word[known]]
-            klass, in_class = _find(self.tables.class_key, word * CLASSES + context // ROOMS)
-            room, in_room = _find(self.tables.key, word * CONTEXTS + context)
-            in_class &= known
-            in_room &= known
+        word, known = _find(self.tables.token, token)
+        used[known] = self.tables.used[word[known]]
+        place, named = _find(self.tables.names, context)
+        klass, in_class = _find(self.tables.class_key, word * CLASSES + of)
+        room, in_room = _find(self.tables.key, word * len(self.tables.names) + place)
+        in_class &= known
+        in_room &= known & named
         for k, t in enumerate(self.kept):
             d = t.discounts
+            alone, of_class, of_room = self.samples[k]
             p = np.full(len(token), unknown(t, d))
-            if self.tables is not None:
-                alone, of_class, of_room = self.samples[k]
-                p[known] = alone[word[known]]
-            p *= class_backoff(t, d)[context // ROOMS]
-            if self.tables is not None:
-                p[in_class] = of_class[klass[in_class]]
-            p *= room_backoff(t, d)[context]
-            if self.tables is not None:
-                p[in_room] = of_room[room[in_room]]
+            p[known] = alone[word[known]]
+            p *= class_backoff(t, d)[of]
+            p[in_class] = of_class[klass[in_class]]
+            p[named] *= room_backoff(t, d)[place[named]]
+            p[in_room] = of_room[room[in_room]]
             mean += p / len(self.kept)
         return used, mean
 
 
 def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(ordered):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
     return at, ordered[at] == wanted
 
@@ -344,7 +345,7 @@ def _ask(text: str, doc_id: str, buckets: int, fold: int, counted: bool):
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: all training pairs of its tokens with their counts."""
+    """One row per bucket: all training pairs of its tokens with their counts, and the names of all contexts asked for."""
 
     def merged(lists):
         token, context, count = (np.concatenate(c) for c in zip(*lists))
@@ -359,66 +360,115 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, members in runs(batches, "bucket"):
             held = []
             for row in members:
-                token, context, count = _pairs_of(row["body"])
-                trained = count > 0
-                if trained.any():
-                    held.append((token[trained], context[trained], count[trained]))
+                held.append(_pairs_of(row["body"]))
                 if len(held) >= 32:
                     held = [merged(held)]
-            if held:
-                token, context, count = merged(held)
-                own, size = _group(token)
-                yield bucket, 0, pack(own, size.astype(np.uint32), context, count.astype(np.uint32))
+            token, context, count = merged(held)
+            names, trained = np.unique(context), count > 0
+            own, size = _group(token[trained])
+            room = np.searchsorted(names, context[trained]).astype(np.uint32)
+            yield bucket, COUNTS, pack(own, size.astype(np.uint32), room, count[trained].astype(np.uint32), names)
 
     yield from parts(rows())
 
 
-def _sum_vectors(df: DataFrame, size: int) -> np.ndarray:
-    """Sums packed vectors that come as rows (bucket = piece of the vector, body); the result is of fixed size."""
+class Held:
+    """What has come for one bucket of tokens."""
+
+    def __init__(self, bucket: int):
+        self.bucket, self.counts, self.seatings, self.sums = bucket, None, {}, {}
+
+    def take(self, chunk: int, body) -> None:
+        if chunk >= SUMS:
+            self.sums.setdefault((chunk - SUMS) >> 32, []).append(unpack(body, np.uint32, np.uint32))
+        elif chunk >= SEATINGS:
+            self.seatings[chunk - SEATINGS] = tuple(a.astype(np.int64) for a in unpack(body, np.uint32, np.uint32, np.uint32))
+        else:
+            self.counts = body
+
+    def tables(self) -> Tables:
+        return Tables(self.counts, self.bucket)
 
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def totals(self, sample: int, shared: np.ndarray) -> Totals:
+        customers, tables = (np.concatenate(c).astype(np.float64) for c in zip(*self.sums[sample]))
+        return Totals.of(customers, tables, shared)
+
+
+def _draw(shared: np.ndarray | None, number: int, places: int):
+    """The seating of each bucket after one more sweep (the first one without `shared`), its sums for `places`
+    buckets of contexts, and each task's part of what all buckets share."""
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for piece, members in runs(batches, "bucket"):
-                yield piece, 0, np.sum([np.frombuffer(r["body"]) for r in members], axis=0).tobytes()
+            total = np.zeros(2 * CLASSES + 9)
+            for bucket, members in runs(batches, "bucket"):
+                held = Held(bucket)
+                for row in members:
+                    held.take(row["chunk"], row["body"])
+                tables = held.tables()
+                seating = tables.start() if shared is None else tables.sweep(held.seatings[0], held.totals(0, shared), number)
+                t = tables.totals(seating)
+                total += t.vector()
+                yield bucket, SEATINGS, pack(*(a.astype(np.uint32) for a in seating))
+                edges = bucket_edges(tables.names, places)
+                for place in np.flatnonzero(np.diff(edges)).tolist():
+                    part = slice(edges[place], edges[place + 1])
+                    sums = (a[part].astype(np.uint32) for a in (t.customers, t.tables))
+                    yield place, bucket, pack(tables.names[part], *sums)
+            yield SHARED, 0, total.tobytes()
 
         yield from parts(rows())
 
-    found = to_buckets(df).transform(mapped, add, PART).collect()
-    out = np.zeros(size)
-    for row in found:
-        out[row.bucket * 8192 : (row.bucket + 1) * 8192] = np.frombuffer(row.body)
-    return out
+    return draw
 
 
-def _totals(counts: DataFrame, history: list[Totals]) -> Totals:
-    """Draws one more sweep and sums what the buckets share."""
-    empty = np.zeros(2 * CONTEXTS + CLASSES + 9)
+def _join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The totals of the contexts of each bucket of contexts, for each bucket of tokens that has them."""
+
+    def rows():
+        for place, members in runs(batches, "bucket"):
+            asked = [(row["chunk"], unpack(row["body"], U64, np.uint32, np.uint32)) for row in members]
+            code, names = pd.factorize(np.concatenate([own[0] for _, own in asked]))
+            sums = [np.bincount(code, weights=np.concatenate([own[k] for _, own in asked])).astype(np.uint32) for k in (1, 2)]
+            at = 0
+            for bucket, own in asked:
+                mine = code[at : at + len(own[0])]
+                at += len(mine)
+                yield bucket, SUMS + place, pack(*(a[mine] for a in sums))
+
+    yield from parts(rows())
+
+
+def _swept(rows: DataFrame, shared: np.ndarray | None, number: int, places: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """Seatings after a sweep, the totals of their contexts, and what all buckets share."""
+    out = written(rows.transform(mapped, _draw(shared, number, places), PART), "lm-sweep")
+    sums = out.where((F.col("bucket") != SHARED) & (F.col("chunk") >= 0))
+    totals = written(to_buckets(sums).transform(mapped, _join, PART), "lm-totals")
+    found = [np.frombuffer(row.body) for row in out.where(F.col("bucket") == SHARED).select("body").collect()]
+    return out.where(F.col("chunk") == SEATINGS), totals, np.sum([np.zeros(2 * CLASSES + 9), *found], axis=0)
 
-    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, any_row = empty.copy(), False
-        for bucket, members in runs(batches, "bucket"):
-            for row in members:
-                tables = Tables(row["body"], bucket)
-                total += tables.totals(tables.replay(history)[-1] if history else tables.start()).vector()
-                any_row = True
-        if any_row:
-            yield from parts((k, 0, total[at : at + 8192].tobytes()) for k, at in enumerate(range(0, len(total), 8192)))
 
-    return Totals.of(_sum_vectors(counts.transform(mapped, draw, PART), len(empty)))
+def _by_bucket(*rows: DataFrame) -> DataFrame:
+    both = rows[0]
+    for more in rows[1:]:
+        both = both.unionByName(more)
+    return both.repartition("bucket").sortWithinPartitions("bucket", "chunk")
 
 
-def _answer(history: list[Totals]):
-    """Counts and log probabilities of the pairs that chunks ask about; a bucket's own counts come first."""
+def _answer(shared: list[np.ndarray]):
+    """Counts and log probabilities of the pairs that chunks ask about; what the bucket holds itself comes first."""
 
     def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for bucket, members in runs(batches, "bucket"):
-                predict = None
+                held, predict = Held(bucket), None
                 for row in members:
                     if row["chunk"] < 0:
-                        predict = Predictor(Tables(row["body"], bucket), history)
+                        held.take(row["chunk"], row["body"])
                         continue
-                    predict = predict or Predictor(None, history)
+                    if predict is None:
+                        kept = [held.totals(k, v) for k, v in enumerate(shared)]
+                        predict = Predictor(held.tables(), kept, [held.seatings[k] for k in range(len(shared))])
                     token, context, _ = _pairs_of(row["body"])
                     used, p = predict(token, context)
                     _, size = _group(token)
@@ -474,11 +524,16 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", fold:
     own = chunks.select("chunk", "body")
     counted = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=True), PART)
     counts = written(to_buckets(counted).transform(mapped, _count, PART), "lm-counts")
-    history = [_totals(counts, [])]
-    for _ in range(BURN_IN + SAMPLES):
-        history.append(_totals(counts, history))
+    history = [_swept(counts, None, 0, tasks)]
+    for number in range(1, BURN_IN + SAMPLES + 1):
+        seatings, totals, shared = history[-1]
+        history.append(_swept(_by_bucket(counts, seatings, totals), shared, number, tasks))
     asked = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=False), PART)
-    both = counts.select("bucket", F.lit(-1).cast("long").alias("chunk"), "body").unionByName(asked)
-    answers = both.repartition("bucket").sortWithinPartitions("bucket", "chunk").transform(mapped, _answer(history), PART)
-    score = _score("text", "doc_id", fold, history[0].tokens, history[0].vocabulary)
+    held = []
+    for k, (seatings, totals, _) in enumerate(history[-SAMPLES:]):
+        held += [df.withColumn("chunk", F.col("chunk") + (k << n)) for df, n in ((seatings, 0), (totals, 32))]
+    last = [shared for _, _, shared in history[-SAMPLES:]]
+    answers = _by_bucket(counts, *held, asked).transform(mapped, _answer(last), PART)
+    tokens, vocabulary = history[0][2][2 * CLASSES + 1 : 2 * CLASSES + 3].tolist()
+    score = _score("text", "doc_id", fold, tokens, vocabulary)
     return to_chunks(chunks, answers, tasks).transform(mapped, score, SCHEMA)
