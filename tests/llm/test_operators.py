@@ -279,6 +279,23 @@ def test_false_magic_is_no_record():
     assert places == [0, len(member)]
 
 
+def test_long_headers_are_found():
+    url = "http://h.example/" + "".join(map(str, range(400_000)))
+    data = warc.record("response", 1, None, url, hashlib.sha256(b"x").hexdigest(), 1, b"x", "2024-01-01T00:00:00Z")
+    archive = gzip.compress(data) * 2
+    found = [fields["warc-target-uri"] for _, fields, _ in warc.records(io.BytesIO(archive), len(archive), 0, len(archive))]
+    assert found == [url, url] and len(url) > 1 << 20
+    assert len(list(warc.records(io.BytesIO(archive), len(archive), 1, len(archive)))) == 1
+
+
+def test_lost_records_are_an_error(spark, monkeypatch):
+    read = warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda files, **named: read(files, **named).where("page_id <> 3"))
+    pages = spark.createDataFrame([(i, None, f"<p>{i}</p>") for i in range(5)], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="4 records were read of 5 written"):
+        warc.archive_round_trip(pages)
+
+
 def test_pieces_are_encoded_as_whole_texts():
     from tokenizers import Tokenizer
 

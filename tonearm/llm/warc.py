@@ -30,7 +30,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_REVISIT = 100
 RANGE_BYTES = 8 << 20
 STEP = 1 << 16
-MAX_HEADER = 1 << 20
+VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
+#: More than a version line has.
+LINE = 64
 
 
 def record(kind: str, page_id, refers_to, url, digest: str, size: int, payload: bytes, date: str) -> bytes:
@@ -53,7 +55,7 @@ def record(kind: str, page_id, refers_to, url, digest: str, size: int, payload:
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields and block of a record; raises ValueError if it isn't whole."""
     head, line, rest = data.partition(b"\r\n\r\n")
-    if not line or not re.match(rb"WARC/\d+\.\d+\r\n", head + b"\r\n"):
+    if not line or not VERSION_LINE.match(head + b"\r\n"):
         raise ValueError("no WARC header")
     fields = {}
     for part in head.decode("utf-8").split("\r\n")[1:]:
@@ -79,16 +81,27 @@ class Source:
         return self.held[place - self.at : place - self.at + count]
 
     def header_at(self, place: int) -> bool:
-        """Whether a gzip member with a WARC header starts there."""
-        unpack, head, at = zlib.decompressobj(31), b"", place
+        """Whether a gzip member with a WARC header, of any length, starts there."""
+        unpack, line, last, at, part = zlib.decompressobj(31), b"", b"", place, b""
         try:
-            while at < self.size and b"\r\n\r\n" not in head and len(head) < MAX_HEADER and not unpack.eof:
-                part = self.bytes_from(at, 4096)
-                head += unpack.decompress(part, MAX_HEADER)
-                at += len(part)
+            while not unpack.eof:
+                if not part:
+                    if at >= self.size:
+                        return False
+                    part = self.bytes_from(at, 4096)
+                    at += len(part)
+                out = unpack.decompress(part, STEP)
+                part = unpack.unconsumed_tail
+                line += out[: LINE - len(line)]
+                if len(line) == LINE and not VERSION_LINE.match(line):
+                    return False
+                last += out
+                if b"\r\n\r\n" in last:
+                    return bool(VERSION_LINE.match(line))
+                last = last[-3:]
         except zlib.error:
-            return False
-        return bool(re.match(rb"WARC/\d+\.\d+\r\n", head)) and b"\r\n\r\n" in head
+            pass
+        return False
 
     def member_at(self, place: int) -> tuple[bytes, int]:
         """The content of the member that starts there, and the place behind it."""
@@ -233,7 +246,7 @@ def archive_round_trip(df: DataFrame, page_id: str = "page_id", url: str = "url"
     """Writes an archive record per row and reads the archives back: one row per page.
 
     Null html is an empty payload. Repeated rows: the rows with the smallest id of equal payloads are
-    responses, the others revisit that id. A row without id is a response unless another row with its
+    responses, the others revisit that id. Fewer or more records than were written are an error. A row without id is a response unless another row with its
     payload has an id. A null url gives a record without one. An empty table gives no rows.
     """
     pages = df.select(
@@ -241,4 +254,8 @@ def archive_round_trip(df: DataFrame, page_id: str = "page_id", url: str = "url"
         F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"),
     )
     files = write_archives(with_references(pages), shared_folder(df.sparkSession, "warc"))
-    return read_archives(files, with_payload=with_payload)
+    found = written(read_archives(files, with_payload=with_payload), "warc-found")
+    want, got = files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], found.count()
+    if want != got:
+        raise ValueError(f"{got} records were read of {want} written")
+    return found
