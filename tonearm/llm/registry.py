@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tonearm.llm.decontaminate import decontaminate
+from tonearm.llm.fill_in_middle import fill_in_middle
 from tonearm.llm.html_text import extract
 from tonearm.llm.language_model import score_texts
+from tonearm.llm.lexical_search import search
 from tonearm.llm.near_duplicates import near_duplicates
 from tonearm.llm.packing import pack
+from tonearm.llm.personal_data import find_personal_data, listed_spans
 from tonearm.llm.quality import quality
 from tonearm.llm.repeats import RESULT as REPEAT_COLUMNS, remove_repeats
 from tonearm.llm.token_files import token_files
@@ -73,10 +76,23 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return listed_spans(find_personal_data(table(spark, folder, "documents")))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle(table(spark, folder, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
     queries = (
         op1_toxicity, op2_decontamination, op3_suffix_repeats, op4_language_model, op5_quality, op6_warc,
-        op7_near_duplicates, op8_token_files, op9_packing, op10_main_text,
+        op7_near_duplicates, op8_token_files, op9_packing, op10_main_text, op11_personal_data,
+        op12_fill_in_middle, op13_lexical_search,
     )
     return {query.__name__: query for query in queries}
 
