@@ -18,6 +18,24 @@ CTES = {
     "l_document": f"""
         SELECT c.artist_id, c.id, {DOCUMENT} AS document
         FROM collections c LEFT JOIN songs s ON s.collection_id = c.id""",
+    "l_nested": """
+        SELECT c.id, c.artist_id, 0 AS part, 1 AS parts, to_json({'id': c.id, 'name': any_value(c.name),
+               'collection_type': any_value(c.collection_type), 'genre_id': any_value(c.genre_id),
+               'released_dt': any_value(c.released_dt), 'artist_id': c.artist_id,
+               'songs': coalesce(list({'id': s.id, 'name': s.name, 'duration_sec': s.duration_sec, 'collection_id': s.collection_id,
+                   'artist_id': s.artist_id, 'genre_id': s.genre_id} ORDER BY s.id) FILTER (s.id IS NOT NULL), [])})::VARCHAR AS document
+        FROM collections c LEFT JOIN songs s ON s.collection_id = c.id GROUP BY c.id, c.artist_id""",
+    "l_create": """
+        SELECT 'R' || id AS request_id, name, artist_id, collection_type, genre_id, released_dt, id AS old_id,
+               CAST(substr(id, 2) AS BIGINT) AS k, (SELECT count(*) FROM songs WHERE collection_id = c.id) AS n_songs
+        FROM collections c""",
+    "l_answer": """
+        SELECT *, CASE WHEN k % 13 = 0 OR (k % 19 = 0 AND k % 23 <> 0 AND n_songs > 0) THEN 'MissingFields'
+                       WHEN k % 7 = 0 OR artist_id NOT IN (SELECT id FROM artists) THEN 'ArtistNotFound'
+                       WHEN k % 11 = 0 OR genre_id NOT IN (SELECT id FROM genres) THEN 'GenreNotFound'
+                       WHEN k % 17 = 0 THEN 'InvalidDate' ELSE 'ok' END AS status,
+               substr(sha256(concat_ws('#', 'collection', request_id, '0')), 1, 32) AS collection_id
+        FROM l_create""",
     "l_staggered": "SELECT code, name, enabled_at + CAST(code AS INT) * INTERVAL 1 DAY AS enabled_at FROM countries",
     "l_weight": """
         SELECT code, exp(-ln(2) / 14 * date_diff('microsecond', enabled_at, TIMESTAMP '1995-03-01') / 86400e6) AS weight,
@@ -148,6 +166,32 @@ QUERIES = {
         FROM artists a LEFT JOIN l_document d ON d.artist_id = a.id
         UNION ALL SELECT id || 'x', false, NULL, NULL FROM artists""",
     "collection_document": "SELECT id, document FROM l_document",
+    "collection_document_nested": "SELECT * FROM l_nested",
+    "collections_of_artist_nested": """
+        SELECT r.artist_id, r.found, n.id AS collection_id, n.part, n.parts, n.document
+        FROM (SELECT id AS artist_id, true AS found FROM artists UNION ALL SELECT id || 'x', false FROM artists) r
+        LEFT JOIN l_nested n ON n.artist_id = r.artist_id AND r.found""",
+    "collection_by_id": """
+        SELECT r.collection_id, n.id IS NOT NULL AS found, n.part, n.parts, n.document
+        FROM (SELECT id AS collection_id FROM collections UNION ALL SELECT id || 'x' FROM collections) r
+        LEFT JOIN l_nested n ON n.id = r.collection_id""",
+    "create_collections": """
+        SELECT request_id, status, CASE WHEN status = 'ok' THEN collection_id END AS collection_id,
+               CASE WHEN status <> 'MissingFields' THEN '[]' ELSE '[' || concat_ws(',', CASE WHEN k % 13 = 0 THEN '"type"' END,
+                    CASE WHEN k % 19 = 0 AND k % 23 <> 0 AND n_songs > 0 THEN '"songs.duration_sec"' END) || ']' END AS missing
+        FROM l_answer""",
+    "create_collections_events": f"""
+        SELECT to_json({{'type': 'CollectionCreated', 'data': {{'event_time': '{X}T00:00:00', 'id': collection_id, 'name': name,
+               'collection_type': collection_type, 'artist_id': artist_id, 'genre_id': genre_id,
+               'released_dt': released_dt}}}})::VARCHAR AS value FROM l_answer WHERE status = 'ok'
+        UNION ALL
+        SELECT to_json({{'type': 'SongCreated', 'data': {{'event_time': '{X}T00:00:00', 'collection_id': a.collection_id,
+               'artist_id': a.artist_id, 'genre_id': a.genre_id,
+               'id': substr(sha256(concat_ws('#', 'song', a.request_id, s.at, '0')), 1, 32), 'name': s.name,
+               'duration_sec': s.duration_sec}}}})::VARCHAR
+        FROM l_answer a JOIN (SELECT *, row_number() OVER (PARTITION BY collection_id ORDER BY id) - 1 AS at FROM songs) s
+          ON s.collection_id = a.old_id
+        WHERE a.status = 'ok' AND a.k % 23 <> 0""",
     "lookup_entities": " UNION ALL ".join(
         f"SELECT '{e}' AS entity, {v} AS key, {v} IN (SELECT {k} FROM {t}) AS found FROM events" for e, v, t, k in LOOKUPS
     ),
@@ -218,6 +262,8 @@ QUERIES = {
 }
 
 
+QUERIES["explode_collection_nested"] = QUERIES["explode_collection"]
+
 for _name in ("random_song_for", "random_artist_for"):
     QUERIES[_name] = QUERIES[_name].format(
         known_country="r.country_code IS NULL OR r.country_code IN (SELECT code FROM countries)",

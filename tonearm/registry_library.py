@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tonearm.operators import activity, catalogue
-from tonearm.registry import EXECUTION_DT, Context, Query, query
+from tonearm.operators import activity, catalogue, collections
+from tonearm.registry import EXECUTION_DT, Context, Query, lists_as_json, query
 
 WEIGHTS_AT = "1995-03-01"
 
@@ -86,6 +86,36 @@ def _explode(c: Context) -> DataFrame:
     return catalogue.explode_collection(catalogue.collection_document(_documents(c)), _midnight(EXECUTION_DT))
 
 
+def _nested(c: Context) -> DataFrame:
+    return collections.documents_of(collections.collection_parts(c.library["collections"], c.library["songs"]))
+
+
+def _create_requests(c: Context) -> DataFrame:
+    """A request for every collection to create it once more; some lack keys or name what does not exist."""
+    parts = collections.collection_parts(c.library["collections"], c.library["songs"])
+    number = F.substring("id", 2, 20).cast("bigint")
+    brief = F.transform(
+        "songs", lambda s: F.struct(s["name"].alias("name"), F.when(number % 19 != 0, s["duration_sec"]).alias("duration_sec"))
+    )
+    return parts.select(
+        F.concat(F.lit("R"), F.col("id")).alias("request_id"),
+        F.to_json(
+            F.struct(
+                F.when(number % 7 == 0, F.concat("artist_id", F.lit("x"))).otherwise(F.col("artist_id")).alias("artist_id"),
+                "name",
+                F.when(number % 13 != 0, F.col("collection_type")).alias("type"),
+                F.when(number % 11 == 0, F.lit("unknown")).otherwise(F.col("genre_id")).alias("genre_id"),
+                F.when(number % 17 == 0, F.lit("2022-31-12")).otherwise(F.col("released_dt")).alias("released_dt"),
+                F.when(number % 23 != 0, brief).otherwise(F.slice(brief, 1, 0)).alias("songs"),
+            )
+        ).alias("document"),
+    )
+
+
+def _answers(c: Context) -> DataFrame:
+    return collections.answer_requests(_create_requests(c), c.library["artists"], c.library["genres"])
+
+
 def library_queries() -> dict[str, Query]:
     a, k = activity, catalogue
     popularity = lambda c: a.song_popularity(c.stage["kafka_playback"], c.library["songs"])
@@ -108,6 +138,16 @@ def library_queries() -> dict[str, Query]:
             lambda c: k.collections_of_artist(_artist_requests(c), c.library["artists"], _documents(c))
         ),
         "collection_document": query(lambda c: k.collection_document(_documents(c))),
+        "collection_document_nested": query(_nested),
+        "collections_of_artist_nested": query(
+            lambda c: collections.documents_of_artist(_artist_requests(c), c.library["artists"], _nested(c))
+        ),
+        "collection_by_id": query(lambda c: collections.collection_by_id(_collection_requests(c), _nested(c))),
+        "explode_collection_nested": query(lambda c: collections.explode_documents(_nested(c), _midnight(EXECUTION_DT))),
+        "create_collections": query(
+            lambda c: lists_as_json(_answers(c).select("request_id", "status", "missing", "collection_id"))
+        ),
+        "create_collections_events": query(lambda c: collections.created_events(_answers(c), _midnight(EXECUTION_DT))),
         "lookup_entities": query(_lookups),
         "random_song_per_country": query(
             lambda c: k.random_song_per_country(c.library["songs"], c.library["artists"])
