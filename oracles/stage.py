@@ -198,6 +198,10 @@ def oracles(with_ctes) -> dict[str, str]:
             FROM ({stage_sql("kafka_playback")}) p JOIN kafka_song s ON s.id = p.song_id
             WHERE p.event_type = 'SongStopEvent' AND p.at_time_sec > 0.5 * s.duration_sec GROUP BY song_id"""),
     }
+    has_time = "TRY_CAST(CASE WHEN json_valid(data) THEN data ->> '$.event_time' END AS TIMESTAMP) IS NOT NULL"
+    out["stream_unique_events"] = f"SELECT * FROM ({out['dedupe_events']}) WHERE {has_time}"
+    out["stream_polled_playback"] = out["stream_stage_playback"]
+    out["stream_current_popularity"] = out["stream_song_popularity"]
     for table in COLUMNS:
         out["stage_" + table.removeprefix("kafka_")] = edge(stage_sql(table))
     tables = {t: (stage_sql(t), (*stage_columns(t), "event_id")) for t in COLUMNS}

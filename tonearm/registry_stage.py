@@ -13,7 +13,9 @@ from tonearm.sources.events import messages_of, publish_events, read_events
 from tonearm.sources.fixtures import edge_messages
 from tonearm.sources.store import StoredTables, TableStore
 from tonearm.streaming.ingest import QUARANTINE, UNROUTED, append_stage, start_ingest
-from tonearm.streaming.popularity import append_popularity, read_popularity
+from tonearm.streaming.popularity import append_popularity, current_popularity, read_popularity, start_popularity
+from tonearm.streaming.progress import serve
+from tonearm.streaming.unique import UNIQUE, read_unique, start_unique
 
 
 def _edges(c: Context) -> DataFrame:
@@ -147,6 +149,51 @@ def _streamed_popularity(c: Context) -> DataFrame:
     return read_popularity(store, c.library["songs"])
 
 
+#: Longer than the time that the messages span, so that none of the tests' messages is late.
+DELAY = "100000 days"
+
+
+def _unique(c: Context) -> str:
+    """All messages streamed in two runs with a restart, the edge cases in both; returns the folder of unique ones."""
+    root = shared_folder(c.spark, "unique")
+    early = F.col("event_time") < F.lit(CUT_DT).cast("timestamp_ntz")
+    for part in (early, ~early):
+        publish_events(messages_of({n: df.where(part) for n, df in c.stage.items()}), root + "/messages", required=True)
+        publish_events(edge_messages(c.given), root + "/messages", required=True)
+        messages = read_events(c.spark, root + "/messages")
+        start_unique(messages, root + "/unique", root + "/checkpoint", DELAY).awaitTermination()
+    return root + "/unique"
+
+
+def _current_popularity(c: Context) -> DataFrame:
+    root = shared_folder(c.spark, "current")
+    store = TableStore(c.spark, root + "/store")
+    events = read_unique(c.spark, _unique(c), per_batch=20)
+    start_popularity(events, store, root + "/checkpoint").awaitTermination()
+    return current_popularity(store, c.library["songs"])
+
+
+def _polled_playback(c: Context) -> DataFrame:
+    """An endless ingest that is sent messages while it runs, stopped between batches, and started again."""
+    root = shared_folder(c.spark, "polled")
+    stage = TableStore(c.spark, root + "/stage")
+    rows = c.stage["kafka_playback"]
+    early = F.col("event_time") < F.lit(CUT_DT).cast("timestamp_ntz")
+    edges = edge_messages(c.given)
+    publish_events(edges, root + "/messages", required=True)
+    for part in (early, ~early):
+        done: list[int] = []
+        ingest = start_ingest(
+            read_events(c.spark, root + "/messages"), stage, root + "/checkpoint", interval="200 milliseconds",
+            after_batch=done.append, within=DELAY,
+        )
+        publish_events(messages_of({"kafka_playback": rows.where(part)}, ["kafka_playback"]), root + "/messages", required=True)
+        publish_events(edges, root + "/messages", required=True)
+        ingest.processAllAvailable()
+        serve(ingest, lambda: bool(done), poll_s=0.2)
+    return StoredTables(stage, ("kafka_playback",))["kafka_playback"]
+
+
 def stage_queries() -> dict[str, Query]:
     playback = STAGE_TABLES["kafka_playback"]
     required = ["user_id", "song_id"]
@@ -174,4 +221,9 @@ def stage_queries() -> dict[str, Query]:
         "stream_stage_playback": query(_streamed_playback),
         "stream_vault": query(_streamed_vault),
         "stream_song_popularity": query(_streamed_popularity),
+        "stream_unique_events": query(
+            lambda c: c.spark.read.schema(UNIQUE).parquet(_unique(c)).where(ops.event_month(F.col("data")) > 0)
+        ),
+        "stream_current_popularity": query(_current_popularity),
+        "stream_polled_playback": query(_polled_playback),
     }

@@ -21,9 +21,11 @@ from tonearm.operators.stage import (
 from tonearm.operators.vault import not_in
 from tonearm.plans.load_plan import run_load_plan
 from tonearm.sources.store import TableStore
+from tonearm.streaming.unique import unique_within
 
 QUARANTINE, UNROUTED, EVENT_IDS = "quarantine", "unrouted", "event_ids"
 
+
 def drop_known(events: DataFrame, store: TableStore, batch_id: int) -> DataFrame:
     """Events (one copy each, with `id` and `event_month`) that no earlier batch has stored.
 
@@ -38,18 +40,21 @@ def drop_known(events: DataFrame, store: TableStore, batch_id: int) -> DataFrame
     return not_in(events, earlier.where(F.col("event_month").isin(months)), ["id"])
 
 
-def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: int = 8) -> None:
+def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: int = 8, unique: bool = False) -> None:
     """Decoded events of one batch -> one append per stage table, quarantine and unrouted.
 
     The batch is read and freed of copies once, and judged once, and kept for the writes; blocks
     lost with an executor are computed again from the source. Which targets have rows at all is
     found first (at most one line per target reaches the driver), so an empty or narrow batch
     starts few jobs.
-    Each write replaces only its own batch folder: a repeated batch leaves no second copy.
+    Each write replaces only its own batch folder: a repeated batch leaves no second copy. `unique`
+    says that the events are free of copies already; then no ids are looked up or kept.
     """
-    once = dedupe_events(events).withColumns({"id": F.unhex("event_id"), "event_month": event_month(F.col("data"))})
-    once = once.persist(StorageLevel.MEMORY_AND_DISK)
-    judged = judge_events(drop_known(once, store, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+    once = events.select("event_id", "type", "data") if unique else dedupe_events(events)
+    if not unique:
+        once = once.withColumns({"id": F.unhex("event_id"), "event_month": event_month(F.col("data"))})
+        once = once.persist(StorageLevel.MEMORY_AND_DISK)
+    judged = judge_events(once if unique else drop_known(once, store, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         refused = F.size("missing") > 0
         target = F.when(refused, QUARANTINE).otherwise(F.coalesce("stage_table", F.lit(UNROUTED)))
@@ -67,7 +72,7 @@ def append_stage(events: DataFrame, store: TableStore, batch_id: int, at_once: i
                 store.append(name, stage_rows(accepted, name), batch_id, "event_time")
 
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(write, present + [EVENT_IDS] if present else []))
+            list(pool.map(write, present + [EVENT_IDS] if present and not unique else present))
         store.commit(batch_id)
     finally:
         judged.unpersist()
@@ -81,21 +86,30 @@ def start_ingest(
     vault: TableStore | None = None,
     interval: str | None = None,
     after_batch: Callable[[int], None] | None = None,
+    within: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Starts the ingest; with `vault`, each batch is loaded to the warehouse as well, with the
     `options` of the load plan. `after_batch` is called with the number of each stored batch.
 
-    Without `interval` everything available is read, in bounded batches, and the query ends.
+    Without `interval` everything available is read, in bounded batches, and the query ends; with it,
+    the query runs on until it is stopped (`streaming.progress.serve`).
+
+    Copies are found among the ids of all stored messages. With `within`, a delay, they are found by
+    the state of the stream instead (`streaming.unique`): it is bounded by the messages of that time, no
+    batch reads earlier ones, and what comes later than the delay is dropped and counted.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_stage(batch, stage, batch_id)
+        append_stage(batch, stage, batch_id, unique=within is not None)
         if vault is not None:
             run_load_plan(stage, vault, batch_id, **options)
         if after_batch is not None:
             after_batch(batch_id)
 
-    writer = decode_envelope(messages).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    events = decode_envelope(messages)
+    if within is not None:
+        events = unique_within(events, within)
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
