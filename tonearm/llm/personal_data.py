@@ -65,7 +65,8 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
-_COLONS = re.compile(r"[0-9A-Fa-f]*:[0-9A-Fa-f:]+")
+_COLONS = re.compile(r":[0-9A-Fa-f:]+")
+_HEX = frozenset("0123456789abcdefABCDEF")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 _LOCAL_PHONE = re.compile(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}")
 
@@ -150,14 +151,16 @@ def ibans(text: str) -> Iterator[Span]:
 def ipv6s(text: str) -> Iterator[Span]:
     """Three groups at least: times of the day and lists with colons are no addresses."""
     for found in _COLONS.finditer(text):
-        body = found.group()
-        if len(body) > 39 or sum(map(bool, body.split(":"))) < 3 or not _alone(text, *found.span()):
+        start, stop = found.span()
+        while start and found.start() - start < 4 and text[start - 1] in _HEX:
+            start -= 1
+        if stop - start > 39 or not _alone(text, start, stop) or sum(map(bool, text[start:stop].split(":"))) < 3:
             continue
         try:
-            ipaddress.IPv6Address(body)
+            ipaddress.IPv6Address(text[start:stop])
         except ValueError:
             continue
-        yield found.span()
+        yield start, stop
 
 
 def ssns(text: str) -> Iterator[Span]:
