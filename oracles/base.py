@@ -275,8 +275,9 @@ def then(x: str) -> dict[str, str]:
 KNOWN = {**STAGE, **LIBRARY, **VAULT, **CURRENT}
 
 
-def with_ctes(query: str, extra: dict[str, str] | None = None) -> str:
-    """Prepends exactly the CTEs the query needs, in dependency order."""
+def with_ctes(query: str, extra: dict[str, str] | None = None, once: bool = False) -> str:
+    """Prepends exactly the CTEs the query needs, in dependency order; with `once`, those that are read
+    more than once are computed once, whatever the engine would choose."""
     known = {**KNOWN, **(extra or {})}
     names = re.compile(r"\b(" + "|".join(sorted(known, key=len, reverse=True)) + r")\b")
     done: list[str] = []
@@ -290,5 +291,7 @@ def with_ctes(query: str, extra: dict[str, str] | None = None) -> str:
     visit(query)
     if not done:
         return query
-    ctes = ",\n".join(f"{name} AS ({known[name]})" for name in done)
+    read = [name for sql in [query, *(known[name] for name in done)] for name in names.findall(sql)]
+    kept = {name for name in done if once and read.count(name) > 1}
+    ctes = ",\n".join(f"{name} AS {'MATERIALIZED ' if name in kept else ''}({known[name]})" for name in done)
     return f"WITH {ctes}\n{query}"

@@ -75,6 +75,16 @@ def similar(same_country: bool) -> str:
           ON {same} AND a.position = floor({_uniform('t.user_id', 't.genre_id', "'0'")} * a.n_artists) + 1"""
 
 
+def tastes(same_country: bool) -> str:
+    home = ", u.country_code" if same_country else ""
+    same = " AND a.country_code = u.country_code" if same_country else ""
+    return f"""
+        SELECT l.user_id, s.genre_id{home}, count(*) AS liked,
+               (SELECT count(*) FROM artists a WHERE a.genre_id = s.genre_id{same}) AS n_artists
+        FROM song_likes l JOIN songs s ON s.id = l.song_id JOIN users u ON u.id = l.user_id
+        WHERE s.genre_id IS NOT NULL GROUP BY l.user_id, s.genre_id{home}"""
+
+
 def suggested(same_country: bool) -> str:
     def numbered(group: tuple[str, ...]) -> str:
         parts = "PARTITION BY " + ", ".join(group) if group else ""
@@ -232,6 +242,11 @@ QUERIES = {
         GROUP BY ALL HAVING count(*) >= 3""",
     "same_genre_artists": similar(False),
     "same_genre_artists_at_home": similar(True),
+    "candidate_tastes": tastes(False),
+    "candidate_tastes_at_home": tastes(True),
+    "candidate_members": "SELECT genre_id, id AS artist_id FROM artists WHERE genre_id IS NOT NULL",
+    "candidate_members_at_home": """SELECT genre_id, country_code, id AS artist_id FROM artists
+        WHERE genre_id IS NOT NULL AND country_code IS NOT NULL""",
     "country_decay_weight": """
         SELECT code, round(weight, 9) AS weight, round(hourly_weight, 9) AS hourly_weight,
                round(sum(weight) OVER (), 9) AS total_weight FROM l_weight""",

@@ -144,4 +144,5 @@ def oracles(with_ctes) -> dict[str, str]:
     for name, corrected in (("mart_artist_history", False), ("mart_artist_history_corrected", True)):
         out[name] = with_ctes(mart(X, corrected), {**ctes(X, corrected), **HISTORY})
     out["mart_artist_2000"] = with_ctes(mart(X2), ctes(X2))
+    out["mart_artist_by_intervals"] = out["mart_artist_history_corrected"]
     return out

@@ -97,4 +97,5 @@ def oracles(with_ctes) -> dict[str, str]:
     for name, corrected in (("mart_song_history", False), ("mart_song_history_corrected", True)):
         out[name] = with_ctes(mart(X, corrected), {**ctes(X, corrected), **HISTORY})
     out["mart_song_2000"] = with_ctes(mart(X2), ctes(X2))
+    out["mart_song_by_intervals"] = out["mart_song_history_corrected"]
     return out

@@ -124,9 +124,10 @@ def oracles(with_ctes) -> dict[str, str]:
     out = {name: with_ctes(sql, ctes(X)) for name, sql in STEPS.items()}
     for name in ("user_subscriptions", "user_listenings", "user_listenings_agg"):
         out[name + "_corrected"] = with_ctes(STEPS[name], ctes(X, True))
-    out["mart_user"] = with_ctes(mart(), ctes(X))
-    out["mart_user_corrected"] = with_ctes(mart(True), ctes(X, True))
+    out["mart_user"] = with_ctes(mart(), ctes(X), once=True)
+    out["mart_user_corrected"] = with_ctes(mart(True), ctes(X, True), once=True)
     for name, corrected in (("mart_user_history", False), ("mart_user_history_corrected", True)):
-        out[name] = with_ctes(mart(corrected), {**ctes(X, corrected), **HISTORY})
-    out["mart_user_2000"] = with_ctes(mart(), ctes(X2))
+        out[name] = with_ctes(mart(corrected), {**ctes(X, corrected), **HISTORY}, once=True)
+    out["mart_user_2000"] = with_ctes(mart(), ctes(X2), once=True)
+    out["mart_user_by_intervals"] = out["mart_user_history_corrected"]
     return out

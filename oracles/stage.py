@@ -1,6 +1,7 @@
 """Oracle SQL of the ingest layer. Messages are written here with string functions, not parsed."""
 
-from oracles.base import HUBS, LINKS, LSATS, SATS, VAULT
+from oracles.base import HISTORY, HUBS, LINKS, LSATS, SATS, VAULT
+from oracles.vault import CATALOGUE, intervals_sql
 
 TIME = "strftime(event_time, '%Y-%m-%dT%H:%M:%S')"
 
@@ -193,6 +194,9 @@ def oracles(with_ctes) -> dict[str, str]:
         "append_table": with_ctes(summary({t: (f"SELECT * FROM {t}", stage_columns(t)) for t in COLUMNS})),
         "stream_stage_playback": edge(stage_sql("kafka_playback")),
         "run_load_plan": with_ctes(summary({t: (f"SELECT * FROM {t}", VAULT_COLUMNS[t]) for t in VAULT})),
+        "stored_histories": with_ctes(
+            summary({t + "_history": (intervals_sql(t), (*VAULT_COLUMNS[t], "valid_to")) for t in CATALOGUE}), HISTORY
+        ),
         "stream_song_popularity": edge(f"""
             SELECT song_id, count(*) - 1 AS listen_count
             FROM ({stage_sql("kafka_playback")}) p JOIN kafka_song s ON s.id = p.song_id
@@ -201,6 +205,7 @@ def oracles(with_ctes) -> dict[str, str]:
     has_time = "TRY_CAST(CASE WHEN json_valid(data) THEN data ->> '$.event_time' END AS TIMESTAMP) IS NOT NULL"
     out["stream_unique_events"] = f"SELECT * FROM ({out['dedupe_events']}) WHERE {has_time}"
     out["stream_polled_playback"] = out["stream_stage_playback"]
+    out["append_table_compacted"] = out["append_table"]
     out["stream_current_popularity"] = out["stream_song_popularity"]
     for table in COLUMNS:
         out["stage_" + table.removeprefix("kafka_")] = edge(stage_sql(table))

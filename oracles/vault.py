@@ -1,7 +1,7 @@
 """Oracle SQL of the 21 loads: first load, and second load against rows before the cut date."""
 
 from oracles.base import (
-    _b64, _uniform, CUT, GENRE_SQL, HUBS, LINKS, LSATS, SATS, STAGE, cost_sql, hub_sql, link_sql, lsat_sql, sat_sql,
+    _b64, _uniform, CUT, GENRE_SQL, HISTORY, HUBS, LINKS, LSATS, SATS, STAGE, cost_sql, hub_sql, link_sql, lsat_sql, sat_sql,
 )
 
 BEFORE = f"event_time < TIMESTAMP '{CUT}'"
@@ -18,6 +18,14 @@ def filled(target: str, key: str, fields) -> str:
     return second(sat_sql(target), sat_sql(target, BEFORE), (key, "row_hash"))
 
 
+def intervals_sql(sat: str) -> str:
+    key = sat.removeprefix("sat_") + "_id"
+    return f"SELECT *, lead(actual_dtm) OVER (PARTITION BY {key} ORDER BY actual_dtm, row_hash DESC) AS valid_to FROM {sat}"
+
+
+CATALOGUE = ("sat_user", "sat_song", "sat_collection", "sat_artist")
+
+
 def oracles(with_ctes) -> dict[str, str]:
     out = {
         "hash_key": with_ctes(f"""
@@ -25,6 +33,8 @@ def oracles(with_ctes) -> dict[str, str]:
                    {_uniform('user_id', "'seed'")} AS draw FROM kafka_user_subscription"""),
         "latest_version": with_ctes("SELECT * FROM now_user"),
     }
+    for t in CATALOGUE:
+        out[t + "_history"] = with_ctes(intervals_sql(t), HISTORY)
     for t, (_, key, _) in HUBS.items():
         out[t] = with_ctes(hub_sql(t))
         out[t + "_second_load"] = with_ctes(second(hub_sql(t), hub_sql(t, BEFORE), ("original_id",)))

@@ -502,3 +502,86 @@ def test_pipeline_runs(spark):
 def test_collections_for_a_similarity():
     assert near_duplicates.collections_for(near_duplicates.PERCENT) == near_duplicates.COLLECTIONS
     assert near_duplicates.collections_for(80) == 15
+
+
+def test_first_shingles_meet_where_sets_overlap():
+    rng = np.random.default_rng(9)
+    for _ in range(2000):
+        union = rng.choice(1 << 40, rng.integers(1, 60), replace=False).astype(np.uint64)
+        common = np.sort(rng.choice(union, rng.integers(0, len(union) + 1), replace=False))
+        percent = int(rng.choice([50, 80, 85, 100]))
+        a = np.sort(union[: rng.integers(1, len(union) + 1)])
+        b = np.sort(union[rng.integers(0, len(union)) // 4 :])
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= percent * (len(a) + len(b) - shared):
+            assert len(np.intersect1d(*(near_duplicates.first_shingles(s, common, percent) for s in (a, b))))
+
+
+def test_texts_that_share_a_passage_are_not_compared_pair_by_pair(spark, make, monkeypatch):
+    """Two thirds of each text are one passage: nearly all are candidates of each other, and few are linked."""
+    dealt = []
+    inner = near_duplicates._rest_and_all
+
+    def counted(members):
+        out = inner(members)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "_rest_and_all", counted)
+    monkeypatch.setattr(near_duplicates, "BLOCK_SHINGLES", 4000)
+    passage = [f"p{k}" for k in range(60)]
+    texts = [" ".join(passage + [f"t{i}x{k}" for k in range(30)]) for i in range(300)]
+    texts += [" ".join(passage + [f"t{i}x{k}" for k in range(29)] + ["other"]) for i in range(0, 300, 10)]
+    out = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(make(enumerate(texts))).collect()}
+    assert out == {i: i if i < 300 else 10 * (i - 300) for i in range(330)}
+    assert dealt and dealt[0] <= 60  # the linked ones alone
+
+
+def test_components_of_paths_stars_and_copies(spark):
+    from tonearm.llm.components import connected_components
+
+    rng = np.random.default_rng(4)
+    edges = [(i, i + 1) for i in range(200)] + [(500, k) for k in range(501, 800)] + [(k, k) for k in range(900, 903)]
+    edges += [(int(a), int(b)) for a, b in rng.integers(1000, 1400, (250, 2))]
+    edges += edges[:50]
+    root = {n: n for e in edges for n in e}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    got = {r.node: r.root for r in connected_components(frame, "test").collect()}
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    assert got == {n: find(n) for n in linked}
+    assert connected_components(frame.where("false"), "test").count() == 0
+
+
+def test_ids_that_need_four_bytes(spark, make):
+    assert (token_files.width_for(65_535), token_files.width_for(65_536)) == ("<u2", "<u4")
+    texts = ["one two", "", "three"]
+    out = token_files.token_files(make(enumerate(texts)), tokenizer_file(), end_id=70_000, with_ids=True).collect()
+    ends = [np.frombuffer(r.ids, "<u4")[-1] for r in out]
+    assert ends == [70_000] * 3
+    with pytest.raises(ValueError):
+        token_files.TokenFileWriter(io.BytesIO(), "<u2").add(np.array([65_536]), [1], np.array([1]))
+
+
+def test_files_of_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, plain = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.in_pieces and tokens.Encoder(tokenizer_file()).in_pieces
+    texts = ["A  b\n\nC's é", "", "x y\nz", "ÀÉ 12"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    ids, bounds = encoder.encode(data, offsets, 7)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [
+        plain.encode(t, add_special_tokens=False).ids + [7] for t in texts
+    ]

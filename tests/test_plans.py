@@ -5,6 +5,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tonearm.plans import mart_artist, mart_user
 from tonearm.plans.load_plan import VAULT_TABLES, run_load_plan
@@ -12,7 +13,7 @@ from tonearm.registry import EXECUTION_DT, all_queries, open_context
 from tonearm.sources.store import StoredTables, TableStore
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = ("run_load_plan", "append_table", "append_stage", "read_events", "publish_events", "stream_")
+EAGER = ("run_load_plan", "stored_histories", "append_table", "append_stage", "read_events", "publish_events", "stream_")
 QUERIES = {n: q for n, q in all_queries().items() if not n.startswith(EAGER)}
 PACKAGE = Path(__file__).resolve().parents[1] / "tonearm"
 OWN = [p for p in PACKAGE.rglob("*.py") if "llm" not in p.parts]
@@ -30,13 +31,13 @@ def test_plan_has_no_python_and_no_cross_join(spark, name):
 
 
 def test_rows_never_pass_the_driver():
-    """What is collected are the targets a batch has rows for, and the months it has."""
+    """What is collected are the targets a batch has rows for, and the months and key parts it has."""
     calls = []
     for path in OWN:
         for node in ast.walk(ast.parse(path.read_text())):
             if isinstance(node, ast.Attribute) and node.attr in ("collect", "toPandas", "toLocalIterator", "rdd"):
                 calls.append((path.name, node.attr))
-    assert sorted(calls) == [("ingest.py", "collect"), ("ingest.py", "collect"), ("vault.py", "collect")]
+    assert sorted(calls) == [("ingest.py", "collect"), ("ingest.py", "collect"), ("vault.py", "collect"), ("vault.py", "collect")]
 
 
 def test_no_forced_broadcast_and_no_local_checkpoint():
@@ -103,6 +104,28 @@ def test_second_load_skips_files_outside_the_batch(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*actual_month", scan)
 
 
+@pytest.mark.parametrize("target", ["hub_user", "sat_user", "link_session_song_user_like"])
+def test_a_narrow_batch_reads_few_parts_of_the_target(spark, tmp_path, target):
+    from tonearm.operators.vault import load
+    from tonearm.plans.specs import BY_TARGET
+    from tonearm.sources.store import part_of
+
+    spec = BY_TARGET[target]
+    store = TableStore(spark, f"file://{tmp_path}")
+    stage = open_context(spark, FOLDER).stage[spec.stage]
+    loaded = load(spec, stage)
+    store.append(target, loaded, 0, key=spec.key)
+    one = stage.orderBy(*spec.parts).limit(1)
+    parts = {r.p for r in load(spec, one).select(part_of(F.col(spec.key)).alias("p")).collect()}
+    fresh = load(spec, one, store.read(target))
+    scan = " ".join(scan_of(plan_of(fresh), target))
+    named = re.search(r"PartitionFilters: \[[^\]]*key_part#\d+ (?:IN \(|= )([\d,]+)", scan)
+    assert named and {int(n) for n in named[1].split(",")} == parts and len(parts) == 1
+    assert fresh.isEmpty()
+    assert load(spec, stage, store.read(target)).isEmpty()
+    assert store.read(target).select(spec.key, "key_part").where(part_of(F.col(spec.key)) != F.col("key_part")).isEmpty()
+
+
 def test_one_late_event_adds_its_own_month_only(spark, tmp_path):
     from tonearm.operators.vault import load
     from tonearm.plans.specs import BY_TARGET

@@ -57,6 +57,14 @@ def written(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the folder of a table that `written` gave and that nothing reads any more."""
+    hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = hadoop.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     sizes = np.array([len(a) for a in arrays], "<i8")
     return b"".join([sizes.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])

@@ -2,48 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from tonearm.llm.blocks import written
+from tonearm.llm.blocks import discard, written
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _round(edges: DataFrame) -> DataFrame:
+    """One round over edges (u, v) with u > v: (u, v, moved).
 
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Joins the larger neighbours of every node to its smallest one."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _least(both).select("u", F.least("u", "m").alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Joins every node and its smaller neighbours to the smallest of them. Edges lead from larger to smaller nodes."""
-    least = _least(edges)
-    others = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return others.unionByName(least.select("u", F.col("m").alias("v")))
+    Every node takes the smallest of its neighbours as its parent; the other ones are joined to that
+    one instead. Then every edge leads on to the parent of its lower end, so that paths are halved. `moved`
+    marks the rows that the round changed.
+    """
+    parents = edges.groupBy("u").agg(F.min("v").alias("p"))
+    others = edges.join(parents, "u").where("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v")).distinct()
+    hooked = parents.select("u", F.col("p").alias("v"), F.lit(False).alias("hook")).unionByName(others.withColumn("hook", F.lit(True)))
+    above = parents.select(F.col("u").alias("v"), F.col("p").alias("above"))
+    return hooked.join(above, "v", "left").select(
+        "u", F.coalesce("above", "v").alias("v"), (F.col("hook") | F.col("above").isNotNull()).alias("moved")
+    )
 
 
 def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
     """(node, root) of every node of the edges (u, v): root is the smallest node reachable.
 
-    Large and small star steps alternate until the edges are stars; each round is written. The
-    number of rounds grows with the logarithm of the size of the components. Nothing is
-    collected; the steps are grouped minima and joins, which Spark can split for hot nodes.
+    Rounds go on until a round moves nothing, which is when all edges are stars; each round is
+    written, and the one before it removed. The number of rounds grows with the logarithm of the size of
+    the components. Nothing is collected; the steps are grouped minima and joins, which Spark can split
+    for hot nodes.
     """
-
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
-
-    directed = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    stars = written(directed, purpose)
-    before = mark(stars)
-    while before[0]:
-        stars = written(_small_star(_large_star(stars).distinct()).distinct(), purpose)
-        after = mark(stars)
-        if after == before:
-            break
-        before = after
+    directed = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    stars, moved = written(directed.distinct(), purpose), 1
+    while moved:
+        seen, before = Observation(), stars
+        stars = written(_round(before).observe(seen, F.count_if("moved").alias("moved")), purpose)
+        moved = seen.get["moved"]
+        discard(before)
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -20,8 +20,12 @@ is already linked need no comparison, so that most members of a group of copies
 taken up; all other pairs are compared. Clusters with many shingles are cut into blocks. Each
 block is linked by itself, then the central members of the blocks among themselves, which
 makes one component of a large group of copies in work linear in its size. What remains of such
-a cluster, the members outside its largest component, meets all of the cluster block by block.
-No pair is capped or sampled.
+a cluster are the members outside its largest component. Many texts can meet there that only share a
+passage, so they are not compared with all of the cluster: of two sets that overlap enough, one has to
+hold one of the first shingles of the other, whatever the order of shingles, if so many come first that the
+rest is too few. In an order that begins with shingles that are rare in the cluster, those first ones
+tell texts with a common passage apart. Members that share a first shingle with one that remains
+make smaller clusters, and in these the remaining meet all, block by block. No pair is capped or sampled.
 """
 
 from __future__ import annotations
@@ -216,17 +220,71 @@ def _compare(percent: int):
     return compare
 
 
-def _compared(texts: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links found in tasks; `members` has member_id, node, the label of what is connected already, and tasks."""
+def _dealt(texts: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
+    """The shingle sets of members, once for each of their tasks: (task, node, label, body)."""
     members = written(members.select("member_id", "node", "label", "tasks"), "near-tasks")
     side = F.broadcast(members) if members.agg(F.coalesce(F.sum(F.size("tasks")), F.lit(0))).first()[0] <= BROADCAST_ROWS else members
     with_text = texts.join(side, texts.doc_id.eqNullSafe(side.member_id)).select("text", "node", "label", "tasks")
     sets = with_text.transform(mapped, _sets_of(shingle), "node binary, label binary, tasks array<string>, body binary")
-    dealt = sets.select(F.explode("tasks").alias("task"), "node", "label", "body")
-    dealt = dealt.repartition("task").sortWithinPartitions("task")
+    return sets.select(F.explode("tasks").alias("task"), "node", "label", "body")
+
+
+def _compared(texts: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links found in tasks; `members` has member_id, node, the label of what is connected already, and tasks."""
+    dealt = _dealt(texts, members, shingle).repartition("task").sortWithinPartitions("task")
     return written(dealt.transform(mapped, _compare(percent), "u binary, v binary"), "near-links")
 
 
+def _common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles that more than one member of a task holds, of each task."""
+    for task, members in runs(batches, "task"):
+        own = {row["node"].to_pybytes(): row["body"].to_pybytes() for row in members}
+        values, counts = np.unique(np.concatenate([np.frombuffer(b, U64) for b in own.values()]), return_counts=True)
+        yield batch(task=([task], pa.string()), common=([values[counts > 1].tobytes()], pa.binary()))
+
+
+def first_shingles(members: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, in an order in which the common ones come last.
+
+    Sets that overlap by at least `percent` share that part of each of them, so that they share one of these.
+    """
+    n = len(members)
+    late = np.isin(members, common, assume_unique=True)
+    return members[np.argsort(late, kind="stable")][: n - (percent * n + 99) // 100 + 1]
+
+
+def _first(percent: int):
+    """The first shingles of the members of each task; the first row of a task has the common ones of its cluster."""
+
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+
+        def closed() -> pa.RecordBatch:
+            size = np.array([len(own) for _, _, _, own in held])
+            tasks, nodes, rest = (pa.array(column) for column in list(zip(*held))[:3])
+            at = pa.array(np.repeat(np.arange(len(held)), size))
+            return batch(
+                task=tasks.take(at), shingle=(np.concatenate([own for *_, own in held]), pa.int64()), node=nodes.take(at), rest=rest.take(at)
+            )
+
+        for task, members in runs(batches, "task"):
+            common = np.zeros(0, U64)
+            for row in members:
+                body = np.frombuffer(row["body"].to_pybytes(), U64)
+                if row["node"] is None:
+                    common = body
+                    continue
+                own = first_shingles(body, common, percent).view(np.int64)
+                held.append((task, row["node"].to_pybytes(), row["label"].to_pybytes() == b"rest", own))
+                if len(held) == 1000:
+                    yield closed()
+                    held.clear()
+        if held:
+            yield closed()
+
+    return first
+
+
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Adds into how many blocks the cluster (`root`) of a member is cut."""
     blocks = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
@@ -237,11 +295,9 @@ def _block_of(blocks: str) -> Column:
     return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
 
 
-def _rest_and_all(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Tasks in which the members outside the largest component of a cluster meet all of its members."""
-    roots = connected_components(links, "near-blocks").withColumnRenamed("root", "connected")
-    labelled = members.join(roots, "node", "left").withColumn("label", F.coalesce("connected", "node"))
-    sizes = labelled.groupBy("root", "label").agg(F.sum("n_shingles").alias("size"))
+def _placed(members: DataFrame) -> DataFrame:
+    """Adds the label of the largest component (`main`) of the cluster, and drops clusters that are one component."""
+    sizes = members.groupBy("root", "label").agg(F.sum("n_shingles").alias("size"))
     largest = sizes.groupBy("root").agg(
         F.max(F.struct("size", "label")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("n")
     )
@@ -250,7 +306,40 @@ def _rest_and_all(members: DataFrame, links: DataFrame) -> DataFrame:
         F.ceil(F.col("main.size") / BLOCK_SHINGLES).cast("int").alias("main_blocks"),
         F.ceil((F.col("all") - F.col("main.size")) / BLOCK_SHINGLES).cast("int").alias("rest_blocks"),
     )
-    placed = labelled.join(cut, "root").withColumn("name", F.hex("root"))
+    return members.join(cut, "root")
+
+
+def _by_first_shingles(texts: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Members with a new, smaller cluster as their `root`: what shares first shingles with a member outside
+    the largest component of its cluster. All others have no link that isn't found yet.
+
+    The order of shingles has to be one for a whole cluster, but may be any: common ones are told by one block.
+    """
+    name, block = F.hex("root"), _block_of("blocks")
+    placed = _placed(members).withColumn("label", F.when(F.col("label") == F.col("main"), F.lit(b"main")).otherwise(F.lit(b"rest")))
+    sets = written(
+        _dealt(texts, placed.withColumn("tasks", F.array(F.concat_ws("/", name, block))), shingle), "near-sets"
+    )
+    one = sets.where("task LIKE '%/0'").repartition("task").sortWithinPartitions("task")
+    common = one.transform(mapped, _common, "task string, common binary")
+    blocks = placed.select(F.concat_ws("/", name, F.lit("0")).alias("task"), "root", "blocks").distinct()
+    sent = common.join(blocks, "task").select(
+        F.explode(F.expr("sequence(0, blocks - 1)")).alias("b"), "root", F.col("common").alias("body")
+    ).select(F.concat_ws("/", name, "b").alias("task"), F.lit(None).cast("binary").alias("node"), F.lit(None).cast("binary").alias("label"), "body")
+    dealt = sets.unionByName(sent).repartition("task").sortWithinPartitions("task", F.asc_nulls_first("node"))
+    firsts = dealt.transform(mapped, _first(percent), "task string, shingle long, node binary, rest boolean")
+    firsts = written(firsts.withColumn("cluster", F.substring_index("task", "/", 1)).drop("task"), "near-first")
+    leads = firsts.groupBy("cluster", "shingle").agg(
+        F.min("node").alias("lead"), F.count("*").alias("n"), F.max("rest").alias("rest")
+    ).where("n > 1 AND rest")
+    edges = firsts.join(leads.select("cluster", "shingle", "lead"), ["cluster", "shingle"]).where("node <> lead")
+    smaller = connected_components(edges.select(F.col("node").alias("u"), F.col("lead").alias("v")), "near-smaller")
+    return members.drop("root", "blocks").join(smaller, "node")
+
+
+def _rest_and_all(members: DataFrame) -> DataFrame:
+    """Tasks in which the members outside the largest component of a cluster meet all of its members."""
+    placed = _placed(members).withColumn("name", F.hex("root"))
     main = placed.where("label = main").withColumn("b", _block_of("main_blocks")).withColumn(
         "tasks", F.expr("transform(sequence(0, rest_blocks - 1), i -> concat_ws('/', name, i, 'main', b))")
     )
@@ -265,7 +354,7 @@ def _rest_and_all(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Verified links (u, v) between classes of the same cluster."""
+    """Verified links (u, v) between classes of the same cluster, or links that join up the same components."""
     members = classes.join(clusters, "node").select(F.col("doc_id").alias("member_id"), "node", "root", "n_shingles")
     members = written(_in_blocks(members), "near-members")
     split = members.where("blocks > 1")
@@ -283,11 +372,14 @@ def links_within(texts: DataFrame, classes: DataFrame, clusters: DataFrame, shin
         before = left
         centres = found.where("u = v").select(F.col("u").alias("node"))
         level = written(_in_blocks(cut.drop("blocks").join(centres, "node", "left_semi")), "near-centres")
+    links = links.where("u <> v")
     if before is not None:
-        known = links.where("u <> v").join(split.select(F.col("node").alias("u")), "u", "left_semi")
-        rest = _rest_and_all(split, known)
-        links = links.unionByName(_compared(texts, rest, shingle, percent))
-    return links.where("u <> v")
+        roots = connected_components(links, "near-blocks").withColumnRenamed("root", "connected")
+        labelled = written(split.join(roots, "node", "left").withColumn("label", F.coalesce("connected", "node")), "near-labelled")
+        smaller = written(_by_first_shingles(texts, labelled, shingle, percent), "near-again")
+        links = roots.select(F.col("node").alias("u"), F.col("connected").alias("v")).where("u <> v")
+        links = links.unionByName(_compared(texts, _rest_and_all(smaller), shingle, percent).where("u <> v"))
+    return links
 
 
 def near_duplicates(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tonearm.llm.blocks import mapped, task_number, written
 from tonearm.llm.files import new_file, opened
 from tonearm.llm.texts import batch
-from tonearm.llm.tokens import encoded
+from tonearm.llm.tokens import encoded, largest_id
 from tonearm.session import shared_folder
 
 FRAME_IDS = 1 << 17
@@ -33,8 +33,13 @@ INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 NO_ID = -(1 << 63)
 
 
+def width_for(largest: int) -> str:
+    """The kind of number that holds ids up to `largest`: two bytes, or four."""
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 class TokenFileWriter:
-    """Writes documents to one file."""
+    """Writes documents to one file, ids in numbers of one kind; an id that doesn't fit is an error."""
 
     def __init__(self, out, kind: str = "<u2", level: int = 3):
         self.out, self.kind = out, np.dtype(kind)
@@ -44,6 +49,8 @@ class TokenFileWriter:
 
     def add(self, ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> None:
         """Appends the ids of some documents; a null document id is kept as such."""
+        if len(ids) and int(ids.max()) > np.iinfo(self.kind).max:
+            raise ValueError(f"id {int(ids.max())} doesn't fit into {self.kind.itemsize} bytes")
         self.doc_ids.append(np.array([NO_ID if d is None else d for d in doc_ids], "<i8"))
         self.lengths.append(lengths.astype("<i8"))
         self.held.append(ids.astype(self.kind))
@@ -135,7 +142,7 @@ def write_token_files(texts: DataFrame, folder: str, tokenizer: str, end_id: int
             yield from batches
 
         with new_file(path) as out:
-            writer = TokenFileWriter(out)
+            writer = TokenFileWriter(out, width_for(largest_id(tokenizer, end_id)))
             for rows in rest():
                 doc_ids = rows.column("doc_id").to_pylist()
                 for begin, last, ids, bounds in encoded(rows.column("text"), tokenizer, end_id):

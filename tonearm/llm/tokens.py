@@ -1,13 +1,15 @@
-"""Token ids of whole texts, from a byte-level BPE file of the tokenizers library.
+"""Token ids of whole texts, from a file of the tokenizers library.
 
-Its pre-tokenizer never joins what stands before a single space with what follows it, nor what
-stands on two sides of a single line break; so a text is cut there, and the ids of a text are the
-ids of its pieces. Pieces repeat, and each distinct one is encoded once per slice of texts; what a
-worker has encoded it keeps, up to `KEPT` pieces.
+The pre-tokenizer of a byte-level BPE never joins what stands before a single space with what follows
+it, nor what stands on two sides of a single line break; so a text is cut there, and the ids of a text
+are the ids of its pieces. Pieces repeat, and each distinct one is encoded once per slice of texts; what a
+worker has encoded it keeps, up to `KEPT` pieces. Files with another pre-tokenizer, or with a normalizer,
+encode whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -45,6 +47,13 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(mark[:n])
 
 
+def cuts_hold(config: dict) -> bool:
+    """Whether a tokenizer file describes the plain byte-level BPE whose texts can be cut."""
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    pre = config.get("pre_tokenizer") or {}
+    return config.get("normalizer") is None and {k: pre.get(k, True) for k in plain} == plain
+
+
 class Encoder:
     """Encodes texts; made once per worker process and file."""
 
@@ -55,6 +64,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.in_pieces = cuts_hold(json.load(file))
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for piece, number in vocabulary.items():
@@ -110,6 +121,11 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each text's followed by `end_id`, and the bounds of each text's."""
+        if not self.in_pieces:
+            own = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
+            found = [e.ids + [end_id] for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+            bounds = np.concatenate([[0], np.cumsum([len(ids) for ids in found])]).astype(np.int64)
+            return np.array([i for ids in found for i in ids], np.uint32), bounds
         begin = cuts(data, offsets)
         stop = np.append(begin[1:], len(data))
         code, keys = pd.factorize(Spans(data).hash(begin, stop))
@@ -138,6 +154,11 @@ class Encoder:
         return out, np.append(before, size.sum())[first] + np.arange(texts + 1)
 
 
+def largest_id(path: str, end_id: int) -> int:
+    """The largest id that texts of this tokenizer file can have."""
+    return max(len(Encoder.of(path).bytes_of) - 1, end_id)
+
+
 def encoded(texts: pa.Array, path: str, end_id: int):
     """(first row, row behind the last, ids, bounds) of each slice of a text column."""
     encoder = Encoder.of(path)

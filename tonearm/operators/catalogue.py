@@ -178,6 +178,35 @@ def same_genre_artists(
     )
 
 
+def genre_candidates(
+    users: DataFrame, likes: DataFrame, songs: DataFrame, artists: DataFrame, same_country: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """All artists of the genres of the songs that each user likes, as two factors instead of all pairs.
+
+    The first has a row per user and genre (and country of the user): how many liked songs lead there and
+    how many artists it offers. The second has the artists of each genre (and country). Joined on these
+    columns they are the pairs; an artist has one genre, so a pair comes from one row. Their size is that
+    of the likes and of the catalogue, however many pairs they stand for.
+    """
+    group = ["genre_id", "country_code"] if same_country else ["genre_id"]
+    members = artists.select(*group, F.col("id").alias("artist_id")).dropna(subset=group)
+    sizes = members.groupBy(*group).agg(F.count(F.lit(1)).alias("n_artists"))
+    genre_of = songs.select(F.col("id").alias("song_id"), "genre_id").where(F.col("genre_id").isNotNull())
+    tastes = likes.join(genre_of, "song_id").groupBy("user_id", "genre_id").agg(F.count(F.lit(1)).alias("liked"))
+    wanted = tastes.join(users.select(F.col("id").alias("user_id"), "country_code"), "user_id")
+    rows = wanted.join(sizes, group, "left").select(
+        "user_id", *group, "liked", F.coalesce("n_artists", F.lit(0)).cast("long").alias("n_artists")
+    )
+    return rows, members
+
+
+def candidates_of(requests: DataFrame, tastes: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs of the requested users (`user_id`): user, artist and how many liked songs lead to the artist."""
+    group = [c for c in members.columns if c != "artist_id"]
+    asked = tastes.join(requests.select("user_id").distinct(), "user_id", "left_semi")
+    return asked.join(members, group).select("user_id", "artist_id", "liked")
+
+
 def suggested_artists(
     users: DataFrame,
     likes: DataFrame,

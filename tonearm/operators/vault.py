@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tonearm.functions.keys import SOURCE, hash_key, hash_uniform, row_hash, text_form
 from tonearm.functions.ranking import ranked
 from tonearm.plans.specs import LoadSpec
-from tonearm.sources.store import month_of
+from tonearm.sources.store import KEY_PART, KEY_PARTS, month_of, part_of
 
 # fixed values: price rules of the subscription table
 BASIC_COST = (8.0, 15.0)
@@ -52,6 +52,17 @@ def within_batch_months(stage: DataFrame, target: DataFrame | None, spec: LoadSp
     return target.where(F.col("actual_month").isin([row.month for row in stage.select(month).distinct().collect()]))
 
 
+def within_batch_parts(keys: Column, rows: DataFrame, target: DataFrame | None) -> DataFrame | None:
+    """Target rows of the key parts that the batch has; a stored target skips the files of all others.
+
+    The parts are a handful of small numbers, and only these reach the driver.
+    """
+    if target is None or KEY_PART not in target.columns:
+        return target
+    parts = [row.part for row in rows.select(part_of(keys).alias("part")).distinct().collect()]
+    return target if len(parts) == KEY_PARTS else target.where(F.col(KEY_PART).isin(parts))
+
+
 def _key(spec: LoadSpec, source: str) -> Column:
     return hash_key([text_form(F.col(p)) for p in spec.parts], source)
 
@@ -75,7 +86,7 @@ def _batch_key(spec: LoadSpec, source: str) -> Column:
 def load_hub(stage: DataFrame, target: DataFrame | None, spec: LoadSpec, source: str = SOURCE) -> DataFrame:
     (part,) = spec.parts
     keys = _complete(stage, spec).select(F.col(part).cast("string").alias("original_id")).distinct()
-    fresh = not_in(keys, target, ["original_id"])
+    fresh = not_in(keys, within_batch_parts(hash_key([F.col("original_id")], source), keys, target), ["original_id"])
     return fresh.select(
         hash_key([F.col("original_id")], source).alias(spec.key), "original_id", F.lit(source).alias("source")
     )
@@ -86,6 +97,7 @@ def load_link(stage: DataFrame, target: DataFrame | None, spec: LoadSpec, source
         hash_key([text_form(F.col(part))], source).alias(name) for part, name in zip(spec.parts, spec.part_names)
     ]
     rows = _complete(stage, spec).select(*spec.parts).distinct()
+    target = within_batch_parts(_key(spec, source), rows, target)
     return not_in(rows.select(_key(spec, source).alias(spec.key), *hashed), target, [spec.key])
 
 
@@ -124,6 +136,8 @@ def load_sat(
     """
     fields = list(spec.fields)
     rows = _batch(stage, spec).select(_batch_key(spec, source).alias(spec.key), *fields)
+    if not published:
+        target = within_batch_parts(F.col(spec.key), rows, target)
     if corrected and target is not None:
         touched = target.join(rows.select(spec.key), spec.key, "left_semi")
         previous = latest_version(touched, spec.key).select(

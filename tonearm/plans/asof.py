@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tonearm.operators.history import as_of
 from tonearm.operators.vault import latest_version
 from tonearm.sources.fixtures import LazyTables
 
@@ -15,6 +16,8 @@ CATALOGUE_SATS = {
     "sat_collection": "collection_id",
     "sat_artist": "artist_id",
 }
+#: Ending of the name under which the intervals of a satellite stand among the tables.
+HISTORY = "_history"
 
 
 def midnight(execution_dt: str) -> Column:
@@ -29,13 +32,16 @@ def day_before(execution_dt: str, days: int = 1) -> Column:
 def current(tables: Mapping[str, DataFrame], execution_dt: str | None = None) -> LazyTables:
     """The same tables with only the last version of each user, song, collection and artist.
 
-    With a date, versions up to it count, so that a mart for an old date can be repeated later.
+    With a date, versions up to it count, so that a mart for an old date can be repeated later. Where the
+    tables have the intervals of a satellite (`plans.histories`), these are filtered instead of ranked.
     """
 
     def pick(name: str) -> DataFrame:
         key = CATALOGUE_SATS.get(name)
         if key is None:
             return tables[name]
+        if name + HISTORY in tables:
+            return as_of(tables[name + HISTORY], None if execution_dt is None else midnight(execution_dt))
         versions = tables[name]
         if execution_dt is not None:
             versions = versions.where(F.col("actual_dtm") <= midnight(execution_dt))

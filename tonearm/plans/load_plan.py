@@ -13,7 +13,7 @@ from tonearm.sources.fixtures import LazyTables
 from tonearm.sources.store import StoredTables, TableStore
 
 VAULT_TABLES = tuple(spec.target for spec in SPECS)
-DATED_KINDS = ("lsat",)
+DATED_KINDS, KEYED_KINDS = ("lsat",), ("hub", "sat", "link")
 OPTIONS = {"sat": ("corrected", "published"), "lsat": ("published",)}
 
 
@@ -30,14 +30,18 @@ def load_one(spec: LoadSpec, stage: TableStore, vault: TableStore, batch_id: int
     target = vault.read(spec.target, before_batch=batch_id)
     own = {k: v for k, v in options.items() if k in OPTIONS.get(spec.kind, ())}
     fresh = load(spec, rows, target, **own)
-    vault.append(spec.target, fresh, batch_id, "actual_dtm" if spec.kind in DATED_KINDS else None)
+    vault.append(
+        spec.target, fresh, batch_id, "actual_dtm" if spec.kind in DATED_KINDS else None,
+        key=spec.key if spec.kind in KEYED_KINDS else None,
+    )
     return True
 
 
 def run_load_plan(
-    stage: TableStore, vault: TableStore, batch_id: int, at_once: int = 8, **options
+    stage: TableStore, vault: TableStore, batch_id: int, at_once: int = 8, histories: bool = False, **options
 ) -> StoredTables:
-    """All processes for one stage batch: hubs, satellites, links, link satellites, references.
+    """All processes for one stage batch: hubs, satellites, links, link satellites, references, and with
+    `histories` the intervals of the catalogue's satellites.
 
     Within a group the jobs are submitted side by side, so that short ones fill the
     cluster while a long one finishes. The driver only submits jobs; no rows pass it.
@@ -46,5 +50,9 @@ def run_load_plan(
         for kind in LOAD_ORDER:
             group = [s for s in SPECS if s.kind == kind]
             list(pool.map(lambda s: load_one(s, stage, vault, batch_id, **options), group))
+    if histories:
+        from tonearm.plans.histories import refresh_histories
+
+        refresh_histories(vault, batch_id)
     vault.commit(batch_id)
     return StoredTables(vault, VAULT_TABLES)

@@ -8,11 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tonearm.functions.keys import hash_key, hash_uniform
+from tonearm.operators.history import intervals
 from tonearm.operators.vault import latest_version, load
 from tonearm.plans import mart_artist, mart_song, mart_user
+from tonearm.plans.asof import CATALOGUE_SATS, HISTORY
 from tonearm.plans.load_plan import derive_vault
 from tonearm.plans.specs import BY_TARGET, SPECS
-from tonearm.sources.fixtures import given_tables, incomplete_updates, library_tables, stage_tables, with_history
+from tonearm.sources.fixtures import LazyTables, given_tables, incomplete_updates, library_tables, stage_tables, with_history
 
 EXECUTION_DT = "1999-06-01"
 SECOND_DT = "2000-03-15"
@@ -94,6 +96,13 @@ def _history(c: Context) -> Mapping[str, DataFrame]:
     return derive_vault(with_history(c.stage))
 
 
+def _with_intervals(tables: Mapping[str, DataFrame]) -> LazyTables:
+    """The tables and the intervals of their catalogue satellites."""
+    own = {name: (lambda name=name: tables[name]) for name in tables}
+    made = {sat + HISTORY: (lambda sat=sat, key=key: intervals(tables[sat], key)) for sat, key in CATALOGUE_SATS.items()}
+    return LazyTables({**own, **made})
+
+
 def _keys_of_users(c: Context) -> DataFrame:
     user, session = F.col("user_id"), F.col("session_id")
     return c.stage["kafka_user_subscription"].select(
@@ -117,6 +126,8 @@ def vault_queries() -> dict[str, Query]:
             out[spec.target + "_second_load_corrected"] = _second_load(spec.target, corrected=True)
     for target in ("sat_song", "sat_artist", "sat_user"):
         out[target + "_filled_load"] = _filled_load(target)
+    for sat in CATALOGUE_SATS:
+        out[sat + HISTORY] = query(lambda c, sat=sat: _with_intervals(_history(c))[sat + HISTORY])
     even = lambda column: lambda: F.crc32(F.col(column)) % 2 == 0
     out["sat_session_split_load"] = _split_load("sat_session", even("session_id"))
     out["sat_user_subscription_split_load"] = _split_load("sat_user_subscription", even("user_id"))
@@ -145,6 +156,9 @@ def song_queries() -> dict[str, Query]:
         "mart_song_corrected": query(lambda c: lists_as_json(m.mart_song(c.vault, x, corrected=True))),
         "mart_song_history": query(lambda c: lists_as_json(m.mart_song(_history(c), x))),
         "mart_song_history_corrected": query(lambda c: lists_as_json(m.mart_song(_history(c), x, corrected=True))),
+        "mart_song_by_intervals": query(
+            lambda c: lists_as_json(m.mart_song(_with_intervals(_history(c)), x, corrected=True))
+        ),
         "mart_song_2000": query(lambda c: lists_as_json(m.mart_song(c.vault, SECOND_DT))),
     }
 
@@ -172,6 +186,9 @@ def artist_queries() -> dict[str, Query]:
         "mart_artist_corrected": query(lambda c: lists_as_json(m.mart_artist(c.vault, x, corrected=True))),
         "mart_artist_history": query(lambda c: lists_as_json(m.mart_artist(_history(c), x))),
         "mart_artist_history_corrected": query(lambda c: lists_as_json(m.mart_artist(_history(c), x, corrected=True))),
+        "mart_artist_by_intervals": query(
+            lambda c: lists_as_json(m.mart_artist(_with_intervals(_history(c)), x, corrected=True))
+        ),
         "mart_artist_2000": query(lambda c: lists_as_json(m.mart_artist(c.vault, SECOND_DT))),
     }
 
@@ -199,6 +216,9 @@ def user_queries() -> dict[str, Query]:
         "mart_user_corrected": query(lambda c: lists_as_json(m.mart_user(c.vault, x, corrected=True))),
         "mart_user_history": query(lambda c: lists_as_json(m.mart_user(_history(c), x))),
         "mart_user_history_corrected": query(lambda c: lists_as_json(m.mart_user(_history(c), x, corrected=True))),
+        "mart_user_by_intervals": query(
+            lambda c: lists_as_json(m.mart_user(_with_intervals(_history(c)), x, corrected=True))
+        ),
         "mart_user_2000": query(lambda c: lists_as_json(m.mart_user(c.vault, SECOND_DT))),
     }
 

@@ -122,6 +122,9 @@ def library_queries() -> dict[str, Query]:
     similar = lambda c, **options: k.same_genre_artists(
         c.library["users"], c.library["song_likes"], c.library["songs"], c.library["artists"], **options
     )
+    factors = lambda c, **options: k.genre_candidates(
+        c.library["users"], c.library["song_likes"], c.library["songs"], c.library["artists"], **options
+    )
     suggested = lambda c, **options: k.suggested_artists(
         c.library["users"], c.library["song_likes"], c.library["songs"], c.library["artists"], **options
     )
@@ -181,6 +184,10 @@ def library_queries() -> dict[str, Query]:
         ),
         "same_genre_artists": query(similar),
         "same_genre_artists_at_home": query(lambda c: similar(c, same_country=True)),
+        "candidate_tastes": query(lambda c: factors(c)[0]),
+        "candidate_tastes_at_home": query(lambda c: factors(c, same_country=True)[0]),
+        "candidate_members": query(lambda c: factors(c)[1]),
+        "candidate_members_at_home": query(lambda c: factors(c, same_country=True)[1]),
         "suggested_artists": query(lambda c: suggested(c)),
         "suggested_artists_at_home": query(lambda c: suggested(c, same_country=True)),
         "country_decay_weight": query(

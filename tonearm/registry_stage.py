@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tonearm.operators import stage as ops
-from tonearm.plans.load_plan import VAULT_TABLES, run_load_plan
+from tonearm.plans.asof import CATALOGUE_SATS, HISTORY
+from tonearm.plans.histories import fold_histories, read_history, refresh_histories
+from tonearm.plans.load_plan import VAULT_TABLES, load_one, run_load_plan
+from tonearm.plans.specs import BY_TARGET
 from tonearm.registry import CUT_DT, Context, Query, lists_as_json, query
 from tonearm.schemas import STAGE_TABLES
 from tonearm.session import shared_folder
 from tonearm.sources.events import messages_of, publish_events, read_events
-from tonearm.sources.fixtures import edge_messages
+from tonearm.sources.fixtures import edge_messages, with_history
 from tonearm.sources.store import StoredTables, TableStore
 from tonearm.streaming.ingest import QUARANTINE, UNROUTED, append_stage, start_ingest
 from tonearm.streaming.popularity import append_popularity, current_popularity, read_popularity, start_popularity
@@ -56,6 +59,35 @@ def _stored(c: Context) -> DataFrame:
     return _summary(dict(StoredTables(store, tuple(c.stage))))
 
 
+def _compacted(c: Context) -> DataFrame:
+    """All stage tables written in four batches, the first three rewritten as one, and their folders dropped."""
+    store = TableStore(c.spark, shared_folder(c.spark, "compact"))
+    number = F.pmod(F.xxhash64("event_time"), F.lit(4))
+    for batch_id in range(4):
+        for name, rows in c.stage.items():
+            store.append(name, rows.where(number == batch_id), batch_id, "event_time")
+        store.commit(batch_id)
+    for name in c.stage:
+        store.compact(name, 0, 2)
+        store.drop_compacted(name)
+    return _summary(dict(StoredTables(store, tuple(c.stage))))
+
+
+def _stored_histories(c: Context) -> DataFrame:
+    """Intervals kept by two loads, the change sets of the first one folded into a base."""
+    root = shared_folder(c.spark, "histories")
+    stage, vault = TableStore(c.spark, root + "/stage"), TableStore(c.spark, root + "/vault")
+    given, early = with_history(c.stage), F.col("event_time") < F.lit(CUT_DT).cast("timestamp_ntz")
+    for batch_id, part in enumerate((early, ~early)):
+        for spec in (BY_TARGET[sat] for sat in CATALOGUE_SATS):
+            stage.append(spec.stage, given[spec.stage].where(part), batch_id, "event_time")
+            load_one(spec, stage, vault, batch_id)
+        refresh_histories(vault, batch_id)
+        vault.commit(batch_id)
+    fold_histories(vault, 0)
+    return _summary({sat + HISTORY: read_history(vault, sat) for sat in CATALOGUE_SATS})
+
+
 def _published(c: Context) -> tuple[str, DataFrame]:
     root = shared_folder(c.spark, "publish")
     publish_events(messages_of(c.stage), root + "/messages", required=True)
@@ -216,6 +248,8 @@ def stage_queries() -> dict[str, Query]:
         "read_events": query(_read_back),
         "append_stage": query(_appended),
         "append_table": query(_stored),
+        "append_table_compacted": query(_compacted),
+        "stored_histories": query(_stored_histories),
         "run_load_plan": query(_loaded_in_two),
         "stream_stage": query(_streamed_stage),
         "stream_stage_playback": query(_streamed_playback),
