@@ -145,7 +145,8 @@ class TableStore:
         rows = rows if changed is None else changed(rows)
         parts = [c for c in (KEY_PART, *DATED_BY.values()) if c in rows.columns]
         order = [c for c in rows.columns if c in DATED_BY or c.endswith("_id") and c != "batch_id"]
-        laid = rows.hint("rebalance", *[F.col(c) for c in parts]).sortWithinPartitions(*parts, *order)
+        laid = rows.hint("rebalance", *[F.col(c) for c in parts])
+        laid = laid.sortWithinPartitions(*parts, *order) if parts or order else laid
         laid.write.mode("overwrite").partitionBy(*parts).parquet(folder)
         system, mark = self._place(folder + ".done")
         system.create(mark, True).close()
