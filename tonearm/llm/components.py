@@ -2,9 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from tonearm.llm.blocks import discard, written
+from tonearm.llm.blocks import discard, mapped, written
+
+HELD = 1 << 20
+
+
+def roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The smallest number that each of n numbers is connected to by the edges (u, v)."""
+    root = np.arange(n)
+    while True:
+        a, b = root[u], root[v]
+        apart = a != b
+        if not apart.any():
+            return root
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _forests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars that connect what the edges of a task connect, for each HELD edges: no node has more than one row."""
+    held: list[pa.RecordBatch] = []
+
+    def stars() -> pa.RecordBatch:
+        coded = pa.concat_arrays([rows.column(end) for end in ("u", "v") for rows in held]).dictionary_encode()
+        order = pc.sort_indices(coded.dictionary)
+        names, rank = coded.dictionary.take(order), np.empty(len(order), np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        ends = rank[coded.indices.to_numpy(zero_copy_only=False)]
+        root = roots(*np.split(ends, 2), len(names))
+        below = np.flatnonzero(root != np.arange(len(names)))
+        return pa.record_batch([names.take(pa.array(below)), names.take(pa.array(root[below]))], names=["u", "v"])
+
+    for rows in batches:
+        held.append(rows)
+        if sum(len(r) for r in held) >= HELD:
+            yield stars()
+            held.clear()
+    if sum(len(r) for r in held):
+        yield stars()
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Fewer and shorter edges (u, v), u > v, that connect the same nodes.
+
+    Each task connects what it reads, so that it sends on a node at most once however many edges the node has;
+    then all edges of the larger ends that fall to one task are connected.
+    """
+    return edges.transform(mapped, _forests, edges.schema).repartition("u").transform(mapped, _forests, edges.schema)
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -15,7 +68,7 @@ def _round(edges: DataFrame) -> DataFrame:
     marks the rows that the round changed.
     """
     parents = edges.groupBy("u").agg(F.min("v").alias("p"))
-    others = edges.join(parents, "u").where("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v")).distinct()
+    others = edges.join(parents, "u").where("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v"))
     hooked = parents.select("u", F.col("p").alias("v"), F.lit(False).alias("hook")).unionByName(others.withColumn("hook", F.lit(True)))
     above = parents.select(F.col("u").alias("v"), F.col("p").alias("above"))
     return hooked.join(above, "v", "left").select(
@@ -27,16 +80,17 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
     """(node, root) of every node of the edges (u, v): root is the smallest node reachable.
 
     Rounds go on until a round moves nothing, which is when all edges are stars; each round is
-    written, and the one before it removed. The number of rounds grows with the logarithm of the size of
-    the components. Nothing is collected; the steps are grouped minima and joins, which Spark can split
-    for hot nodes.
+    written, and the one before it removed. Before the first round each task connects all that it can from the
+    edges of its nodes, so that few rounds are left. Their number grows with the
+    logarithm of the size of the components at most. Nothing is collected; the steps are grouped minima and
+    joins, which Spark can split for hot nodes.
     """
     directed = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    stars, moved = written(directed.distinct(), purpose), 1
+    stars, moved = written(_contracted(directed), purpose), 1
     while moved:
         seen, before = Observation(), stars
-        stars = written(_round(before).observe(seen, F.count_if("moved").alias("moved")), purpose)
+        stars = written(_round(before).observe(seen, F.count_if("moved").alias("moved")).select("u", "v"), purpose)
         moved = seen.get["moved"]
         discard(before)
-    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    least = stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(least)
