@@ -5,7 +5,9 @@ import hashlib
 import io
 import json
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -454,14 +456,113 @@ def test_names_only_lower_the_importance(spark):
     teaser = '<div class="body"><p>A body that is much longer than the card</p></div><article>Card</article>'
     assert html_text.main_text(teaser) == "A body that is much longer than the card\n\nCard"
     page = '<body><div class="t"><p>A text of its own {0} that holds most</p></div><div class="{1}"><p>{2}</p></div></body>'
-    rows = [(i, f"https://a.example/{i}", page.format(i, "discussion", f"said {i}")) for i in range(20)]
-    rows += [(100 + i, f"https://b.example/{i}", page.format(i, "discussion", f"said {i % 2}")) for i in range(20)]
+    rows = [(i, f"https://a.example/{i}", page.format(i, "related", f"said {i}")) for i in range(20)]
+    rows += [(100 + i, f"https://b.example/{i}", page.format(i, "related", f"said {i % 2}")) for i in range(20)]
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(20):
         assert got[i] == f"A text of its own {i} that holds most\n\nsaid {i}"
         assert got[100 + i] == f"A text of its own {i} that holds most"
 
 
+def test_comments_and_sidebars_go_at_any_length():
+    long = "a long text of someone else " * 40
+    post = "<p>" + "The post of the page. " * 10 + "</p>"
+    want = ("The post of the page. " * 10).strip()
+    for outer in ("<main>{}</main>", "<article>{}</article>", "<body>{}</body>"):
+        for other in ('<section class="comments"><p>{}</p></section>', '<div id="disqus">{}</div>', '<ol class="commentlist"><li>{}</li></ol>',
+                      '<div class="sidebar"><p>{}</p></div>', '<div role="complementary">{}</div>'):
+            assert html_text.main_text(outer.format(post + other.format(long))) == want
+            assert html_text.main_text(outer.format(other.format(long) + post)) == want
+    assert html_text.main_text(f'<h1>Title</h1><div class="sidebar">{post}</div>') == f"Title\n\n{want}"
+    assert html_text.main_text(f'<article class="comment">{post}</article>') == want
+    assert html_text.main_text('<div class="comments">Only comments</div>') == ""
+
+
+def test_comments_that_differ_go_on_every_host(spark):
+    page = '<body><div class="t"><p>A text of its own {0}</p></div><div class="discussion"><p>said {0} at some length, longer than the text</p></div></body>'
+    rows = [(i, f"https://a.example/{i}", page.format(i)) for i in range(12)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"A text of its own {i}" for i in range(12)}
+
+
+HOSTILE = (
+    '<a b=">"', '<a title="x>', "<a <![CDATA[", "<a ", "<div>", '<div class="ad">', "<", "<!--x", "<p><b>", "<li><b>", "</x>",
+    "<a \"'>", "<a<", "<ul><li>", "<![CDATA[>", "&#x", "<table><tr><td>",
+)
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_malformed_pages_take_time_in_proportion(unit):
+    """Four times the length takes about four times as long: sixteen times would be the square."""
+    def seconds(size: int) -> float:
+        source, best = unit * (size // len(unit)) + "<p>The end", float("inf")
+        for _ in range(2):
+            begin = time.perf_counter()
+            html_text.main_text(source)
+            best = min(best, time.perf_counter() - begin)
+        return best
+
+    assert seconds(1 << 19) < 9 * seconds(1 << 17) + 0.2
+
+
+def test_ends_of_malformed_tags():
+    assert html_text.main_text('<p title="a>b">one</p><p title="a>two</p>') == "one\n\ntwo"
+    assert html_text.main_text("<p>a <![CDATA[b < c]]> d</p><![CDATA[<b>e</b> f") == "a b < c d\n\ne f"
+    assert html_text.main_text("<p>1 < 2 and <b no end") == "1 < 2 and <b no end"
+    assert html_text.main_text("<p>x</p><!-- never closed <p>y</p>") == "x"
+    assert html_text.main_text("<title>t</title><textarea>u</textarea><script>if (a < b) '</p>'</script><p>v") == "v"
+
+
+def test_importance_equals_entropy_of_a_small_site(spark):
+    """Text and shape of every node against entropies counted in plain Python, and the branches that go."""
+    rng = random.Random(3)
+    pages = []
+    for i in range(40):
+        items = "".join(f"<li>{rng.choice('ab')}</li>" for _ in range(rng.randint(1, 3)))
+        extra = "<em><q>x</q></em>" if i % 3 == 0 else ""
+        pages.append(f'<body><div class="top">Site {i % 2}<ul>{items}</ul></div><div class="t"><p>Own {i}</p>{extra}</div><p>All rights</p></body>')
+    texts, shapes, links = {}, {}, {}
+    for source in pages:
+        blocks, nodes = html_text.page_blocks(source)
+        own, children = {}, {}
+        for n in nodes:
+            if n.up is not None and not n.noise:
+                children.setdefault(n.name, set()).update(n.children)
+                links[n.name] = (n.up.name, n.depth)
+        for b in blocks:
+            if b.node.up is not None and not b.noise:
+                own.setdefault(b.node.name, set()).add(b.text)
+        for name, found in own.items():
+            texts.setdefault(name, []).extend(found)
+        for name, found in children.items():
+            if found:
+                shapes.setdefault(name, []).append("|".join(sorted(found)))
+    want = {}
+    for name in links:
+        said, shape = texts.get(name, []), shapes.get(name, [])
+        pages_of = len(shape) or len(said)
+        if not pages_of:
+            continue
+        m = math.log(max(pages_of, 2))
+        text = 1 - sum(math.log(c) for c in Counter(said).values()) / len(set(said)) / m if said else None
+        entropy = -sum(c / len(shape) * math.log(c / len(shape)) for c in Counter(shape).values()) / m if shape else None
+        want[name] = (pages_of, text, entropy)
+    rows = [(i, "https://a.example/", p, "a.example") for i, p in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    schema = "host string, copy long, nodes array<struct<node: bigint, parent: bigint, depth: int, named: boolean, leaf: boolean, value: bigint>>"
+    values = frame.select("host", "html").mapInArrow(html_text._node_values, schema)
+    got = html_text._importance(html_text._counted(values, ["host"]), ["host"]).collect()
+    assert {r.node for r in got} == set(want)
+    for r in got:
+        pages_of, text, entropy = want[r.node]
+        assert r.pages == pages_of and (r.parent, r.depth) == links[r.node]
+        assert (r.text is None) == (text is None) and (r.shape is None) == (entropy is None)
+        assert text is None or r.text == pytest.approx(text)
+        assert entropy is None or r.shape == pytest.approx(entropy, abs=1e-9)
+    found = html_text.extract(frame.drop("host")).orderBy("page_id").collect()
+    assert all(r.text.startswith(f"Own {r.page_id}") and "Site" not in r.text and "rights" not in r.text for r in found)
+
+
 def test_texts_of_all_hosts(spark):
     """An article copied to many hosts stays, branches that hosts with few pages share go, and hosts with enough pages judge alone."""
     story = '<body><div class="story"><h2>A title</h2><p>One paragraph</p></div></body>'

@@ -12,14 +12,15 @@ of all hosts, if enough pages of several hosts have them; there, pages with the
 once over all hosts, so that a syndicated article doesn't look like a template either.
 
 What HTML's elements name as navigation, header, footer, side matter, form, script, style or frame
-is of no importance in any tree. Elements other than article and main with a class, id or role that
-is such a word are of less importance: theirs is multiplied by `NAMED`, and the entropy decides.
-Where it can't, or finds them low only so, they go unless they hold most of the text of their page
-that is left. Where a page marks its article or main part, and that holds most of what is left, what
-lies outside is left out.
+is of no importance in any tree, and neither is what a class, id or role names as readers' comments.
+Sidebars by name go wherever a page has other text than headings outside named elements. Other elements
+than article and main with a class, id or role that is such a word are of less importance: theirs
+is multiplied by `NAMED`, and the entropy decides. Where it can't, or finds them low only so, they go
+unless they hold most of the text of their page that is left. Where a page marks its article or main
+part, and that holds most of what is left, what lies outside is left out.
 
 The tree is never built as a whole: Spark counts (host, node, value) rows, and entropies are sums
-over groups.
+over groups. Pages are read in time and memory proportional to their length, however malformed.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ LEAST_HOSTS = 3
 LOW = 0.2
 DECAY = 0.9
 NAMED = 0.5
-#: Hosts whose low branches may be broadcast to the pages; with more, pages are shuffled by host.
-BROADCAST_HOSTS = 20_000
+#: Hosts and branches that may be broadcast to the pages; with more, pages are shuffled by host.
+BROADCAST_ENTRIES = 200_000
 
 # Element names of HTML by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,29 +78,115 @@ NOISE_WORDS = frozenset(
     "comment comments commentlist reply replies respond disqus discussion related recommended recommendations pagination "
     "pager paging search searchform toolbar skip copyright legal disclaimer form".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+SIDE_WORDS = frozenset("sidebar aside complementary".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*>)",
-    re.DOTALL,
-)
+TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+CLOSING_OR_QUOTE = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 DIGITS = re.compile(r"\d+")
 
 
-def _style(tag: str, rest: str) -> tuple[str, bool]:
-    """The name of an element's node, and whether its class, id or role says that it isn't main text."""
-    named = False
+class Markup:
+    """The tags of a page in order, found in time proportional to its length.
+
+    Quotes hide the end of a tag; where that leaves a tag without an end, it ends at the first `>`. What
+    was searched for in vain or found further on is remembered, so that no part is searched again for
+    each of many broken tags.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self._next: dict[str, int] = {}
+        self._special = -1
+        self._endless: set[int] = set()
+
+    def next(self, what: str, at: int) -> int:
+        """The first place of `what` from `at` on, or the page's size; asked for places in ascending order."""
+        found = self._next.get(what, -1)
+        if found < at:
+            found = self.source.find(what, at)
+            self._next[what] = found = len(self.source) if found < 0 else found
+        return found
+
+    def _end_outside_quotes(self, at: int) -> int:
+        """The place of the `>` that ends a tag whose name ends at `at`, quotes respected; -1 without one."""
+        source, size, seen = self.source, len(self.source), []
+        if self._special < at:
+            found = CLOSING_OR_QUOTE.search(source, at)
+            self._special = found.start() if found else size
+        place = self._special
+        while place < size and source[place] != ">":
+            # From this quote on, an earlier tag has found no end.
+            if place in self._endless:
+                break
+            seen.append(place)
+            closing = source.find(source[place], place + 1)
+            found = CLOSING_OR_QUOTE.search(source, closing + 1) if closing >= 0 else None
+            place = found.start() if found else size
+        else:
+            if place < size:
+                return place
+        self._endless.update(seen)
+        return -1
+
+    def tags(self) -> Iterator[tuple[str, str, str, bool]]:
+        """(text before, name, what follows the name, is an end tag) of each tag; the name is empty for character
+        data, which is given as its text, and at the end of the page."""
+        source, size, at, text = self.source, len(self.source), 0, 0
+        while True:
+            start = source.find("<", at)
+            if start < 0 or start + 1 == size:
+                yield source[text:], "", "", False
+                return
+            first = source[start + 1]
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                yield source[text:start], "", "", False
+                at = text = size if end < 0 else end + 3
+                continue
+            if source.startswith("<![CDATA[", start) and (end := self.next("]]>", start + 9)) < size:
+                yield source[text:start] + html_entities.escape(source[start + 9 : end]), "", "", False
+                at = text = end + 3
+                continue
+            close = self.next(">", start + 1)
+            if close == size:
+                at = start + 1
+                continue
+            if first in "!?":
+                yield source[text:start], "", "", False
+                at = text = close + 1
+                continue
+            ending = first == "/"
+            name = TAG_NAME.match(source, start + 1 + ending)
+            if not name:
+                at = start + 1
+                continue
+            end = self._end_outside_quotes(name.end())
+            if end < 0:
+                end = close
+            jump = yield source[text:start], name.group().lower(), source[name.end() : end + 1], ending
+            at = text = end + 1
+            if jump:
+                # The content of this element is no markup.
+                found = re.compile(f"</{jump}\\b[^>]*>?", re.IGNORECASE).search(source, at)
+                at = text = found.end() if found else size
+                yield "", "", "", False
+
+
+def _style(tag: str, rest: str) -> tuple[str, frozenset[str]]:
+    """The name of an element's node, and the words of its class, id or role that say that it isn't main text."""
+    said = set()
     name = tag
     if len(rest) > 1:
         for key, *values in ATTRIBUTE.findall(rest):
             key, value = key.lower(), "".join(values)
             if key == "hidden":
                 continue
-            words = NOISE_ROLES if key == "role" else NOISE_WORDS
-            named = named or not words.isdisjoint(value.lower().split())
+            said |= (NOISE_ROLES if key == "role" else NOISE_WORDS).intersection(value.lower().split())
             name += f" {key}={DIGITS.sub('0', ' '.join(sorted(value.split())))}"
-    return name, named and tag not in UNNAMED
+    return name, frozenset() if tag in UNNAMED else frozenset(said)
 
 
 class Block:
@@ -112,95 +199,84 @@ class Block:
 
 
 class Node:
-    """An element of one page, by its path of styles. Noise and main hold for all below; `names` are the
-    elements from the root to this one whose names say that they aren't main text."""
+    """An element of one page; `name` is a hash of its path of styles. Noise and main hold for all below. `solid` is
+    the nearest element from here up that isn't inline, `top` the nearest that is a block or named."""
 
-    __slots__ = ("tag", "path", "up", "depth", "noise", "named", "names", "main", "children")
+    __slots__ = ("tag", "name", "up", "depth", "noise", "named", "side", "main", "solid", "top", "children")
 
-    def __init__(self, tag: str, style: str, up, named: bool):
+    def __init__(self, tag: str, style: str, up, said: frozenset[str]):
         self.tag, self.up = tag, up
-        self.path = f"{up.path}>{style}" if up else style
+        self.name = node_name(f"{up.name}>{style}" if up else style)
         self.depth = up.depth + 1 if up else 0
         inner_title = tag == "header" and up is not None and up.main
-        self.noise = bool(up and up.noise) or (tag in NOISE_TAGS and not inner_title)
-        self.named = named
-        above = up.names if up else ()
-        self.names = (*above, self) if named else above
+        self.named = bool(said)
+        self.noise = bool(up and up.noise) or (tag in NOISE_TAGS and not inner_title) or not said.isdisjoint(COMMENT_WORDS)
+        self.side = not said.isdisjoint(SIDE_WORDS)
         self.main = bool(up and up.main) or tag in MAIN_TAGS
+        self.solid = self if tag not in INLINE else up.solid
+        self.top = self if tag not in INLINE or self.named else up.top
         self.children = []
         if up:
             up.children.append(style)
 
 
 def page_blocks(source: str) -> tuple[list[Block], list[Node]]:
-    """The blocks of text of a page in order, and its elements."""
-    root = Node("", "", None, False)
+    """The blocks of text of a page in order, and its elements, each after the one it lies in."""
+    root = Node("", "", None, frozenset())
     stack, blocks, nodes, held = [root], [], [root], []
+    places: dict[str, list[int]] = {}
 
     def flush():
         text = " ".join(html_entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            top = next(n for n in reversed(stack) if n.tag not in INLINE or n.named)
-            blocks.append(Block(top, stack[-1].noise, stack[-1].main, text))
+            blocks.append(Block(stack[-1].top, stack[-1].noise, stack[-1].main, text))
 
     def close(upto: int):
         if any(n.tag not in INLINE or n.noise or n.named for n in stack[upto:]):
             flush()
+        for n in stack[upto:]:
+            places[n.tag].pop()
         del stack[upto:]
 
+    def innermost(tags: frozenset[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def implied(tag: str):
         """Ends elements that the start of this one ends."""
         if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag not in INLINE:
-                    break
+            if stack[-1].solid.tag == "p":
+                close(stack[-1].solid.depth)
         elif tag in SIBLINGS:
             ends, bounds = SIBLINGS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ends:
-                    close(k)
-                    break
-                if stack[k].tag in bounds:
-                    break
-
-    at, size = 0, len(source)
-    while at < size:
-        found = TOKEN.search(source, at)
-        if not found:
-            held.append(source[at:])
-            break
-        held.append(source[at : found.start()])
-        at = found.end()
-        if found.group(2) is None:
-            if source.startswith("<![CDATA[", found.start()):
-                held.append(html_entities.escape(source[found.start() + 9 : at - 3]))
+            last = innermost(ends)
+            if last > innermost(bounds):
+                close(last)
+
+    tags = Markup(source).tags()
+    for before, tag, rest, ending in tags:
+        held.append(before)
+        if not tag:
             continue
-        tag, rest = found.group(2).lower(), found.group(3)
-        if found.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+        if ending:
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         implied(tag)
         if tag == "br" or tag == "wbr":
             held.append(" " if tag == "br" else "")
             continue
-        style, named = _style(tag, rest)
-        if tag not in INLINE or tag in NOISE_TAGS or named:
+        style, said = _style(tag, rest)
+        if tag not in INLINE or tag in NOISE_TAGS or said:
             flush()
         if tag in VOID or rest.endswith("/>") and tag in ("svg", "path"):
             continue
-        node = Node(tag, style, stack[-1], named)
+        node = Node(tag, style, stack[-1], said)
         nodes.append(node)
         if tag in RAW:
-            end = re.compile(f"</{tag}\\b[^>]*>?", re.IGNORECASE).search(source, at)
-            at = end.end() if end else size
+            tags.send(tag)
             continue
+        places.setdefault(tag, []).append(len(stack))
         stack.append(node)
     flush()
     return blocks, nodes
@@ -209,30 +285,39 @@ def page_blocks(source: str) -> tuple[list[Block], list[Node]]:
 def main_text(source: str, low: frozenset[int] = frozenset(), strong: frozenset[int] = frozenset()) -> str:
     """The text of a page's important blocks, one blank line between them. `low` names branches that are removed,
     `strong` those that are important in spite of their names."""
-    blocks, _ = page_blocks(source)
-
-    def removed(node) -> bool:
-        while node is not None:
-            if node_name(node.path) in low:
-                return True
-            node = node.up
-        return False
-
-    kept = [b for b in blocks if not b.noise and not (low and removed(b.node))]
-    held, size = {}, sum(len(b.text) for b in kept)
-    for b in kept:
-        for n in b.node.names:
-            held[n] = held.get(n, 0) + len(b.text)
-    gone = {n for n, part in held.items() if 2 * part <= size and node_name(n.path) not in strong}
-    kept = [b for b in kept if gone.isdisjoint(b.node.names)]
+    blocks, nodes = page_blocks(source)
+
+    def below(chosen) -> set[Node]:
+        """The chosen elements and all that lie in them."""
+        found = set()
+        for n in nodes:
+            if n.up in found or chosen(n):
+                found.add(n)
+        return found
+
+    gone = below(lambda n: n.name in low) if low else set()
+    kept = [b for b in blocks if not b.noise and b.node not in gone]
+    if any(n.named for n in nodes):
+        named = below(lambda n: n.named)
+        if any(b.node not in named and b.node.tag not in HEADINGS for b in kept):
+            aside = below(lambda n: n.side)
+            kept = [b for b in kept if b.node not in aside]
+        held, size = dict.fromkeys(nodes, 0), sum(len(b.text) for b in kept)
+        for b in kept:
+            held[b.node] += len(b.text)
+        for n in reversed(nodes):
+            if n.up is not None:
+                held[n.up] += held[n]
+        gone = below(lambda n: n.named and 2 * held[n] <= size and n.name not in strong)
+        kept = [b for b in kept if b.node not in gone]
     marked = [b for b in kept if b.main]
     if 2 * sum(len(b.text) for b in marked) > sum(len(b.text) for b in kept):
         kept = marked
     return "\n\n".join(b.text for b in kept)
 
 
-def node_name(path: str) -> int:
-    return xxhash.xxh64_intdigest(path) - (1 << 63)
+def node_name(value: str) -> int:
+    return xxhash.xxh64_intdigest(value) - (1 << 63)
 
 
 def host_of(url: Column) -> Column:
@@ -253,16 +338,16 @@ def _node_values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts, texts, info = {}, {}, {}
             for n in nodes:
                 if not n.noise and n.up is not None:
-                    parts.setdefault(n.path, set()).update(n.children)
-                    info[n.path] = (node_name(n.path), node_name(n.up.path), n.depth, n.named)
+                    parts.setdefault(n.name, set()).update(n.children)
+                    info[n.name] = (n.name, n.up.name, n.depth, n.named)
             clean = [b for b in blocks if not b.noise and b.node.up is not None]
             for b in clean:
-                texts.setdefault(b.node.path, set()).add(b.text)
+                texts.setdefault(b.node.name, set()).add(b.text)
             out = []
-            for path, styles in parts.items():
+            for name, styles in parts.items():
                 if styles:
-                    out.append((*info[path], False, node_name("|".join(sorted(styles)))))
-                out += [(*info[path], True, node_name(t)) for t in texts.get(path, ())]
+                    out.append((*info[name], False, node_name("|".join(sorted(styles)))))
+                out += [(*info[name], True, node_name(t)) for t in texts.get(name, ())]
             hosts.append(host)
             copies.append(node_name("\n".join(b.text for b in clean)))
             lists.append([dict(zip(("node", "parent", "depth", "named", "leaf", "value"), o)) for o in out])
@@ -282,7 +367,7 @@ def _importance(counts: DataFrame, key: list[str]) -> DataFrame:
     entropy = (F.log(F.greatest("shapes", F.lit(1)).cast("double")) - F.col("n_log_shape") / F.col("shapes")) / m
     return sums.select(
         *key, "node", "parent", "depth", "named", "pages", (1 - F.col("log_text") / m).alias("text"),
-        F.least(entropy, F.lit(1.0)).alias("shape"),
+        F.when(F.col("shapes").isNotNull(), F.least(entropy, F.lit(1.0))).alias("shape"),
     )
 
 
@@ -360,14 +445,16 @@ def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str
 
     Character references are decoded, white space within a block becomes one space, and blocks are
     joined by a blank line. Null and empty html gives an empty text. Repeated pages give the same text
-    each. Pages without a host (a null or relative url) form one site. An empty table gives no rows.
+    each. Pages without a host (a null or relative url) form one site. Malformed pages are read like any other,
+    in time proportional to their length. An empty table gives no rows.
     """
     pages = df.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
         F.coalesce(F.col(html), F.lit("")).alias("html"), host_of(F.col(url)).alias("host"),
     )
     by_host = low_branches(pages)
-    side = F.broadcast(by_host) if by_host.count() <= BROADCAST_HOSTS else by_host
+    entries = by_host.agg(F.coalesce(F.sum(1 + F.size("low") + F.size("strong")), F.lit(0))).first()[0]
+    side = F.broadcast(by_host) if entries <= BROADCAST_ENTRIES else by_host
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
