@@ -17,6 +17,7 @@ import pytest
 import zstandard
 
 import __spark_entry__ as entry
+from tonearm.llm import toxicity as toxicity_module
 from tonearm.llm import html_text, language_model, near_duplicates, packing, quality, repeats, token_files, tokens, warc
 from tonearm.llm.decontaminate import decontaminate
 from tonearm.llm.files import opened
@@ -430,6 +431,40 @@ PAGE = """<html><head><title>T</title><style>p{{}}</style></head><body><div id="
 WANT = "Hello & wörld {0}\n\nOne two three {0} four.\n\nFive {1}\n\na\n\nb"
 
 
+def test_label_model_finds_known_rates():
+    """Rates of voters fitted on a sample drawn with known ones, two of them copying a third; posteriors by Bayes' rule."""
+    rng = np.random.default_rng(11)
+    n, prior = 200_000, 0.2
+    m = toxicity_module.N_VOTERS
+    truth = rng.random(n) < prior
+    if_toxic, if_clean = rng.uniform(0.4, 0.8, m), rng.uniform(0.02, 0.2, m)
+    votes = (rng.random((n, m)) < np.where(truth[:, None], if_toxic, if_clean)).astype(float)
+    for k in (1, 2):
+        same = rng.random(n) < 0.6
+        votes[same, k] = votes[same, 0]
+        if_toxic[k], if_clean[k] = (0.6 * r[0] + 0.4 * r[k] for r in (if_toxic, if_clean))
+    model = toxicity_module.LabelModel.fit(n, votes.sum(axis=0), votes.T @ votes, prior)
+    assert np.abs(model.if_toxic - if_toxic).max() < 0.03 and np.abs(model.if_clean - if_clean).max() < 0.02
+    pairs = {(j, k) for j, k in zip(*np.nonzero(model.correlated))}
+    assert pairs == {(j, k) for j in range(3) for k in range(3) if j != k}
+    assert model.share[:3].max() < model.share[3:].min()
+    some = votes[:50]
+    rates = list(zip(model.share, model.if_toxic, model.if_clean))
+    odds = [
+        math.log(prior / (1 - prior)) + sum(s * (math.log(a / b) if v else math.log((1 - a) / (1 - b))) for v, (s, a, b) in zip(row, rates))
+        for row in some
+    ]
+    assert model.posterior(some) == pytest.approx([1 / (1 + math.exp(-min(max(o, -30), 30))) for o in odds])
+    assert ((model.posterior(votes) >= 0.5) == truth).mean() > 0.97
+
+
+def test_an_id_in_many_rows_teaches_once(spark):
+    texts = spark.createDataFrame([(1, "b")] * 5 + [(1, "a"), (2, "c"), (3, None), (4, None), (4, "d"), (5, "e")], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1.0), (2, 0.0), (3, 0.0), (4, 1.0), (9, 1.0)], "doc_id long, target double")
+    got = sorted(tuple(r) for r in toxicity_module.sample_rows(texts, chosen).select("doc_id", "text", "target").collect())
+    assert got == [(1, "a", 1.0), (2, "c", 0.0), (3, None, 0.0), (4, "d", 1.0)]
+
+
 def test_main_text_of_a_marked_article():
     assert html_text.main_text(PAGE.format(1, 2)) == WANT.format(1, 2)
     assert html_text.main_text("") == "" and html_text.main_text("plain  text &lt;") == "plain text <"
