@@ -153,3 +153,25 @@ def test_listens_meet_songs_when_they_are_counted(spark, stored):
     plan = plan_of(mart_user.user_listenings_agg(stored, EXECUTION_DT))
     counted = re.search(r"HashAggregate\(keys=\[user_id#\d+, song_id#\d+, at_time_sec#\d+, action_type#\d+", plan)
     assert counted
+
+
+def test_link_is_dealt_by_its_key_as_raw_ids(spark):
+    """The hashed keys of a link are made behind the shuffle by its key, which serves the join as well."""
+    link = open_context(spark, FOLDER).vault["link_session_song_user_listen"]
+    plan = plan_of(link.groupBy("session_song_user_listen_id").count())
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert "Exchange" not in plan.split("REPARTITION_BY_COL")[0].replace("Exchange hashpartitioning(static_invoke", "")
+
+
+def test_grouping_sets_are_not_shuffled(spark):
+    """Four sets of rows, their sums and the first ranks follow one shuffle by user."""
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        agg = mart_user.user_listenings_agg(open_context(spark, FOLDER).vault, EXECUTION_DT)
+        plan = plan_of(mart_user._listener_profiles(agg, corrected=False))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert "Expand" not in plan and plan.count("Generate inline") == 2
+    above = plan.split("hashpartitioning(user_id")[0]
+    assert above.count("Exchange") == 1
