@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from tonearm.operators.stage import decode_envelope
+from tonearm.operators.stage import decode_envelope, dedupe_events
 from tonearm.plans.load_plan import VAULT_TABLES, run_load_plan
 from tonearm.sources.events import publish_events, read_events
 from tonearm.sources.store import StoredTables, TableStore
@@ -116,3 +116,35 @@ def test_readers_see_complete_batches_only(spark, folder):
     assert StoredTables(store, ("t",))["t"].count() == 5
     store.commit(1)
     assert StoredTables(store, ("t",))["t"].count() == 10 and store.last_complete() == 1
+
+
+def test_messages_and_batches_lie_compressed_on_disk(spark, tmp_path):
+    """Text of messages by a general coder, ids and hash keys in tables by an entropy coder."""
+    rows = [('{"type":"SongPlayEvent","data":{"event_time":"2024-01-01T00:00:00"}}',)]
+    publish_events(spark.createDataFrame(rows, "value string"), f"file://{tmp_path}/m", required=True)
+    assert {p.suffix for p in (tmp_path / "m").glob("part-*")} == {".gz"}
+    assert [r.value for r in spark.read.text(f"file://{tmp_path}/m").collect()] == [rows[0][0]]
+    TableStore(spark, f"file://{tmp_path}/s").append("t", spark.range(3), 0)
+    assert all(".zstd." in p.name for p in (tmp_path / "s").rglob("part-*")) and list((tmp_path / "s").rglob("part-*"))
+
+
+def test_first_batch_is_kept_once(spark, folder, monkeypatch):
+    """Only a batch with earlier ids to look up is kept before it is judged."""
+    kept, store = [], TableStore(spark, folder + "/stage")
+    frame = type(spark.range(1))
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: kept.append(df) or persist(df, *a))
+    append_stage(ops_events(spark, "u1"), store, 0)
+    assert len(kept) == 1
+    append_stage(ops_events(spark, "u1"), store, 1)
+    assert len(kept) == 3
+    assert store.read("kafka_playback").count() == 1
+
+
+def test_event_ids_are_made_behind_the_shuffle(spark):
+    sent = [('{"type":"A","data":{"x":1}}',)] * 2 + [("no event",)] * 2
+    decoded = decode_envelope(spark.createDataFrame(sent, "value string"))
+    once = dedupe_events(decoded)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "event_id" in plan.split("Exchange")[0] and "event_id" not in plan.split("Exchange")[1]
+    assert sorted(once.collect()) == sorted(decoded.distinct().select(once.columns).collect())
