@@ -175,3 +175,21 @@ def test_grouping_sets_are_not_shuffled(spark):
     assert "Expand" not in plan and plan.count("Generate inline") == 2
     above = plan.split("hashpartitioning(user_id")[0]
     assert above.count("Exchange") == 1
+
+
+def test_facts_are_dealt_once_by_the_key_of_their_link(spark):
+    """Copies, the join with the links and the counts per key share one shuffle of raw ids, on either side."""
+    vault = open_context(spark, FOLDER).vault
+    key = "session_song_user_listen_id"
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = plan_of(vault["lsat_session_song_user_listen"].groupBy(key).count())
+        joined = vault["lsat_session_song_user_listen"].join(vault["link_session_song_user_listen"], key)
+        plan = plan_of(joined.groupBy(key, "user_id").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    dealt = re.findall(r"Exchange .*REPARTITION_BY_COL", facts)
+    assert len(dealt) == 1 and "Exchange" not in facts.split(dealt[0])[0]
+    assert plan.count("REPARTITION_BY_COL") == 2
+    assert not re.search(r"Exchange hashpartitioning\((_session_id|_user_id|_song_id|session_song_user_listen_id)#", plan)
