@@ -193,3 +193,19 @@ def test_facts_are_dealt_once_by_the_key_of_their_link(spark):
     assert len(dealt) == 1 and "Exchange" not in facts.split(dealt[0])[0]
     assert plan.count("REPARTITION_BY_COL") == 2
     assert not re.search(r"Exchange hashpartitioning\((_session_id|_user_id|_song_id|session_song_user_listen_id)#", plan)
+
+
+def test_artist_mart_deals_its_links_once(spark):
+    """Weekly listens, all listens and the list of heard songs use one shuffle of the links."""
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(mart_artist.mart_artist(open_context(spark, FOLDER).vault, EXECUTION_DT))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    dealt = re.findall(r"^[ :]*\+- Exchange .*concat_ws\(#, session_id#\d+, song_id#\d+, user_id.*REPARTITION_BY_COL", plan, re.M)
+    again = re.findall(r"ReusedExchange \[session_id#\d+, song_id#\d+, user_id#\d+\]", plan)
+    assert (len(dealt), len(again)) == (1, 2)

@@ -22,6 +22,13 @@ FOLLOW = "session_artist_user_follow_id"
 FULL_WEIGHT, OVER10_WEIGHT, FOLLOWER_WEIGHT = "0.4", "0.4", "0.2"
 
 
+def _listen_links(tables: Tables) -> DataFrame:
+    """Song and user of each listen key. All measures take the same columns and filters, so that Spark deals the
+    links of a lazy warehouse once and uses that shuffle again."""
+    links = tables["link_session_song_user_listen"].select(LISTEN, "song_id", "user_id")
+    return links.where(F.col(LISTEN).isNotNull() & F.col("song_id").isNotNull())
+
+
 def _count(condition: Column, weight: str | None = None) -> Column:
     return F.sum(F.when(condition, F.col(weight) if weight else F.lit(1)).otherwise(0))
 
@@ -110,7 +117,7 @@ def artist_listen_country(tables: Tables, execution_dt: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n7"), _count(last_day).alias("n1"))
     )
     per_song = (
-        per_key.join(tables["link_session_song_user_listen"].select(LISTEN, "song_id", "user_id"), LISTEN)
+        per_key.join(_listen_links(tables), LISTEN)
         .join(_subscribed_users(tables, execution_dt), "user_id", "left")
         .groupBy("song_id", "country_code")
         .agg(
@@ -185,7 +192,7 @@ def artist_popular_songs(tables: Tables, execution_dt: str) -> DataFrame:
         .withColumn("full", F.when(F.col("action_type") == "Complete", 1).otherwise(0))
         .select(LISTEN, "pause_at", "listen", "full")
     )
-    link = tables["link_session_song_user_listen"].select(LISTEN, "song_id")
+    link = _listen_links(tables).select(LISTEN, "song_id")
     per_song = (
         listens.join(link, LISTEN, "left")
         .groupBy("song_id", "pause_at")
