@@ -13,12 +13,13 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
 import __spark_entry__ as entry
 from tonearm.llm import toxicity as toxicity_module
-from tonearm.llm import html_text, language_model, near_duplicates, packing, quality, repeats, token_files, tokens, warc
+from tonearm.llm import blocks, html_text, language_model, near_duplicates, packing, quality, repeats, token_files, tokens, warc
 from tonearm.llm.decontaminate import decontaminate
 from tonearm.llm.files import opened
 from tonearm.llm.registry import llm_queries, tokenizer_file
@@ -125,6 +126,55 @@ def test_context_totals_cover_all_buckets(spark, make):
     assert out[0] > -2.2  # half of the tokens are known from the word before, the others are one of 3,000
 
 
+def test_dense_arrays_come_back():
+    rng = np.random.default_rng(41)
+    arrays = (rng.integers(0, 1 << 63, 50).astype(np.uint64), np.zeros(0, np.uint32), rng.integers(0, 9, 3000).astype(np.uint32), rng.random(7).astype(np.float32))
+    body = blocks.dense(*arrays)
+    assert len(body) < 50 * 8 + 3000 + 7 * 4 + 100  # small numbers take less than a byte
+    for own in (body, pa.py_buffer(body)):
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, blocks.loose(own, *(a.dtype for a in arrays)), strict=True))
+    assert [len(a) for a in blocks.loose(blocks.dense(arrays[1], arrays[1]), np.uint32, np.uint32)] == [0, 0]
+
+
+def test_language_model_removes_files_that_nothing_reads(spark, make, tmp_path, monkeypatch):
+    """Sweeps send no names again, and what is left at any time stays small against the texts."""
+    rng = np.random.default_rng(43)
+    words = np.array([f"w{k}" for k in range(20_000)])
+    texts = [" ".join(rng.choice(words, 2000)) for _ in range(200)]
+    used, write = [], language_model.written
+
+    def stored():
+        return {f.relative_to(tmp_path).parts[0]: f.stat().st_size for f in tmp_path.rglob("*.parquet")}
+
+    def observed(df, *purpose):
+        out = write(df, *purpose)
+        used.append(sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")))
+        return out
+
+    monkeypatch.setattr(blocks, "shared_folder", lambda _, purpose: f"{tmp_path}/{purpose}-{len(used)}")
+    monkeypatch.setattr(language_model, "written", observed)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    out = language_model.score_texts(make(enumerate(texts)).repartition(3))
+    assert {name.rpartition("-")[0] for name in stored()} == {"lm-chunks", "lm-answers"}
+    assert max(used[3:]) < 2.5 * sum(map(len, texts)), used
+    assert spark.conf.get(setting) == before and out.count() == 200
+
+
+def test_language_model_questions_beyond_memory(monkeypatch):
+    """A bucket finds the same pairs and places, also where its questions lie in a file."""
+    texts = pa.RecordBatch.from_pydict({"text": ["a b a b c", "b a", None]})
+    body = next(language_model.ChunkPairs(texts, "text", np.array([True, False, True])).slices(1, counted=True))[1]
+    questions = [(0, chunk, body) for chunk in range(40)]
+    found = [b.to_pylist() for b in language_model._count(blocks.parts(iter(questions)))]
+    monkeypatch.setattr(language_model, "SPOOL_BYTES", 1)
+    assert [b.to_pylist() for b in language_model._count(blocks.parts(iter(questions)))] == found
+    (counts, *places), = found
+    assert language_model.Tables(counts["body"], 0).used.sum() == 40 * 7 and [r["chunk"] for r in places] == list(range(40))
+    pairs = len(language_model.Tables(counts["body"], 0).asked_word)
+    assert all((np.cumsum(blocks.loose(r["body"], np.uint32)[0]) == np.arange(pairs)).all() for r in places)
+
+
 def test_stirling_numbers():
     logs = language_model.stirling_logs(0.5)
     assert np.allclose(np.exp(logs[3, 1:4]), [0.75, 1.5, 1.0])  # (1-d)(2-d), 3(1-d), 1

@@ -22,12 +22,14 @@ once. Discounts follow from the pairs with one and two customers of each level.
 predictive probabilities of the sweeps behind the burn-in are averaged.
 
 How it runs: chunks of texts send their distinct (token, context) pairs with counts to hash
-buckets of tokens; a bucket holds all contexts of its tokens and so all levels of them. The
-totals of a context (customers, tables) are joined after each sweep: the buckets of tokens send
-theirs to hash buckets of contexts, which send the sums back to each bucket of tokens that has
-the context. What all buckets share besides is a vector of the totals of classes and root. Then
-each chunk gets the probabilities of its own pairs back and adds them up per text. Training
-counts, vocabulary and totals cover all training texts.
+buckets of tokens; a bucket holds all contexts of its tokens and so all levels of them, and notes
+for each chunk which of its pairs the chunk has. The totals of a context (customers, tables) are
+joined by hash buckets of contexts. Buckets of tokens send these the names of their contexts once;
+from then on contexts go by their order in both, and after each sweep only tables are sent and
+their sums sent back. What all buckets share besides is a vector of the totals of classes and root.
+Then each chunk gets the probabilities of its own pairs back and adds them up per text. Training
+counts, vocabulary and totals cover all training texts. Files of a step and of its shuffles are
+removed when nothing reads them any more.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pandas as pd
@@ -42,8 +45,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tonearm.llm.blocks import (
-    mapped, IS_CHUNK, PART, task_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_chunks, unpack,
-    written,
+    mapped, IS_CHUNK, PART, task_count, bucket_edges, chunked, dense, discard, from_bytes, loose, pack, parts, runs,
+    share_count, shuffles_removed, to_buckets, to_chunks, unpack, written,
 )
 from tonearm.llm.texts import LOWER, NOT_SPACE, ODD, U64, Spans, batch, mix, sum_by_text, text_of_word, text_slices, words
 
@@ -53,8 +56,11 @@ EXACT = 64
 BURN_IN, SAMPLES = 2, 2
 STRENGTH = 1.0
 SEED = 20240711
-#: What a bucket of tokens gets before the questions of chunks: its counts, seatings by sample, totals by sample and context bucket.
-COUNTS, SEATINGS, SUMS = -(1 << 62), -(1 << 61), -(1 << 60)
+#: Rows of a bucket before those of chunks. For tokens: counts, seatings by sample, customers of contexts by their bucket,
+#: their tables by sample and bucket. For contexts: where the buckets of tokens have them, and what these send.
+CODES, COUNTS, SEATINGS, CUSTOMERS, SUMS, NAMES = (-(1 << k) for k in range(62, 56, -1))
+#: Bytes of a bucket's questions that stay in memory until its pairs are merged; more lie in a file of the task.
+SPOOL_BYTES = 32 << 20
 SHARED = -1
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -96,18 +102,22 @@ class ChunkPairs:
         token, before = (np.concatenate(s) for s in zip(*streams)) if streams else (np.zeros(0, U64), np.zeros(0, U64))
         self.bounds = np.concatenate(bounds)
         by_token = np.argsort(token)
-        ordered = token[by_token]
-        new = np.ones(len(ordered), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        code, contexts = pd.factorize(before)
+        token = token[by_token]
+        new = np.ones(len(token), bool)
+        new[1:] = token[1:] != token[:-1]
+        code, contexts = pd.factorize(before, sort=True)
         pair = (np.cumsum(new) - 1) * len(contexts) + code[by_token]
+        tokens = token[new]
+        del streams, token, before, code
         by_pair = np.argsort(pair)
         pair, order = pair[by_pair], by_token[by_pair]
+        del by_token, by_pair
         new[1:] = pair[1:] != pair[:-1]
         number = np.cumsum(new) - 1
         self.pair_of_token = np.empty(len(order), np.int64)
         self.pair_of_token[order] = number
-        self.token, self.context = token[order[new]], before[order[new]]
+        pair = pair[new]
+        self.token, self.context = tokens[pair // len(contexts)], contexts[pair % len(contexts)]
         weight = np.repeat(trained, np.diff(self.bounds))
         self.count = np.bincount(number, weights=weight[order], minlength=len(self.token)).astype(np.uint32)
 
@@ -130,6 +140,18 @@ def _group(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[begin], np.diff(np.append(begin, len(ordered)))
 
 
+def _steps(values: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Values that ascend in groups of the given sizes, as distances to the one before in the group."""
+    step, begin = np.diff(values, prepend=0), np.cumsum(size) - size
+    step[begin] = values[begin]
+    return step.astype(np.uint32)
+
+
+def _from_steps(step: np.ndarray, size: np.ndarray) -> np.ndarray:
+    values, begin = np.cumsum(step, dtype=np.int64), np.cumsum(size, dtype=np.int64) - size
+    return values - np.repeat(values[begin] - step[begin], size)
+
+
 def _pairs_of(body) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     token, size, context, count = unpack(body, U64, np.uint32, U64, np.uint32)
     return np.repeat(token, size), context, count
@@ -211,28 +233,38 @@ def seat(
 
 
 class Tables:
-    """All levels of the tokens of one bucket: pairs with contexts (by their place in `names`), with classes, and alone."""
+    """All levels of the trained tokens of one bucket: pairs with contexts (by their place in `names`), with classes, and alone.
+
+    What `asked_` names is of all pairs, those without training too. Once contexts go by
+    their order, `names` holds their classes only and `token` is empty.
+    """
 
     def __init__(self, body, bucket: int):
-        self.token, size, room, count, self.names = unpack(body, U64, np.uint32, np.uint32, np.uint32, U64)
+        size, step, count, token, self.names = loose(body, np.uint32, np.uint32, np.uint32, U64, U64)
         self.bucket = bucket
-        self.word = np.repeat(np.arange(len(self.token)), size)
-        self.context, self.count = room.astype(np.int64), count.astype(np.int64)
+        word, trained = np.repeat(np.arange(len(size)), size), count > 0
+        known = np.zeros(len(size), bool)
+        known[word[trained]] = True
+        self.token, self.n_words = token[known[: len(token)]], int(known.sum())
+        self.asked_token, self.asked_word, self.asked_known = word, (np.cumsum(known) - 1)[word], known[word]
+        self.asked_context = _from_steps(step, size)
+        self.word, self.context = self.asked_word[trained], self.asked_context[trained]
+        self.count = count[trained].astype(np.int64)
         self.key = self.word * len(self.names) + self.context
         self.class_of_name = (self.names % U64(CLASSES)).astype(np.int64)
         key = self.word * CLASSES + self.class_of_name[self.context]
         self.class_key, self.in_class = np.unique(key, return_inverse=True)
         self.class_word, self.klass = self.class_key // CLASSES, self.class_key % CLASSES
-        self.used = np.bincount(self.word, weights=self.count, minlength=len(self.token)).astype(np.int64)
+        self.used = np.bincount(self.word, weights=self.count, minlength=self.n_words).astype(np.int64)
 
     def levels(self, tables: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Customers of the three levels."""
         up = np.bincount(self.in_class, weights=tables[0], minlength=len(self.class_key)).astype(np.int64)
-        top = np.bincount(self.class_word, weights=tables[1], minlength=len(self.token)).astype(np.int64)
+        top = np.bincount(self.class_word, weights=tables[1], minlength=self.n_words).astype(np.int64)
         return self.count, up, top
 
     def start(self) -> tuple:
-        return np.ones(len(self.count), np.int64), np.ones(len(self.class_key), np.int64), np.ones(len(self.token), np.int64)
+        return np.ones(len(self.count), np.int64), np.ones(len(self.class_key), np.int64), np.ones(self.n_words, np.int64)
 
     def predictive(self, tables: tuple, t: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of the tokens alone, in their classes, and in their rooms."""
@@ -269,7 +301,7 @@ class Tables:
             np.bincount(self.context, weights=self.count, minlength=len(self.names)), served,
             np.bincount(self.class_of_name, weights=served, minlength=CLASSES),
             np.bincount(self.klass, weights=tables[1], minlength=CLASSES),
-            float(tables[2].sum()), float(self.count.sum()), float(len(self.token)),
+            float(tables[2].sum()), float(self.count.sum()), float(self.n_words),
             np.array([(c == 1).sum() for c in levels], float), np.array([(c == 2).sum() for c in levels], float),
         )
 
@@ -300,11 +332,20 @@ class Predictor:
         """Counts of the tokens, and probabilities of the pairs."""
         context = context.astype(U64)
         of = (context % U64(CLASSES)).astype(np.int64)
-        used = np.zeros(len(token), np.int64)
-        mean = np.zeros(len(token))
-        word, known = _find(self.tables.token, token)
+        return self._at(*_find(self.tables.token, token), *_find(self.tables.names, context), of)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """The same of all pairs that the bucket was asked about, in their order."""
+        t = self.tables
+        named = np.ones(len(t.asked_word), bool)
+        return self._at(t.asked_word, t.asked_known, t.asked_context, named, t.class_of_name[t.asked_context])
+
+    def _at(
+        self, word: np.ndarray, known: np.ndarray, place: np.ndarray, named: np.ndarray, of: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        used = np.zeros(len(word), np.int64)
+        mean = np.zeros(len(word))
         used[known] = self.tables.used[word[known]]
-        place, named = _find(self.tables.names, context)
         klass, in_class = _find(self.tables.class_key, word * CLASSES + of)
         room, in_room = _find(self.tables.key, word * len(self.tables.names) + place)
         in_class &= known
@@ -312,7 +353,7 @@ class Predictor:
         for k, t in enumerate(self.kept):
             d = t.discounts
             alone, of_class, of_room = self.samples[k]
-            p = np.full(len(token), unknown(t, d))
+            p = np.full(len(word), unknown(t, d))
             p[known] = alone[word[known]]
             p *= class_backoff(t, d)[of]
             p[in_class] = of_class[klass[in_class]]
@@ -329,14 +370,14 @@ def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, ordered[at] == wanted
 
 
-def _ask(text: str, doc_id: str, buckets: int, fold: int, counted: bool):
+def _ask(text: str, doc_id: str, buckets: int, fold: int):
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for chunk, members in runs(batches, "chunk"):
                 for row in members:
                     own = from_bytes(row["body"])
                     pairs = ChunkPairs(own, text, ~in_fold(own.column(doc_id), fold))
-                    for bucket, body in pairs.slices(buckets, counted):
+                    for bucket, body in pairs.slices(buckets, counted=True):
                         yield bucket, chunk, body
 
         yield from parts(rows())
@@ -345,7 +386,8 @@ def _ask(text: str, doc_id: str, buckets: int, fold: int, counted: bool):
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: all training pairs of its tokens with their counts, and the names of all contexts asked for."""
+    """Of each bucket, all pairs of its tokens with their training counts, and the names of their contexts; then for
+    each chunk the places of its own pairs among them."""
 
     def merged(lists):
         token, context, count = (np.concatenate(c) for c in zip(*lists))
@@ -358,31 +400,70 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows():
         for bucket, members in runs(batches, "bucket"):
-            held = []
-            for row in members:
-                held.append(_pairs_of(row["body"]))
-                if len(held) >= 32:
-                    held = [merged(held)]
-            token, context, count = merged(held)
-            names, trained = np.unique(context), count > 0
-            own, size = _group(token[trained])
-            room = np.searchsorted(names, context[trained]).astype(np.uint32)
-            yield bucket, COUNTS, pack(own, size.astype(np.uint32), room, count[trained].astype(np.uint32), names)
+            with SpooledTemporaryFile(SPOOL_BYTES) as asked:
+                chunks, held = [], []
+                for row in members:
+                    chunks.append((row["chunk"], len(row["body"])))
+                    asked.write(row["body"])
+                    held.append(_pairs_of(row["body"]))
+                    if len(held) >= 32:
+                        held = [merged(held)]
+                token, context, count = merged(held)
+                names, room = np.unique(context, return_inverse=True)
+                own, size = _group(token)
+                key = np.repeat(np.arange(len(own)), size) * len(names) + room
+                yield bucket, COUNTS, dense(size.astype(np.uint32), _steps(room, size), count.astype(np.uint32), own, names)
+                asked.seek(0)
+                for chunk, length in chunks:
+                    token, context, _ = _pairs_of(asked.read(length))
+                    at = np.searchsorted(key, np.searchsorted(own, token) * len(names) + np.searchsorted(names, context))
+                    yield bucket, chunk, dense(np.diff(at, prepend=0).astype(np.uint32))
 
     yield from parts(rows())
 
 
+def _laid_out(places: int):
+    """What `_count` finds, with classes in place of names; the names of the contexts with their customers and first
+    tables, for `places` buckets of contexts; and each task's part of what all buckets share."""
+
+    def lay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            total = np.zeros(2 * CLASSES + 9)
+            for bucket, members in runs(_count(batches), "bucket"):
+                for row in members:
+                    if row["chunk"] != COUNTS:
+                        yield bucket, row["chunk"], row["body"].to_pybytes()
+                        continue
+                    size, step, count, _, names = loose(row["body"], np.uint32, np.uint32, np.uint32, U64, U64)
+                    tables = Tables(row["body"], bucket)
+                    t = tables.totals(tables.start())
+                    total += t.vector()
+                    yield bucket, COUNTS, dense(size, step, count, names[:0], names % U64(CLASSES))
+                    edges = bucket_edges(names, places)
+                    for place in np.flatnonzero(np.diff(edges)).tolist():
+                        part = slice(edges[place], edges[place + 1])
+                        sums = (a[part].astype(np.uint32) for a in (t.customers, t.tables))
+                        yield place, NAMES + bucket, dense(names[part], *sums)
+            yield SHARED, 0, total.tobytes()
+
+        yield from parts(rows())
+
+    return lay
+
+
 class Held:
     """What has come for one bucket of tokens."""
 
     def __init__(self, bucket: int):
-        self.bucket, self.counts, self.seatings, self.sums = bucket, None, {}, {}
+        self.bucket, self.counts, self.seatings, self.customers, self.sums = bucket, None, {}, {}, {}
 
     def take(self, chunk: int, body) -> None:
         if chunk >= SUMS:
-            self.sums.setdefault((chunk - SUMS) >> 32, []).append(unpack(body, np.uint32, np.uint32))
+            self.sums.setdefault((chunk - SUMS) >> 32, []).append(*loose(body, np.uint32))
+        elif chunk >= CUSTOMERS:
+            self.customers[chunk - CUSTOMERS] = loose(body, np.uint32)[0]
         elif chunk >= SEATINGS:
-            self.seatings[chunk - SEATINGS] = tuple(a.astype(np.int64) for a in unpack(body, np.uint32, np.uint32, np.uint32))
+            self.seatings[chunk - SEATINGS] = tuple(a.astype(np.int64) for a in loose(body, np.uint32, np.uint32, np.uint32))
         else:
             self.counts = body
 
@@ -390,13 +471,13 @@ class Held:
         return Tables(self.counts, self.bucket)
 
     def totals(self, sample: int, shared: np.ndarray) -> Totals:
-        customers, tables = (np.concatenate(c).astype(np.float64) for c in zip(*self.sums[sample]))
+        customers, tables = (np.concatenate(list(c)).astype(np.float64) for c in (self.customers.values(), self.sums[sample]))
         return Totals.of(customers, tables, shared)
 
 
-def _draw(shared: np.ndarray | None, number: int, places: int):
-    """The seating of each bucket after one more sweep (the first one without `shared`), its sums for `places`
-    buckets of contexts, and each task's part of what all buckets share."""
+def _draw(shared: np.ndarray, number: int):
+    """The seating of each bucket after one more sweep, its tables for the buckets of contexts, and each task's part of
+    what all buckets share."""
 
     def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -406,15 +487,14 @@ def _draw(shared: np.ndarray | None, number: int, places: int):
                 for row in members:
                     held.take(row["chunk"], row["body"])
                 tables = held.tables()
-                seating = tables.start() if shared is None else tables.sweep(held.seatings[0], held.totals(0, shared), number)
+                seating = tables.sweep(held.seatings.get(0) or tables.start(), held.totals(0, shared), number)
                 t = tables.totals(seating)
                 total += t.vector()
-                yield bucket, SEATINGS, pack(*(a.astype(np.uint32) for a in seating))
-                edges = bucket_edges(tables.names, places)
-                for place in np.flatnonzero(np.diff(edges)).tolist():
-                    part = slice(edges[place], edges[place + 1])
-                    sums = (a[part].astype(np.uint32) for a in (t.customers, t.tables))
-                    yield place, bucket, pack(tables.names[part], *sums)
+                yield bucket, SEATINGS, dense(*(a.astype(np.uint32) for a in seating))
+                served, at = t.tables.astype(np.uint32), 0
+                for place, own in held.customers.items():
+                    yield place, NAMES + bucket, dense(served[at : at + len(own)])
+                    at += len(own)
             yield SHARED, 0, total.tobytes()
 
         yield from parts(rows())
@@ -422,30 +502,54 @@ def _draw(shared: np.ndarray | None, number: int, places: int):
     return draw
 
 
+def _join_names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each bucket of contexts, which of its contexts each bucket of tokens has, in the order of their names; and
+    the customers and first tables of these, for that bucket of tokens."""
+
+    def rows():
+        for place, members in runs(batches, "bucket"):
+            asked = [(row["chunk"] - NAMES, loose(row["body"], U64, np.uint32, np.uint32)) for row in members]
+            buckets, size = np.array([(bucket, len(own[0])) for bucket, own in asked], np.uint32).T
+            _, code = np.unique(np.concatenate([own[0] for _, own in asked]), return_inverse=True)
+            yield place, CODES, dense(buckets, size, _steps(code, size))
+            for first, k in ((CUSTOMERS, 1), (SUMS, 2)):
+                yield from _summed(buckets, size, code, np.concatenate([own[k] for _, own in asked]), first + place)
+
+    yield from parts(rows())
+
+
 def _join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The totals of the contexts of each bucket of contexts, for each bucket of tokens that has them."""
+    """The tables of the contexts of each bucket of contexts, for each bucket of tokens that has them."""
 
     def rows():
         for place, members in runs(batches, "bucket"):
-            asked = [(row["chunk"], unpack(row["body"], U64, np.uint32, np.uint32)) for row in members]
-            code, names = pd.factorize(np.concatenate([own[0] for _, own in asked]))
-            sums = [np.bincount(code, weights=np.concatenate([own[k] for _, own in asked])).astype(np.uint32) for k in (1, 2)]
-            at = 0
-            for bucket, own in asked:
-                mine = code[at : at + len(own[0])]
-                at += len(mine)
-                yield bucket, SUMS + place, pack(*(a[mine] for a in sums))
+            buckets, size, step = loose(next(members)["body"], np.uint32, np.uint32, np.uint32)
+            served = np.concatenate([loose(row["body"], np.uint32)[0] for row in members])
+            yield from _summed(buckets, size, _from_steps(step, size), served, SUMS + place)
 
     yield from parts(rows())
 
 
-def _swept(rows: DataFrame, shared: np.ndarray | None, number: int, places: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """Seatings after a sweep, the totals of their contexts, and what all buckets share."""
-    out = written(rows.transform(mapped, _draw(shared, number, places), PART), "lm-sweep")
-    sums = out.where((F.col("bucket") != SHARED) & (F.col("chunk") >= 0))
-    totals = written(to_buckets(sums).transform(mapped, _join, PART), "lm-totals")
-    found = [np.frombuffer(row.body) for row in out.where(F.col("bucket") == SHARED).select("body").collect()]
-    return out.where(F.col("chunk") == SEATINGS), totals, np.sum([np.zeros(2 * CLASSES + 9), *found], axis=0)
+def _summed(
+    buckets: np.ndarray, size: np.ndarray, code: np.ndarray, values: np.ndarray, number: int
+) -> Iterator[tuple[int, int, bytes]]:
+    """The sums of the values of each context, for each bucket of tokens that has it."""
+    sums, at = np.bincount(code, weights=values).astype(np.uint32), 0
+    for bucket, n in zip(buckets.tolist(), size.tolist()):
+        yield bucket, number, dense(sums[code[at : at + n]])
+        at += n
+
+
+def _numbered(rows: DataFrame, first: int, last: int | None = None) -> DataFrame:
+    """The rows of buckets with numbers from `first` on, below `last` or `first` alone."""
+    number = F.col("chunk")
+    return rows.where((F.col("bucket") != SHARED) & (number == first if last is None else (number >= first) & (number < last)))
+
+
+def _shared(rows: DataFrame) -> np.ndarray:
+    """What all buckets share, from the parts of all tasks."""
+    found = [np.frombuffer(row.body) for row in rows.where(F.col("bucket") == SHARED).select("body").collect()]
+    return np.sum([np.zeros(2 * CLASSES + 9), *found], axis=0)
 
 
 def _by_bucket(*rows: DataFrame) -> DataFrame:
@@ -456,24 +560,28 @@ def _by_bucket(*rows: DataFrame) -> DataFrame:
 
 
 def _answer(shared: list[np.ndarray]):
-    """Counts and log probabilities of the pairs that chunks ask about; what the bucket holds itself comes first."""
+    """Counts and log probabilities of the pairs of chunks; what the bucket holds itself comes first."""
 
     def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for bucket, members in runs(batches, "bucket"):
-                held, predict = Held(bucket), None
+                held, found = Held(bucket), None
                 for row in members:
                     if row["chunk"] < 0:
                         held.take(row["chunk"], row["body"])
                         continue
-                    if predict is None:
-                        kept = [held.totals(k, v) for k, v in enumerate(shared)]
-                        predict = Predictor(held.tables(), kept, [held.seatings[k] for k in range(len(shared))])
-                    token, context, _ = _pairs_of(row["body"])
-                    used, p = predict(token, context)
-                    _, size = _group(token)
-                    used = used[np.cumsum(size) - size].astype(np.uint32)
-                    yield bucket, row["chunk"], pack(used, np.log10(p).astype(np.float32))
+                    if found is None:
+                        found = asked(held)
+                    word, used, p = found
+                    at = np.cumsum(loose(row["body"], np.uint32)[0], dtype=np.int64)
+                    new = np.diff(word[at], prepend=-1) > 0
+                    yield bucket, row["chunk"], dense(used[at[new]], p[at])
+
+        def asked(held):
+            tables = held.tables()
+            kept = [held.totals(k, v) for k, v in enumerate(shared)]
+            used, p = Predictor(tables, kept, [held.seatings[k] for k in range(len(shared))]).asked()
+            return tables.asked_token, used.astype(np.uint32), np.log10(p).astype(np.float32)
 
         yield from parts(rows())
 
@@ -486,7 +594,7 @@ def _score(text: str, doc_id: str, fold: int, tokens: float, vocabulary: float):
             answers = []
             for row in members:
                 if row["bucket"] != IS_CHUNK:
-                    answers.append(unpack(row["body"], np.uint32, np.float32))
+                    answers.append(loose(row["body"], np.uint32, np.float32))
                     continue
                 own = from_bytes(row["body"])
                 held_out = in_fold(own.column(doc_id), fold)
@@ -522,18 +630,38 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", fold:
     tasks = task_count(chunks)
     buckets = 4 * tasks
     own = chunks.select("chunk", "body")
-    counted = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=True), PART)
-    counts = written(to_buckets(counted).transform(mapped, _count, PART), "lm-counts")
-    history = [_swept(counts, None, 0, tasks)]
-    for number in range(1, BURN_IN + SAMPLES + 1):
-        seatings, totals, shared = history[-1]
-        history.append(_swept(_by_bucket(counts, seatings, totals), shared, number, tasks))
-    asked = own.transform(mapped, _ask("text", "doc_id", buckets, fold, counted=False), PART)
-    held = []
-    for k, (seatings, totals, _) in enumerate(history[-SAMPLES:]):
-        held += [df.withColumn("chunk", F.col("chunk") + (k << n)) for df, n in ((seatings, 0), (totals, 32))]
-    last = [shared for _, _, shared in history[-SAMPLES:]]
-    answers = _by_bucket(counts, *held, asked).transform(mapped, _answer(last), PART)
-    tokens, vocabulary = history[0][2][2 * CLASSES + 1 : 2 * CLASSES + 3].tolist()
+    with shuffles_removed(df.sparkSession):
+        counted = own.transform(mapped, _ask("text", "doc_id", buckets, fold), PART)
+        answers, shared = _answers(to_buckets(counted), share_count(chunks))
+    tokens, vocabulary = shared[2 * CLASSES + 1 : 2 * CLASSES + 3].tolist()
     score = _score("text", "doc_id", fold, tokens, vocabulary)
     return to_chunks(chunks, answers, tasks).transform(mapped, score, SCHEMA)
+
+
+def _answers(counted: DataFrame, places: int) -> tuple[DataFrame, np.ndarray]:
+    """The answers to the questions of chunks, written, and what all buckets share; no other file is left."""
+    merged = written(counted.transform(mapped, _laid_out(places), PART), "lm-counts")
+    names = written(_by_bucket(_numbered(merged, NAMES, 0)).transform(mapped, _join_names, PART), "lm-names")
+    shared = [_shared(merged)]
+    held = written(merged.where((F.col("chunk") == COUNTS) | (F.col("chunk") >= 0)).where(F.col("bucket") != SHARED), "lm-pairs")
+    discard(merged)
+    counts, codes, customers = _numbered(held, COUNTS), _numbered(names, CODES), _numbered(names, CUSTOMERS, SUMS)
+    state, sweeps = [_numbered(names, SUMS, NAMES)], []
+    for number in range(1, BURN_IN + SAMPLES + 1):
+        drawn = written(_by_bucket(counts, customers, *state).transform(mapped, _draw(shared[-1], number), PART), "lm-sweep")
+        served = _by_bucket(codes, _numbered(drawn, NAMES, 0))
+        totals = written(served.transform(mapped, _join, PART), "lm-totals")
+        shared.append(_shared(drawn))
+        state = [_numbered(drawn, SEATINGS), totals]
+        sweeps.append((drawn, totals))
+        if len(sweeps) > SAMPLES:
+            for old in sweeps.pop(0):
+                discard(old)
+    asked = [held, customers]
+    for k, (drawn, totals) in enumerate(sweeps):
+        for rows, shift in ((_numbered(drawn, SEATINGS), 0), (totals, 32)):
+            asked.append(rows.withColumn("chunk", F.col("chunk") + (k << shift)))
+    answers = written(_by_bucket(*asked).transform(mapped, _answer(shared[-SAMPLES:]), PART), "lm-answers")
+    for old in (held, names, *(rows for sweep in sweeps for rows in sweep)):
+        discard(old)
+    return answers, shared[-1]
