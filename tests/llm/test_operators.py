@@ -10,6 +10,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -73,6 +74,32 @@ def test_repeats_against_brute_force(spark, make):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text) for r in out} == want
 
 
+def test_repeats_leave_only_what_is_read_later(spark, make, tmp_path, monkeypatch):
+    """Chunks and the shuffles of settled steps are gone before places are compared; the rows stay right."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(str(d.getPath())) for d in manager.localDirs()]
+
+    def shuffled():
+        return {f.name for d in folders for f in d.rglob("shuffle_*.data")}
+
+    for module in (blocks, repeats):
+        monkeypatch.setattr(module, "shared_folder", lambda _, purpose: f"{tmp_path}/{purpose}")
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, there = spark.conf.get(setting), shuffled()
+    passage = "".join(np.random.default_rng(11).choice(list("abcdefgh"), 300))
+    texts = [f"{i} " + passage if i % 2 else f"only {i}" for i in range(20)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/rows")
+    out = repeats.remove_repeats(spark.read.parquet(f"{tmp_path}/rows"))
+    assert {d.name for d in tmp_path.iterdir()} == {"rows", "repeat-parts"}
+    until = time.time() + 20
+    while shuffled() - there and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - there and spark.conf.get(setting) == before
+    # " passage" and the last digit
+    assert sorted((r.doc_id, r.n_removed) for r in out.collect()) == [(i, 302 * (i % 2)) for i in range(20)]
+
+
 def test_transforms_merge_without_order_of_shards():
     rng = np.random.default_rng(5)
     first, second, front = (rng.integers(0, 4, 60).astype(np.uint64) for _ in range(3))

@@ -40,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonearm.llm.blocks import (
-    mapped, IS_CHUNK, PART, task_count, bucket_edges, chunked, from_bytes, pack, parts, runs, to_buckets, to_bytes,
-    to_chunks, unpack, written,
+    mapped, IS_CHUNK, PART, task_count, bucket_edges, chunked, discard, from_bytes, pack, parts, runs, shuffles_removed,
+    to_buckets, to_bytes, to_chunks, unpack, written,
 )
 from tonearm.llm.texts import ODD, U64, Spans, mix, text_bytes, text_slices
 from tonearm.session import shared_folder
@@ -400,13 +400,17 @@ def remove_repeats(df: DataFrame, text: str = "text", with_text: bool = True) ->
     in a string of 200 bytes go. Texts under 200 bytes stay whole. An empty table gives no rows.
     """
     chunks = chunked(df, text, "repeat-chunks", CHUNK_BYTES)
-    tasks = task_count(chunks)
-    buckets = 4 * tasks
-    questions = chunks.select("chunk", "body").transform(mapped, _questions(text, buckets), PART)
-    merged = to_buckets(questions).transform(mapped, _merge_bucket, PART)
     path = shared_folder(df.sparkSession, "repeat-parts")
-    split = to_chunks(chunks, merged, tasks).transform(mapped, _split(text, buckets, with_text), PART + ", kind string")
-    split.write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    # The questions go before the chunks are dealt, and both before places are compared: disk holds one step's files.
+    with shuffles_removed(df.sparkSession):
+        tasks = task_count(chunks)
+        buckets = 4 * tasks
+        questions = chunks.select("chunk", "body").transform(mapped, _questions(text, buckets), PART)
+        merged = written(to_buckets(questions).transform(mapped, _merge_bucket, PART), "repeat-merged")
+        split = to_chunks(chunks, merged, tasks).transform(mapped, _split(text, buckets, with_text), PART + ", kind string")
+        split.write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    discard(chunks)
+    discard(merged)
     stored = df.sparkSession.read.schema(split.schema).parquet(path)
 
     of = {f.name: f for f in df.schema if f.name not in RESULT and (with_text or f.name != text)}
