@@ -96,7 +96,7 @@ def test_repeats_leave_only_what_is_read_later(spark, make, tmp_path, monkeypatc
     while shuffled() - there and time.time() < until:
         time.sleep(0.2)
     assert not shuffled() - there and spark.conf.get(setting) == before
-    # " passage" and the last digit
+    # the passage, the blank and the digit in front
     assert sorted((r.doc_id, r.n_removed) for r in out.collect()) == [(i, 302 * (i % 2)) for i in range(20)]
 
 

@@ -50,9 +50,9 @@ SPAN = 200
 WINDOW = 120
 GRAM = 16
 AHEAD = SPAN - WINDOW + 1
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 CHUNK_BYTES = 8 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 NONE, COVERED, OPEN, PARTNER = range(4)
 RESULT = {
