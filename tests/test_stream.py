@@ -1,4 +1,6 @@
 import json
+import time
+from pathlib import Path
 
 import pytest
 
@@ -148,3 +150,45 @@ def test_event_ids_are_made_behind_the_shuffle(spark):
     plan = once._jdf.queryExecution().executedPlan().toString()
     assert "event_id" in plan.split("Exchange")[0] and "event_id" not in plan.split("Exchange")[1]
     assert sorted(once.collect()) == sorted(decoded.distinct().select(once.columns).collect())
+
+
+def test_executors_hold_no_text_of_a_batch_and_its_draft_goes(spark, tmp_path, monkeypatch):
+    """What is kept in blocks are counts and known ids; payloads lie in a draft while the tables are written."""
+    kept, seen, store = [], [], TableStore(spark, f"file://{tmp_path}")
+    frame, append = type(spark.range(1)), store.append
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: kept.append(df.columns) or persist(df, *a))
+    monkeypatch.setattr(store, "append", lambda *a, **b: seen.extend(tmp_path.glob("_drafts/*/target=*")) or append(*a, **b))
+    for batch_id in range(2):
+        append_stage(ops_events(spark, "u1"), store, batch_id)
+    assert kept and not any({"data", "type"} & set(columns) for columns in kept)
+    assert {p.name for p in seen} == {"target=kafka_playback"} and not list(tmp_path.glob("_drafts/*"))
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, folder):
+    """Shuffles of a batch go when its tables are written, not when the driver collects garbage."""
+    here = lambda: {int(i.split("_")[1]) for i in blocks(spark)}
+    before, store = here(), TableStore(spark, folder)
+    for batch_id, user in enumerate(("u1", "u2")):
+        append_stage(ops_events(spark, user), store, batch_id)
+    end = time.monotonic() + 20
+    while len(here() - before) > 6 and time.monotonic() < end:  # those of the small frames that were kept
+        time.sleep(0.2)
+    assert len(here() - before) <= 6
+
+
+def blocks(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return [p.name for d in folders for p in Path(d.getPath()).rglob("shuffle_*.data")]
+
+
+def test_events_of_tables_with_an_id_and_without_text(spark, folder):
+    """The id of an event and the `id` of what it tells of are two; a message without text is kept once."""
+    data = {"event_time": "1995-05-01T00:00:00", "id": "g1", "name": "n", "happiness_index": 1}
+    rows = [(json.dumps({"type": "GenreCreated", "data": data}),), (None,)]
+    events, store = decode_envelope(spark.createDataFrame(rows, "value string")), TableStore(spark, folder)
+    for batch_id in range(2):
+        append_stage(events, store, batch_id)
+    genre = store.read("kafka_genre").collect()
+    assert [(r.id, r.event_id) for r in genre] == [("g1", events.where("type IS NOT NULL").first().event_id)]
+    assert store.read("quarantine").count() == 1
