@@ -165,21 +165,24 @@ def test_executors_hold_no_text_of_a_batch_and_its_draft_goes(spark, tmp_path, m
     assert {p.name for p in seen} == {"target=kafka_playback"} and not list(tmp_path.glob("_drafts/*"))
 
 
-def test_a_batch_leaves_no_shuffle_files(spark, folder):
-    """Shuffles of a batch go when its tables are written, not when the driver collects garbage."""
-    here = lambda: {int(i.split("_")[1]) for i in blocks(spark)}
-    before, store = here(), TableStore(spark, folder)
-    for batch_id, user in enumerate(("u1", "u2")):
-        append_stage(ops_events(spark, user), store, batch_id)
+def test_a_load_leaves_no_shuffle_files(spark, folder):
+    """Shuffles go when a table is written, not when the driver collects garbage."""
+    stage, vault = TableStore(spark, folder + "/stage"), TableStore(spark, folder + "/vault")
+    append_stage(ops_events(spark, "u1").union(ops_events(spark, "u2")), stage, 0)
+    append_stage(ops_events(spark, "u3"), stage, 1)
+    before = blocks(spark)
+    for batch_id in range(2):
+        run_load_plan(stage, vault, batch_id)
     end = time.monotonic() + 20
-    while len(here() - before) > 6 and time.monotonic() < end:  # those of the small frames that were kept
+    while blocks(spark) - before and time.monotonic() < end:
         time.sleep(0.2)
-    assert len(here() - before) <= 6
+    assert not blocks(spark) - before
+    assert StoredTables(vault, VAULT_TABLES)["link_session_song_user_listen"].count() == 3
 
 
 def blocks(spark):
     folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
-    return [p.name for d in folders for p in Path(d.getPath()).rglob("shuffle_*.data")]
+    return {p.name for d in folders for p in Path(d.getPath()).rglob("shuffle_*.data")}
 
 
 def test_events_of_tables_with_an_id_and_without_text(spark, folder):

@@ -165,3 +165,30 @@ def test_placed_loads_give_the_same_rows(spark):
         plain, placed = load(spec, stage), load(spec, stage, placed=True)
         assert placed.columns == plain.columns and placed.count() == plain.count() == n
         assert placed.exceptAll(plain).isEmpty()
+
+
+def test_hashed_keys_are_made_behind_the_shuffles(spark, folder):
+    """What a load looks up and lays out are raw ids (facts: bytes of their key); the columns made of them are those of the table."""
+    from tonearm.operators.vault import fresh_rows, load
+    from tonearm.plans.specs import BY_TARGET
+    from tonearm.sources.store import TableStore
+
+    day, later = datetime(1999, 1, 1), datetime(1999, 1, 2)
+    fields = "user_id string, session_id string, song_id string, at_time_sec int, finished boolean, event_type string, event_time timestamp_ntz"
+    row = lambda user, moment: (user, "x", "s", 1, True, "SongStopEvent", moment)
+    first = spark.createDataFrame([row("a", day), row("b", day)], fields)
+    second = spark.createDataFrame([row("b", day), row("b", later), row("c", day), (None, "x", "s", 1, True, "SongStopEvent", day)], fields)
+    store = TableStore(spark, folder)
+    for target, n, dated in (("link_session_song_user_listen", 1, None), ("lsat_session_song_user_listen", 2, "actual_dtm")):
+        spec = BY_TARGET[target]
+        store.append(target, load(spec, first), 0, dated, key=None if dated else spec.key)
+        for known in (None, store.read(target)):
+            rows, made = fresh_rows(spec, second, known)
+            assert not {spec.key, *spec.part_names} & (set(rows.columns) - set(spec.parts))
+            assert list(made) == load(spec, second, known).columns
+        fresh = load(spec, second, store.read(target))
+        plain = load(spec, second).exceptAll(load(spec, first))
+        assert fresh.count() == n and fresh.exceptAll(plain).isEmpty()
+        store.append(target, rows, 1, dated, key=None if dated else spec.key, made=made)
+        assert store.read(target, batches=[1]).select(fresh.columns).exceptAll(plain).isEmpty()
+        assert store.read(target).count() == 2 + n
