@@ -173,3 +173,18 @@ def test_an_error_in_a_batch_is_raised_to_who_serves(spark, folder):
     _, query = endless(spark, folder, after_batch=fail)
     with pytest.raises(Exception, match="no room"):
         serve(query, lambda: False, poll_s=0.1)
+
+
+def test_state_lies_in_files_and_has_ids_as_bytes(spark, tmp_path):
+    """Executors keep the state of copies and of counts on disk (RocksDB), not in their heap; the session is as it was."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    folder, before = f"file://{tmp_path}", spark.conf.get(name)
+    send(folder, "1", *[message(f"u{k}", "1995-05-01T10:00:00") for k in range(20)])
+    assert unique(spark, folder).count() == 20
+    start_popularity(read_unique(spark, folder + "/unique"), TableStore(spark, folder + "/store"), folder + "/counts").awaitTermination()
+    for checkpoint in ("checkpoint", "counts"):
+        kinds = {p.suffix for p in (tmp_path / checkpoint / "state").rglob("*") if p.is_file() and not p.name.startswith(".")}
+        assert ".changelog" in kinds and ".delta" not in kinds
+    assert spark.conf.get(name) == before
+    plan = unique_within(read_events(spark, folder + "/messages").transform(decode_envelope), "1 day")
+    assert plan.columns == ["event_id", "type", "data"] and "DeduplicateWithinWatermark [id#" in plan._jdf.queryExecution().analyzed().toString()
